@@ -1,10 +1,12 @@
 """Operators for building language-model corpora. Nothing else in the library imports this subpackage."""
 
-from . import chat_format, mixing
+from . import chat_format, line_dedup, mixing, near_dedup
 from .common import Query
 
 QUERIES: dict[str, Query] = {
     "op3_reply_trees": chat_format.op3_reply_trees,
     "op5_mix_to_weights": mixing.op5_mix_to_weights,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 ORACLES: dict[str, str] = {"op3_reply_trees": chat_format.ORACLE}
