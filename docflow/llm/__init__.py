@@ -1,6 +1,6 @@
 """Operators for building language-model corpora. Nothing else in the library imports this subpackage."""
 
-from . import chat_format, line_dedup, mixing, near_dedup
+from . import chat_format, line_dedup, mixing, near_dedup, pii
 from .common import Query
 
 QUERIES: dict[str, Query] = {
@@ -8,5 +8,6 @@ QUERIES: dict[str, Query] = {
     "op5_mix_to_weights": mixing.op5_mix_to_weights,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op10_weak_supervision": pii.op10_weak_supervision,
 }
 ORACLES: dict[str, str] = {"op3_reply_trees": chat_format.ORACLE}
