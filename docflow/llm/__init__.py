@@ -1,12 +1,14 @@
 """Operators for building language-model corpora. Nothing else in the library imports this subpackage."""
 
-from . import chat_format, line_dedup, mixing, near_dedup, pii
+from . import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, pii
 from .common import Query
 
 QUERIES: dict[str, Query] = {
     "op3_reply_trees": chat_format.op3_reply_trees,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_to_weights": mixing.op5_mix_to_weights,
     "op6_near_dedup": near_dedup.op6_near_dedup,
+    "op7_language_id": language_id.op7_language_id,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_weak_supervision": pii.op10_weak_supervision,
 }
