@@ -1,6 +1,6 @@
 """Operators for building language-model corpora. Nothing else in the library imports this subpackage."""
 
-from . import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, pii
+from . import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, page_text, pii
 from .common import Query
 
 QUERIES: dict[str, Query] = {
@@ -10,6 +10,7 @@ QUERIES: dict[str, Query] = {
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_language_id": language_id.op7_language_id,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_page_differencing": page_text.op9_page_differencing,
     "op10_weak_supervision": pii.op10_weak_supervision,
 }
 ORACLES: dict[str, str] = {"op3_reply_trees": chat_format.ORACLE}
