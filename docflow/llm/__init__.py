@@ -1,9 +1,11 @@
 """Operators for building language-model corpora. Nothing else in the library imports this subpackage."""
 
-from . import chat_format, decontaminate, language_id, line_dedup, mixing, near_dedup, page_text, pii
+from . import chat_format, decontaminate, imatch, language_id, line_dedup, mixing, near_dedup, page_text, pii, token_scan
 from .common import Query
 
 QUERIES: dict[str, Query] = {
+    "op1_imatch": imatch.op1_imatch,
+    "op2_separator_scan": token_scan.op2_separator_scan,
     "op3_reply_trees": chat_format.op3_reply_trees,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_mix_to_weights": mixing.op5_mix_to_weights,
