@@ -1,4 +1,6 @@
 """Named queries over the driver's tables, with the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import records, reviews, text
+
+QUERIES = {**records.QUERIES, **text.QUERIES, **reviews.QUERIES}
+ORACLES = {**records.ORACLES, **text.ORACLES, **reviews.ORACLES}
