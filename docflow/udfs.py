@@ -8,10 +8,17 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import frontmatter, schemas
 from .markup import article, html, records, tables, tree
 
+# Types and not DDL: this module is imported before there is a session.
+KINDS = {"int": T.IntegerType(), "string": T.StringType(), "boolean": T.BooleanType(), "array<string>": T.ArrayType(T.StringType())}
+FRONT = T.StructType([T.StructField(name, KINDS[kind]) for name, kind in schemas.FRONT_MATTER])
+CONVERTED = T.StructType([T.StructField("body", T.StringType()), T.StructField("error", T.StringType())])
+DOCUMENT = T.StructType([T.StructField("front_matter", FRONT), T.StructField("body", T.StringType()), T.StructField("error", T.StringType()), T.StructField("problems", T.ArrayType(T.StringType()))])
+
 
 def parse_records(pages: DataFrame, xml: str = "xml") -> DataFrame:
     """One row for each record in the pages' XML, with page and position; fails on a record without an id."""
@@ -36,7 +43,7 @@ def parse_articles(pages: DataFrame, xml: str = "xml") -> DataFrame:
     return pages.select("page", xml).mapInPandas(run, f"page long, at long, {schemas.ARTICLES}")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def document_title(xml: pd.Series) -> pd.Series:
     def one(data: bytes | None) -> str | None:
         try:
@@ -47,7 +54,7 @@ def document_title(xml: pd.Series) -> pd.Series:
     return xml.map(one, na_action=None)
 
 
-@F.pandas_udf("struct<body:string,error:string>")
+@F.pandas_udf(CONVERTED)
 def convert_article(xml: pd.Series, title: pd.Series, abstract: pd.Series) -> pd.DataFrame:
     """Markdown of an article, or why there is none; a failure stays with its document."""
 
@@ -61,12 +68,12 @@ def convert_article(xml: pd.Series, title: pd.Series, abstract: pd.Series) -> pd
     return pd.DataFrame([one(*x) for x in zip(xml, title, abstract, strict=True)], columns=["body", "error"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_to_markdown(source: pd.Series) -> pd.Series:
     return source.map(lambda s: html.html_markdown(s or ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def table_to_markdown(xml: pd.Series) -> pd.Series:
     """The first table in a piece of XML, spans expanded."""
 
@@ -78,12 +85,12 @@ def table_to_markdown(xml: pd.Series) -> pd.Series:
     return xml.map(one, na_action=None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
 
 
-@F.pandas_udf(f"struct<front_matter:{schemas.FRONT_MATTER_STRUCT},body:string,error:string,problems:array<string>>")
+@F.pandas_udf(DOCUMENT)
 def read_document(text: pd.Series) -> pd.DataFrame:
     """Front matter and body of a document; error says why they could not be read, problems what breaks the contract."""
 
@@ -110,7 +117,7 @@ def read_document(text: pd.Series) -> pd.DataFrame:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def write_document(front_matter: pd.DataFrame, body: pd.Series) -> pd.Series:
     def clean(value):
         if isinstance(value, (list, tuple)) or hasattr(value, "tolist"):
