@@ -6,8 +6,10 @@ probability of 7e-5. Documents with equal shingle sets are one class from the st
 
 1. a value that one class alone has is dropped before keys are formed, as it cannot be part of a shared key;
 2. in every bucket, the member with most bucket mates is the pivot, and all others are compared with it;
-3. classes that the pivots have not joined are compared across components: every member outside the largest component
-   of its bucket with every member of another component, each pair in its first common table only.
+3. classes that the pivots have not joined are compared across components, pivot by pivot: every class outside the largest
+   component of the pivot's bucket mates with every mate of another component. Mates are cut into chunks of about CHUNK, a
+   task compares two chunks, and only links leave it: no pair is emitted and no task holds a whole group. Sizes, minhashes and,
+   in crowds, the number of shingles that either class shares with anyone rule most pairs out beforehand.
 
 Every link is confirmed on the full shingle sets, as 64-bit shingle hashes. In buckets of more than LARGE members, a class
 goes before step 2 if fewer than the threshold's share of its shingles occur in any other such class: no partner can
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
@@ -34,7 +36,7 @@ from .words import P, WordHashes, mix, shingle_set
 HALF, PER_VALUE, WIDTH, PERCENT = 8, 2, 5, 85
 MINHASHES = 2 * HALF * PER_VALUE
 AGREEING = 18  # of 32 minhashes: a pair at 0.85 has fewer with a probability of 6e-5
-LARGE = 16
+LARGE, CHUNK = 16, 256
 STEP = 1 << 14
 
 
@@ -88,14 +90,14 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """classes(cls, vals) -> (key, i, j, cls), for keys that at least two classes have."""
+    """classes(cls, vals) -> (key, cls, size), for keys that at least two classes have."""
     values = classes.select("cls", F.posexplode("vals").alias("at", "value"))
     shared = values.groupBy("value").count().where("count > 1").select("value")
     left = values.join(shared, "value").groupBy("cls").agg(F.collect_list(F.struct("at", "value")).alias("vals"))
     left = left.where(F.exists("vals", lambda v: v["at"] < HALF) & F.exists("vals", lambda v: v["at"] >= HALF))
     one = left.select("cls", F.filter("vals", lambda v: v["at"] < HALF).alias("a"), F.filter("vals", lambda v: v["at"] >= HALF).alias("b"))
-    pairs = one.select("cls", F.explode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.struct(x["at"].alias("i"), y["at"].alias("j"), F.xxhash64(x["value"], y["value"]).alias("key")))))).alias("k"))
-    keys = materialize(pairs.select("k.key", "k.i", "k.j", "cls"), "keys")
+    pairs = one.select("cls", F.explode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x["value"], y["value"]))))).alias("key"))
+    keys = materialize(pairs.select("key", "cls"), "keys")
     return keys.join(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
 
 
@@ -107,14 +109,44 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(100 * F.col("inter") >= PERCENT * (F.size("su") + F.size("sv") - F.col("inter"))).select("u", "v")
 
 
-def _alike(n: Column, m: Column, low: Column, mow: Column) -> Column:
-    agree = F.size(F.filter(F.zip_with(low, mow, lambda x, y: x == y), lambda e: e))
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (agree >= AGREEING)
-
-
-def _first(vals: Column, wals: Column, low: int) -> Column:
-    """Place of the first value of a collection that both have."""
-    return low + F.array_position(F.zip_with(F.slice(vals, low + 1, HALF), F.slice(wals, low + 1, HALF), lambda x, y: x == y), True) - 1
+def _compare_chunks(key: tuple, rows: pa.Table) -> pa.Table:
+    """Links between the outer classes and the mates of one pair of chunks."""
+    side, cls, component, n = (rows.column(c).to_numpy() for c in ("outer", "cls", "component", "n"))
+    common = rows.column("common").fill_null(-1).to_numpy()
+    low = np.array(rows.column("low").to_pylist(), np.int32)
+    shingles, held = rows.column("shingles"), {}
+    outer, mates = np.flatnonzero(side), np.flatnonzero(side == 0)
+
+    def full(i: int) -> frozenset:
+        if i not in held:
+            held[i] = frozenset(shingles[i].as_py())
+        return held[i]
+
+    links = []
+    for i in outer.tolist():
+        able = (component[mates] != component[i]) & (100 * np.minimum(n[mates], n[i]) >= PERCENT * np.maximum(n[mates], n[i]))
+        if common[i] >= 0:  # what two of a crowd have both is common to the crowd
+            able &= (common[mates] < 0) | ((100 + PERCENT) * np.minimum(common[mates], common[i]) >= PERCENT * (n[mates] + n[i]))
+        near = mates[able]
+        for j in near[(low[near] == low[i]).sum(axis=1) >= AGREEING].tolist():
+            both = len(full(i) & full(j))
+            if 100 * both >= PERCENT * (int(n[i]) + int(n[j]) - both):
+                links.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
+    return pa.table({"u": pa.array([x[0] for x in links], pa.int64()), "v": pa.array([x[1] for x in links], pa.int64())})
+
+
+def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame) -> DataFrame:
+    """mates(pivot, cls, component) -> links (u, v) between classes of different components with a common pivot."""
+    parts = mates.groupBy("pivot", "component").agg(F.count("*").alias("size"))
+    tops = parts.groupBy("pivot").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count("*").alias("parts")).where("parts > 1")
+    tops = tops.select("pivot", F.col("top.component").alias("top"), F.ceil(F.col("all") / CHUNK).alias("chunks"), F.ceil((F.col("all") - F.col("top.size")) / CHUNK).alias("outer_chunks"))
+    rows = mates.join(tops, "pivot").join(traits, "cls").join(sets, "cls")
+    own = lambda count: F.pmod(F.xxhash64("cls"), count)
+    as_mate = F.transform(F.sequence(F.lit(0).cast("long"), F.col("outer_chunks") - 1), lambda c: F.struct(F.lit(0).alias("outer"), c.alias("oc"), own(F.col("chunks")).alias("mc")))
+    as_outer = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.lit(1).alias("outer"), own(F.col("outer_chunks")).alias("oc"), c.alias("mc")))
+    places = F.when(F.col("component") == F.col("top"), as_mate).otherwise(F.concat(as_mate, as_outer))
+    placed = rows.select("pivot", "cls", "component", "n", "common", "low", "shingles", F.explode(places).alias("at")).select("*", "at.*").drop("at")
+    return placed.groupBy("pivot", "oc", "mc").applyInArrow(_compare_chunks, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -133,31 +165,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowd = sets.join(crowd, "cls", "left_semi")
     each = crowd.select("cls", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     common = each.groupBy("shingle").count().where("count > 1").select("shingle")
-    lone = crowd.select("cls", F.size("shingles").alias("n")).join(each.join(common, "shingle").groupBy("cls").agg(F.count("*").alias("common")), "cls", "left")
-    lone = lone.where(100 * F.coalesce("common", F.lit(0)) < PERCENT * F.col("n")).select("cls", F.lit(True).alias("lone"))
+    crowd = crowd.select("cls", F.size("shingles").alias("n")).join(each.join(common, "shingle").groupBy("cls").agg(F.count("*").alias("common")), "cls", "left")
+    crowd = materialize(crowd.withColumn("common", F.coalesce("common", F.lit(0))), "crowd")
+    lone = crowd.where(100 * F.col("common") < PERCENT * F.col("n")).select("cls", F.lit(True).alias("lone"))
     members = members.join(lone, "cls", "left").where((F.col("size") <= LARGE) | F.col("lone").isNull()).drop("lone", "size")
     members = materialize(members, "members")
 
     degree = members.join(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key").groupBy("cls").agg(F.sum("size").alias("degree"))
-    pivots = members.join(degree, "cls").groupBy("key").agg(F.max(F.struct("degree", "cls"))["cls"].alias("pivot"), F.count("*").alias("size")).where("size > 1")
+    pivots = members.join(degree, "cls").groupBy("key").agg(F.max(F.struct("degree", "cls"))["cls"].alias("pivot"), F.count("*").alias("size")).where("size > 1").select("key", "pivot")
+    pivots = materialize(pivots, "pivots")
     stars = members.join(pivots, "key").where("cls <> pivot").select(F.least("cls", "pivot").alias("u"), F.greatest("cls", "pivot").alias("v")).distinct()
     links = materialize(_linked(stars, sets), "links")
     found = components(links)
 
-    traits = classes.join(compared, "cls", "left_semi").select("cls", "n", "low", "vals")
-    placed = members.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    placed = materialize(placed, "placed")
-    parts = placed.groupBy("key", "component").count()
-    tops = parts.groupBy("key").agg(F.max(F.struct("count", "component"))["component"].alias("top"), F.count("*").alias("parts")).where("parts > 1").select("key", "top")
-    open_ = materialize(placed.join(tops, "key").join(traits, "cls"), "open")
-    outer = open_.where("component <> top").select("key", "i", "j", *[F.col(c).alias(f"{c}2") for c in ("cls", "component", "n", "low", "vals")])
-    rule = (
-        (F.col("component") != F.col("component2")) & ((F.col("component") == F.col("top")) | (F.col("cls") < F.col("cls2")))
-        & _alike(F.col("n"), F.col("n2"), F.col("low"), F.col("low2"))
-        & (F.col("a.i") == _first(F.col("vals"), F.col("vals2"), 0)) & (F.col("a.j") == _first(F.col("vals"), F.col("vals2"), HALF))
-    )
-    across = open_.alias("a").join(outer.alias("b"), (F.col("a.key") == F.col("b.key")) & rule).select(F.least("cls", "cls2").alias("u"), F.greatest("cls", "cls2").alias("v"))
-    links = links.unionByName(materialize(_linked(across, sets), "links"))
+    traits = classes.join(compared, "cls", "left_semi").join(crowd.select("cls", "common"), "cls", "left").select("cls", "n", "common", "low")
+    mates = members.join(pivots, "key").select("pivot", "cls").distinct().join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    mates = materialize(mates.withColumn("component", F.coalesce("component", "cls")), "mates")
+    links = links.unionByName(materialize(_across(mates, traits, sets), "links"))
     return _labelled(sketched, classes, components(links))
 
 
