@@ -45,10 +45,11 @@ def ngrams(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
     if len(codes) < 2:
         return codes[:0], codes[:0].astype(np.int64)
-    border, value, found = codes == 0, codes, []
+    border, codes, found = codes == 0, codes + np.uint64(1), []
+    value = codes
     found.append(value[~border])
     for n in range(2, LONGEST + 1):
-        value = value[:-1] * P + codes[n - 1 :] + np.uint64(n)
+        value = value[:-1] * P + codes[n - 1 :]
         inner = np.zeros(len(value), bool)
         for i in range(1, n - 1):
             inner |= border[i : i + len(value)]
