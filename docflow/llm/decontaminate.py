@@ -11,7 +11,7 @@ block, so what is sent has a bound whatever the benchmark's size. Texts are read
 
 Edge cases: null and empty texts leak nothing; an item shorter than a window is one window; items with fewer than LEAST_PLAIN
 words that are not placeholders, and windows with under half of theirs plain, prove nothing; null items are left out; items
-with equal texts all leak; repeated rows are rows; a column named leaks is replaced, others are passed on.
+with equal texts all leak; repeated rows are rows; find_leaks replaces a column named leaks, all others are passed on.
 """
 
 from __future__ import annotations
@@ -178,7 +178,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs in which no item has leaked, with all their columns."""
-    return find_leaks(docs, benchmark).where(F.size("leaks") == 0).select(docs.columns)
+    for block in item_blocks(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            canon = Canon()
+            index = Index(sent.value, canon)
+            for batch in batches:
+                yield batch.filter(pa.array([not index.leaks(t.as_py(), canon) for t in batch.column("text")], pa.bool_()))
+
+        docs = docs.mapInArrow(scan, docs.schema)
+    return docs
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,27 +85,27 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with text less its cut lines, and (cut, old_text) beside; cut is null where nothing went."""
-    cuts = repeated_lines(docs, min_words).select(F.col("doc_id").alias("_cut_doc"), F.col("th").alias("_cut_th"), "cut")
-    rows = docs.drop("cut", "old_text")
-    rows = rows.join(cuts, F.col("doc_id").eqNullSafe(F.col("_cut_doc")) & (F.xxhash64("text") == F.col("_cut_th")), "left").drop("_cut_doc", "_cut_th")
-    lines = F.split("text", "\n", -1)
+    """(row, text, cut): each row of docs as a struct, its text less the cut lines, and those; cut is null where nothing goes."""
+    cuts = repeated_lines(docs, min_words)
+    rows = docs.select(F.struct("*").alias("row")).withColumn("hash", F.xxhash64("row.text"))
+    rows = rows.join(cuts, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("th")), "left")
+    lines = F.split("row.text", "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("cut"))
-    return rows.withColumn("old_text", F.col("text")).withColumn("text", F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n")))
+    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
+    return rows.select("row", text.alias("text"), "cut")
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with later copies of line runs cut; a document of which no word is left was a copy as a whole and goes."""
     out = dedup_lines(docs, min_words)
     emptied = F.col("cut").isNotNull() & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return out.where(~emptied).select(docs.columns)
+    return out.where(~emptied).select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_cut, cut (comma-joined line numbers from 0), text (without the cut lines), of all documents."""
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
-        "doc_id", F.coalesce(F.size(F.split("old_text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("cut").isNull(), 0).otherwise(F.size("cut")).cast("long").alias("n_cut"),
-        F.coalesce(F.array_join("cut", ","), F.lit("")).alias("cut"), "text",
+        F.col("row.doc_id").alias("doc_id"), F.coalesce(F.size(F.split("row.text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.col("cut").isNull(), 0).otherwise(F.size("cut")).cast("long").alias("n_cut"), F.coalesce(F.array_join("cut", ","), F.lit("")).alias("cut"), "text",
     )
