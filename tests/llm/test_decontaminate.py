@@ -1,0 +1,70 @@
+import random
+
+from corpora import frame, simple, words
+from helpers import SMALL, duck
+
+from docflow.llm import decontaminate as d
+
+QUESTION = "A baker named Anna has 12 apples and gives 5 apples to Peter before walking 3 km to the market where she sells the other apples for 40 dollars in total"
+
+
+def items(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+def leaked(spark, docs, bench):
+    return {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in d.find_leaks(simple(spark, docs), items(spark, bench)).collect()}
+
+
+def test_templates(spark):
+    around = words(random.Random(1), 80)
+    same_slots = QUESTION.replace("Anna", "Maria").replace("Peter", "John").replace("12", "31").replace("40", "77").replace("3 km", "9 miles")
+    docs = [
+        f"{around} {QUESTION} {around}", f"{around}\n{same_slots}.", f"{around} {QUESTION.lower()}", around, "", None, f"{QUESTION[:60]} {around}",
+        f"{around} " + QUESTION.replace("baker", "farmer").replace("market", "city"),
+    ]
+    got = leaked(spark, docs, [QUESTION, "unrelated item with enough plain words in it to make a window or two"])
+    assert got[0] == [0] and got[1] == [0] and all(not got[i] for i in (3, 4, 5, 6)) and got[7] == [0]
+
+
+def test_slots_must_change_together(spark):
+    template = "first take {} cups then add {} spoons and later another {} cups to the bowl and finally {} spoons on the top of everything you have"
+    item = template.format(2, 5, 2, 5)
+    docs = [template.format(7, 9, 7, 9), template.format(7, 9, 1, 3), item]
+    shares = {r["doc_id"]: r["leaks"][0]["covered"] if r["leaks"] else 0.0 for r in d.find_leaks(simple(spark, docs), items(spark, [item])).collect()}
+    assert shares[0] == shares[2] == 1.0 and shares[1] < 1.0
+
+
+def test_odd_items(spark):
+    bench = [None, "", "yes", "1 2 3 4 5 6 7 8", "a short but plain item", "a short but plain item"]
+    got = leaked(spark, ["so here is a short but plain item indeed", "yes", "1 2 3 4 5 6 7 8 9", "a short"], bench)
+    assert got == {0: [4, 5], 1: [], 2: [], 3: []}
+
+
+def test_blocks_find_the_same(spark, monkeypatch):
+    rng = random.Random(2)
+    bench = [words(rng, 30, 10_000) for _ in range(20)]
+    docs = [f"{words(rng, 50)} {bench[i]} {words(rng, 20)}" if i % 2 else words(rng, 90) for i in range(20)]
+    whole = leaked(spark, docs, bench)
+    monkeypatch.setattr(d, "BLOCK_WINDOWS", 70)
+    assert len(list(d.item_blocks(items(spark, bench)))) == 10 and leaked(spark, docs, bench) == whole
+    assert whole == {i: [i] if i % 2 else [] for i in range(20)}
+
+
+def test_query_finds_every_passage(spark):
+    con = duck(SMALL)
+    norm = "lower(regexp_replace(trim({}), '\\s+', ' ', 'g'))"
+    true = set(con.execute(f"select doc_id, item_id from documents d, benchmark b where contains({norm.format('d.text')}, {norm.format('b.text')})").fetchall())
+    rows = d.op4_decontaminate(spark, SMALL).collect()
+    assert true and {(r["doc_id"], int(i)) for r in rows for i in r["item_ids"].split(",") if i} >= true
+    assert {r["doc_id"] for r in rows if r["contaminated"]} == {t[0] for t in true} and len(rows) == 200
+
+
+def test_odd_documents(spark):
+    docs = frame(spark)
+    long_line = docs.where("doc_id = 1").first()["text"]
+    out = d.drop_leaks(docs, items(spark, [" ".join(long_line.split()[:30])]))
+    assert out.columns == docs.columns and docs.count() > out.count() >= docs.count() - 4
+    assert out.where("leaks = 'leak'").count() == out.count()
+    assert d.find_leaks(frame(spark, []), items(spark, ["a b c d e"])).count() == 0
+    assert d.find_leaks(docs, items(spark, ["x"]).limit(0)).count() == docs.count()
