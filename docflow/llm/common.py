@@ -1,53 +1,17 @@
-"""What the corpus operators share: table loading, tables in the cluster's shared folder, neighbours in a global order."""
+"""What the corpus operators share."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_SHARED = "/tmp/checkpoints/docflow"
-_scratch: dict[str, SparkSession] = {}
+from ..storage import materialize
 
+__all__ = ["Query", "materialize", "table"]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local default only where it is unset (tests, single machine)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or DEFAULT_SHARED
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, keeps column pruning.
-
-    The tables of an application share one scratch folder, which is deleted when the driver exits.
-    """
-    spark = df.sparkSession
-    root = f"{shared_dir(spark).rstrip('/')}/docflow-{spark.sparkContext.applicationId}"
-    if root not in _scratch:
-        _scratch[root] = spark
-        atexit.register(_delete, root)
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _delete(root: str) -> None:
-    spark = _scratch.pop(root)
-    try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # noqa: BLE001  the JVM may be gone when the driver exits
-        return
-
-
-def trimmed_text(col: str = "text") -> Column:
-    return F.coalesce(F.col(col), F.lit(""))
+Query = Callable[[SparkSession, str], DataFrame]
 
 
-Query = Callable[[SparkSession, str], DataFrame]
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
