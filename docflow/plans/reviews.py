@@ -44,7 +44,8 @@ FROM o LEFT JOIN f USING (doc) GROUP BY o.doc"""
 
 def review_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fold over a stream of the events table."""
-    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A pattern, as a stream's path is else taken for a folder; the table may be a file or a folder of files.
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
     return review_stream.run_available(review_stream.review_states(review_stream.commands_of_events(events)))
 
 
