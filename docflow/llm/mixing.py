@@ -5,8 +5,8 @@ quota of blocks; a multivariate-hypergeometric splitting tree deals the quotas o
 each shard draws its own stretch of every source's permuted block sequence, so that draws are disjoint, and shuffles
 its blocks locally by a keyed hash. A document belongs to a mix through the word ranges of the blocks drawn.
 
-Scale: documents are sized once and shuffled once, by (source, hash range), about 2,000 to a range whatever the source's
-size; global word offsets come from sums of ranges. The tree has a row for each shard with a number for each source.
+Scale: documents are sized once and shuffled once, by (source, hash range), about 256 rows to a range of all
+sources; global word offsets come from sums of ranges, and of 1,024 ranges at a time. The tree has a row for each shard with a number for each source.
 
 Edge cases: null or wordless text has size 0 and is taken 0 times; a null source is a source, ordered last; repeated rows
 are dealt out one after the other; an empty table gives no rows; columns beside doc_id, text and source are ignored.
@@ -23,7 +23,7 @@ from .common import materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 PRIME = 2147483647
-RANGE_ROWS = 2048
+RANGE_ROWS = 256
 
 
 def _uniform(*parts: Column) -> Column:
@@ -175,9 +175,13 @@ def mix(
     starts = shards.groupBy("place").agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "begin"))), lambda x: x["begin"]).alias("starts"))
     plan = plan.join(starts, "place", "left").select("key", "target", "width", "blocks", "quota", "starts", "place")
 
-    ranges = sized.groupBy("key", "range").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("key", "range", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("base")).join(plan, "key")
+    ranges = sized.groupBy("key", "range").agg(F.sum("size").alias("words")).withColumn("span", F.shiftright("range", 10))
+    spans = ranges.groupBy("key", "span").agg(F.sum("words").alias("words"))
+    past = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("key", "span", F.coalesce(F.sum("words").over(past), F.lit(0)).alias("outer")).join(plan, "key")
+    earlier = Window.partitionBy("key", "span").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("inner", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(spans, ["key", "span"])
+    ranges = ranges.withColumn("base", F.col("outer") + F.col("inner")).drop("words", "span", "outer", "inner")
     within = Window.partitionBy("key", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = sized.join(ranges, ["key", "range"]).withColumn("begin", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
 
