@@ -54,6 +54,8 @@ CONTEXT = {
 AGAINST = r"(?i)(?:version|isbn|issn|page|chapter|section|order|invoice|figure|table|total|no\.|doi)[ :#]*+$"
 LABELERS = ("base", "shape", "gazetteer", "context", "against")
 BEFORE = 24
+CHUNK = 256
+SPANS = "array<struct<start:int,end:int,value:string>>"
 ROUNDS = 30
 
 
@@ -81,20 +83,34 @@ def _valid(kind: str, s: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, pattern: str, hint: str) -> Column:
-    """Array of (start, end, value), in order, of all matches of pattern."""
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
+def _chunks(items: Column) -> Column:
+    """An array in pieces of CHUNK, so that arrays that grow an item at a time stay short however long a text is."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(items) / CHUNK).cast("int") - 1, F.lit(0))), lambda c: F.slice(items, c * CHUNK + 1, CHUNK))
+
+
+def _offsets(chunks: Column) -> Column:
+    """Where each chunk of (gap, value) begins in the text."""
+    size = lambda chunk: F.aggregate(chunk, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["value"]))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(chunks, first, lambda s, c: F.struct((s["at"] + size(c)).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
 
+def _located(chunk: Column, begin: Column) -> Column:
     def add(s: Column, x: Column) -> Column:
-        return F.struct(
-            (s["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("at"),
-            F.concat(s["out"], F.array(F.struct((s["at"] + F.length(x["gap"])).alias("start"), (s["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("end"), x["value"].alias("value")))).alias("out"),
-        )
+        start = s["at"] + F.length(x["gap"])
+        end = start + F.length(x["value"])
+        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
 
-    pieces = F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("value")), lambda x: F.struct(x["gap"].alias("gap"), x["value"].alias("value")))
-    found = F.aggregate(F.filter(pieces, lambda x: x["value"].isNotNull()), F.struct(F.lit(0).alias("at"), empty.alias("out")), add, lambda s: s["out"])
+    return F.aggregate(chunk, F.struct(begin.alias("at"), F.array().cast(SPANS).alias("out")), add, lambda s: s["out"])
+
+
+def _matches(text: Column, pattern: str, hint: str) -> Column:
+    """Array of (start, end, value), in order, of all matches of pattern: the text between matches, added up, gives their places."""
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("value"))
+    pairs = F.transform(F.filter(zipped, lambda x: x["value"].isNotNull()), lambda x: F.struct(x["gap"].alias("gap"), x["value"].alias("value")))
+    found = _let(pairs, lambda p: _let(_chunks(p), lambda c: F.flatten(F.zip_with(c, _offsets(c), _located))))
     hinted = F.instr(text, hint) > 0 if hint == "@" else text.rlike(hint)
-    return F.when(hinted, found).otherwise(empty)
+    return F.when(hinted, found).otherwise(F.array().cast(SPANS))
 
 
 def _vote(yes: Column, no: Column | None = None) -> Column:

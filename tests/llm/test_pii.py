@@ -34,7 +34,7 @@ def pieces(rng):
 
 def test_base_spans_equal_plain_matching(spark):
     rng = random.Random(1)
-    texts = [pieces(rng) for _ in range(600)] + [None, "", "a@b.c_x@d.e", "1" * 5000, "a" * 5000 + "@b.c", "1.2" * 2000, "+1" + "(" * 3000 + "2"]
+    texts = [pieces(rng) for _ in range(600)] + [None, "", "a@b.c_x@d.e", "1" * 5000, "a" * 5000 + "@b.c", "1.2" * 2000, "+1" + "(" * 3000 + "2", "a@b.co 10.2.3.4 " * 1500]
     found = pii.find_personal_data(simple(spark, texts)).collect()
     for r in found:
         assert [tuple(s)[:3] for s in r["base"]] == base_spans(texts[r["doc_id"]]), texts[r["doc_id"]]
