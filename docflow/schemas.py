@@ -15,9 +15,6 @@ FRONT_MATTER = (
     ("retracted", "boolean"), ("curation_status", "string"), ("review_notes", "string"), ("content_hash", "string"), ("retrieved_at", "string"), ("pmid", "string"), ("pmcid", "string"),
     ("doi", "string"), ("authors", "array<string>"), ("journal", "string"), ("published", "string"), ("mesh_terms", "array<string>"), ("provided_by", "string"),
 )
-FRONT_MATTER_STRUCT = "struct<" + ",".join(f"{name}:{kind}" for name, kind in FRONT_MATTER) + ">"
-DOCUMENTS = f"path string, folder string, name string, id string, front_matter {FRONT_MATTER_STRUCT}, body string, error string"
-COMMENTS = "id long, body string, path string, author_association string"
 EVENT = (
     "pull_request struct<number:long,head:struct<ref:string,repo:struct<full_name:string>>>,"
     " comment struct<id:long,body:string,path:string,author_association:string>, review struct<id:long>, comments array<struct<id:long,body:string,path:string,author_association:string>>"
