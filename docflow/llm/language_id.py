@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 from .words import P
 
-PROFILE, LONGEST, SAMPLE = 300, 3, 500
+PROFILE, LONGEST, SAMPLE, SPARE = 300, 3, 500, 4
 UNKNOWN = "und"
 
 
@@ -76,8 +76,13 @@ def learn_profiles(labelled: DataFrame, sample: int = SAMPLE) -> dict[str, list[
     """labelled(doc_id, text, lang) -> n-gram hashes of each language, most frequent first."""
     usable = labelled.where("text is not null and lang is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     keys = usable.select("lang", "doc_id", F.xxhash64(F.lit(7), "doc_id", "text").alias("h"))
-    rank = Window.partitionBy("lang").orderBy("h")
-    chosen = materialize(keys.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= sample).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")), "lang_sample")
+    keys = materialize(keys, "lang_keys")
+    # Least hashes are under a limit that, on average, SPARE times as many are under: few rows of a language meet in one task.
+    limits = {r["lang"]: min(1.0, SPARE * sample / r["count"]) for r in keys.groupBy("lang").count().collect()}  # a number a language
+    below = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair])[F.col("lang")] if limits else F.lit(1.0)
+    few = keys.where(F.pmod("h", F.lit(1 << 40)) < below * (1 << 40))
+    rank = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h")
+    chosen = materialize(few.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= sample).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")), "lang_sample")
     texts = usable.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.lit(7), "doc_id", "text") == F.col("_h")), "left_semi").select("lang", "text")
     counts = texts.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
