@@ -36,7 +36,7 @@ from .words import P, WordHashes, mix, shingle_set
 HALF, PER_VALUE, WIDTH, PERCENT = 8, 2, 5, 85
 MINHASHES = 2 * HALF * PER_VALUE
 AGREEING = 18  # of 32 minhashes: a pair at 0.85 has fewer with a probability of 6e-5
-LARGE, CHUNK = 16, 256
+LARGE, CHUNK = 16, 128
 STEP = 1 << 14
 
 
@@ -140,6 +140,7 @@ def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame) -> DataFrame:
     parts = mates.groupBy("pivot", "component").agg(F.count("*").alias("size"))
     tops = parts.groupBy("pivot").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count("*").alias("parts")).where("parts > 1")
     tops = tops.select("pivot", F.col("top.component").alias("top"), F.ceil(F.col("all") / CHUNK).alias("chunks"), F.ceil((F.col("all") - F.col("top.size")) / CHUNK).alias("outer_chunks"))
+    tops = materialize(tops, "tops")  # apart from the join, which Spark can then split where a pivot has many mates
     rows = mates.join(tops, "pivot").join(traits, "cls").join(sets, "cls")
     own = lambda count: F.pmod(F.xxhash64("cls"), count)
     as_mate = F.transform(F.sequence(F.lit(0).cast("long"), F.col("outer_chunks") - 1), lambda c: F.struct(F.lit(0).alias("outer"), c.alias("oc"), own(F.col("chunks")).alias("mc")))
