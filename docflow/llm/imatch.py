@@ -33,7 +33,7 @@ from .words import WordHashes, mix, plain_words
 
 BITS, BAND = 22, (0.2, 0.95)
 RATES, SEEDS = tuple(4.0**-k for k in range(1, 7)), 16
-RANGE_ROWS = 8192
+RANGE_ROWS, MOST_RANGES = 8192, 20_000
 NONE, DIGITS = "----", 4
 OUTER = b".,;:!?\"'()[]{}<>|*#$%&"
 LAST = -(1 << 63)
@@ -80,21 +80,23 @@ class Fingerprinter:
         self.inside = np.unpackbits(packed, bitorder="little").astype(bool)
         self.cache = TermHashes()
         rng = np.random.default_rng(1)
-        self.seeds = rng.integers(0, 1 << 63, (len(RATES) * SEEDS, 1), np.uint64)
-        self.limits = np.repeat([np.uint64(int(r * 2**64)) for r in RATES], SEEDS)[:, None]
+        self.seeds = rng.integers(0, 1 << 63, (SEEDS, 1), np.uint64)
+        self.limits = [np.uint64(int(r * 2**64)) for r in RATES]
 
     def __call__(self, text: str) -> str:
         terms = self.cache.terms(text)
         chosen = terms[self.inside[_buckets(terms)]]
         if not len(chosen):
             chosen = terms if len(terms) else np.array([xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))], np.uint64)
-        picked = [[] for _ in range(len(self.seeds))]
+        picked: list[list[bytes]] = [[] for _ in range(len(RATES) * SEEDS)]
         for i in range(0, len(chosen), 4096):  # bounded memory for very long texts
             part = chosen[i : i + 4096]
-            held = mix(part[None, :] ^ self.seeds) < self.limits
-            for j in np.flatnonzero(held.any(axis=1)):
-                picked[j].append(part[held[j]])
-        return "".join(xxhash.xxh32_hexdigest(b"".join(p.tobytes() for p in x))[:DIGITS] if x else NONE for x in picked)
+            draws = mix(part[None, :] ^ self.seeds)  # of one seed, sparser subsets lie in denser ones
+            for k, limit in enumerate(self.limits):
+                held = draws < limit
+                for j in np.flatnonzero(held.any(axis=1)).tolist():
+                    picked[k * SEEDS + j].append(part[held[j]].tobytes())
+        return "".join(xxhash.xxh32_hexdigest(b"".join(x))[:DIGITS] if x else NONE for x in picked)
 
 
 def likeness(a: str, b: str) -> float:
@@ -117,9 +119,9 @@ def _order_key(docs: DataFrame) -> DataFrame:
 def _ranges(docs: DataFrame, total: int) -> tuple[list[int], dict[int, tuple[int, int, int]]]:
     """Borders of ranges of the key, and for each range's first document (key, text hash) the range that also gets it.
 
-    A few numbers for each range of RANGE_ROWS rows are gathered.
+    A few numbers for each range are gathered; there are at most MOST_RANGES, which are then larger than RANGE_ROWS rows.
     """
-    n = max(1, math.ceil(total / RANGE_ROWS))
+    n = min(MOST_RANGES, max(1, math.ceil(total / RANGE_ROWS)))
     keys = _order_key(docs).select("key", "th")
     borders = sorted({int(x) for x in keys.approxQuantile("key", [i / n for i in range(1, n)], 1 / (8 * n))}) if n > 1 else []
 
@@ -136,6 +138,14 @@ def _ranges(docs: DataFrame, total: int) -> tuple[list[int], dict[int, tuple[int
     return borders, {r: (key, th, rows[(i + 1) % len(rows)][0]) for i, (r, key, th) in enumerate(rows)}
 
 
+def _one_each(rows: DataFrame, ranges: int) -> DataFrame:
+    """rows dealt out by range, each range to a partition of its own: by keys that are known to hash to different ones."""
+    n = max(1, ranges)
+    keys = rows.sparkSession.range(30 * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p")).groupBy("p").agg(F.min("id").alias("id")).orderBy("p").collect()  # n rows
+    spread = F.array(*[F.lit(k["id"]).cast("long") for k in keys])  # of the type that was hashed
+    return rows.withColumn("to", F.element_at(spread, (F.col("range") % len(keys) + 1).cast("int"))).repartition(n, "to").drop("to")
+
+
 def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
 
@@ -184,7 +194,7 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     moved = _order_key(docs).mapInArrow(send, f"range long, guest byte, doc_id {kind}, down long, th long, packed binary")
-    moved = moved.repartition(max(1, len(heads)), "range").sortWithinPartitions("range", "guest", "down", "th")
+    moved = _one_each(moved, len(heads)).sortWithinPartitions("range", "guest", "down", "th")
     shape = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return moved.mapInArrow(pair, shape)
 
