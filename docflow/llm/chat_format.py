@@ -125,7 +125,7 @@ def linear_messages(conversations: DataFrame) -> DataFrame:
 
 def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, whose two turns consist of control strings."""
-    own = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    own = spark.sql("SELECT * FROM VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS own(conv_id, turn, role, text)")
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(own)
     out = read_back(format_trees(linear_messages(rows), branches=None))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
