@@ -1,34 +1,39 @@
 """Operator 9, main text of web pages by nearest-URL page differencing.
 
 A page becomes block lines in page order. Lines of scripts, menus, forms, adverts, comments and the like are marked as chrome by
-their elements, roles and class words; lines inside an article or main element are marked as content. Pages of a host are
-ordered by URL path, and each is paired with the neighbour whose path begins most like its own. The pair's other lines are
-aligned by longest common subsequence, and shared lines are deleted as what the site repeats. Lines marked as content
-are exempt: two addresses of one article share all of it. What is left, without chrome, is the text.
+their elements, roles and class words, and go. Pages of a host are ordered by URL path, and each is paired with the neighbour
+whose path begins most like its own. All lines of the two but chrome, inside and outside article and main elements, are aligned by
+longest common subsequence, and shared lines are deleted as what the site repeats; what is left is the text. If
+COPY of the shorter page's characters are shared, the two are copies and nothing is deleted.
+Structure decides only where differencing has no partner: there, a page with an article or main element keeps that alone.
 
-Scale: pages are parsed where they are read, once; only a page's path and the lines that differencing can delete are ordered,
-by host and path in ranges, so a host may be spread over any number of tasks; neighbours over a border come from the first and
-last row of each range. Content is moved nowhere.
+Scale: pages are parsed where they are read, once; a page's path and its lines' hashes and sizes are ordered, by host and
+path in ranges, so a host may be spread over any number of tasks. A range sees BESIDE runs of copies over either border;
+runs are of any length. Texts meet what is kept of them in one join.
 
 Edge cases: null or empty html gives empty text; a null or odd URL has its own spelling as path; unclosed elements end with
-the element around them; unclosed comments, scripts and tags run to the end; a page alone on its host is only parsed; pages with
-equal URLs are neighbours; if over half of the shorter page's characters are shared, the two are copies and nothing is deleted;
-repeated rows are rows. Character references are decoded once.
+the element around them; unclosed comments, scripts and tags run to the end; a page that is alone on its host, or has only copies there,
+is only parsed; pages with equal URLs are neighbours; pages without lines are nobody's partner; repeated rows are
+rows. Character references are decoded once.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
 
+COPY, BESIDE = 0.5, 8
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp", "noembed", "noframes"}
@@ -206,21 +211,21 @@ def _address(url: str | None) -> tuple[str, str]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Text of a page that marks its content, null of another; and its other lines, which differencing may delete."""
+    """Lines of a page without chrome, packed, which of them structure alone would keep, and their hashes and sizes."""
     for whole in batches:
         for i in range(0, len(whole), 512):
             batch = whole.slice(i, 512)
-            texts, sides = [], []
+            texts, main, hashes, sizes = [], [], [], []
             for source in batch.column("html"):
                 lines, kinds = page_lines(source.as_py())
-                content = [t for t, k in zip(lines, kinds, strict=True) if k == 2]
-                texts.append("\n\n".join(content) if content else None)
-                sides.append([t for t, k in zip(lines, kinds, strict=True) if k == 1])
+                texts.append([t.replace("\0", "\ufffd") for t, k in zip(lines, kinds, strict=True) if k])
+                main.append([k == 2 or 2 not in kinds for k in kinds if k])
+                hashes.append(np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts[-1]], np.uint64).view(np.int64))
+                sizes.append([len(t) for t in texts[-1]])
             address = [_address(x.as_py()) for x in batch.column("url")]
             hosts, paths = (pa.array([x[j] for x in address], pa.string()) for j in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), hosts, paths, pa.array(texts, pa.string()), pa.array(sides, pa.list_(pa.string()))], ["page_id", "url", "host", "path", "text", "side"]
-            )
+            lists = [pa.array([zlib.compress("\0".join(x).encode("utf-8", "surrogatepass"), 6) for x in texts], pa.binary()), *(pa.array(x, pa.list_(t)) for x, t in ((main, pa.bool_()), (hashes, pa.int64()), (sizes, pa.int32())))]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), hosts, paths, *lists], ["page_id", "url", "host", "path", "lines", "main", "hashes", "sizes"])
 
 
 def _common(a: str, b: str) -> int:
@@ -232,38 +237,111 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _alike(page: dict, other: dict) -> tuple[set[int], bool, bool]:
+    """Lines of page that other shares; whether one is a copy of the other or of a part of it; whether they are copies as wholes."""
+    if page["hashes"] == other["hashes"]:
+        return set(range(len(page["hashes"]))), True, True
+    shared = shared_lines(page["hashes"], other["hashes"])
+    size, (mine, theirs) = sum(page["sizes"][i] for i in shared), (sum(page["sizes"]), sum(other["sizes"]))
+    return shared, size >= COPY * min(mine, theirs), size >= COPY * max(mine, theirs)
+
+
+def _nearest(pages: list[dict], step: int) -> list[int | None]:
+    """For each page, where the nearest page of its host in this direction is."""
+    found: list[int | None] = [None] * len(pages)
+    for i in range(len(pages))[:: -step]:
+        j = i + step
+        if 0 <= j < len(pages) and pages[j]["host"] == pages[i]["host"]:
+            found[i] = j
+    return found
+
+
+def _runs(pages: Iterable[dict]) -> list[dict]:
+    """The first page of each of the first BESIDE runs of copies of the first page's host."""
+    runs: list[dict] = []
+    for page in pages:
+        if runs and (page["host"] != runs[0]["host"] or len(runs) == BESIDE):
+            break
+        if not runs or not _alike(runs[-1], page)[2]:
+            runs.append(page)
+    return runs
+
+
+VIEW = pa.struct([("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
+SIDES = "range int, before array<struct<host:string,path:string,hashes:array<bigint>,sizes:array<int>>>, after array<struct<host:string,path:string,hashes:array<bigint>,sizes:array<int>>>"
+
+
+def _sides(ranges: list[int], before: list, after: list) -> pa.Table:
+    return pa.table({"range": pa.array(ranges, pa.int32()), "before": pa.array(before, pa.list_(VIEW)), "after": pa.array(after, pa.list_(VIEW))})
+
+
+def _views(rows: pa.Table) -> tuple[pa.Table, list[dict]]:
+    rows = rows.sort_by([("host", "ascending"), ("path", "ascending"), ("page_id", "ascending"), ("row", "ascending")])
+    return rows, rows.select([f.name for f in VIEW]).to_pylist()
+
+
+def _ends(rows: pa.Table) -> pa.Table:
+    """Of a range, runs at its first page going on, and at its last page going back."""
+    _, pages = _views(rows)
+    return _sides([rows.column("range")[0].as_py()], [_runs(pages)], [_runs(reversed(pages))])
+
+
+def _beside(rows: pa.Table) -> pa.Table:
+    """ends of all ranges -> for each range, runs that go back before it and on after it, nearest first."""
+    ends = sorted(rows.to_pylist(), key=lambda x: x["range"])
+    before, after = [], []
+    for sides, order, own in ((before, ends, "after"), (after, ends[::-1], "before")):
+        held: list[dict] = []
+        for end in order:
+            sides.append(held)
+            held = _runs([*end[own], *held])
+    return _sides([x["range"] for x in ends], before, after[::-1])
+
+
+def _difference(rows: pa.Table, beside: pa.Table) -> pa.Table:
+    """Which lines of each page its partner does not share; null for a page without one."""
+    if not len(rows):
+        return pa.table({"row": pa.array([], pa.int64()), "kept": pa.array([], pa.list_(pa.bool_()))})
+    rows, own = _views(rows)
+    before, after = (beside.column(c)[0].as_py() for c in ("before", "after"))
+    pages = [*before[::-1], *own, *after]
+    back, on, kept = _nearest(pages, -1), _nearest(pages, 1), []
+    for i in range(len(before), len(before) + len(own)):
+        page, near = pages[i], [pages[j] for j in (back[i], on[i]) if j is not None]
+        if not near:
+            kept.append(None)
+            continue
+        shared, copy, _ = _alike(page, max(near, key=lambda x: _common(x["path"], page["path"])))
+        if copy:
+            kept.append(None)
+            continue
+        kept.append([k not in shared for k in range(len(page["hashes"]))])
+    return pa.table({"row": rows.column("row"), "kept": pa.array(kept, pa.list_(pa.bool_()))})
+
+
+def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for row in batch.to_pylist():
-            side, gone = row["side"], set()
-            near = [x for x in (row["before"], row["after"]) if x and x["host"] == row["host"]]
-            if side and near:
-                pick = max(near, key=lambda x: _common(x["path"], row["path"]))
-                shared = shared_lines(side, pick["side"])
-                if 2 * sum(len(side[i]) for i in shared) <= min(sum(map(len, side)), sum(map(len, pick["side"]))):
-                    gone = shared
-            texts.append("\n\n".join(t for i, t in enumerate(side) if i not in gone))
+        for packed, kept in zip(batch.column("lines"), batch.column("kept"), strict=True):
+            lines = zlib.decompress(packed.as_py()).decode("utf-8", "surrogatepass").split("\0")
+            texts.append("\n\n".join(t for t, k in zip(lines, kept.as_py(), strict=False) if k))  # no lines are one empty one
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) -> (page_id, url, text), a row for each page."""
     kind = pages.schema["page_id"].dataType.simpleString()
-    parsed = materialize(pages.select("page_id", "url", "html").mapInArrow(_parse, f"page_id {kind}, url string, host string, path string, text string, side array<string>"), "pages")
-    key = ["host", "path", "page_id"]
-    lines = parsed.select("page_id", "url", "host", "path", "side", F.col("text").isNotNull().alias("marked"))
-    ordered = materialize(lines.repartitionByRange(*key).withColumn("range", F.spark_partition_id()), "page_order")
-    view = F.struct("host", "path", "side")
-    ends = ordered.groupBy("range").agg(F.min_by(view, F.struct(*key)).alias("first"), F.max_by(view, F.struct(*key)).alias("last"))
-    over = Window.partitionBy(F.lit(0)).orderBy("range")  # one number for each range
-    beside = ends.select("range", F.lag("range").over(over).alias("range_ahead"), F.lead("range").over(over).alias("range_behind"))
-    beside = beside.join(ends.select(F.col("range").alias("range_ahead"), F.col("last").alias("ahead")), "range_ahead", "left")
-    beside = beside.join(ends.select(F.col("range").alias("range_behind"), F.col("first").alias("behind")), "range_behind", "left").select("range", "ahead", "behind")
-    within = Window.partitionBy("range").orderBy(*key)
-    rows = ordered.withColumn("before", F.lag(view).over(within)).withColumn("after", F.lead(view).over(within)).where("not marked").join(beside, "range")
-    rows = rows.select("page_id", "url", "host", "path", "side", F.coalesce("before", "ahead").alias("before"), F.coalesce("after", "behind").alias("after"))
-    return parsed.where("text is not null").select("page_id", "url", "text").unionByName(rows.mapInArrow(_difference, f"page_id {kind}, url string, text string"))
+    parsed = pages.select("page_id", "url", "html").mapInArrow(
+        _parse, f"page_id {kind}, url string, host string, path string, lines binary, main array<boolean>, hashes array<long>, sizes array<int>"
+    )
+    parsed = materialize(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
+    key = ["host", "path", "page_id", "row"]
+    order = parsed.where(F.size("hashes") > 0).select(*key, "hashes", "sizes").repartitionByRange(*key)
+    ordered = materialize(order.withColumn("range", F.spark_partition_id()), "page_order")
+    beside = materialize(ordered.groupBy("range").applyInArrow(_ends, SIDES), "page_ends").withColumn("all", F.lit(True)).groupBy("all").applyInArrow(_beside, SIDES)  # a row for each range
+    kept = ordered.groupBy("range").cogroup(materialize(beside, "page_sides").groupBy("range")).applyInArrow(_difference, "row long, kept array<boolean>")
+    both = parsed.select("row", "page_id", "url", "lines", "main").hint("merge").join(materialize(kept, "page_kept"), "row", "left")  # never a broadcast: kept grows with the pages
+    return both.select("page_id", "url", "lines", F.coalesce("kept", "main").alias("kept")).mapInArrow(_text, f"page_id {kind}, url string, text string")
 
 
 def op9_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:

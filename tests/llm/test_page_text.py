@@ -86,3 +86,11 @@ def test_long_page(spark):
     lines = "".join(f"<p>line {i}</p>" for i in range(4000))
     got = texts(spark, [page(1, "a.example", "1", f"<div>top</div>{lines}"), page(2, "a.example", "2", f"<div>top</div><p>short own text here</p>")])
     assert got[2] == "short own text here" and got[1].count("\n\n") == 3999
+
+
+def test_lines_inside_content_are_differenced(spark):
+    whole = lambda i: f"<main><p>Site notice for all readers</p><p>story {i} told at some length, unlike others {i * 7919}</p></main><p>by line {i}</p><p>All rights reserved</p>"
+    got = texts(spark, [page(i, "a.example", f"x/{i}", whole(i)) for i in range(4)])
+    assert got == {i: f"story {i} told at some length, unlike others {i * 7919}\n\nby line {i}" for i in range(4)}
+    alone = texts(spark, [page(1, "a.example", "1", whole(1))])[1]
+    assert alone == "Site notice for all readers\n\nstory 1 told at some length, unlike others 7919"
