@@ -3,8 +3,8 @@
 A page becomes block lines in page order. Lines of scripts, menus, forms, adverts, comments and the like are marked as chrome by
 their elements, roles and class words, and go. Pages of a host are ordered by URL path, and each is paired with the neighbour
 whose path begins most like its own. All lines of the two but chrome, inside and outside article and main elements, are aligned by
-longest common subsequence, and shared lines are deleted as what the site repeats; what is left is the text. If
-COPY of the shorter page's characters are shared, the two are copies and nothing is deleted.
+longest common subsequence, and shared lines are deleted as what the site repeats; what is left is the text. A page whose
+neighbour is a copy of it (COPY of the shorter one's characters are shared) is paired with the next nearest page that is none.
 Structure decides only where differencing has no partner: there, a page with an article or main element keeps that alone.
 
 Scale: pages are parsed where they are read, once; a page's path and its lines' hashes and sizes are ordered, by host and
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, table
 
-COPY, BESIDE = 0.5, 8
+COPY, BESIDE = 0.8, 8
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp", "noembed", "noframes"}
@@ -247,12 +247,16 @@ def _alike(page: dict, other: dict) -> tuple[set[int], bool, bool]:
 
 
 def _nearest(pages: list[dict], step: int) -> list[int | None]:
-    """For each page, where the nearest page of its host in this direction is."""
+    """For each page, where the nearest page of its host in this direction is that is no copy of it."""
     found: list[int | None] = [None] * len(pages)
     for i in range(len(pages))[:: -step]:
-        j = i + step
-        if 0 <= j < len(pages) and pages[j]["host"] == pages[i]["host"]:
-            found[i] = j
+        j: int | None = i + step
+        while j is not None and 0 <= j < len(pages) and pages[j]["host"] == pages[i]["host"]:
+            _, copy, twin = _alike(pages[i], pages[j])
+            if not copy:
+                found[i] = j
+                break
+            j = found[j] if twin else j + step  # all up to there are copies of the twin
     return found
 
 
@@ -311,10 +315,7 @@ def _difference(rows: pa.Table, beside: pa.Table) -> pa.Table:
         if not near:
             kept.append(None)
             continue
-        shared, copy, _ = _alike(page, max(near, key=lambda x: _common(x["path"], page["path"])))
-        if copy:
-            kept.append(None)
-            continue
+        shared = shared_lines(page["hashes"], max(near, key=lambda x: _common(x["path"], page["path"]))["hashes"])
         kept.append([k not in shared for k in range(len(page["hashes"]))])
     return pa.table({"row": rows.column("row"), "kept": pa.array(kept, pa.list_(pa.bool_()))})
 

@@ -94,3 +94,19 @@ def test_lines_inside_content_are_differenced(spark):
     assert got == {i: f"story {i} told at some length, unlike others {i * 7919}\n\nby line {i}" for i in range(4)}
     alone = texts(spark, [page(1, "a.example", "1", whole(1))])[1]
     assert alone == "Site notice for all readers\n\nstory 1 told at some length, unlike others 7919"
+
+
+def test_short_pages_and_runs_of_copies(spark):
+    site = "".join(f"<p>site line {k} that every page of the host repeats</p>" for k in range(6))  # far over half of the page
+    own = lambda i: f"own story {i} of some words, all told differently each time {i * 7919}"
+    rows = [page(i, "a.example", f"x/{i}", f"{site}<p>{own(i)}</p><p>and more of it: {own(i + 100)}</p>") for i in range(3)]
+    copies = f"{site}<p>{own(50)}</p><p>and more of it: {own(51)}</p>"
+    rows += [page(10 + k, "a.example", f"x/1?print={k}", copies + f"<p>v{k % 3}</p>") for k in range(30)]
+    for n in ("1", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            got = texts(spark, rows)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert all(got[i] == f"{own(i)}\n\nand more of it: {own(i + 100)}" for i in range(3))
+        assert all(got[10 + k] == f"{own(50)}\n\nand more of it: {own(51)}\n\nv{k % 3}" for k in range(30))
