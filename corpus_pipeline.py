@@ -12,6 +12,8 @@ from docflow.llm.common import materialize, table
 
 #: A profile this far from every language is no text of any of them; prose of a few words scores 0.4 and more.
 LEAST_LANGUAGE_SCORE = 0.1
+#: Percent of 5-word shingles that two documents share to be near-duplicates here; op6_near_dedup has its own, 85.
+NEAR_PERCENT = 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,7 +32,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays."""
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, NEAR_PERCENT)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

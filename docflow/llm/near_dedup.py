@@ -2,7 +2,7 @@
 
 Two collections of 8 values, each value made of 2 minhashes, stand for 64 tables: a table's key is a pair of one value
 from either collection, so 32 minhashes do the work of 256. At a similarity of 0.85 a pair shares no key with a
-probability of 7e-5. Documents with equal shingle sets are one class from the start and only classes are compared:
+probability of 7e-5; for other thresholds, a parameter, the collections are sized to the same (10 values at 0.80). Documents with equal shingle sets are one class from the start and only classes are compared:
 
 1. a value that one class alone has is dropped before keys are formed, as it cannot be part of a shared key;
 2. in every bucket, the member with most bucket mates is the pivot, and all others are compared with it;
@@ -22,6 +22,7 @@ linked like others but names no component unless alone, and is kept only then; c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,28 +34,38 @@ from .common import materialize, table
 from .components import components
 from .words import P, WordHashes, mix, shingle_set
 
-HALF, PER_VALUE, WIDTH, PERCENT = 8, 2, 5, 85
-MINHASHES = 2 * HALF * PER_VALUE
-AGREEING = 18  # of 32 minhashes: a pair at 0.85 has fewer with a probability of 6e-5
+PER_VALUE, WIDTH, PERCENT = 2, 5, 85
+MISSED = 7.5e-5  # most that either of the tests on minhashes may miss of pairs at the threshold
 LARGE, CHUNK = 16, 128
 STEP = 1 << 14
 
 
-def _multipliers(seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
+def tuned(percent: int) -> tuple[int, int]:
+    """Values of a collection, and how many minhashes a pair must agree in, for a threshold: 8 and 18 of 32 at 85, 10 and 21 of 40 at 80."""
+    s, half = percent / 100, 1
+    while 2 * (1 - s**PER_VALUE) ** half > MISSED:
+        half += 1
+    n, agreeing, below = 2 * half * PER_VALUE, 0, 0.0
+    while (below := below + math.comb(n, agreeing) * s**agreeing * (1 - s) ** (n - agreeing)) <= MISSED:
+        agreeing += 1
+    return half, agreeing
+
+
+def _multipliers(half: int, seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    draw = rng.integers(0, 1 << 63, (2, MINHASHES), np.uint64) * np.uint64(2) + np.uint64(1)
+    draw = rng.integers(0, 1 << 63, (2, 2 * half * PER_VALUE), np.uint64) * np.uint64(2) + np.uint64(1)
     return draw[0][:, None], draw[1][:, None]
 
 
 def minhashes(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    low = np.full(MINHASHES, ~np.uint64(0), np.uint64)
+    low = np.full(len(a), ~np.uint64(0), np.uint64)
     for i in range(0, len(shingles), STEP):  # bounded memory for very long texts
         low = np.minimum(low, (a * shingles[None, i : i + STEP] + b).min(axis=1))
     return low
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache, (a, b) = WordHashes(), _multipliers()
+def _sketch(batches: Iterator[pa.RecordBatch], half: int) -> Iterator[pa.RecordBatch]:
+    cache, (a, b) = WordHashes(), _multipliers(half)
     for batch in batches:
         n, cls, low, values = [], [], [], []
         for text in batch.column("text"):
@@ -66,7 +77,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cls.append(int(mix(np.array([(mix(s) * P).sum(dtype=np.uint64) ^ np.uint64(len(s))], np.uint64)).view(np.int64)[0]))
             m = minhashes(s, a, b)
             low.append((m >> np.uint64(33)).astype(np.int32))
-            at = np.arange(2 * HALF, dtype=np.uint64)
+            at = np.arange(2 * half, dtype=np.uint64)
             values.append(mix((m[0::2] * P + m[1::2]) * P + at).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(low, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.int64()))],
@@ -83,33 +94,33 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["cls", "shingles"])
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, half: int) -> DataFrame:
     """(doc_id, n_shingles, cls, low, vals): class of equal shingle sets, minhashes, and the values of both collections."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_sketch, f"doc_id {kind}, n_shingles long, cls long, low array<int>, vals array<long>")
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: _sketch(batches, half), f"doc_id {kind}, n_shingles long, cls long, low array<int>, vals array<long>")
 
 
-def buckets(classes: DataFrame) -> DataFrame:
+def buckets(classes: DataFrame, half: int) -> DataFrame:
     """classes(cls, vals) -> (key, cls, size), for keys that at least two classes have."""
     values = classes.select("cls", F.posexplode("vals").alias("at", "value"))
     shared = values.groupBy("value").count().where("count > 1").select("value")
     left = values.join(shared, "value").groupBy("cls").agg(F.collect_list(F.struct("at", "value")).alias("vals"))
-    left = left.where(F.exists("vals", lambda v: v["at"] < HALF) & F.exists("vals", lambda v: v["at"] >= HALF))
-    one = left.select("cls", F.filter("vals", lambda v: v["at"] < HALF).alias("a"), F.filter("vals", lambda v: v["at"] >= HALF).alias("b"))
+    left = left.where(F.exists("vals", lambda v: v["at"] < half) & F.exists("vals", lambda v: v["at"] >= half))
+    one = left.select("cls", F.filter("vals", lambda v: v["at"] < half).alias("a"), F.filter("vals", lambda v: v["at"] >= half).alias("b"))
     pairs = one.select("cls", F.explode(F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x["value"], y["value"]))))).alias("key"))
     keys = materialize(pairs.select("key", "cls"), "keys")
     return keys.join(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the class pairs (u, v), those that the full sets confirm."""
     a = sets.select(F.col("cls").alias("u"), F.col("shingles").alias("su"))
     b = sets.select(F.col("cls").alias("v"), F.col("shingles").alias("sv"))
     both = pairs.join(a, "u").join(b, "v").withColumn("inter", F.size(F.array_intersect("su", "sv")))
-    return both.where(100 * F.col("inter") >= PERCENT * (F.size("su") + F.size("sv") - F.col("inter"))).select("u", "v")
+    return both.where(100 * F.col("inter") >= percent * (F.size("su") + F.size("sv") - F.col("inter"))).select("u", "v")
 
 
-def _compare_chunks(key: tuple, rows: pa.Table) -> pa.Table:
+def _compare_chunks(rows: pa.Table, percent: int, agreeing: int) -> pa.Table:
     """Links between the outer classes and the mates of one pair of chunks."""
     side, cls, component, n = (rows.column(c).to_numpy() for c in ("outer", "cls", "component", "n"))
     common = rows.column("common").fill_null(-1).to_numpy()
@@ -124,18 +135,18 @@ def _compare_chunks(key: tuple, rows: pa.Table) -> pa.Table:
 
     links = []
     for i in outer.tolist():
-        able = (component[mates] != component[i]) & (100 * np.minimum(n[mates], n[i]) >= PERCENT * np.maximum(n[mates], n[i]))
+        able = (component[mates] != component[i]) & (100 * np.minimum(n[mates], n[i]) >= percent * np.maximum(n[mates], n[i]))
         if common[i] >= 0:  # what two of a crowd have both is common to the crowd
-            able &= (common[mates] < 0) | ((100 + PERCENT) * np.minimum(common[mates], common[i]) >= PERCENT * (n[mates] + n[i]))
+            able &= (common[mates] < 0) | ((100 + percent) * np.minimum(common[mates], common[i]) >= percent * (n[mates] + n[i]))
         near = mates[able]
-        for j in near[(low[near] == low[i]).sum(axis=1) >= AGREEING].tolist():
+        for j in near[(low[near] == low[i]).sum(axis=1) >= agreeing].tolist():
             both = len(full(i) & full(j))
-            if 100 * both >= PERCENT * (int(n[i]) + int(n[j]) - both):
+            if 100 * both >= percent * (int(n[i]) + int(n[j]) - both):
                 links.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
     return pa.table({"u": pa.array([x[0] for x in links], pa.int64()), "v": pa.array([x[1] for x in links], pa.int64())})
 
 
-def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame, percent: int, agreeing: int) -> DataFrame:
     """mates(pivot, cls, component) -> links (u, v) between classes of different components with a common pivot."""
     parts = mates.groupBy("pivot", "component").agg(F.count("*").alias("size"))
     tops = parts.groupBy("pivot").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count("*").alias("parts")).where("parts > 1")
@@ -147,16 +158,17 @@ def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame) -> DataFrame:
     as_outer = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.lit(1).alias("outer"), own(F.col("outer_chunks")).alias("oc"), c.alias("mc")))
     places = F.when(F.col("component") == F.col("top"), as_mate).otherwise(F.concat(as_mate, as_outer))
     placed = rows.select("pivot", "cls", "component", "n", "common", "low", "shingles", F.explode(places).alias("at")).select("*", "at.*").drop("at")
-    return placed.groupBy("pivot", "oc", "mc").applyInArrow(_compare_chunks, "u long, v long").distinct()
+    return placed.groupBy("pivot", "oc", "mc").applyInArrow(lambda rows: _compare_chunks(rows, percent, agreeing), "u long, v long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> (doc_id, n_shingles, component_id, kept), a row for each row of docs."""
-    sketched = materialize(sketch(docs), "sketch")
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """docs(doc_id, text) -> (doc_id, n_shingles, component_id, kept), a row for each row of docs; pairs of a similarity of percent or more are linked."""
+    half, agreeing = tuned(percent)
+    sketched = materialize(sketch(docs, half), "sketch")
     classes = materialize(
         sketched.where("cls is not null").groupBy("cls", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"), F.first("vals").alias("vals")), "classes"
     )
-    members = materialize(buckets(classes), "buckets")
+    members = materialize(buckets(classes, half), "buckets")
     compared = materialize(members.select("cls").distinct(), "compared")
     wanted = classes.join(compared, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
@@ -168,7 +180,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     common = each.groupBy("shingle").count().where("count > 1").select("shingle")
     crowd = crowd.select("cls", F.size("shingles").alias("n")).join(each.join(common, "shingle").groupBy("cls").agg(F.count("*").alias("common")), "cls", "left")
     crowd = materialize(crowd.withColumn("common", F.coalesce("common", F.lit(0))), "crowd")
-    lone = crowd.where(100 * F.col("common") < PERCENT * F.col("n")).select("cls", F.lit(True).alias("lone"))
+    lone = crowd.where(100 * F.col("common") < percent * F.col("n")).select("cls", F.lit(True).alias("lone"))
     members = members.join(lone, "cls", "left").where((F.col("size") <= LARGE) | F.col("lone").isNull()).drop("lone", "size")
     members = materialize(members, "members")
 
@@ -176,13 +188,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pivots = members.join(degree, "cls").groupBy("key").agg(F.max(F.struct("degree", "cls"))["cls"].alias("pivot"), F.count("*").alias("size")).where("size > 1").select("key", "pivot")
     pivots = materialize(pivots, "pivots")
     stars = members.join(pivots, "key").where("cls <> pivot").select(F.least("cls", "pivot").alias("u"), F.greatest("cls", "pivot").alias("v")).distinct()
-    links = materialize(_linked(stars, sets), "links")
+    links = materialize(_linked(stars, sets, percent), "links")
     found = components(links)
 
     traits = classes.join(compared, "cls", "left_semi").join(crowd.select("cls", "common"), "cls", "left").select("cls", "n", "common", "low")
     mates = members.join(pivots, "key").select("pivot", "cls").distinct().join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
     mates = materialize(mates.withColumn("component", F.coalesce("component", "cls")), "mates")
-    links = links.unionByName(materialize(_across(mates, traits, sets), "links"))
+    links = links.unionByName(materialize(_across(mates, traits, sets, percent, agreeing), "links"))
     return _labelled(sketched, classes, components(links))
 
 
@@ -195,11 +207,11 @@ def _labelled(sketched: DataFrame, classes: DataFrame, found: DataFrame) -> Data
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs without the documents that are not their component's first; rows of a null doc_id go only if linked."""
-    gone = near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
+    gone = near_duplicates(docs, percent).where("not kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), PERCENT)

@@ -100,3 +100,15 @@ def test_connected_components(spark):
                 seen.add(x), todo.append(x)
         assert got[start] == min(seen)
     assert set(got) == set(near)
+
+
+def test_threshold_is_a_parameter(spark):
+    assert near_dedup.tuned(85) == (8, 18) and near_dedup.tuned(80)[0] == 10
+    rng = random.Random(11)
+    texts = []
+    for _ in range(20):
+        w = words(rng, 200).split()
+        texts += [" ".join(w), " ".join("new" if i in (40, 90, 140, 170) else x for i, x in enumerate(w))]  # 176 of 216 shingles: 0.815
+    docs = simple(spark, texts)
+    assert near_dedup.near_duplicates(docs).where("kept").count() == 40
+    assert {r["doc_id"] for r in near_dedup.keep_one(docs, 80).collect()} == set(range(0, 40, 2))

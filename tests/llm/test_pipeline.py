@@ -58,3 +58,10 @@ def test_stages(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert corpus_pipeline.run(spark, write(spark, tmp_path, [], [])).count() == 0
+
+
+def test_near_dedup_stage_links_at_80_percent(spark, tmp_path):
+    w = words(random.Random(3), 200, 5000).split()
+    texts = [" ".join(w), " ".join("new" if i in (40, 90, 140, 170) else x for i, x in enumerate(w))]  # 176 of 216 shingles: 0.815
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], COLUMNS)
+    assert [r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, str(tmp_path)).collect()] == [0]
