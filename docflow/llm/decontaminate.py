@@ -2,9 +2,9 @@
 
 Words lose their outer punctuation and case; numbers, units (after a number) and names (capitalised within a sentence)
 become typed placeholders. Windows of WINDOW canonical words of a benchmark item are probed with every window of a document.
-Matched windows pair each slot of the item with what the document has there; windows whose pairs contradict the
-majority's, value for value, are dropped, so a re-parameterised question counts only if its slots change together. An item
-has leaked into a document if the windows that are left cover at least COVER of the item's words.
+Matched windows pair each slot of the item with what the document has there. Within one occurrence, a range of offsets
+between document and item, windows whose pairs contradict the majority's, value for value, are dropped unless they are the item's own, so a re-parameterised question counts only if its slots change together. An item
+has leaked into a document if the windows left of any one occurrence cover at least COVER of the item's words.
 
 Scale: documents are scanned, not shuffled. The benchmark is sent in blocks of at most BLOCK_WINDOWS windows, one scan a
 block, so what is sent has a bound whatever the benchmark's size. Texts are read as a whole.
@@ -17,6 +17,7 @@ with equal texts all leak; repeated rows are rows; find_leaks replaces a column
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -31,6 +32,7 @@ from .common import table
 from .words import CACHED_WORDS, windows
 
 WINDOW, COVER, LEAST_PLAIN, BLOCK_WINDOWS = 8, 0.5, 4, 500_000
+SHIFT = 0.25  # of an item's words may be put in or left out within one occurrence
 NUMBER, NAME, UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & ~15) for x in (b"<number>", b"<name>", b"<unit>"))
 IS_NUMBER, IS_TITLE, ENDS, IS_UNIT = (np.uint64(x) for x in (1, 2, 4, 8))
 UNITS = frozenset(
@@ -125,17 +127,33 @@ class Index:
 
 
 def _covered(words: list[str], own: list[str], slots: np.ndarray, width: int, pairs: list[tuple[int, int]]) -> float:
-    """Share of the item's words under matched windows whose slots agree with the majority's values."""
-    votes: dict[str, Counter] = defaultdict(Counter)
+    """Largest share of the item's words that one occurrence covers: hits whose offsets in the document are at most SHIFT of the item apart."""
     strip = lambda w: OUTER.sub("", w).lower()
+    pairs = sorted(pairs, key=lambda x: (x[0] - x[1], x[1]))
     filled = [[(strip(own[q + i]), strip(words[p + i])) for i in range(width) if slots[q + i]] for p, q in pairs]
+    offsets, apart = [p - q for p, q in pairs], max(4, int(SHIFT * len(own)))
+    best, last = 0.0, None
+    for anchor in offsets:
+        if anchor == last:
+            continue
+        last = anchor
+        low, high = bisect_left(offsets, anchor - apart), bisect_right(offsets, anchor + apart)
+        best = max(best, _agreed(pairs[low:high], filled[low:high], len(own), width))
+        if best == 1:
+            break
+    return best
+
+
+def _agreed(pairs: list[tuple[int, int]], filled: list[list[tuple[str, str]]], size: int, width: int) -> float:
+    """Share under windows that have the item's own values, or values that agree with the majority's of the occurrence."""
+    votes: dict[str, Counter] = defaultdict(Counter)
     for window in filled:
         for mine, theirs in window:
             votes[mine][theirs] += 1
-    agreed = {mine: max(sorted(c), key=c.get) for mine, c in votes.items()}
-    covered = np.zeros(len(own), bool)
+    agreed = {mine: max(sorted(c), key=lambda x: (c[x], x == mine)) for mine, c in votes.items()}
+    covered = np.zeros(size, bool)
     for (_, q), window in zip(pairs, filled, strict=True):
-        if all(agreed[mine] == theirs for mine, theirs in window):
+        if all(mine == theirs for mine, theirs in window) or all(agreed[mine] == theirs for mine, theirs in window):
             covered[q : q + width] = True
     return float(covered.mean())
 

@@ -68,3 +68,12 @@ def test_odd_documents(spark):
     assert out.where("leaks = 'leak'").count() == out.count()
     assert d.find_leaks(frame(spark, []), items(spark, ["a b c d e"])).count() == 0
     assert d.find_leaks(docs, items(spark, ["x"]).limit(0)).count() == docs.count()
+
+
+def test_variants_of_an_item_do_not_hide_a_copy(spark):
+    around = words(random.Random(3), 60)
+    item = "add 12 red and 30 blue balls together"
+    copy_and_variant = f"{item} {around} add 45 red and 10 blue balls together"
+    mixed = "first take {} cups then add {} spoons and later another {} cups to the bowl and finally {} spoons on the top of everything you have"
+    variants = f" {around} ".join(mixed.format(a, b, a, b) for a, b in ((3, 8), (6, 1), (9, 4)))
+    assert leaked(spark, [copy_and_variant, around, variants], [item, mixed.format(2, 5, 2, 5)]) == {0: [0], 1: [], 2: [1]}
