@@ -4,13 +4,15 @@ Words lose their outer punctuation and case; numbers, units (after a number) and
 become typed placeholders. Windows of WINDOW canonical words of a benchmark item are probed with every window of a document.
 Matched windows pair each slot of the item with what the document has there. Within one occurrence, a range of offsets
 between document and item, windows whose pairs contradict the majority's, value for value, are dropped unless they are the item's own, so a re-parameterised question counts only if its slots change together. An item
-has leaked into a document if the windows left of any one occurrence cover at least COVER of the item's words.
+has leaked into a document if the windows left of any one occurrence cover at least COVER of the item's words and EVIDENCE words,
+or an unbroken run with RUN plain words. Items of fewer than 3 * WINDOW words have windows of a third of their length.
 
 Scale: documents are scanned, not shuffled. The benchmark is sent in blocks of at most BLOCK_WINDOWS windows, one scan a
 block, so what is sent has a bound whatever the benchmark's size. Texts are read as a whole.
 
-Edge cases: null and empty texts leak nothing; an item shorter than a window is one window; items with fewer than LEAST_PLAIN
-words that are not placeholders, and windows with under half of theirs plain, prove nothing; null items are left out; items
+Edge cases: null and empty texts leak nothing; an item of up to WINDOW words is one window; windows with under half of their words
+plain prove nothing; items that such windows or fewer than LEAST_PLAIN plain words hide are matched word for word, if they have EXACT
+words with a plain one, or RUN words; shorter ones prove nothing; null items are left out; items
 with equal texts all leak; repeated rows are rows; find_leaks replaces a column named leaks, all others are passed on.
 """
 
@@ -32,6 +34,7 @@ from .common import table
 from .words import CACHED_WORDS, windows
 
 WINDOW, COVER, LEAST_PLAIN, BLOCK_WINDOWS = 8, 0.5, 4, 500_000
+SHORTEST, EVIDENCE, RUN, EXACT = 4, 8, 13, 5
 SHIFT = 0.25  # of an item's words may be put in or left out within one occurrence
 NUMBER, NAME, UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & ~15) for x in (b"<number>", b"<name>", b"<unit>"))
 IS_NUMBER, IS_TITLE, ENDS, IS_UNIT = (np.uint64(x) for x in (1, 2, 4, 8))
@@ -59,16 +62,17 @@ class Canon(dict):
         return value
 
 
-def canonical(words: list[str], canon: Canon) -> tuple[np.ndarray, np.ndarray]:
-    """Canonical word hashes, and which are placeholders."""
+def canonical(words: list[str], canon: Canon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Canonical word hashes, which are placeholders, and the hashes of the words themselves."""
     raw = np.fromiter(map(canon.__getitem__, words), np.uint64, len(words))
     number = raw & IS_NUMBER != 0
     begins = np.concatenate([[True], raw[:-1] & ENDS != 0])[: len(raw)]
     name = (raw & IS_TITLE != 0) & ~begins & ~number
     unit = (raw & IS_UNIT != 0) & np.concatenate([[False], number[:-1]])[: len(raw)] & ~number & ~name
-    out = raw & ~np.uint64(15)
+    plain = raw & ~np.uint64(15)
+    out = plain.copy()
     out[number], out[name], out[unit] = NUMBER, NAME, UNIT
-    return out, number | name | unit
+    return out, number | name | unit, plain
 
 
 def informative(slots: np.ndarray, width: int) -> np.ndarray:
@@ -82,16 +86,25 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], canon: Canon) -> None:
         self.items, found = [], []
+        self.exact: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
         for item_id, text in items:
             words = text.split()
-            tokens, slots = canonical(words, canon)
-            if (~slots).sum() < LEAST_PLAIN:
+            tokens, slots, plain = canonical(words, canon)
+            n, n_plain = len(words), int((~slots).sum())
+            width = n if n <= WINDOW else min(WINDOW, max(SHORTEST, n // 3))
+            use = np.flatnonzero(informative(slots, width)) if n else np.zeros(0, np.int64)
+            reach = np.zeros(n, bool)
+            for q in use.tolist():
+                reach[q : q + width] = True
+            if n_plain < LEAST_PLAIN or reach.sum() < max(COVER * n, min(n, EVIDENCE)):  # templates cannot show it
+                if n >= RUN or (n >= EXACT and n_plain):
+                    self.exact[int(windows(plain[:EXACT], EXACT)[0])].append((item_id, plain))
+            if n_plain < LEAST_PLAIN:
                 continue
-            width = min(WINDOW, len(words))
             keys = windows(tokens, width)
-            use = np.flatnonzero(informative(slots, width))
             found.append(np.stack([keys[use], np.full(len(use), len(self.items), np.uint64), use.astype(np.uint64)]))
             self.items.append((item_id, words, slots, width))
+        self.heads = np.array(sorted(self.exact), np.uint64)
         self.widths = sorted({x[3] for x in self.items})
         rows = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.uint64)
         rows = rows[:, np.argsort(rows[0], kind="stable")]
@@ -101,9 +114,14 @@ class Index:
 
     def leaks(self, text: str | None, canon: Canon) -> list[tuple[int, float]]:
         words = text.split() if text else []
-        if not words or not len(self.keys):
+        if not words or not (len(self.keys) or len(self.heads)):
             return []
-        tokens, _ = canonical(words, canon)
+        tokens, _, plain = canonical(words, canon)
+        whole: set[tuple[int, float]] = set()
+        if len(self.heads) and len(words) >= EXACT:
+            heads = windows(plain, EXACT)
+            for p in np.flatnonzero(np.isin(heads, self.heads)).tolist():
+                whole.update((item_id, 1.0) for item_id, own in self.exact[int(heads[p])] if np.array_equal(plain[p : p + len(own)], own))
         hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for width in self.widths:
             if len(words) < width:
@@ -120,42 +138,49 @@ class Index:
         found = []
         for item, pairs in hits.items():
             item_id, own, slots, width = self.items[item]
-            share = _covered(words, own, slots, width, pairs)
-            if share >= COVER:
+            share, run = _covered(words, own, slots, width, pairs)
+            if share * len(own) >= max(COVER * len(own), min(len(own), EVIDENCE)) - 1e-9 or run >= RUN:
                 found.append((item_id, share))
-        return sorted(found)
+        seen = {x[0] for x in whole}
+        return sorted([*(x for x in found if x[0] not in seen), *whole])
 
 
-def _covered(words: list[str], own: list[str], slots: np.ndarray, width: int, pairs: list[tuple[int, int]]) -> float:
-    """Largest share of the item's words that one occurrence covers: hits whose offsets in the document are at most SHIFT of the item apart."""
+def _covered(words: list[str], own: list[str], slots: np.ndarray, width: int, pairs: list[tuple[int, int]]) -> tuple[float, int]:
+    """Largest share of the item's words, and most plain words in one unbroken run, that one occurrence covers: hits whose offsets in the document are at most SHIFT of the item apart."""
     strip = lambda w: OUTER.sub("", w).lower()
     pairs = sorted(pairs, key=lambda x: (x[0] - x[1], x[1]))
     filled = [[(strip(own[q + i]), strip(words[p + i])) for i in range(width) if slots[q + i]] for p, q in pairs]
     offsets, apart = [p - q for p, q in pairs], max(4, int(SHIFT * len(own)))
-    best, last = 0.0, None
+    best, most, last = 0.0, 0, None
     for anchor in offsets:
         if anchor == last:
             continue
         last = anchor
         low, high = bisect_left(offsets, anchor - apart), bisect_right(offsets, anchor + apart)
-        best = max(best, _agreed(pairs[low:high], filled[low:high], len(own), width))
+        share, run = _agreed(pairs[low:high], filled[low:high], slots, width)
+        best, most = max(best, share), max(most, run)
         if best == 1:
             break
-    return best
+    return best, most
 
 
-def _agreed(pairs: list[tuple[int, int]], filled: list[list[tuple[str, str]]], size: int, width: int) -> float:
-    """Share under windows that have the item's own values, or values that agree with the majority's of the occurrence."""
+def _agreed(pairs: list[tuple[int, int]], filled: list[list[tuple[str, str]]], slots: np.ndarray, width: int) -> tuple[float, int]:
+    """Share, and plain words of the longest run, under windows that have the item's own values, or values that agree with the majority's of the occurrence."""
     votes: dict[str, Counter] = defaultdict(Counter)
     for window in filled:
         for mine, theirs in window:
             votes[mine][theirs] += 1
     agreed = {mine: max(sorted(c), key=lambda x: (c[x], x == mine)) for mine, c in votes.items()}
-    covered = np.zeros(size, bool)
-    for (_, q), window in zip(pairs, filled, strict=True):
+    covered, upto = np.zeros(len(slots), bool), np.concatenate([[0], np.cumsum(~slots)])
+    most, begin, end, on = 0, 0, -1, None  # a run goes on while windows of one offset touch
+    for (p, q), window in zip(pairs, filled, strict=True):
         if all(mine == theirs for mine, theirs in window) or all(agreed[mine] == theirs for mine, theirs in window):
             covered[q : q + width] = True
-    return float(covered.mean())
+            if on != p - q or q > end:
+                on, begin = p - q, q
+            end = q + width
+            most = max(most, int(upto[end] - upto[begin]))
+    return float(covered.mean()), most
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:

@@ -77,3 +77,13 @@ def test_variants_of_an_item_do_not_hide_a_copy(spark):
     mixed = "first take {} cups then add {} spoons and later another {} cups to the bowl and finally {} spoons on the top of everything you have"
     variants = f" {around} ".join(mixed.format(a, b, a, b) for a, b in ((3, 8), (6, 1), (9, 4)))
     assert leaked(spark, [copy_and_variant, around, variants], [item, mixed.format(2, 5, 2, 5)]) == {0: [0], 1: [], 2: [1]}
+
+
+def test_passages_of_long_items_and_short_or_slot_heavy_items(spark):
+    rng = random.Random(4)
+    long, short = words(rng, 400, 10_000), words(rng, 15, 10_000)
+    changed = " ".join("other" if i == 7 else w for i, w in enumerate(short.split()))
+    heavy, few = "table of results 1 2 3 4 5 6 7 8 9 10 11 12 13 14 total", "what is 7 plus 5"
+    around = words(rng, 50)
+    docs = [" ".join([around, *long.split()[100:130], around]), f"{around} {changed} {around}", f"{around} {heavy} {around}", f"{around} {few} {around}", " ".join([around, *long.split()[100:110], around]), f"{around} what is 8 plus 9"]
+    assert leaked(spark, docs, [long, short, heavy, few]) == {0: [0], 1: [1], 2: [2], 3: [3], 4: [], 5: []}
