@@ -3,16 +3,22 @@
 A page becomes block lines in page order. Lines of scripts, menus, forms, adverts, comments and the like are marked as chrome by
 their elements, roles and class words, and go. Pages of a host are ordered by URL path, and each is paired with the neighbour
 whose path begins most like its own. All lines of the two but chrome, inside and outside article and main elements, are aligned by
-longest common subsequence, and shared lines are deleted as what the site repeats; what is left is the text. A page whose
-neighbour is a copy of it (COPY of the shorter one's characters are shared) is paired with the next nearest page that is none.
-Structure decides only where differencing has no partner: there, a page with an article or main element keeps that alone.
+longest common subsequence, and shared lines are deleted as what the site repeats; what is left is the text.
 
-Scale: pages are parsed where they are read, once; a page's path and its lines' hashes and sizes are ordered, by host and
+Copies of one article must not delete it. Of two pages with article or main elements, one is a copy of the other if their lines
+inside these share COPY of the longer one's characters; of other pages, if all lines are equal. Pages without such elements that
+share as much as a whole are looked past, too, if the host has a page beyond that shares less: what that one repeats is the
+site's. If it has none, they are differenced, so that short articles lose a frame that is longer than they are.
+Structure decides only where differencing has no partner or leaves nothing: there, a page with an article or main element keeps
+that and the headings, paragraphs, quotations and preformatted text outside it.
+
+Scale: pages are parsed where they are read, once; a page's path and its lines' hashes, sizes and kinds are ordered, by host and
 path in ranges, so a host may be spread over any number of tasks. A range sees BESIDE runs of copies over either border;
-runs are of any length. Texts meet what is kept of them in one join.
+runs are of any length. Texts meet what is kept of them in one join. Parsing takes time in proportion to a page's length.
 
 Edge cases: null or empty html gives empty text; a null or odd URL has its own spelling as path; unclosed elements end with
-the element around them; unclosed comments, scripts and tags run to the end; a page that is alone on its host, or has only copies there,
+the element around them; unclosed comments, scripts and tags run to the end; a quote opens a value only behind an equals sign, and
+only if another one closes it; a page that is alone on its host, or has only copies there,
 is only parsed; pages with equal URLs are neighbours; pages without lines are nobody's partner; repeated rows are
 rows. Character references are decoded once.
 """
@@ -22,7 +28,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Collection, Iterable, Iterator
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -34,8 +41,9 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 COPY, BESIDE = 0.8, 8
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?)>", re.DOTALL)
-ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+# Possessive, and matching to the end what is not closed: no text is scanned twice.
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+')?+|[^>=]++)*+)(?:>|\Z)""", re.DOTALL)
+ATTRIBUTE = re.compile(r"""(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CHROME = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "fieldset", "label", "datalist", "head", "object", "canvas", "audio", "video", "header"}
@@ -48,17 +56,21 @@ CLOSES_P = BLOCKS - {"body", "html", "caption", "dd", "dt", "li", "tr", "tbody",
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar"}
 CLASS_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner banners sponsor sponsored promo promotion nav navbar navigation menu menus topnav breadcrumb breadcrumbs"
-    " sidebar sidebars sidenav aside widget widgets footer masthead topbar cookie cookies consent gdpr notice notices notification disclaimer popup modal overlay newsletter subscribe subscription"
-    " signup login comment comments commentlist disqus respond reply replies share sharing social related recommended pagination pager toolbar skip".split()
+    " sidebar sidebars sidenav footer masthead topbar cookie cookies consent gdpr disclaimer popup modal overlay newsletter subscribe"
+    " comment comments commentlist disqus recommended pagination pager toolbar".split()
 )
+# Words that tell of chrome on a container; a paragraph or table of that class inside an article may be the author's own.
+CONTAINER_WORDS = frozenset("aside widget widgets notice notices notification subscription signup login respond reply replies share sharing social related skip".split())
+CONTAINERS = frozenset("div section ul ol dl nav aside header footer details iframe a span".split())
 ARTICLE_WORDS = {"ad", "ads", "advert", "advertisement", "comment", "promo", "related", "reply", "sponsored"}  # of article and main, whose classes tell much else
 SITE_WORDS = {"header"}  # chrome outside content only: an article's own header holds its title
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 SPACE = re.compile(r"\s+")
 
 
 def _marks(name: str, attributes: str, inside: bool) -> bool:
     """Whether class, id or role say that an element is chrome."""
-    telling = ARTICLE_WORDS if name in CONTENT else CLASS_WORDS
+    telling = ARTICLE_WORDS if name in CONTENT else CLASS_WORDS | CONTAINER_WORDS if name in CONTAINERS or not inside else CLASS_WORDS
     for key, *values in ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         if key.lower() == "role" and value.strip() in ROLES:
@@ -73,26 +85,34 @@ def _marks(name: str, attributes: str, inside: bool) -> bool:
 
 
 def page_lines(source: str | None) -> tuple[list[str], list[int]]:
-    """Block lines in page order, and for each 0: chrome, 1: other, 2: content."""
+    """Block lines in page order, and for each 0: chrome, 1: other, 2: content, 3: prose outside content."""
     lines: list[str] = []
     kinds: list[int] = []
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, chrome, content
+    stack: list[tuple[str, bool, bool, bool]] = []  # element, chrome, content, prose
+    opened: Counter = Counter()  # of the stack's elements
 
     def flush() -> None:
         text = SPACE.sub(" ", html.unescape("".join(held))).strip()
         held.clear()
         if text:
-            top = stack[-1] if stack else ("", False, False)
+            top = stack[-1] if stack else ("", False, False, False)
             lines.append(text)
-            kinds.append(0 if top[1] else 2 if top[2] else 1)
-
-    def close(name: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == name:
-                flush()
-                del stack[i:]
-                return
+            kinds.append(0 if top[1] else 2 if top[2] else 3 if top[3] else 1)
+
+    def cut(i: int) -> None:
+        for x in stack[i:]:
+            opened[x[0]] -= 1
+        del stack[i:]
+
+    def close(names: Collection[str], limits: Collection[str] = ()) -> None:
+        """End the innermost of names and all inside it, unless one of limits was begun inside it."""
+        if any(opened[x] for x in names):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in names:
+                    return cut(i)
+                if stack[i][0] in limits:
+                    return None
 
     at, source = 0, source or ""
     while m := TAG.search(source, at):
@@ -104,13 +124,12 @@ def page_lines(source: str | None) -> tuple[list[str], list[int]]:
         if m[1]:
             if name in BLOCKS:
                 flush()
-            if name == "p" and not any(x[0] == "p" for x in stack):
-                continue
-            if name in BLOCKS or name in CHROME or any(x[0] == name for x in stack):
-                if name not in BLOCKS and name not in CHROME:
-                    _close_inline(stack, name)
-                else:
-                    close(name)
+            if name in BLOCKS or name in CHROME:
+                if opened[name]:
+                    flush()
+                close({name})
+            else:
+                close({name}, BLOCKS)
             continue
         if name in ("br", "td", "th"):
             held.append(" ")
@@ -127,46 +146,26 @@ def page_lines(source: str | None) -> tuple[list[str], list[int]]:
         if name in BLOCKS:
             flush()
             if name in CLOSES_P:
-                _close_open(stack, {"p"}, {"button", "td", "th", "li", "dd", "dt", "blockquote", "div", "section", "article", "main", "body"})
+                close({"p"}, {"button", "td", "th", "li", "dd", "dt", "blockquote", "div", "section", "article", "main", "body"})
             if name == "li":
-                _close_open(stack, {"li"}, {"ul", "ol", "menu"})
+                close({"li"}, {"ul", "ol", "menu"})
             if name in ("dd", "dt"):
-                _close_open(stack, {"dd", "dt"}, {"dl"})
+                close({"dd", "dt"}, {"dl"})
             if name in ("tr", "tbody", "tfoot"):
-                _close_open(stack, {"tr"}, {"table"})
+                close({"tr"}, {"table"})
             if name == "body":
-                _close_open(stack, {"head"}, {"html"})
+                close({"head"}, {"html"})
             chrome, content = bool(stack and stack[-1][1]), bool(stack and stack[-1][2])
         own = (name in CHROME and not (name == "header" and content)) or (bool(m[3].strip()) and name not in ("html", "body") and _marks(name, m[3], content))
         if own and not chrome:
             flush()
-        stack.append((name, chrome or own, content or (name in CONTENT and not (chrome or own))))
-    rest = source[at:]
-    cut = re.search(r"<[a-zA-Z/!]", rest)
-    held.append(rest[: cut.start()] if cut else rest)
+        stack.append((name, chrome or own, content or (name in CONTENT and not (chrome or own)), name in PROSE or bool(stack and stack[-1][3])))
+        opened[name] += 1
+    held.append(source[at:])
     flush()
     return lines, kinds
 
 
-def _close_open(stack: list, names: set[str], limits: set[str]) -> None:
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in names:
-            del stack[i:]
-            return
-        if stack[i][0] in limits:
-            return
-
-
-def _close_inline(stack: list, name: str) -> None:
-    """End an inline element, unless a block was begun inside it."""
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] == name:
-            del stack[i:]
-            return
-        if stack[i][0] in BLOCKS:
-            return
-
-
 def shared_lines(mine: list[str], theirs: list[str]) -> set[int]:
     """Which of mine are on a longest common subsequence of lines; ends are matched first, the middle by bit rows."""
     a, b = 0, 0
@@ -211,21 +210,21 @@ def _address(url: str | None) -> tuple[str, str]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of a page without chrome, packed, which of them structure alone would keep, and their hashes and sizes."""
+    """Lines of a page without chrome, packed, and their kinds, hashes and sizes."""
     for whole in batches:
         for i in range(0, len(whole), 512):
             batch = whole.slice(i, 512)
-            texts, main, hashes, sizes = [], [], [], []
+            texts, kept_kinds, hashes, sizes = [], [], [], []
             for source in batch.column("html"):
                 lines, kinds = page_lines(source.as_py())
                 texts.append([t.replace("\0", "\ufffd") for t, k in zip(lines, kinds, strict=True) if k])
-                main.append([k == 2 or 2 not in kinds for k in kinds if k])
+                kept_kinds.append([k for k in kinds if k])
                 hashes.append(np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts[-1]], np.uint64).view(np.int64))
                 sizes.append([len(t) for t in texts[-1]])
             address = [_address(x.as_py()) for x in batch.column("url")]
             hosts, paths = (pa.array([x[j] for x in address], pa.string()) for j in (0, 1))
-            lists = [pa.array([zlib.compress("\0".join(x).encode("utf-8", "surrogatepass"), 6) for x in texts], pa.binary()), *(pa.array(x, pa.list_(t)) for x, t in ((main, pa.bool_()), (hashes, pa.int64()), (sizes, pa.int32())))]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), hosts, paths, *lists], ["page_id", "url", "host", "path", "lines", "main", "hashes", "sizes"])
+            lists = [pa.array([zlib.compress("\0".join(x).encode("utf-8", "surrogatepass"), 6) for x in texts], pa.binary()), *(pa.array(x, pa.list_(t)) for x, t in ((kept_kinds, pa.int8()), (hashes, pa.int64()), (sizes, pa.int32())))]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), hosts, paths, *lists], ["page_id", "url", "host", "path", "lines", "kinds", "hashes", "sizes"])
 
 
 def _common(a: str, b: str) -> int:
@@ -237,42 +236,57 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def _alike(page: dict, other: dict) -> tuple[set[int], bool, bool]:
-    """Lines of page that other shares; whether one is a copy of the other or of a part of it; whether they are copies as wholes."""
-    if page["hashes"] == other["hashes"]:
-        return set(range(len(page["hashes"]))), True, True
-    shared = shared_lines(page["hashes"], other["hashes"])
-    size, (mine, theirs) = sum(page["sizes"][i] for i in shared), (sum(page["sizes"]), sum(other["sizes"]))
-    return shared, size >= COPY * min(mine, theirs), size >= COPY * max(mine, theirs)
+def _main(page: dict) -> tuple[list[int], int, list[int]]:
+    """Hashes, characters and sizes of a page's lines inside article and main elements."""
+    if "main" not in page:
+        at = [i for i, k in enumerate(page["kinds"]) if k == 2]
+        page["main"] = [page["hashes"][i] for i in at], sum(page["sizes"][i] for i in at), [page["sizes"][i] for i in at]
+    return page["main"]
 
 
-def _nearest(pages: list[dict], step: int) -> list[int | None]:
-    """For each page, where the nearest page of its host in this direction is that is no copy of it."""
-    found: list[int | None] = [None] * len(pages)
+def _alike(page: dict, other: dict) -> tuple[bool, bool]:
+    """Whether the pages are copies of one article, and whether they look like it."""
+    if page["hashes"] == other["hashes"]:
+        return True, True
+    (mine, all_mine, sizes), (theirs, all_theirs, _) = _main(page), _main(other)
+    if mine and theirs:
+        copy = mine == theirs or sum(sizes[i] for i in shared_lines(mine, theirs)) >= COPY * max(all_mine, all_theirs)
+        return copy, copy
+    shared = sum(page["sizes"][i] for i in shared_lines(page["hashes"], other["hashes"]))
+    return False, shared >= COPY * max(sum(page["sizes"]), sum(other["sizes"]))
+
+
+def _nearest(pages: list[dict], step: int) -> tuple[list[int | None], list[int | None]]:
+    """For each page, where in this direction the nearest page of its host is that is no copy, and the nearest that does not look like one."""
+    near: list[int | None] = [None] * len(pages)
+    far: list[int | None] = [None] * len(pages)
     for i in range(len(pages))[:: -step]:
-        j: int | None = i + step
-        while j is not None and 0 <= j < len(pages) and pages[j]["host"] == pages[i]["host"]:
-            _, copy, twin = _alike(pages[i], pages[j])
-            if not copy:
-                found[i] = j
-                break
-            j = found[j] if twin else j + step  # all up to there are copies of the twin
-    return found
+        for found, which in ((near, 0), (far, 1)):
+            j: int | None = i + step
+            while j is not None and 0 <= j < len(pages) and pages[j]["host"] == pages[i]["host"]:
+                if not _alike(pages[i], pages[j])[which]:
+                    found[i] = j
+                    break
+                j = found[j]  # all up to there are copies of the copy
+    return near, far
 
 
 def _runs(pages: Iterable[dict]) -> list[dict]:
-    """The first page of each of the first BESIDE runs of copies of the first page's host."""
+    """The first page of each of the first BESIDE runs of equals of the first page's host."""
     runs: list[dict] = []
     for page in pages:
         if runs and (page["host"] != runs[0]["host"] or len(runs) == BESIDE):
             break
-        if not runs or not _alike(runs[-1], page)[2]:
+        if not runs or not _alike(runs[-1], page)[1]:
+            runs.append(page)
+        elif len(runs) + 1 < BESIDE and not _alike(runs[-1], page)[0]:
             runs.append(page)
-    return runs
+    return [{f.name: x[f.name] for f in VIEW} for x in runs]
 
 
-VIEW = pa.struct([("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
-SIDES = "range int, before array<struct<host:string,path:string,hashes:array<bigint>,sizes:array<int>>>, after array<struct<host:string,path:string,hashes:array<bigint>,sizes:array<int>>>"
+VIEW = pa.struct([("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("kinds", pa.list_(pa.int8()))])
+SEEN = "array<struct<host:string,path:string,hashes:array<bigint>,sizes:array<int>,kinds:array<tinyint>>>"
+SIDES = f"range int, before {SEEN}, after {SEEN}"
 
 
 def _sides(ranges: list[int], before: list, after: list) -> pa.Table:
@@ -303,7 +317,7 @@ def _beside(rows: pa.Table) -> pa.Table:
 
 
 def _difference(rows: pa.Table, beside: pa.Table) -> pa.Table:
-    """Which lines of each page its partner does not share; null for a page without one."""
+    """Which lines of each page its partner does not share; null for a page without one, or of which nothing would be left."""
     if not len(rows):
         return pa.table({"row": pa.array([], pa.int64()), "kept": pa.array([], pa.list_(pa.bool_()))})
     rows, own = _views(rows)
@@ -311,12 +325,11 @@ def _difference(rows: pa.Table, beside: pa.Table) -> pa.Table:
     pages = [*before[::-1], *own, *after]
     back, on, kept = _nearest(pages, -1), _nearest(pages, 1), []
     for i in range(len(before), len(before) + len(own)):
-        page, near = pages[i], [pages[j] for j in (back[i], on[i]) if j is not None]
-        if not near:
-            kept.append(None)
-            continue
-        shared = shared_lines(page["hashes"], max(near, key=lambda x: _common(x["path"], page["path"]))["hashes"])
-        kept.append([k not in shared for k in range(len(page["hashes"]))])
+        page = pages[i]
+        beside = [[j for j in (back[k][i], on[k][i]) if j is not None] for k in (1, 0)]
+        near = sorted((pages[j] for j in beside[0] or beside[1]), key=lambda x: -_common(x["path"], page["path"]))
+        left = ([k not in shared for k in range(len(page["hashes"]))] for shared in (shared_lines(page["hashes"], x["hashes"]) for x in near))
+        kept.append(next((x for x in left if any(x)), None))
     return pa.table({"row": rows.column("row"), "kept": pa.array(kept, pa.list_(pa.bool_()))})
 
 
@@ -333,16 +346,17 @@ def extract(pages: DataFrame) -> DataFrame:
     """pages(page_id, url, html) -> (page_id, url, text), a row for each page."""
     kind = pages.schema["page_id"].dataType.simpleString()
     parsed = pages.select("page_id", "url", "html").mapInArrow(
-        _parse, f"page_id {kind}, url string, host string, path string, lines binary, main array<boolean>, hashes array<long>, sizes array<int>"
+        _parse, f"page_id {kind}, url string, host string, path string, lines binary, kinds array<tinyint>, hashes array<long>, sizes array<int>"
     )
     parsed = materialize(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
     key = ["host", "path", "page_id", "row"]
-    order = parsed.where(F.size("hashes") > 0).select(*key, "hashes", "sizes").repartitionByRange(*key)
+    order = parsed.where(F.size("hashes") > 0).select(*key, "hashes", "sizes", "kinds").repartitionByRange(*key)
     ordered = materialize(order.withColumn("range", F.spark_partition_id()), "page_order")
     beside = materialize(ordered.groupBy("range").applyInArrow(_ends, SIDES), "page_ends").withColumn("all", F.lit(True)).groupBy("all").applyInArrow(_beside, SIDES)  # a row for each range
     kept = ordered.groupBy("range").cogroup(materialize(beside, "page_sides").groupBy("range")).applyInArrow(_difference, "row long, kept array<boolean>")
-    both = parsed.select("row", "page_id", "url", "lines", "main").hint("merge").join(materialize(kept, "page_kept"), "row", "left")  # never a broadcast: kept grows with the pages
-    return both.select("page_id", "url", "lines", F.coalesce("kept", "main").alias("kept")).mapInArrow(_text, f"page_id {kind}, url string, text string")
+    both = parsed.select("row", "page_id", "url", "lines", "kinds").hint("merge").join(materialize(kept, "page_kept"), "row", "left")  # never a broadcast: kept grows with the pages
+    by_structure = F.transform("kinds", lambda k: (k >= 2) | ~F.array_contains("kinds", F.lit(2).cast("tinyint")))
+    return both.select("page_id", "url", "lines", F.coalesce("kept", by_structure).alias("kept")).mapInArrow(_text, f"page_id {kind}, url string, text string")
 
 
 def op9_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:

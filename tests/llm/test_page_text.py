@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from helpers import SMALL
@@ -30,7 +31,7 @@ def test_shared_lines_are_a_longest_common_subsequence(a, b):
         ("<article><p>x<div class='ad'>buy</div>y<aside>s</aside><p>z", ["x", "y", "z"]), ("<main><ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table></main>", ["a", "b", "c d", "e"]),
         ("<article><script>var t='</p>'</script>x<style>p{}</style><form>f<input>g</form>y<!-- <p>no</p> -->z</article>", ["x", "yz"]), ("<article class='post comments-open'><p>x</article><article class='comment'>no</article>", ["x"]), ("<article>a<section class='comments'><article>no</article></section>b</article>", ["a", "b"]),
         ("<article><div id='cookie-notice'>c</div><div class='share2'>s</div><div role='navigation'>n</div><p class='shady'>keep</p></article>", ["keep"]), ("<article><b>x<p>y</b>z</article><p>out", ["x", "yz"]),
-        ("<article>a &nbsp; b c", ["a b c"]), ("<article><p>a<a href='x>y'>b</a>c", ["abc"]), ("<article>x<!-- never closed", ["x"]), ("<article>x<b", ["x"]), ("", []), (None, []),
+        ("<article>a &nbsp; b c", ["a b c"]), ("<article><p>a<a href='x>y'>b</a>c", ["abc"]), ("<article>x<!-- never closed", ["x"]), ("<article>x<b", ["x"]), ("<article>5 < 6 <p class=\"share\">own</p><div class=\"share\">x</div>", ["5 < 6", "own"]), ("<article><p title=it's>a</p><p>don't</p>", ["a", "don't"]), ("", []), (None, []),
     ],
 )
 def test_page_lines(source, lines):
@@ -93,7 +94,7 @@ def test_lines_inside_content_are_differenced(spark):
     got = texts(spark, [page(i, "a.example", f"x/{i}", whole(i)) for i in range(4)])
     assert got == {i: f"story {i} told at some length, unlike others {i * 7919}\n\nby line {i}" for i in range(4)}
     alone = texts(spark, [page(1, "a.example", "1", whole(1))])[1]
-    assert alone == "Site notice for all readers\n\nstory 1 told at some length, unlike others 7919"
+    assert alone == "Site notice for all readers\n\nstory 1 told at some length, unlike others 7919\n\nby line 1\n\nAll rights reserved"
 
 
 def test_short_pages_and_runs_of_copies(spark):
@@ -110,3 +111,101 @@ def test_short_pages_and_runs_of_copies(spark):
             spark.conf.set("spark.sql.shuffle.partitions", "4")
         assert all(got[i] == f"{own(i)}\n\nand more of it: {own(i + 100)}" for i in range(3))
         assert all(got[10 + k] == f"{own(50)}\n\nand more of it: {own(51)}\n\nv{k % 3}" for k in range(30))
+
+
+@pytest.mark.parametrize("source", ['<a ' + '"' * 10_000, "<a b " * 100_000, "<a b='" * 30_001, "<" * 200_000, "<b>" * 100_000 + "</i>" * 100_000, "<!--" * 100_000, "<p " + "x" * 300_000, "<a " + "= " * 100_000])
+def test_odd_markup_is_parsed_in_time(source):
+    began = time.perf_counter()
+    page_text.page_lines(source)
+    assert time.perf_counter() - began < 1
+
+
+def test_short_articles_in_a_long_frame(spark):
+    frame = "".join(f"<p>common line {k} of the site</p>" for k in range(12))
+    rows = [page(i, "a.example", f"x/{i}", f"{frame}<p>own line {i * 7919}</p>") for i in range(3)]
+    assert texts(spark, rows) == {i: f"own line {i * 7919}" for i in range(3)}
+
+
+def test_lines_outside_content_are_not_lost(spark):
+    whole = "<h1>The title</h1><p>Lead paragraph.</p><div>Home</div><article><p>Body text.</p></article>"
+    assert texts(spark, [page(1, "a.example", "1", whole)])[1] == "The title\n\nLead paragraph.\n\nBody text."
+    two = [page(i, "a.example", f"{i}", whole.replace("Body text.", f"Body of {i * 7919}.").replace("Lead", f"Lead {i}")) for i in range(2)]
+    assert texts(spark, two) == {i: f"Lead {i} paragraph.\n\nBody of {i * 7919}." for i in range(2)}
+
+
+def test_copies_of_an_article_in_other_frames(spark):
+    story = "".join(f"<p>paragraph {k} of one story, as long as others are</p>" for k in range(9))
+    rows = [page(i, "a.example", f"x?page={i}", f"<div>Menu</div><article>{story}<p>seen {i} times</p></article>") for i in range(4)]
+    got = texts(spark, rows)
+    assert all(got[i].count("paragraph") == 9 and got[i].endswith(f"seen {i} times") for i in range(4))
+
+
+def longest_common(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            best[i + 1][j + 1] = best[i][j] + a[i][1] if a[i][0] == b[j][0] else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+def brute_partner(pages, i):
+    """The page that i is differenced with, by walks over all pages in order."""
+
+    def alike(a, b):
+        if a["lines"] == b["lines"]:
+            return True, True
+        x, y = ([(t, len(t)) for t, k in zip(z["lines"], z["kinds"], strict=True) if k == 2] for z in (a, b))
+        if x and y:
+            copy = longest_common(x, y) >= 0.8 * max(sum(v for _, v in z) for z in (x, y))
+            return copy, copy
+        x, y = ([(t, len(t)) for t in z["lines"]] for z in (a, b))
+        return False, longest_common(x, y) >= 0.8 * max(sum(v for _, v in z) for z in (x, y))
+
+    for which in (1, 0):
+        found = []
+        for step in (-1, 1):
+            j = i + step
+            while 0 <= j < len(pages) and pages[j]["host"] == pages[i]["host"]:
+                if not alike(pages[i], pages[j])[which]:
+                    found.append(pages[j])
+                    break
+                j += step
+        if found:
+            same = lambda x: next((n for n, (p, q) in enumerate(zip(x["path"], pages[i]["path"], strict=False)) if p != q), min(len(x["path"]), len(pages[i]["path"])))
+            return sorted(found, key=same, reverse=True)
+    return []
+
+
+def test_query_equals_brute_force_and_differencing_decides(spark):
+    folder = SMALL.replace("sf0.001", "sf0.01")
+    got = {r["page_id"]: r["text"] for r in page_text.op9_page_differencing(spark, folder).collect()}
+    pages = []
+    for r in spark.read.parquet(f"{folder}/pages.parquet").collect():
+        lines = [(t, k) for t, k in zip(*page_text.page_lines(r["html"]), strict=True) if k]
+        host, path = page_text._address(r["url"])
+        pages.append({"host": host, "path": path, "page_id": r["page_id"], "lines": [x[0] for x in lines], "kinds": [x[1] for x in lines]})
+    pages.sort(key=lambda x: (x["host"], x["path"], x["page_id"]))
+    paired = 0
+    for i, x in enumerate(pages):
+        partners = brute_partner(pages, i)
+        structure = [t for t, k in zip(x["lines"], x["kinds"], strict=True) if k >= 2 or 2 not in x["kinds"]]
+        text = got[x["page_id"]]
+        if not partners:
+            assert text == "\n\n".join(structure)
+            continue
+        paired += 1
+        kept, mine = (text.split("\n\n") if text else []), [(t, 1) for t in x["lines"]]
+        sizes = {len(x["lines"]) - longest_common(mine, [(t, 1) for t in p["lines"]]) for p in partners}
+        rest = iter(x["lines"])
+        assert len(kept) in sizes and kept and all(t in rest for t in kept)  # so many lines less as a longest common subsequence has
+    assert paired > 50
+
+
+def test_differencing_changes_shipped_pages(spark):
+    folder = SMALL.replace("sf0.001", "sf0.1")
+    changed = 0
+    got = {r["page_id"]: r["text"] for r in page_text.op9_page_differencing(spark, folder).collect()}
+    for r in spark.read.parquet(f"{folder}/pages.parquet").collect():
+        lines = [t for t, k in zip(*page_text.page_lines(r["html"]), strict=True) if k]
+        changed += got[r["page_id"]] != "\n\n".join(lines)
+    assert changed > 20
