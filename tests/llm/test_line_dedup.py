@@ -1,7 +1,7 @@
 import random
+import time
 from collections import defaultdict
 
-import numpy as np
 import pytest
 from corpora import frame, simple
 from hypothesis import given, settings
@@ -38,15 +38,23 @@ def test_cuts_equal_brute_force(spark, docs, min_words):
     assert got == {k: v for k, v in brute(texts, min_words).items() if v}
 
 
-def test_window_keys_name_line_runs():
-    rng = np.random.default_rng(1)
-    lines = rng.integers(0, 3, 200)
-    ids, size = lines.astype(np.uint64) * np.uint64(977), rng.integers(0, 4, 4)[lines]
-    key, begin, count = line_dedup.run_windows(ids, size, 6)
-    runs = {}
-    for k, b, c in zip(key.tolist(), begin, count, strict=True):
-        assert runs.setdefault(k, tuple(lines[b : b + c])) == tuple(lines[b : b + c])
-    assert len(set(runs.values())) == len(runs) and len(runs) > 5
+def test_ranks_are_places_in_the_sorted_order(spark):
+    rng = random.Random(1)
+    pairs = [(rng.randrange(-4, 4), rng.randrange(5)) for _ in range(120)] + [(99, i) for i in range(5)]
+    got = {(r["a"], r["b"]): r["rank"] for r in line_dedup.suffix_ranks(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    shared = [p for p in pairs if pairs.count(p) > 1]
+    assert got == {p: sum(q < p for q in shared) for p in shared}
+
+
+def test_runs_of_many_lines(spark):
+    """Runs of many lines take all rounds; copies that differ in the middle do not count as one."""
+    rng = random.Random(3)
+    block = [rng.choice(["", "", "", "a", "b"]) for _ in range(150)]
+    other = [*block[:75], "x", *block[76:]]
+    texts = ["\n".join(t) for t in (block, ["head", *block, "tail"], other, [""] * 90, [""] * 90)]
+    for limit in (10, 45):
+        got = {r["doc_id"]: set(r["cut"]) for r in line_dedup.repeated_lines(simple(spark, texts), limit).collect()}
+        assert got == {k: v for k, v in brute(texts, limit).items() if v}
 
 
 @pytest.mark.parametrize("limit", [50, 3])
@@ -81,3 +89,12 @@ def test_long_document(spark):
     text = "\n".join(lines)
     docs = simple(spark, [text, text])
     assert line_dedup.drop_repeated_lines(docs).where("doc_id = 1").count() == 0
+
+
+def test_rebuilding_is_linear(spark):
+    text = "\n".join(f"line {i} of a long text" for i in range(32_000))
+    docs = simple(spark, [text, f"{text}\nown end"]).coalesce(1)
+    line_dedup.dedup_lines(simple(spark, ["warm up"])).count()
+    began = time.perf_counter()
+    assert [r["text"] for r in line_dedup.dedup_lines(docs).orderBy("row.doc_id").collect()] == [text, "own end"]
+    assert time.perf_counter() - began < 15  # of which the rounds' fixed cost is most; a quadratic rebuild alone took 50
