@@ -1,13 +1,16 @@
 """Operator 10, personal data by weak supervision (DataFrame functions only).
 
 Base patterns give spans of e-mail addresses, IP addresses, card and phone numbers that always stay. Looser patterns give
-more candidates. Labelers vote on every candidate, -1, 0 or 1: the base pattern, a stricter shape, a gazetteer of
-the text beside it, key words before it, and words that speak against it. Expectation-maximisation over the counts of
-vote patterns estimates how reliable each labeler is, with no labels; the posteriors train a naive Bayes classifier of
-spans on votes, length and punctuation, which decides on the candidates that are not base spans.
+more candidates: addresses spelt out, phone numbers without a plus, keys and passwords, national numbers, names behind a title.
+Labelers vote on every candidate, -1, 0 or 1, and may disagree: the base pattern; a strict shape; gazetteers of what is known to be
+real or known to be a placeholder; key words before it; words before it that speak of other numbers; and how varied its
+characters are and whether they run in a row. Expectation-maximisation over the counts of vote patterns estimates how reliable each labeler is, with no labels. The
+posteriors train a naive Bayes classifier of spans, which also sees the span's length, punctuation, share of digits and
+the characters on either side, and decides on the candidates that are not base spans.
 
-Offsets come from splitting a text at the matches and adding up lengths, all inside one row, so texts are never shuffled.
-What is gathered for the model are counts by vote pattern: at most 3^5 * 9 rows a kind, whatever the corpus.
+Offsets come from splitting a text at the matches and adding up lengths, all inside one row, so texts are never shuffled. A
+candidate's context is the text between it and the match before. Work is in proportion to a text's length, times the
+logarithm of its base spans. What is gathered for the model are a weight for each value of each feature of each kind.
 
 Edge cases: null text is empty; offsets are code points, end exclusive; matches of a kind do not overlap; a candidate
 that overlaps a base span of any kind, or begins inside an earlier candidate of its kind, is left out; with no candidate anywhere
@@ -16,6 +19,8 @@ there is no model and only base spans remain; repeated rows are rows of their ow
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,23 +44,36 @@ LOOSE = {
     "name": r"(?<![\p{L}.])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame)\.? \p{Lu}\p{Ll}{2,}+(?: \p{Lu}\p{Ll}{2,}+)?",
 }
 LOOSE_HINT = {"email": r"[\[({<] ?at ?[\])}>]", "phone": r"[0-9]{3}[ .-][0-9]{4}", "secret": r"AKIA|(?i:password|passwd|token|key|secret)\s?[=:]", "id": "-[0-9]{2}-", "name": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|ora|or|ieur|ame)\.? \p{Lu}"}
-STRICT = {
-    "email": r"(?i)^[a-z0-9][a-z0-9._-]*+.*?[a-z]{2,}$", "ip": r"^(?!0)[0-9.]+$", "card": r"^[3-6]", "phone": r"^(?:\+|\(|[2-9])", "secret": r"^(?:AKIA|.*[0-9].*[a-zA-Z]|.*[a-zA-Z].*[0-9])",
-    "id": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)", "name": r"^\S+ \S+ \S+$",
+# Labelers, by kind: a pattern that votes for a span, and one that votes against it (None: never; ANY_OTHER: whenever the first does not match).
+ANY_OTHER = ""
+SHAPE = {
+    "email": (r"(?i)[a-z]{2,}$", ANY_OTHER), "ip": (r"^(?!0)[0-9.]+$", ANY_OTHER), "card": (r"^[3-6]", ANY_OTHER), "phone": (r"^(?:\+|\(?[2-9][0-9]{2}\)?[ .-][2-9])", ANY_OTHER),
+    "secret": (r"^AKIA|[=:]\s?\"?(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[^\"]{8,}", ANY_OTHER), "id": (r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)", ANY_OTHER), "name": (r"^\S+ \S+ \S+$", ANY_OTHER),
 }
+TOP_DOMAINS = "com org net edu gov int mil info biz io dev app de fr es it nl be at ch uk ie pt pl se no dk fi cz eu us ca mx br ar au nz jp cn in example"
+GIVEN_NAMES = (
+    "Adam Alan Alexander Alice Ana Andrea Andrew Angela Anna Anne Anthony Antonio Barbara Benjamin Brian Carlos Carmen Caroline Catherine Charles Christine Christopher Claire Claudia Daniel David Diana Eduardo"
+    " Elena Elizabeth Emily Emma Eric Eva Fernando Francisco Frank Franz George Hans Helen Henry Isabel Jack James Jane Javier Jean Jennifer Joan John Jorge Joseph Juan Julia Karen Karl Klaus Laura Linda"
+    " Lucas Luis Manuel Marc Marco Margaret Maria Marie Mark Marta Martin Mary Matthew Michael Michel Miguel Monika Nicole Olga Olivia Oscar Pablo Patricia Patrick Paul Pedro Peter Petra Philip Pierre Rachel"
+    " Richard Robert Rosa Ruth Sabine Samuel Sandra Sarah Sofia Sophie Stefan Stephen Steven Susan Teresa Thomas Ursula Victor Walter William Wolfgang"
+)
+ROLES = "President Speaker Chairman Chair Minister Secretary General Director Commissioner Governor Ambassador Judge Justice Senator Mayor Bundeskanzler Bundeskanzlerin Ministerin Direktor Doktor Ministre Directeur Presidente Ministro Universe Right Perfect"
 GAZETTEER = {
-    "email": r"(?i)(?:com|org|net|edu|de|fr|es|io|gov|example)$", "ip": r"^(?:10|127|172|192|[1-9][0-9]?|1[0-9]{2}|2[0-4][0-9])\.", "card": r"^(?:4|5[1-5]|3[47]|6011|65)",
-    "phone": r"^(?:\+[1-9]|\([2-9])", "secret": r"^(?:AKIA|(?i:password|token|secret))", "id": r"^[0-8]", "name": r"^(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora)",
+    "email": (rf"(?i)(?:{TOP_DOMAINS.replace(' ', '|')})$", ANY_OTHER), "ip": (None, r"^(?:0|127|255)\."), "card": (r"^(?:4|5[1-5]|3[47]|6011|65)", None), "phone": (None, r"^\(?(?:800|888|877|866|900)\)?[ .-]"),
+    "secret": (r"AKIA|ghp_|sk_|xox|eyJ", r"(?i)example|changeme|required|placeholder|optional|default|undefined|function|string|xxxx|123456|abcdef"), "id": (None, r"^(?:123-45-6789|078-05-1120|219-09-9999)$"),
+    "name": (rf"\b(?:{GIVEN_NAMES.replace(' ', '|')})\b", rf"\b(?:{ROLES.replace(' ', '|')})\b"),
 }
 CONTEXT = {
     "email": r"(?i)mail|contact|write|from|reach", "ip": r"(?i)\bip\b|address|host|server|login", "card": r"(?i)card|visa|master|credit|payment", "phone": r"(?i)phone|tel\b|call|mobile|fax|whatsapp",
-    "secret": r"(?i)key|auth|secret|pass|token|credential", "id": r"(?i)ssn|social|security|number", "name": r"(?i)by|from|dear|signed|contact|with",
+    "secret": r"(?i)key|auth|secret|pass|token|credential", "id": r"(?i)ssn|social|security|insurance", "name": r"(?i)by|from|dear|signed|contact|with|patient",
 }
-AGAINST = r"(?i)(?:version|isbn|issn|page|chapter|section|order|invoice|figure|table|total|no\.|doi)[ :#]*+$"
-LABELERS = ("base", "shape", "gazetteer", "context", "against")
+AGAINST = r"(?i)(?:version|isbn|issn|page|chapter|section|order|invoice|figure|table|total|part|serial|no\.|doi|film|dummy|sample)[ :#]*+$"
+VARIED = {"email": 5, "ip": 3, "card": 4, "phone": 4, "secret": 6, "id": 4}  # different letters and digits
+RUNS = r"12345|23456|34567|45678|56789|67890|98765|87654|76543|65432|54321|abcde|qwert"  # characters in a row are typed, not drawn
+LABELERS = ("base", "shape", "gazetteer", "context", "against", "variety")
 BEFORE = 24
 CHUNK = 256
-SPANS = "array<struct<start:int,end:int,value:string>>"
+SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
 ROUNDS = 30
 
 
@@ -99,36 +117,72 @@ def _located(chunk: Column, begin: Column) -> Column:
     def add(s: Column, x: Column) -> Column:
         start = s["at"] + F.length(x["gap"])
         end = start + F.length(x["value"])
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))).alias("out"))
+        span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), x["before"].alias("before"), x["after"].alias("after"))
+        return F.struct(end.alias("at"), F.concat(s["out"], F.array(span)).alias("out"))
 
     return F.aggregate(chunk, F.struct(begin.alias("at"), F.array().cast(SPANS).alias("out")), add, lambda s: s["out"])
 
 
 def _matches(text: Column, pattern: str, hint: str) -> Column:
-    """Array of (start, end, value), in order, of all matches of pattern: the text between matches, added up, gives their places."""
-    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("value"))
-    pairs = F.transform(F.filter(zipped, lambda x: x["value"].isNotNull()), lambda x: F.struct(x["gap"].alias("gap"), x["value"].alias("value")))
-    found = _let(pairs, lambda p: _let(_chunks(p), lambda c: F.flatten(F.zip_with(c, _offsets(c), _located))))
+    """Array of (start, end, value, before, after), in order, of all matches of pattern: the text between matches, added up, gives their places."""
+
+    def zipped(gaps: Column) -> Column:
+        rows = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("value"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("next"))
+        return F.transform(
+            F.filter(rows, lambda x: x["value"].isNotNull()),
+            lambda x: F.struct(x["gap"].alias("gap"), x["value"].alias("value"), F.right(x["gap"], F.lit(BEFORE)).alias("before"), F.left(x["next"], F.lit(1)).alias("after")),
+        )
+
+    found = _let(F.split(text, pattern, -1), lambda gaps: _let(zipped(gaps), lambda p: _let(_chunks(p), lambda c: F.flatten(F.zip_with(c, _offsets(c), _located)))))
     hinted = F.instr(text, hint) > 0 if hint == "@" else text.rlike(hint)
     return F.when(hinted, found).otherwise(F.array().cast(SPANS))
 
 
-def _vote(yes: Column, no: Column | None = None) -> Column:
-    return F.when(yes, 1).when(no, -1).otherwise(0) if no is not None else F.when(yes, 1).otherwise(0)
+def _vote(value: Column, rules: tuple[str | None, str | None]) -> Column:
+    yes, no = rules
+    against = F.lit(no == ANY_OTHER) if no == ANY_OTHER or no is None else value.rlike(no)
+    return F.when(against, -1).otherwise(F.when(value.rlike(yes), 1).otherwise(0) if yes else F.lit(0)) if no != ANY_OTHER else F.when(value.rlike(yes), 1).otherwise(-1)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> (doc_id, base, more): arrays of (kind, start, end) and (kind, start, end, features)."""
+    """docs(doc_id, text) -> (doc_id, base, more): arrays of (kind, start, end, features)."""
     text = F.col("text")
     out = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for kind in KINDS:
         out = out.withColumn(kind, _base_matches(kind, text))
     for kind in LOOSE:
-        out = out.withColumn(f"loose_{kind}", _matches(text, LOOSE[kind], LOOSE_HINT[kind]))
+        out = out.withColumn(f"loose_{kind}", _apart(_matches(text, LOOSE[kind], LOOSE_HINT[kind])))
     base = F.concat(*[_described(F.col(kind), kind, True) for kind in KINDS])
     more = F.concat(*[_described(F.col(f"loose_{kind}"), kind, False) for kind in LOOSE])
-    out = out.withColumn("base", base)
-    return out.select("doc_id", "base", F.filter(more, lambda m: ~F.exists("base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"]))).alias("more"))
+    return out.select("doc_id", base.alias("base"), more.alias("more"))
+
+
+def _apart(spans: Column) -> Column:
+    """Those of spans that overlap no base span of any kind."""
+    return F.when(F.size(spans) > 0, F.filter(spans, lambda m: ~_any([_overlaps(m, F.col(kind)) for kind in KINDS]))).otherwise(spans)
+
+
+def _any(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
+def _overlaps(m: Column, sorted_spans: Column) -> Column:
+    """Whether m overlaps one of spans, which are in order and apart: the first that ends behind m's start is found by halving."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(sorted_spans) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), F.size(sorted_spans).alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        def side(mid: Column) -> Column:
+            behind = F.get(sorted_spans, mid)["end"] > m["start"]
+            return F.when(s["low"] >= s["high"], s).when(behind, F.struct(s["low"].alias("low"), mid.alias("high"))).otherwise(F.struct((mid + 1).alias("low"), s["high"].alias("high")))
+
+        return _let(F.floor((s["low"] + s["high"]) / 2).cast("int"), side)
+
+    first = F.aggregate(steps, start, halve, lambda s: s["low"])
+    return F.when(F.size(sorted_spans) > 0, F.coalesce(F.get(sorted_spans, first)["start"] < m["end"], F.lit(False))).otherwise(False)
 
 
 def _base_matches(kind: str, text: Column) -> Column:
@@ -139,27 +193,38 @@ def _described(spans: Column, kind: str, base: bool) -> Column:
     """Spans with kind, votes and the classifier's own features as one string."""
 
     def one(m: Column) -> Column:
-        value = m["value"]
-        ahead = F.col("text").substr(F.greatest(m["start"] - BEFORE + 1, F.lit(1)), F.least(m["start"], F.lit(BEFORE)))
+        value, ahead = m["value"], m["before"]
+        marks = F.regexp_replace(value, r"[^\p{L}\p{N}]", "")
+        core = F.regexp_replace(F.lower(marks if kind != "secret" else F.regexp_replace(value, r'^(?i:[a-z_-]+)\s?[=:]', "")), r"[^\p{L}\p{N}]", "")
+        varied = F.size(F.array_distinct(F.split(core, "")))
         votes = [
-            F.lit(1 if base else 0), _vote(value.rlike(STRICT[kind]), F.lit(True)), _vote(value.rlike(GAZETTEER[kind])), _vote(ahead.rlike(CONTEXT[kind])), _vote(F.lit(False), ahead.rlike(AGAINST)),
+            F.lit(1 if base else 0), _vote(value, SHAPE[kind]), _vote(value, GAZETTEER[kind]), F.when(ahead.rlike(CONTEXT[kind]), 1).otherwise(0), F.when(ahead.rlike(AGAINST), -1).otherwise(0),
+            F.when((varied >= VARIED[kind]) & ~core.rlike(RUNS), 1).otherwise(-1) if kind in VARIED else F.lit(0),
         ]
-        size = F.least(F.floor(F.length(value) / 8), F.lit(2))
-        marks = F.when(value.rlike(r"[ ()\[\]]"), 2).when(value.rlike(r"[.-]"), 1).otherwise(0)
-        features = F.concat_ws(",", *[v.cast("string") for v in (*votes, size, marks)])
+        size = F.least(F.floor(F.length(value) / 8), F.lit(4))
+        punctuation = F.when(value.rlike(r"[()\[\]{}<>\"]"), 2).when(value.rlike(r"[.-]"), 1).otherwise(0)
+        digits = F.least(F.floor(4 * F.length(_digits(marks)) / F.greatest(F.length(marks), F.lit(1))), F.lit(3))
+        left = F.when(ahead == "", 0).when(ahead.rlike(r"\s\z"), 1).otherwise(2)
+        right = F.when(m["after"] == "", 0).when(m["after"].rlike(r"\s"), 1).when(m["after"].rlike(r"[.,;:!?]"), 2).otherwise(3)
+        features = F.concat_ws(",", *[v.cast("string") for v in (*votes, size, punctuation, digits, left, right)])
         return F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), features.alias("features"))
 
     return F.transform(spans, one)
 
 
+def _votes(features: Column) -> Column:
+    return F.slice(F.split(features, ","), 1, len(LABELERS))
+
+
 def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """patterns(kind, features, n) -> (kind, features, posterior): EM over one prior and a reliability for each labeler.
+    """patterns(kind, features, n) -> (kind, features, n, posterior): EM over one prior and a reliability for each labeler.
 
     Labelers are taken as independent given the truth; the prior and every reliability are kept from 0 and 1 by
-    pseudo-counts of four votes, three of them right.
+    pseudo-counts of four votes, three of them right. Only counts of vote patterns, 3^6 at most a kind, come together.
     """
-    votes = F.slice(F.transform(F.split("features", ","), lambda x: x.cast("int")), 1, len(LABELERS))
-    rows = patterns.select("kind", "features", F.col("n").cast("double").alias("n"), votes.alias("votes"))
+    voted = patterns.withColumn("votes", F.array_join(_votes(F.col("features")), ","))
+    rows = voted.groupBy("kind", "votes").agg(F.sum("n").cast("double").alias("n"))
+    rows = rows.select("kind", F.col("votes").alias("features"), "n", F.transform(_votes(F.col("votes")), lambda x: x.cast("int")).alias("votes"))
     grouped = rows.groupBy("kind").agg(F.array_sort(F.collect_list(F.struct("features", "n", "votes"))).alias("rows"))
 
     def odds(s: Column, r: Column) -> Column:
@@ -179,7 +244,8 @@ def estimate(patterns: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     start = F.struct(F.lit(0.5).alias("prior"), F.array(*[F.lit(0.75)] * len(LABELERS)).alias("right"))
     model = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, lambda s, _: _let(posteriors(s), maximise))
     done = grouped.withColumn("model", model).select("kind", F.explode(posteriors(F.col("model"))).alias("r"))
-    return done.select("kind", "r.features", "r.n", F.col("r.p").alias("posterior"))
+    done = done.select("kind", F.col("r.features").alias("votes"), F.col("r.p").alias("posterior"))
+    return voted.join(done, ["kind", "votes"]).select("kind", "features", F.col("n").cast("double").alias("n"), "posterior")
 
 
 def _reliability(rs: Column, j: int) -> Column:
@@ -193,29 +259,59 @@ def _reliability(rs: Column, j: int) -> Column:
 
 
 def span_classifier(labelled: DataFrame) -> DataFrame:
-    """(kind, features, n, posterior) -> (kind, features, score): naive Bayes on the soft labels, add-one smoothed."""
-    each = labelled.select("kind", "features", "n", "posterior", F.posexplode(F.split("features", ",")).alias("at", "value"))
-    tables = each.groupBy("kind", "at", "value").agg(F.sum(F.col("n") * F.col("posterior")).alias("yes"), F.sum(F.col("n") * (1 - F.col("posterior"))).alias("no"))
-    whole = labelled.groupBy("kind").agg(F.sum(F.col("n") * F.col("posterior")).alias("all_yes"), F.sum(F.col("n") * (1 - F.col("posterior"))).alias("all_no"))
-    scored = each.join(tables, ["kind", "at", "value"]).join(whole, "kind")
-    part = F.log((F.col("yes") + 1) / (F.col("all_yes") + 3)) - F.log((F.col("no") + 1) / (F.col("all_no") + 3))
-    scored = scored.groupBy("kind", "features").agg((F.sum(part) + F.log((F.first("all_yes") + 1) / (F.first("all_no") + 1))).alias("odds"))
-    return scored.select("kind", "features", (1 / (1 + F.exp(-F.col("odds")))).alias("score"))
+    """(kind, features, n, posterior) -> (kind, at, value, weight): naive Bayes on the soft labels, add-one smoothed.
+
+    A span's log odds are the sum of the weights of its features' values; at -1, the weight of the kind itself.
+    """
+    each = labelled.select("kind", "n", "posterior", F.posexplode(F.split("features", ",")).alias("at", "value"))
+    yes, no = F.sum(F.col("n") * F.col("posterior")), F.sum(F.col("n") * (1 - F.col("posterior")))
+    whole = labelled.groupBy("kind").agg(yes.alias("all_yes"), no.alias("all_no"))
+    tables = each.groupBy("kind", "at", "value").agg(yes.alias("yes"), no.alias("no")).join(whole, "kind")
+    weight = F.log((F.col("yes") + 1) / (F.col("all_yes") + 3)) - F.log((F.col("no") + 1) / (F.col("all_no") + 3))
+    own = whole.select("kind", F.lit(-1).alias("at"), F.lit("").alias("value"), F.log((F.col("all_yes") + 1) / (F.col("all_no") + 1)).alias("weight"))
+    return tables.select("kind", "at", "value", weight.alias("weight")).unionByName(own)
 
 
-def find_personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """docs(doc_id, text) -> (doc_id, base, added): arrays of (kind, start, end); added spans score threshold or more."""
-    found = materialize(candidates(docs), "pii_candidates")
+Model = dict[int, dict[str, float]]
+
+
+def fit(found: DataFrame) -> Model:
+    """Weights by feature, and by kind and value, learned from candidates; one number for each value of a feature of a kind is gathered."""
     patterns = found.select(F.explode(F.concat("base", "more")).alias("c")).groupBy("c.kind", "c.features").agg(F.count("*").alias("n"))
-    scores = span_classifier(materialize(estimate(patterns), "pii_posteriors"))
-    accepted = scores.where(F.col("score") >= threshold).agg(F.collect_set(F.concat("kind", F.lit(":"), "features")).alias("accepted"))
-    model = accepted.first()["accepted"]  # at most one string for each vote pattern
-    known = F.array(*[F.lit(x) for x in sorted(model)]).cast("array<string>")
+    model: Model = {}
+    for r in span_classifier(materialize(estimate(materialize(patterns, "pii_patterns")), "pii_posteriors")).orderBy("at", "kind", "value").collect():
+        model.setdefault(r["at"], {})[f"{r['kind']}:{r['value']}"] = r["weight"]
+    return model
+
+
+def log_odds(model: Model, kind: Column, features: Column) -> Column:
+    def weight(at: int, value: Column) -> Column:
+        known = F.create_map(*[F.lit(x) for pair in model[at].items() for x in pair])
+        return F.coalesce(known[F.concat(kind, F.lit(":"), value)], F.lit(0.0))
+
+    def total(values: Column) -> Column:
+        out = weight(-1, F.lit(""))
+        for at in sorted(model):
+            out = out + weight(at, F.get(values, F.lit(at))) if at >= 0 else out
+        return out
+
+    return _let(F.split(features, ","), total)
+
+
+def decide(found: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """candidates -> (doc_id, base, added): arrays of (kind, start, end); added spans score threshold or more."""
+    least = math.log(threshold / (1 - threshold))
+    added = F.filter("more", lambda m: log_odds(model, m["kind"], m["features"]) >= least) if model else F.slice("more", 1, 0)
     bare = lambda s: F.transform(s, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-    added = F.filter("more", lambda m: F.array_contains(known, F.concat(m["kind"], F.lit(":"), m["features"])))
     return found.select("doc_id", bare(F.col("base")).alias("base"), bare(added).alias("added"))
 
 
+def find_personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """docs(doc_id, text) -> (doc_id, base, added); the model is learned from the same documents."""
+    found = materialize(candidates(docs), "pii_candidates")
+    return decide(found, fit(found), threshold)
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
