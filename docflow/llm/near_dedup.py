@@ -2,18 +2,19 @@
 
 Two collections of 8 values, each value made of 2 minhashes, stand for 64 tables: a table's key is a pair of one value
 from either collection, so 32 minhashes do the work of 256. At a similarity of 0.85 a pair shares no key with a
-probability of 7e-5; for other thresholds, a parameter, the collections are sized to the same (10 values at 0.80). Documents with equal shingle sets are one class from the start and only classes are compared:
+probability of 7e-5, which is all that is lost; for other thresholds, a parameter, the collections are sized to the same (10 values
+at 0.80). Documents with equal shingle sets are one class from the start and only classes are compared:
 
 1. a value that one class alone has is dropped before keys are formed, as it cannot be part of a shared key;
 2. in every bucket, the member with most bucket mates is the pivot, and all others are compared with it;
 3. classes that the pivots have not joined are compared across components, pivot by pivot: every class outside the largest
-   component of the pivot's bucket mates with every mate of another component. Mates are cut into chunks of about CHUNK, a
-   task compares two chunks, and only links leave it: no pair is emitted and no task holds a whole group. Sizes, minhashes and,
-   in crowds, the number of shingles that either class shares with anyone rule most pairs out beforehand.
+   component of the pivot's bucket mates with every mate of another component. Mates are cut into chunks of about CHUNK shingles, a
+   task compares two chunks by the products of their incidence matrices, and only links leave it: no pair is emitted and no task
+   holds a whole group. A set is copied to as many chunk pairs as its family has chunks.
 
 Every link is confirmed on the full shingle sets, as 64-bit shingle hashes. In buckets of more than LARGE members, a class
 goes before step 2 if fewer than the threshold's share of its shingles occur in any other such class: no partner can
-then be similar enough. Both tests are exact, so no link between bucket mates is lost, however large the bucket.
+then be similar enough. This and the bounds by sizes are exact, so no link between bucket mates is lost, however large the bucket.
 
 Edge cases: null, empty or white-space text has no shingles and stays alone; a text of fewer words than a shingle is one
 shingle; rows that repeat a doc_id are linked as their texts are, and share the doc_id's component; a null doc_id is
@@ -35,20 +36,17 @@ from .components import components
 from .words import P, WordHashes, mix, shingle_set
 
 PER_VALUE, WIDTH, PERCENT = 2, 5, 85
-MISSED = 7.5e-5  # most that either of the tests on minhashes may miss of pairs at the threshold
-LARGE, CHUNK = 16, 128
-STEP = 1 << 14
+MISSED = 7.5e-5  # most of the pairs at the threshold that may share no key
+LARGE, CHUNK = 16, 1 << 19
+STEP, DENSE, COLUMNS = 1 << 14, 256, 2048
 
 
-def tuned(percent: int) -> tuple[int, int]:
-    """Values of a collection, and how many minhashes a pair must agree in, for a threshold: 8 and 18 of 32 at 85, 10 and 21 of 40 at 80."""
-    s, half = percent / 100, 1
-    while 2 * (1 - s**PER_VALUE) ** half > MISSED:
+def tuned(percent: int) -> int:
+    """Values of a collection for a threshold: 8 at 85, 10 at 80."""
+    half = 1
+    while 2 * (1 - (percent / 100) ** PER_VALUE) ** half > MISSED:
         half += 1
-    n, agreeing, below = 2 * half * PER_VALUE, 0, 0.0
-    while (below := below + math.comb(n, agreeing) * s**agreeing * (1 - s) ** (n - agreeing)) <= MISSED:
-        agreeing += 1
-    return half, agreeing
+    return half
 
 
 def _multipliers(half: int, seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
@@ -67,21 +65,19 @@ def minhashes(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch], half: int) -> Iterator[pa.RecordBatch]:
     cache, (a, b) = WordHashes(), _multipliers(half)
     for batch in batches:
-        n, cls, low, values = [], [], [], []
+        n, cls, values = [], [], []
         for text in batch.column("text"):
             s = shingle_set(text.as_py(), WIDTH, cache)
             n.append(len(s))
             if not len(s):
-                cls.append(None), low.append(None), values.append(None)
+                cls.append(None), values.append(None)
                 continue
             cls.append(int(mix(np.array([(mix(s) * P).sum(dtype=np.uint64) ^ np.uint64(len(s))], np.uint64)).view(np.int64)[0]))
             m = minhashes(s, a, b)
-            low.append((m >> np.uint64(33)).astype(np.int32))
             at = np.arange(2 * half, dtype=np.uint64)
             values.append(mix((m[0::2] * P + m[1::2]) * P + at).view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(low, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "cls", "low", "vals"],
+            [batch.column("doc_id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["doc_id", "th", "n_shingles", "cls", "vals"]
         )
 
 
@@ -94,10 +90,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["cls", "shingles"])
 
 
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+
+
 def sketch(docs: DataFrame, half: int) -> DataFrame:
-    """(doc_id, n_shingles, cls, low, vals): class of equal shingle sets, minhashes, and the values of both collections."""
+    """(doc_id, th, n_shingles, cls, vals): hash of the text, class of equal shingle sets, and the values of both collections."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(lambda batches: _sketch(batches, half), f"doc_id {kind}, n_shingles long, cls long, low array<int>, vals array<long>")
+    return _hashed(docs).mapInArrow(lambda batches: _sketch(batches, half), f"doc_id {kind}, th long, n_shingles long, cls long, vals array<long>")
 
 
 def buckets(classes: DataFrame, half: int) -> DataFrame:
@@ -120,58 +120,92 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("inter") >= percent * (F.size("su") + F.size("sv") - F.col("inter"))).select("u", "v")
 
 
-def _compare_chunks(rows: pa.Table, percent: int, agreeing: int) -> pa.Table:
+def _common(sets: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """How many shingles each of sets shares with each of others. sets, others: (number of the set, shingle) of all members.
+
+    Shingles of many sets are columns of matrices that are multiplied, COLUMNS at a time; the pairs of the rest are counted one by one.
+    """
+    both = np.intersect1d(sets[1], others[1])
+    (i, x), (j, y) = ((own[k], np.searchsorted(both, shingles[k])) for own, shingles in (sets, others) for k in (np.isin(shingles, both),))
+    i, x, j, y = (z for own, col in ((i, x), (j, y)) for order in (np.argsort(col, kind="stable"),) for z in (own[order], col[order]))
+    left, right = np.bincount(x, minlength=len(both)), np.bincount(y, minlength=len(both))
+    out = np.zeros(shape, np.float32)
+    hot = np.flatnonzero(left * right > DENSE)
+    rank = np.full(len(both), -1, np.int64)
+    rank[hot] = np.arange(len(hot))
+    for first in range(0, len(hot), COLUMNS):
+        a, b = (np.zeros((n, COLUMNS), np.float32) for n in shape)
+        for matrix, own, col in ((a, i, x), (b, j, y)):
+            at = (rank[col] >= first) & (rank[col] < first + COLUMNS)
+            matrix[own[at], rank[col[at]] - first] = 1
+        out += a @ b.T
+    rare = np.flatnonzero(left * right <= DENSE)
+    ends, other_ends, flat = np.cumsum(left), np.cumsum(right), out.reshape(-1)
+    for first in range(0, len(rare), 1 << 14):
+        cols = rare[first : first + (1 << 14)]
+        pairs = left[cols] * right[cols]
+        at = np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        wide, begin, other = (np.repeat(v[cols], pairs) for v in (right, ends - left, other_ends - right))
+        keys, counts = np.unique(i[begin + at // wide] * shape[1] + j[other + at % wide], return_counts=True)
+        flat[keys] += counts
+    return out
+
+
+def _compare_chunks(rows: pa.Table, percent: int) -> pa.Table:
     """Links between the outer classes and the mates of one pair of chunks."""
+    rows = rows.combine_chunks()
     side, cls, component, n = (rows.column(c).to_numpy() for c in ("outer", "cls", "component", "n"))
     common = rows.column("common").fill_null(-1).to_numpy()
-    low = np.array(rows.column("low").to_pylist(), np.int32)
-    shingles, held = rows.column("shingles"), {}
     outer, mates = np.flatnonzero(side), np.flatnonzero(side == 0)
-
-    def full(i: int) -> frozenset:
-        if i not in held:
-            held[i] = frozenset(shingles[i].as_py())
-        return held[i]
-
-    links = []
-    for i in outer.tolist():
-        able = (component[mates] != component[i]) & (100 * np.minimum(n[mates], n[i]) >= percent * np.maximum(n[mates], n[i]))
-        if common[i] >= 0:  # what two of a crowd have both is common to the crowd
-            able &= (common[mates] < 0) | ((100 + percent) * np.minimum(common[mates], common[i]) >= percent * (n[mates] + n[i]))
-        near = mates[able]
-        for j in near[(low[near] == low[i]).sum(axis=1) >= agreeing].tolist():
-            both = len(full(i) & full(j))
-            if 100 * both >= percent * (int(n[i]) + int(n[j]) - both):
-                links.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
-    return pa.table({"u": pa.array([x[0] for x in links], pa.int64()), "v": pa.array([x[1] for x in links], pa.int64())})
-
-
-def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame, percent: int, agreeing: int) -> DataFrame:
-    """mates(pivot, cls, component) -> links (u, v) between classes of different components with a common pivot."""
-    parts = mates.groupBy("pivot", "component").agg(F.count("*").alias("size"))
+    able = (component[outer][:, None] != component[mates]) & (100 * np.minimum(n[outer][:, None], n[mates]) >= percent * np.maximum(n[outer][:, None], n[mates]))
+    shared = np.minimum(common[outer][:, None], common[mates])  # what two of a crowd have both is common to the crowd
+    able &= (shared < 0) | ((100 + percent) * shared >= percent * (n[outer][:, None] + n[mates]))
+    outer, mates, able = outer[able.any(axis=1)], mates[able.any(axis=0)], able[able.any(axis=1)][:, able.any(axis=0)]
+    if not able.size:
+        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+    lists = rows.column("shingles").chunk(0)
+    members, offsets = np.asarray(lists.values), np.asarray(lists.offsets)
+
+    def all_of(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(at)), offsets[at + 1] - offsets[at]), np.concatenate([members[offsets[k] : offsets[k + 1]] for k in at])
+
+    inter = _common(all_of(outer), all_of(mates), (len(outer), len(mates))).astype(np.int64)
+    i, j = np.nonzero(able & (100 * inter >= percent * (n[outer][:, None] + n[mates] - inter)))
+    u, v = cls[outer[i]], cls[mates[j]]
+    return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
+
+
+def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """mates(pivot, cls, component, n) -> links (u, v) between classes of different components with a common pivot."""
+    parts = mates.groupBy("pivot", "component").agg(F.sum("n").alias("size"))
     tops = parts.groupBy("pivot").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count("*").alias("parts")).where("parts > 1")
     tops = tops.select("pivot", F.col("top.component").alias("top"), F.ceil(F.col("all") / CHUNK).alias("chunks"), F.ceil((F.col("all") - F.col("top.size")) / CHUNK).alias("outer_chunks"))
     tops = materialize(tops, "tops")  # apart from the join, which Spark can then split where a pivot has many mates
-    rows = mates.join(tops, "pivot").join(traits, "cls").join(sets, "cls")
+    rows = mates.drop("n").join(tops, "pivot").join(traits, "cls").join(sets, "cls")
     own = lambda count: F.pmod(F.xxhash64("cls"), count)
     as_mate = F.transform(F.sequence(F.lit(0).cast("long"), F.col("outer_chunks") - 1), lambda c: F.struct(F.lit(0).alias("outer"), c.alias("oc"), own(F.col("chunks")).alias("mc")))
     as_outer = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: F.struct(F.lit(1).alias("outer"), own(F.col("outer_chunks")).alias("oc"), c.alias("mc")))
     places = F.when(F.col("component") == F.col("top"), as_mate).otherwise(F.concat(as_mate, as_outer))
-    placed = rows.select("pivot", "cls", "component", "n", "common", "low", "shingles", F.explode(places).alias("at")).select("*", "at.*").drop("at")
-    return placed.groupBy("pivot", "oc", "mc").applyInArrow(lambda rows: _compare_chunks(rows, percent, agreeing), "u long, v long").distinct()
+    placed = rows.select("pivot", "cls", "component", "n", "common", "shingles", F.explode(places).alias("at")).select("*", "at.*").drop("at")
+    return placed.groupBy("pivot", "oc", "mc").applyInArrow(lambda rows: _compare_chunks(rows, percent), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, n_shingles, component_id, kept), a row for each row of docs; pairs of a similarity of percent or more are linked."""
-    half, agreeing = tuned(percent)
+    return _grouped(docs, percent).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, th, n_shingles, component_id, first): th is the text's hash, first that of the least row of the component."""
+    half = tuned(percent)
     sketched = materialize(sketch(docs, half), "sketch")
-    classes = materialize(
-        sketched.where("cls is not null").groupBy("cls", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"), F.first("low").alias("low"), F.first("vals").alias("vals")), "classes"
-    )
+    least = F.min(F.struct("doc_id", "th"))
+    classes = sketched.where("cls is not null").groupBy("cls", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("id"), least.alias("rep"), F.first("vals").alias("vals"))
+    classes = materialize(classes, "classes")
     members = materialize(buckets(classes, half), "buckets")
     compared = materialize(members.select("cls").distinct(), "compared")
-    wanted = classes.join(compared, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    wanted = classes.join(compared, "cls", "left_semi").select(F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"))
+    texts = _hashed(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left_semi").select("text")
     sets = materialize(texts.mapInArrow(_sets, "cls long, shingles array<long>").join(compared, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles")), "sets")
 
     crowd = members.where(F.col("size") > LARGE).select("cls").distinct()
@@ -191,26 +225,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = materialize(_linked(stars, sets, percent), "links")
     found = components(links)
 
-    traits = classes.join(compared, "cls", "left_semi").join(crowd.select("cls", "common"), "cls", "left").select("cls", "n", "common", "low")
+    traits = classes.join(compared, "cls", "left_semi").join(crowd.select("cls", "common"), "cls", "left").select("cls", "n", "common")
     mates = members.join(pivots, "key").select("pivot", "cls").distinct().join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
-    mates = materialize(mates.withColumn("component", F.coalesce("component", "cls")), "mates")
-    links = links.unionByName(materialize(_across(mates, traits, sets, percent, agreeing), "links"))
+    mates = materialize(mates.withColumn("component", F.coalesce("component", "cls")).join(traits.select("cls", "n"), "cls"), "mates")
+    links = links.unionByName(materialize(_across(mates, traits, sets, percent), "links"))
     return _labelled(sketched, classes, components(links))
 
 
 def _labelled(sketched: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    named = classes.select("cls", "rep").join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "component").select("cls", "component_id")
-    out = sketched.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = classes.select("cls", "id", "rep").join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    least = named.groupBy("component").agg(F.min("id").alias("component_id"), F.min("rep")["th"].alias("first"))
+    named = named.join(least, "component").select("cls", "component_id", "first")
+    out = sketched.select("doc_id", "th", "n_shingles", "cls").join(named, "cls", "left")
+    return out.select("doc_id", "th", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.when(F.col("cls").isNotNull(), F.col("first")).otherwise(F.col("th")).alias("first"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """docs without the documents that are not their component's first; rows of a null doc_id go only if linked."""
-    gone = near_duplicates(docs, percent).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """docs without the documents that are not their component's first; of a component without any doc_id, the least text stays."""
+    groups = materialize(_grouped(docs, percent), "groups")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    nameless = groups.where("doc_id is null and (component_id is not null or th <> first)").select(F.col("th").alias("_th")).distinct()
+    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(docs.columns)
+    if nameless.isEmpty():
+        return named.unionByName(docs.where("doc_id is null"))
+    return named.unionByName(docs.where("doc_id is null").join(nameless, F.xxhash64("text") == F.col("_th"), "left_anti").select(docs.columns))
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from corpora import frame, simple, words
 
@@ -63,7 +64,7 @@ def test_components_equal_brute_force(spark, seed):
 
 
 def test_chunks_of_a_crowd(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "CHUNK", 7)
+    monkeypatch.setattr(near_dedup, "CHUNK", 800)
     texts = family(3, 120)
     want = brute(list(enumerate(texts)))
     assert {(r["doc_id"], texts[r["doc_id"]]): (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(simple(spark, texts)).collect()} == want
@@ -74,11 +75,33 @@ def test_odd_rows(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got = near_dedup.near_duplicates(docs).collect()
     assert len(got) == len(rows)
-    want = {k: v for k, v in brute(rows).items() if k[0] not in (None, 3)}
-    by_id = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got}
-    assert all(by_id[k[0]] == v for k, v in want.items())
+    want = sorted([(k[0], *v) for k, v in brute(rows).items()], key=str)
+    assert sorted({(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got}, key=str) == sorted(set(want), key=str)
     kept = near_dedup.keep_one(docs)
-    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in got if r["kept"] or r["doc_id"] is None}
+    gone = {r["doc_id"] for r in got if not r["kept"]}
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in got} - gone
+
+
+def test_rows_without_an_id_are_linked(spark):
+    rng = random.Random(11)
+    a, b, c = (words(rng, 200) for _ in range(3))
+    rows = [(1, a), (None, f"{a} more"), (None, b), (None, f"{b} x"), (None, b), (7, c), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs).collect()
+    assert sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in got), key=str) == sorted([(1, 1, True), (None, 1, False), (7, 7, True), *[(None, None, True)] * 5], key=str)
+    texts = [(r["doc_id"], r["text"]) for r in near_dedup.keep_one(docs).collect()]
+    assert (1, a) in texts and (None, f"{a} more") not in texts and sum(t in (b, f"{b} x") for _, t in texts) in (1, 2) and len({t for _, t in texts if t in (b, f"{b} x")}) == 1
+    assert (None, None) in texts and (None, "") in texts
+
+
+@pytest.mark.parametrize("dense", [0, 3, 10**9])
+def test_common_shingles_are_counted(monkeypatch, dense):
+    monkeypatch.setattr(near_dedup, "DENSE", dense)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 5)
+    rng = random.Random(4)
+    sets, others = ([frozenset(rng.sample(range(-30, 30), rng.randrange(1, 25))) for _ in range(n)] for n in (9, 14))
+    flat = lambda xs: (np.array([i for i, x in enumerate(xs) for _ in x]), np.array([v for x in xs for v in x], np.int64))
+    assert near_dedup._common(flat(sets), flat(others), (9, 14)).tolist() == [[len(a & b) for b in others] for a in sets]
 
 
 def test_empty(spark):
@@ -103,7 +126,7 @@ def test_connected_components(spark):
 
 
 def test_threshold_is_a_parameter(spark):
-    assert near_dedup.tuned(85) == (8, 18) and near_dedup.tuned(80)[0] == 10
+    assert near_dedup.tuned(85) == 8 and near_dedup.tuned(80) == 10
     rng = random.Random(11)
     texts = []
     for _ in range(20):
