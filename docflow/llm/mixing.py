@@ -1,12 +1,16 @@
 """Operator 5, mixing sources to target weights (DataFrame functions only).
 
-A source is its documents' words in a permuted order, cut into blocks of ``block_words``. Its target becomes an exact
+A source is its documents' words in a permuted order, cut into blocks of ``block_words``, or of less in a source whose target so large a
+block would miss by a half per cent. Its target becomes an exact
 quota of blocks; a multivariate-hypergeometric splitting tree deals the quotas of all sources to the output shards;
 each shard draws its own stretch of every source's permuted block sequence, so that draws are disjoint, and shuffles
-its blocks locally by a keyed hash. A document belongs to a mix through the word ranges of the blocks drawn.
+its blocks locally by a keyed hash. The permutation is a keyed Feistel network, so neighbouring blocks of a document land
+apart. A document belongs to a mix through the word ranges of the blocks drawn.
 
 Scale: documents are sized once and shuffled once, by (source, hash range), about 256 rows to a range of all
-sources; global word offsets come from sums of ranges, and of 1,024 ranges at a time. The tree has a row for each shard with a number for each source.
+sources; global word offsets come from sums of ranges, and of 1,024 ranges at a time. Sources, of which there may be many, are ranked by
+ranges, and the rate of weights is found by sums over all; the tree first deals quotas of groups of sources, as many as a group has sources,
+and then each group's in a row of its own, so that no row has more numbers than the square root of the sources and no task more than some rows.
 
 Edge cases: null or wordless text has size 0 and is taken 0 times; a null source is a source, ordered last; repeated rows
 are dealt out one after the other; an empty table gives no rows; columns beside doc_id, text and source are ignored.
@@ -19,11 +23,12 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import global_rank
 from .common import materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
-PRIME = 2147483647
 RANGE_ROWS = 256
+ROUNDS, WALK = 4, 24
 
 
 def _uniform(*parts: Column) -> Column:
@@ -99,55 +104,94 @@ def _seek(g: Column) -> Column:
 
 def _dealer(level: int, seed: int):
     def deal(s: Column, q: Column) -> Column:
-        x = hypergeometric(s["pop"], q, s["draws"], _uniform(F.lit(seed), F.lit(level), F.col("shard"), F.size(s["out"])))
+        x = hypergeometric(s["pop"], q, s["draws"], _uniform(F.lit(seed), F.lit(level), F.col("group"), F.col("shard"), F.size(s["out"])))
         return _let(x, lambda x: F.struct((s["draws"] - x).alias("draws"), (s["pop"] - q).alias("pop"), F.concat(s["out"], F.array(x)).alias("out")))
 
     return deal
 
 
-def split_quotas(root: DataFrame, levels: int, seed: int) -> DataFrame:
-    """root: one row with quotas array<long>, by source. Returns (shard, quotas) for 2^levels shards.
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, q: a + q)
 
-    Every inner node halves its blocks between its children; how many of each source go left is a multivariate
-    hypergeometric draw, made as a chain of conditional hypergeometric draws.
+
+def split_quotas(roots: DataFrame, levels: int, seed: int) -> DataFrame:
+    """roots(group, quotas array<long>, leaves array<long>) -> (group, shard, quotas) for 2^levels shards.
+
+    Every inner node deals its blocks to its two children; how many of each source go left is a multivariate
+    hypergeometric draw, made as a chain of conditional hypergeometric draws. leaves: how many blocks of the group each shard is
+    to get; null: an inner node halves its blocks.
     """
-    tree = root.select(F.lit(0).cast("long").alias("shard"), "quotas")
+    tree = roots.select("group", F.lit(0).cast("long").alias("shard"), "quotas", "leaves")
     for level in range(levels):
-        total = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q)
-        start = F.struct(
-            F.floor((total + F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "shard"), F.lit(2))) / 2).cast("long").alias("draws"),
-            total.alias("pop"), F.array().cast("array<bigint>").alias("out"),
-        )
-
+        if level == 3:
+            tree = tree.repartition(F.col("group"), F.col("shard"))
+        width = 1 << (levels - level - 1)
+        half = F.floor((_sum(F.col("quotas")) + F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "shard"), F.lit(2))) / 2).cast("long")
+        given = _sum(F.slice("leaves", (F.col("shard") * 2 * width + 1).cast("int"), F.lit(width)))
+        start = F.struct(F.coalesce(given, half).alias("draws"), _sum(F.col("quotas")).alias("pop"), F.array().cast("array<bigint>").alias("out"))
         tree = tree.withColumn("taken", F.aggregate("quotas", start, _dealer(level, seed), lambda s: s["out"]))
         halves = F.array(
             F.struct((F.col("shard") * 2).alias("shard"), F.col("taken").alias("quotas")),
             F.struct((F.col("shard") * 2 + 1).alias("shard"), F.zip_with("quotas", "taken", lambda a, b: a - b).alias("quotas")),
         )
-        tree = tree.select(F.explode(halves).alias("half")).select("half.*")
-    return tree
+        tree = tree.select("group", "leaves", F.explode(halves).alias("half")).select("group", "half.shard", "half.quotas", "leaves")
+    return tree.select("group", "shard", "quotas")
+
+
+def deal_quotas(plan: DataFrame, sources: int, levels: int, seed: int) -> DataFrame:
+    """plan(place, quota) of sources -> (shard, place, drawn)."""
+    size = max(1, math.isqrt(max(0, sources - 1)) + 1)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("place", "quota"))), lambda x: x["quota"])
+    groups = materialize(plan.groupBy(F.floor(F.col("place") / size).alias("group")).agg(in_order.alias("quotas"), F.sum("quota").alias("all")), "mix_groups")
+    root = groups.agg(F.transform(F.array_sort(F.collect_list(F.struct("group", "all"))), lambda x: x["all"]).alias("quotas"))  # a number for each group
+    root = root.select(F.lit(-1).cast("long").alias("group"), "quotas", F.lit(None).cast("array<bigint>").alias("leaves"))
+    dealt = split_quotas(root, levels, seed).select("shard", F.posexplode("quotas").alias("group", "got"))
+    leaves = dealt.groupBy(F.col("group").cast("long").alias("group")).agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "got"))), lambda x: x["got"]).alias("leaves"))
+    shards = split_quotas(groups.join(leaves, "group").select("group", "quotas", "leaves"), levels, seed)
+    return shards.select("shard", "group", F.posexplode("quotas").alias("at", "drawn")).select("shard", (F.col("group") * size + F.col("at")).alias("place"), "drawn")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0) -> DataFrame:
     """sizes(source, words) -> adds place (order by code point, null last), weight, target.
 
-    Targets are in proportion to weight; none is over ceiling times its source, and what one cannot take goes to the others.
-    With sources ordered by words over weight, those at their ceiling come first, so one pass of sums finds the common rate.
+    Targets are in proportion to weight; none is over ceiling times its source, and what one cannot take goes to the others:
+    the common rate rises, by sums over all sources, until no further one is at its ceiling.
     """
-    whole = Window.partitionBy()
-    order = Window.partitionBy().orderBy(F.col("source").asc_nulls_last())
-    by = Window.partitionBy().orderBy(F.col("words") / F.col("weight"), "place")
-    past = by.rowsBetween(Window.unboundedPreceding, -1)
     cycle = F.array(*[F.lit(w) for w in weights])
-    out = sizes.withColumn("place", F.row_number().over(order) - 1)
-    out = out.withColumn("weight", F.element_at(cycle, (F.col("place") % len(weights) + 1).cast("int")).cast("double"))
-    rest = share * F.sum("words").over(whole) - ceiling * F.coalesce(F.sum("words").over(past), F.lit(0))
-    out = out.withColumn("rate", rest / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(past), F.lit(0.0))))
-    out = out.withColumn("full", F.col("rate") * F.col("weight") >= ceiling * F.col("words"))
-    rate = F.first(F.when(~F.col("full"), F.col("rate")), ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    out = out.withColumn("common", rate)
-    target = F.when(F.col("full") | F.col("common").isNull(), ceiling * F.col("words")).otherwise(F.least(F.col("common") * F.col("weight"), ceiling * F.col("words")))
-    return out.withColumn("target", target.cast("double")).drop("rate", "full", "common")
+    out = global_rank(sizes.withColumn("_last", F.col("source").isNull()), ["_last", "source"], "place").drop("_last").withColumn("place", F.col("place") - 1)
+    out = materialize(out.withColumn("weight", F.element_at(cycle, (F.col("place") % len(weights) + 1).cast("int")).cast("double")), "mix_sources")
+    limit, rate, full = ceiling * F.col("words"), 0.0, -1
+    while True:
+        at_limit = F.col("weight") * rate >= limit if full >= 0 else F.lit(False)
+        now = out.agg(F.count_if(at_limit), share * F.sum("words") - F.coalesce(F.sum(F.when(at_limit, limit)), F.lit(0.0)), F.sum(F.when(~at_limit, F.col("weight")))).first()
+        if now[0] == full or not now[2]:
+            break
+        full, rate = now[0], now[1] / now[2]
+    # With every source at its ceiling there is no rate; share is then over ceiling.
+    target = F.least(F.col("weight") * rate, limit) if now[2] or now[0] == 0 else limit
+    return out.withColumn("target", target.cast("double"))
+
+
+def permuted(x: Column, count: Column, rows: Column, cols: Column, *key: Column) -> Column:
+    """A keyed permutation of 0 .. count-1, for rows * cols >= count: a Feistel network over (row, column), walked on while it leads outside.
+
+    Outside are fewer than rows numbers of rows * cols; no walk is longer, and one of WALK steps has a chance below 1e-14.
+    """
+
+    def network(x: Column) -> Column:
+        def turn(s: Column, j: int) -> Column:
+            add = lambda other, size: F.pmod(F.xxhash64(*key, F.lit(j), other), size)
+            if j % 2:
+                return F.struct(s["l"].alias("l"), F.pmod(s["r"] + add(s["l"], cols), cols).alias("r"))
+            return F.struct(F.pmod(s["l"] + add(s["r"], rows), rows).alias("l"), s["r"].alias("r"))
+
+        def rounds(s: Column, j: int) -> Column:
+            return _let(turn(s, j), lambda t: rounds(t, j + 1)) if j < ROUNDS else s["l"] * cols + s["r"]
+
+        return rounds(F.struct(F.floor(x / cols).alias("l"), F.pmod(x, cols).alias("r")), 0)
+
+    steps = F.slice(F.array(*[F.lit(i) for i in range(WALK)]), F.lit(1), F.least(rows * cols - count, F.lit(WALK)).cast("int"))
+    return F.aggregate(steps, network(x), lambda y, _: F.when(y >= count, network(y)).otherwise(y))
 
 
 def mix(
@@ -164,16 +208,17 @@ def mix(
     sized = sized.withColumn("range", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
 
     plan = source_targets(sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("words")), weights, share, ceiling)
-    plan = plan.withColumn("width", F.greatest(F.lit(block_words), F.ceil(F.col("words") / float(1 << 30))).cast("long"))
+    fine = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("target") / 200)))
+    plan = plan.withColumn("width", F.greatest(fine, F.ceil(F.col("words") / float(1 << 30))).cast("long"))
     plan = plan.withColumn("blocks", F.ceil(F.col("words") / F.col("width")).cast("long"))
     plan = plan.withColumn("quota", F.coalesce(F.round(F.col("target") / F.when(F.col("words") > 0, F.col("words")) * F.col("blocks")), F.lit(0)).cast("long"))
-    plan = materialize(plan, "mix_plan")
-    root = plan.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "quota"))), lambda x: x["quota"]).alias("quotas"))
-    shards = split_quotas(root, levels, seed).select("shard", F.posexplode("quotas").alias("place", "drawn"))
+    plan = plan.withColumn("rows", F.greatest(F.lit(1), F.ceil(F.sqrt("blocks"))).cast("long"))
+    plan = materialize(plan.withColumn("cols", F.greatest(F.lit(1), F.ceil(F.col("blocks") / F.col("rows"))).cast("long")), "mix_plan")
+    shards = deal_quotas(plan.select("place", "quota"), plan.count(), levels, seed)
     before = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.withColumn("begin", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
     starts = shards.groupBy("place").agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "begin"))), lambda x: x["begin"]).alias("starts"))
-    plan = plan.join(starts, "place", "left").select("key", "target", "width", "blocks", "quota", "starts", "place")
+    plan = plan.join(starts, "place", "left").select("key", "target", "width", "blocks", "rows", "cols", "quota", "starts", "place")
 
     ranges = sized.groupBy("key", "range").agg(F.sum("size").alias("words")).withColumn("span", F.shiftright("range", 10))
     spans = ranges.groupBy("key", "span").agg(F.sum("words").alias("words"))
@@ -190,25 +235,25 @@ def mix(
     halvings = F.array(*[F.lit(1 << i) for i in reversed(range(levels))])
 
     def place_of(b: Column, turn: Column) -> Column:
-        shift = F.pmod(F.xxhash64(F.lit(seed), F.col("place"), turn), blocks)
-        return turn * blocks + F.pmod(b * F.lit(PRIME) + shift, blocks)
+        return turn * blocks + permuted(b, blocks, F.col("rows"), F.col("cols"), F.lit(seed), F.col("place"), turn)
 
     def shard_of(p: Column) -> Column:
         return F.aggregate(halvings, F.lit(0), lambda lo, s: F.when(F.element_at("starts", lo + s + 1) <= p, lo + s).otherwise(lo))
 
-    def segment(b: Column, turn: Column) -> Column:
-        first = F.greatest(begin, b * width)
-        words = F.least(begin + size, (b + 1) * width) - first
-        return _let(
-            place_of(b, turn),
-            lambda p: F.struct(
-                shard_of(p).alias("shard"), turn.cast("int").alias("pass"), F.xxhash64(F.lit(seed), F.col("place"), p).alias("order_key"),
-                (first - begin).alias("start_word"), words.alias("n_words"),
-            ),
+    def segment(x: Column, turn: Column) -> Column:
+        first = F.greatest(begin, x["b"] * width)
+        words = F.least(begin + size, (x["b"] + 1) * width) - first
+        return F.struct(
+            shard_of(x["p"]).alias("shard"), turn.cast("int").alias("pass"), F.xxhash64(F.lit(seed), F.col("place"), x["p"]).alias("order_key"),
+            (first - begin).alias("start_word"), words.alias("n_words"),
         )
 
+    def drawn_in(turn: Column) -> Column:
+        placed = F.transform(F.when(quota > turn * blocks, own).otherwise(F.array().cast("array<bigint>")), lambda b: F.struct(b.alias("b"), place_of(b, turn).alias("p")))
+        return F.transform(F.filter(placed, lambda x: x["p"] < quota), lambda x: segment(x, turn))
+
     passes = F.array(*[F.lit(i).cast("long") for i in range(math.ceil(ceiling))])
-    drawn = F.flatten(F.transform(passes, lambda t: F.transform(F.filter(own, lambda b: place_of(b, t) < quota), lambda b: segment(b, t))))
+    drawn = F.flatten(F.transform(passes, drawn_in))
     return rows.select("doc_id", "source", "size", "target", F.when(size > 0, drawn).alias("segments"))
 
 

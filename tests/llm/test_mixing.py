@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -48,7 +49,7 @@ def test_hypergeometric(spark):
 
 def test_splitting_tree(spark):
     quotas = [1000, 300, 0, 17]
-    leaves = mixing.split_quotas(spark.createDataFrame([(quotas,)], "quotas array<long>"), 4, 1).collect()
+    leaves = mixing.split_quotas(spark.createDataFrame([(0, quotas, None)], "group long, quotas array<long>, leaves array<long>"), 4, 1).collect()
     assert len(leaves) == 16 and [sum(r["quotas"][i] for r in leaves) for i in range(4)] == quotas
     assert all(min(r["quotas"]) >= 0 for r in leaves) and max(sum(r["quotas"]) for r in leaves) - min(sum(r["quotas"]) for r in leaves) <= 4
 
@@ -84,3 +85,44 @@ def test_reruns_agree_and_empty(spark):
     assert mixing.taken_words(mixing.mix(frame(spark, []))).count() == 0
     nothing = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert [(r["target"], r["taken"]) for r in mixing.taken_words(mixing.mix(nothing)).collect()] == [(0.0, 0)] * 2
+
+
+@pytest.mark.parametrize("sources", [1, 2, 40])
+def test_tree_over_groups_of_sources(spark, sources):
+    rng = random.Random(sources)
+    quotas = [rng.choice((0, 3, 50, 900)) for _ in range(sources)]
+    dealt = mixing.deal_quotas(spark.createDataFrame(list(enumerate(quotas)), "place long, quota long"), sources, 3, 1).collect()
+    assert len(dealt) == 8 * sources and all(sum(r["drawn"] for r in dealt if r["place"] == i) == q for i, q in enumerate(quotas))
+    shards = [sum(r["drawn"] for r in dealt if r["shard"] == k) for k in range(8)]
+    assert max(shards) - min(shards) <= 3 and min(r["drawn"] for r in dealt) >= 0
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 5, 7, 12, 13, 97, 1000, 1024, 1025, 65_536])
+def test_permutation(spark, count):
+    rows = math.ceil(math.sqrt(count))
+    cols = math.ceil(count / rows)
+    made = spark.range(count).select(mixing.permuted(F.col("id"), F.lit(count).cast("long"), F.lit(rows).cast("long"), F.lit(cols).cast("long"), F.lit(5), F.lit(1)).alias("p"))
+    p = [r["p"] for r in made.collect()]
+    assert sorted(p) == list(range(count))
+    if count >= 1000:  # neighbours land apart: as many next to each other as by chance
+        assert sum(abs(a - b) <= 1 for a, b in zip(p, p[1:], strict=False)) < 20
+
+
+def test_blocks_of_a_document_are_spread(spark):
+    texts = [(i, "word " * (32 * 64), "a") for i in range(16)]  # 1,024 blocks
+    blocks = mixing.mixed_blocks(mixing.mix(spark.createDataFrame(texts, "doc_id long, text string, source string"))).collect()
+    for i in range(16):
+        assert len({b["shard"] for b in blocks if b["doc_id"] == i}) > 32
+    order = sorted(blocks, key=lambda b: (b["shard"], b["order_key"]))
+    assert sum(a["doc_id"] == b["doc_id"] for a, b in zip(order, order[1:], strict=False)) < len(order) / 6
+
+
+def test_small_sources_meet_their_targets(spark):
+    rows = [(10 * k + i, "five words of a text", s) for k, s in enumerate("abc") for i in range(4)]
+    rows += [(100 + i, "w " * 900, "large") for i in range(9)]
+    for given in (rows[:12], rows):
+        taken, target = defaultdict(int), {}
+        for r in mixing.taken_words(mixing.mix(spark.createDataFrame(given, "doc_id long, text string, source string"))).collect():
+            taken[r["source"]] += r["taken"]
+            target[r["source"]] = r["target"]
+        assert all(abs(taken[s] - t) <= max(1, 0.01 * t) for s, t in target.items()), (taken, target)
