@@ -5,7 +5,8 @@ language's profile comes from its training texts; a document goes to the languag
 distance, the sum over the document's n-grams of how far ranks are apart (PROFILE where the n-gram is not in the profile).
 The score is 1 - distance / largest possible distance.
 
-Training is bounded: at most SAMPLE labelled documents a language (whole texts, least keyed hash first), a parameter. Profiles,
+Training is bounded: at most SAMPLE different labelled texts a language (whole ones, least keyed hash first), a parameter; copies
+of a text count once, under whatever doc_id. Profiles,
 PROFILE rows a language, are all that executors are sent; every text is scored as a whole, in one scan with no exchange.
 
 Edge cases: a text that is null, empty or without a letter is 'und' with score 0, as is every text when nothing is labelled;
@@ -73,17 +74,16 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_profiles(labelled: DataFrame, sample: int = SAMPLE) -> dict[str, list[int]]:
-    """labelled(doc_id, text, lang) -> n-gram hashes of each language, most frequent first."""
-    usable = labelled.where("text is not null and lang is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    keys = usable.select("lang", "doc_id", F.xxhash64(F.lit(7), "doc_id", "text").alias("h"))
-    keys = materialize(keys, "lang_keys")
-    # Least hashes are under a limit that, on average, SPARE times as many are under: few rows of a language meet in one task.
+    """labelled(text, lang) -> n-gram hashes of each language, most frequent first."""
+    usable = labelled.where("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang")).withColumn("h", F.xxhash64(F.lit(7), "text"))
+    keys = materialize(usable.select("lang", "h").distinct(), "lang_keys")
+    # Least hashes are under a limit that, on average, SPARE times as many are under: few texts of a language meet in one task.
     limits = {r["lang"]: min(1.0, SPARE * sample / r["count"]) for r in keys.groupBy("lang").count().collect()}  # a number a language
     below = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair])[F.col("lang")] if limits else F.lit(1.0)
     few = keys.where(F.pmod("h", F.lit(1 << 40)) < below * (1 << 40))
     rank = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h")
-    chosen = materialize(few.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= sample).select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")), "lang_sample")
-    texts = usable.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.lit(7), "doc_id", "text") == F.col("_h")), "left_semi").select("lang", "text")
+    chosen = materialize(few.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= sample).select("lang", "h"), "lang_sample")
+    texts = usable.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
     counts = texts.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("r", F.row_number().over(by_count)).where(F.col("r") <= PROFILE)

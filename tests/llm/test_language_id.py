@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -69,3 +70,14 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - len(blank)
     assert [tuple(r) for r in lid.identify(simple(spark, ["text"]), {}).collect()] == [(0, "und", 0.0)]
     assert lid.identify(frame(spark, []), profiles).count() == 0 and lid.train(frame(spark, [])) == {}
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh" if k else "stuvwxyz") for _ in range(5)) for _ in range(30)), "ab"[k]) for i in range(400) for k in (i % 2,)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = lid.learn_profiles(docs, 50)
+    assert all(len(p) == lid.PROFILE for p in profiles.values())
+    for row in rows[:6]:
+        copies = spark.createDataFrame([row] * 300 + [(1000 + i, *row[1:]) for i in range(300)], docs.schema)
+        assert lid.learn_profiles(docs.unionByName(copies), 50) == profiles
