@@ -2,7 +2,8 @@
 
 Messages form trees by their parent. Pointer-doubling self-joins list every root-to-leaf path in a number of rounds
 that is the logarithm of the depth, branches are ranked by score, and each chosen path becomes one conversation string
-with a loss mask over its assistant texts.
+with a loss mask over its assistant texts. Pointers are doubled for nodes first, a row each; those that never reach a root are on or
+below a cycle, and only leaves of the others are followed, so what is stored is in proportion to the paths there are.
 
 Template, for each turn: ``<|im_start|>ROLE\\nTEXT<|im_end|>\\n``. Inside roles and texts a backslash is doubled and a
 backslash is put behind the first character of every control string (``<|``, ``<s>``, ``</s>``, ``<<SYS>>``,
@@ -16,12 +17,10 @@ table gives no rows. Columns beside the named ones are ignored.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, sums_before, table
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 CONTROL_HEAD = r"<(?=\||s>|/s>|<SYS>>|</SYS>>)|\[(?=INST\]|/INST\])"
@@ -51,23 +50,20 @@ def reply_paths(messages: DataFrame) -> DataFrame:
         nodes.join(known, F.col("tree").eqNullSafe(F.col("kt")) & (F.col("parent") == F.col("kp")), "left").select("tree", "id", F.col("kp").alias("anc")),
         "reply_up",
     )
-    parents = up.where("anc is not null").select(F.col("tree").alias("kt"), F.col("anc").alias("kp")).distinct()
-    leaves = up.join(parents, F.col("tree").eqNullSafe(F.col("kt")) & (F.col("id") == F.col("kp")), "left_anti")
-    paths = leaves.select("tree", F.col("id").alias("leaf"), F.col("id").alias("node"), F.lit(0).cast("long").alias("dist"))
-    jumps = up.where("anc is not null")
-    total = up.count()
-    for k in range(math.ceil(math.log2(total)) + 1 if total > 1 else 0):
-        if jumps.isEmpty():
-            break
-        hop = jumps.select(F.col("tree").alias("jt"), F.col("id").alias("jn"), F.col("anc").alias("ja"))
-        longer = paths.join(hop, F.col("tree").eqNullSafe(F.col("jt")) & (F.col("node") == F.col("jn"))).select(
-            "tree", "leaf", F.col("ja").alias("node"), (F.col("dist") + (1 << k)).alias("dist")
-        )
+    jumps, hops, before = up.where("anc is not null"), [], None
+    while (now := jumps.count()) and now != before:  # depths have no gaps: if no node reaches its root in a round, none will
+        before = now
+        hops.append(jumps.select(F.col("tree").alias("jt"), F.col("id").alias("jn"), F.col("anc").alias("ja")))
+        jumps = materialize(jumps.join(hops[-1], F.col("tree").eqNullSafe(F.col("jt")) & (F.col("anc") == F.col("jn"))).select("tree", "id", F.col("ja").alias("anc")), "reply_jumps")
+    rootless = jumps.select(F.col("tree").alias("kt"), F.col("id").alias("kp"))
+    parents = up.where("anc is not null").select(F.col("tree").alias("kt"), F.col("anc").alias("kp"))
+    same = F.col("tree").eqNullSafe(F.col("kt")) & (F.col("id") == F.col("kp"))
+    leaves = up.join(parents.unionByName(rootless).distinct(), same, "left_anti")
+    paths = materialize(leaves.select("tree", F.col("id").alias("leaf"), F.col("id").alias("node"), F.lit(0).cast("long").alias("dist")), "reply_paths")
+    for k, hop in enumerate(hops):
+        longer = paths.join(hop, F.col("tree").eqNullSafe(F.col("jt")) & (F.col("node") == F.col("jn"))).select("tree", "leaf", F.col("ja").alias("node"), (F.col("dist") + (1 << k)).alias("dist"))
         paths = materialize(paths.unionByName(longer), "reply_paths")
-        jumps = materialize(jumps.join(hop, F.col("tree").eqNullSafe(F.col("jt")) & (F.col("anc") == F.col("jn"))).select("tree", "id", F.col("ja").alias("anc")), "reply_jumps")
-    roots = up.where("anc is null").select(F.col("tree").alias("rt"), F.col("id").alias("ri"))
-    rooted = paths.join(roots, F.col("tree").eqNullSafe(F.col("rt")) & (F.col("node") == F.col("ri"))).select(F.col("tree").alias("lt"), F.col("leaf").alias("ll")).distinct()
-    return paths.join(rooted, F.col("tree").eqNullSafe(F.col("lt")) & (F.col("leaf") == F.col("ll")), "left_semi")
+    return paths
 
 
 def format_trees(messages: DataFrame, branches: int | None = 1) -> DataFrame:
@@ -105,15 +101,24 @@ def format_trees(messages: DataFrame, branches: int | None = 1) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Parse formatted strings: adds turns (role, text) and loss_text, all text under the mask without escapes."""
-    pieces = F.split("formatted", r"<\|im_end\|>\n", -1)
+    """Parse formatted strings: adds turns (role, text) and loss_text, all text under the mask without escapes.
+
+    The mask has a span for each assistant turn, as format_trees makes it, and each is read within its turn's piece.
+    """
     head = r"(?s)^<\|im_start\|>((?:\\.|[^\\\n])*+)\n"
-    turns = F.transform(
-        F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))),
-        lambda p: F.struct(unescape(F.regexp_extract(p, head, 1)).alias("role"), unescape(F.regexp_replace(p, head, "")).alias("text")),
-    )
-    masked = F.transform("loss_spans", lambda s: F.col("formatted").substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
-    return formatted.withColumn("turns", turns).withColumn("loss_text", unescape(F.array_join(masked, "")))
+    pieces = F.split("formatted", r"<\|im_end\|>\n", -1)
+    rows = formatted.withColumn("_pieces", F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))))
+    rows = rows.withColumn("_at", sums_before(F.transform("_pieces", lambda p: F.length(p) + len(END))))
+
+    def parsed(x: Column) -> Column:
+        role, body = F.regexp_extract(x["piece"], head, 1), F.regexp_replace(x["piece"], head, "")
+        return F.struct(unescape(role).alias("role"), body.alias("body"), (x["at"] + F.length(x["piece"]) - F.length(body)).alias("begin"))
+
+    rows = rows.withColumn("_turns", F.transform(F.arrays_zip(F.col("_pieces").alias("piece"), F.col("_at").alias("at")), parsed))
+    said = F.arrays_zip(F.filter("_turns", lambda t: t["role"] == "assistant").alias("turn"), F.col("loss_spans").alias("span"))
+    masked = F.transform(said, lambda x: F.substring(x["turn"]["body"], F.greatest(x["span"]["start"] - x["turn"]["begin"], F.lit(0)).cast("int") + 1, (x["span"]["end"] - x["span"]["start"]).cast("int")))
+    turns = F.transform("_turns", lambda t: F.struct(t["role"].alias("role"), unescape(t["body"]).alias("text")))
+    return rows.withColumn("turns", turns).withColumn("loss_text", unescape(F.array_join(masked, ""))).drop("_pieces", "_at", "_turns")
 
 
 def linear_messages(conversations: DataFrame) -> DataFrame:

@@ -4,14 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..storage import materialize
 
-__all__ = ["Query", "materialize", "table"]
+__all__ = ["Query", "materialize", "sums_before", "table"]
+
+CHUNK = 256
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sums_before(numbers: Column) -> Column:
+    """Of an array<int>, the sum of what is before each item. In pieces of CHUNK, so that an array that grows an item at a time stays short."""
+    add = lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+    start = lambda at: F.struct(at.alias("at"), F.array().cast("array<int>").alias("out"))
+    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(numbers) / CHUNK).cast("int") - 1, F.lit(0))), lambda c: F.slice(numbers, c * CHUNK + 1, CHUNK))
+    whole = lambda piece: F.aggregate(piece, F.lit(0), lambda a, n: a + n)
+    begins = F.aggregate(F.transform(pieces, whole), start(F.lit(0)), add, lambda s: s["out"])
+    return F.flatten(F.zip_with(pieces, begins, lambda piece, at: F.aggregate(piece, start(at), add, lambda s: s["out"])))

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 
 from helpers import SMALL, duck, rows_of
 from hypothesis import given, settings
@@ -57,3 +59,40 @@ def test_planted_conversation(spark):
     row = chat.op3_reply_trees(spark, SMALL).where("conv_id = -1").first()
     said = "user\n</s>[INST] ok [/INST]\nassistant\n</s>[INST] ok [/INST]\n"
     assert (row["n_turns"], row["turns_sha256"], row["loss_chars"]) == (2, hashlib.sha256(said.encode()).hexdigest(), 21)
+
+
+def test_leaves_below_a_cycle_store_nothing(spark):
+    rows = [(1, 0, 1, "user", "x", 0.0), (1, 1, 0, "user", "y", 0.0)] + [(1, i, i % 2, "user", "leaf", 0.0) for i in range(2, 600)]
+    rows += [(2, i, i - 1 if i else None, "user", str(i), 0.0) for i in range(9)]
+    frame = spark.createDataFrame(rows, MESSAGES)
+    paths = chat.reply_paths(frame)
+    assert paths.count() == 9 and {(r["tree"], r["leaf"]) for r in paths.collect()} == {(2, 8)}
+
+
+def test_paths_equal_walks(spark):
+    rng = random.Random(3)
+    parents = {i: rng.choice([None, *range(40)]) for i in range(40)}
+    frame = spark.createDataFrame([(1, i, p, "user", str(i), 0.0) for i, p in parents.items()], MESSAGES)
+    want = set()
+    for leaf in set(parents) - set(parents.values()):
+        walk, at = [], leaf
+        while at is not None and at not in walk:
+            walk.append(at)
+            at = parents[at]
+        if at is None:
+            want |= {(leaf, node, d) for d, node in enumerate(walk)}
+    assert {(r["leaf"], r["node"], r["dist"]) for r in chat.reply_paths(frame).collect()} == want
+
+
+def test_reading_back_is_linear(spark):
+    def seconds(n):
+        turn = chat.START + "assistant\nsome text" + chat.END
+        spans = [(i * len(turn) + len(chat.START) + 10, i * len(turn) + len(chat.START) + 19) for i in range(n)]
+        frame = spark.createDataFrame([(turn * n, spans)], "formatted string, loss_spans array<struct<start:long,end:long>>")
+        began = time.perf_counter()
+        row = chat.read_back(frame).select(F.size("turns").alias("n"), "loss_text").first()
+        assert row["n"] == n and row["loss_text"] == "some text" * n
+        return time.perf_counter() - began
+
+    seconds(10)
+    assert seconds(64_000) < 8 * seconds(8_000) + 3
