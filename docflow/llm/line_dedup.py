@@ -157,7 +157,7 @@ def suffix_ranks(pairs: DataFrame) -> DataFrame:
 
 def _handed_back(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """docs with the places and ranks of their suffixes that are not alone; documents without any leave."""
-    ranked = pairs.join(suffix_ranks(pairs), ["a", "b"]).groupBy("d").agg(F.collect_list(F.struct("pos", "rank")).alias("r"))
+    ranked = pairs.join(suffix_ranks(pairs).hint("merge"), ["a", "b"]).groupBy("d").agg(F.collect_list(F.struct("pos", "rank")).alias("r"))
     return ranked.select("d", F.col("r.pos").alias("pos"), F.col("r.rank").alias("rank")).join(docs, "d")
 
 
@@ -184,6 +184,7 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     key = ["level", "lines", "a", "b"]
     spots = materialize(spots.select(*key, F.struct("doc_id", "th", "begin").alias("at"), "n"), "spots")
     repeated = spots.groupBy(key).agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").drop("last")
+    repeated = materialize(repeated, "repeated")  # apart from the join, which Spark can then split where an interval is large
     later = spots.join(repeated, key).where("at <> first").groupBy("at.doc_id", "at.th").agg(F.first("n").alias("n"), F.collect_set(F.struct("at.begin", "lines")).alias("runs"))
     return later.select("doc_id", "th", "n", F.col("runs.begin").alias("begins"), F.col("runs.lines").alias("sizes")).mapInArrow(_cuts, f"doc_id {kind}, th long, cut array<int>, kept array<boolean>")
 
