@@ -37,7 +37,7 @@ from .words import P, WordHashes, mix, shingle_set
 
 PER_VALUE, WIDTH, PERCENT = 2, 5, 85
 MISSED = 7.5e-5  # most of the pairs at the threshold that may share no key
-LARGE, CHUNK = 16, 1 << 19
+LARGE, CHUNK = 16, 1 << 16
 STEP, DENSE, COLUMNS = 1 << 14, 256, 2048
 
 
