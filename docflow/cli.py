@@ -1,4 +1,4 @@
-"""docflow run | review | validate | schema. Exit codes: 0 well, 1 something was wrong, 2 bad usage."""
+"""docflow run | review | comment | validate | schema. Exit codes: 0 well, 1 something was wrong, 2 bad usage."""
 
 from __future__ import annotations
 
@@ -8,9 +8,10 @@ import sys
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import frontmatter, udfs
+from . import frontmatter, schemas, udfs
 from .config import default_config, load_config
 from .operators import review, sinks
 from .operators.validate import validate
@@ -33,6 +34,12 @@ def parser() -> argparse.ArgumentParser:
     decide.add_argument("--decision", choices=["approve", "reject"], required=True)
     decide.add_argument("--ids", required=True)
     decide.add_argument("--notes")
+    answer = commands.add_parser("comment")
+    answer.add_argument("--corpus", required=True)
+    answer.add_argument("--out", required=True)
+    answer.add_argument("--event", required=True, help="the event as a JSON file; of a whole review, with its comments")
+    answer.add_argument("--name", required=True, help="the event's name")
+    answer.add_argument("--repo", required=True)
     check = commands.add_parser("validate")
     check.add_argument("--corpus", required=True)
     schema = commands.add_parser("schema")
@@ -41,6 +48,10 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _write_documents(documents: DataFrame, out: str) -> None:
+    documents.select("folder", "name", udfs.write_document("front_matter", "body").alias("text")).write.partitionBy("folder").mode("overwrite").parquet(out)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command == "schema":
@@ -65,11 +76,20 @@ def main(argv: list[str] | None = None) -> int:
         except ValueError as problem:
             print(f"::error::{problem}")
             return 1
-        decided.select("folder", "name", udfs.write_document("front_matter", "body").alias("text")).write.partitionBy("folder").mode("overwrite").parquet(args.out)
+        _write_documents(decided, args.out)
         return 0
-    config = load_config(args.config) if args.config else default_config()
-    none = spark.createDataFrame([], "id string"), spark.createDataFrame([], "number long")
-    done = ingest.run(spark, config, documents, *none, datetime.now(UTC), **({"folder": args.folder} if args.folder else {}))
+    if args.command == "comment":
+        events = spark.createDataFrame([(args.name, Path(args.event).read_text(encoding="utf-8"))], "name string, json string")
+        comments = review.event_comments(events.select("name", F.from_json("json", schemas.EVENT).alias("event")), args.repo, default_config().corpus.branch_prefix)
+        results, decided = review.answer_comments(documents, comments)
+        answers = [r.asDict() for r in results.orderBy("id").collect()]  # the comments of one review
+        if any(r["changed"] for r in answers):
+            _write_documents(decided, args.out)
+        print(json.dumps(answers))
+        return int(not all(r["ok"] for r in answers))
+    config, now = load_config(args.config) if args.config else default_config(), datetime.now(UTC)
+    waiting = sinks.open_batches(spark, f"{args.out}/batches", ingest.branch_stem(config, now))
+    done = ingest.run(spark, config, documents, *waiting, now, **({"folder": args.folder} if args.folder else {}))
     if not args.dry_run:
         sinks.write_batches(done.batches, f"{args.out}/batches", done.branches)
         sinks.write_originals(done.changes, f"{args.out}/{config.originals.dir}")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 from pathlib import Path
 
 import yaml
-from pydantic import BaseModel, ConfigDict, Field, model_validator
+from pydantic import BaseModel, ConfigDict, Field, field_validator, model_validator
 
 # Enumerations in their contract's order, and ISO 639-2 to 639-1.
 DOC_TYPES = ("guideline", "systematic_review", "meta_analysis", "rct", "observational", "narrative_review", "consensus", "patient_education", "other")
@@ -43,6 +44,13 @@ class Search(Strict):
     mindate: str | None = None
     maxdate: str | None = None
 
+    @field_validator("mindate", "maxdate")
+    @classmethod
+    def _date(cls, value: str | None) -> str | None:
+        if value is not None and not re.fullmatch(r"\d{4}(/\d{2}(/\d{2})?)?", value):
+            raise ValueError("a date is YYYY, YYYY/MM or YYYY/MM/DD")
+        return value
+
     @model_validator(mode="after")
     def _both_dates(self) -> Search:
         if (self.mindate is None) != (self.maxdate is None):
@@ -104,13 +112,23 @@ class Config(Strict):
     originals: Originals
 
 
-def load_config(path: str | os.PathLike[str]) -> Config:
+def _read(path: str | os.PathLike[str]) -> Config:
     return Config.model_validate(yaml.safe_load(Path(path).read_text(encoding="utf-8")))
 
 
+def load_config(path: str | os.PathLike[str]) -> Config:
+    """A configuration to run with; ValueError if its query or e-mail address is missing, which the default leaves open."""
+    config = _read(path)
+    if not config.search.query.strip():
+        raise ValueError("search.query is empty")
+    if not re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s]+", config.ncbi.email):
+        raise ValueError("ncbi.email is no address")
+    return config
+
+
 @lru_cache
 def default_config() -> Config:
-    return load_config(Path(__file__).with_name("vocabulary.yaml"))
+    return _read(Path(__file__).with_name("vocabulary.yaml"))
 
 
 class Secrets(Strict):

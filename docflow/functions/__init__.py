@@ -3,9 +3,8 @@
 from .classify import doc_type, evidence_tier, language, modality, population, topics
 from .dates import month_number, partial_date, utc_stamp
 from .licenses import normalize_license
-from .text import citation_cleanup, clean_title, content_hash, escape_markdown, original_uri, protect_block_start, squeeze
+from .text import clean_title, content_hash, original_uri
 
 __all__ = [
-    "citation_cleanup", "clean_title", "content_hash", "doc_type", "escape_markdown", "evidence_tier", "language", "modality", "month_number",
-    "normalize_license", "original_uri", "partial_date", "population", "protect_block_start", "squeeze", "topics", "utc_stamp",
+    "clean_title", "content_hash", "doc_type", "evidence_tier", "language", "modality", "month_number", "normalize_license", "original_uri", "partial_date", "population", "topics", "utc_stamp",
 ]

@@ -1,24 +1,15 @@
-"""Text functions: titles, Markdown escapes, removed-citation cleanup, hashes, addresses."""
+"""Text functions: titles, hashes, addresses."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Stands for a citation that was removed; a private-use character, so no text has it.
-GONE = "\ue000"
-SPACE = r"(?U)\s+"
-
-
 def strip(c: Column) -> Column:
     """Without white space at either end; Spark's trim knows spaces only."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def squeeze(c: Column) -> Column:
-    return strip(F.regexp_replace(c, SPACE, " "))
-
-
 def clean_title(document_title: Column, record_title: Column) -> Column:
     """The document's own title; else the record's, without [..]. around a translated one, less one final full stop."""
     bare = strip(F.coalesce(record_title, F.lit("")))
@@ -27,32 +18,6 @@ def clean_title(document_title: Column, record_title: Column) -> Column:
     return F.when(F.coalesce(document_title, F.lit("")) != "", document_title).otherwise(F.regexp_replace(inner, r"\.\z", ""))
 
 
-def escape_markdown(c: Column) -> Column:
-    """Backslashes before \\ * _ ` and &lt; for a < that could open a tag."""
-    return F.regexp_replace(F.regexp_replace(c, r"([\\*_`])", r"\\$1"), "<(?=[A-Za-z/!?])", "&lt;")
-
-
-def protect_block_start(c: Column) -> Column:
-    """A paragraph that begins like a list, heading, quotation or fence gets a backslash."""
-    numbered = F.regexp_replace(c, r"(?U)\A(\d+)([.)])(?=\s)", r"$1\\$2")
-    return F.regexp_replace(numbered, r"(?U)\A(#{1,6}(?=\s)|[>+\-](?=\s)|:::|---)", r"\\$1")
-
-
-def citation_cleanup(c: Column) -> Column:
-    """Drops the marks of removed citations, with the brackets and separators that only held citations."""
-    steps = (
-        (SPACE, " "),
-        (f"(?U){GONE}(?:\\s*[,;–—-]?\\s*{GONE})+", GONE),
-        (f"(?U)\\s*[(\\[]\\s*{GONE}\\s*[)\\]]", ""),
-        (f"(?U)([(\\[])\\s*{GONE}\\s*[,;]\\s*", "$1"),
-        (f"(?U)[,;]\\s*{GONE}\\s*([)\\]])", "$1"),
-        (f"(?U)\\s*{GONE}", ""),
-    )
-    for pattern, to in steps:
-        c = F.regexp_replace(c, pattern, to)
-    return squeeze(c)
-
-
 def content_hash(body: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(body, 256))
 

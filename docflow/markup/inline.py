@@ -12,23 +12,9 @@ from collections.abc import Callable, Iterable
 from . import fixed
 from .tree import Node
 
-GONE = "\ue000"
+GONE = fixed.GONE
 SPACE = re.compile(r"\s+")
-SPECIAL = re.compile(r"[\\*_`]")
-OPENING = re.compile(r"<(?=[A-Za-z/!?])")
 NOTHING_ELSE = re.compile(rf"[\s,;–—-]*{GONE}[\s,;–—{GONE}-]*")
-CLEANUP = tuple(
-    (re.compile(pattern), to)
-    for pattern, to in (
-        (rf"{GONE}(?:\s*[,;–—-]?\s*{GONE})+", GONE),
-        (rf"\s*[(\[]\s*{GONE}\s*[)\]]", ""),
-        (rf"([(\[])\s*{GONE}\s*[,;]\s*", r"\1"),
-        (rf"[,;]\s*{GONE}\s*([)\]])", r"\1"),
-        (rf"\s*{GONE}", ""),
-    )
-)
-NUMBERED_START = re.compile(r"(\d+)([.)])(?=\s)")
-BLOCK_START = re.compile(r"#{1,6}(?=\s)|[>+\-](?=\s)|:::|---")
 TEX_FRAME = re.compile(r"^\\\[|\\\]$|^\$+|\$+$")
 
 
@@ -41,7 +27,7 @@ def squeeze(text: str) -> str:
 
 
 def escape(text: str) -> str:
-    return OPENING.sub("&lt;", SPECIAL.sub(r"\\\g<0>", text))
+    return fixed.OPENING.sub("&lt;", fixed.SPECIAL.sub(r"\\\g<0>", text))
 
 
 def plain(node: Node | None) -> str:
@@ -51,16 +37,16 @@ def plain(node: Node | None) -> str:
 
 def tidy(text: str) -> str:
     text = SPACE.sub(" ", text)
-    for pattern, to in CLEANUP:
+    for pattern, to in fixed.CLEANUP:
         text = pattern.sub(to, text)
     return nfc(squeeze(text))
 
 
 def guard(paragraph: str) -> str:
     """A paragraph that would be read as a list, heading, quotation or fence, with a backslash."""
-    if m := NUMBERED_START.match(paragraph):
+    if m := fixed.NUMBERED_START.match(paragraph):
         paragraph = f"{m[1]}\\{paragraph[m.end(1):]}"
-    return "\\" + paragraph if BLOCK_START.match(paragraph) else paragraph
+    return "\\" + paragraph if fixed.BLOCK_START.match(paragraph) else paragraph
 
 
 def mixed(children: Iterable[Node | str]) -> str:

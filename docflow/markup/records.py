@@ -9,12 +9,8 @@ from . import fixed
 from .inline import line, plain
 from .tree import Node, parse_xml, to_xml
 
-MONTHS = {m: f"{i:02d}" for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
-YEAR = re.compile(r"\b(1[5-9]\d\d|20\d\d)\b")
-
-
 def parse_records(data: bytes | str) -> Iterator[dict]:
-    """A dictionary with the columns of schemas.RECORDS for each record; ValueError for one without an id."""
+    """A dictionary with the columns of schemas.PARSED for each record; ValueError for one without an id."""
     return (record(n) for n in parse_xml(data).walk() if n.name == "PubmedArticle")
 
 
@@ -34,7 +30,7 @@ def record(node: Node) -> dict:
     links = [n.get("RefType") for n in node.all("MedlineCitation/CommentsCorrectionsList/CommentsCorrections")]
     return {
         "pmid": pmid, "title": plain(node.first("MedlineCitation/Article/ArticleTitle")), "authors": list(_authors(node)), "journal": _value(node, "MedlineCitation/Article/Journal/Title"),
-        "published": published(node.first("MedlineCitation/Article/Journal/JournalIssue/PubDate")), "languages": _values(node, "MedlineCitation/Article/Language"),
+        **{column: _value(node, f"MedlineCitation/Article/Journal/JournalIssue/PubDate/{part}") for part, column in fixed.DATE_PARTS}, "languages": _values(node, "MedlineCitation/Article/Language"),
         "mesh_terms": _values(node, "MedlineCitation/MeshHeadingList/MeshHeading/DescriptorName"), "publication_types": types, "doi": _identifier(node, "doi"), "pmcid": _identifier(node, "pmc"),
         "abstract": [{"label": (n.get("Label") or "").strip() or None, "text": text} for n in node.all("MedlineCitation/Article/Abstract/AbstractText") if (text := line(n))],
         "retracted": "RetractionIn" in links or any(t.casefold() in fixed.RETRACTED_TYPES for t in types),
@@ -52,29 +48,6 @@ def _authors(node: Node) -> Iterator[str]:
             yield name
 
 
-def month(value: str | None) -> str | None:
-    if value and value.isdigit():
-        return f"{int(value):02d}" if 1 <= int(value) <= 12 else MONTHS.get(value[:3])
-    return MONTHS.get((value or "")[:3].casefold())
-
-
-def published(node: Node | None) -> str | None:
-    """YYYY, YYYY-MM or YYYY-MM-DD: of the parts, or of the free text if there is no year."""
-    if node is None:
-        return None
-    year, months, day = _value(node, "Year"), [_value(node, "Month")], _value(node, "Day") or ""
-    if year is None:
-        free = _value(node, "MedlineDate") or ""
-        found = YEAR.search(free)
-        year, months, day = (found[1] if found else ""), re.split(r"[\s/-]+", free), ""
-    if not re.fullmatch(r"\d{4}", year):
-        return None
-    number = next(filter(None, map(month, months)), None)
-    if number is None:
-        return year
-    return f"{year}-{number}-{int(day):02d}" if re.fullmatch(r"\d{1,2}", day) else f"{year}-{number}"
-
-
 def parse_articles(data: bytes | str) -> Iterator[dict]:
     """pmcid, xml, license_raw and has_body of each article that has an id, in document order, repeats included."""
     root = parse_xml(data)

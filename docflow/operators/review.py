@@ -91,6 +91,42 @@ def apply_decision(documents: DataFrame, decision: str, ids: list[str], notes: s
     return out.select(documents.columns)
 
 
+def answer_comments(documents: DataFrame, comments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """documents(id, folder, front_matter, ...), comments(id, body, path, author_association) -> (results, the new snapshot).
+
+    results(id, ok, changed, reply): one row for each comment that is a command, in the order of comment ids; only REVIEWERS may
+    give one. A command that finds its document as it asks does nothing and says nothing; an approval after a rejection and a rejection
+    without notes are errors. States come from two aggregates by document; no document's comments are held in memory.
+    """
+    stored = documents.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("_doc")).agg(
+        F.max(F.col("folder") == "rejected").alias("_gone"), F.max((F.col("folder") == "corpus") & (F.col("front_matter.curation_status") == "approved")).alias("_approved"), F.max(F.col("folder") == "corpus").alias("_there"),
+    )
+    rows = comments.withColumn("_c", parse_command(F.col("body"), F.col("path"))).where("_c is not null")
+    rows = rows.join(stored, F.col("_c.id") == F.col("_doc"), "left")
+    problem = (
+        F.when(~F.coalesce(F.col("author_association").isin(*REVIEWERS), F.lit(False)), "only owners, members and collaborators may decide")
+        .when(F.col("_c.error").isNotNull(), F.col("_c.error")).when(F.col("_doc").isNull(), "the document is not in the corpus")
+    )
+    rows = rows.select("id", F.col("_c.id").alias("_id"), F.col("_c.decision").alias("_decision"), F.col("_c.notes").alias("_notes"), problem.alias("_problem"), "_gone", "_approved")
+    turns = rows.where("_problem is null and not _gone").groupBy(F.col("_id").alias("_key")).agg(
+        F.min(F.when((F.col("_decision") == "reject") & (F.col("_notes") != ""), F.struct("id", "_notes"))).alias("_reject"), F.min(F.when(F.col("_decision") == "approve", F.col("id"))).alias("_approve"),
+    )
+    rows = rows.join(turns, F.col("_id") == F.col("_key"), "left")
+    gone = F.col("_gone") | F.coalesce(F.col("_reject.id") < F.col("id"), F.lit(False))
+    approved = F.col("_approved") | F.coalesce(F.col("_approve") < F.col("id"), F.lit(False))
+    approve = F.col("_decision") == "approve"
+    error = F.coalesce("_problem", F.when(approve & gone, "the document is rejected already").when(~approve & ~gone & (F.col("_notes") == ""), "a rejection needs notes"))
+    changed = error.isNull() & F.when(approve, ~approved).otherwise(~gone)
+    reply = F.coalesce(error, F.when(changed & approve, "approved").when(changed, "rejected"))
+    results = rows.select("id", error.isNull().alias("ok"), changed.alias("changed"), reply.alias("reply"))
+    ends = turns.select("_key", F.when(F.col("_reject").isNotNull(), "rejected").when(F.col("_approve").isNotNull(), "approved").alias("_status"), F.col("_reject._notes").alias("_new")).where("_status is not null")
+    marked = documents.join(ends, documents["id"] == F.col("_key"), "left")
+    here = F.col("_status").isNotNull() & (F.col("folder") == "corpus")
+    front = F.col("front_matter").withField("curation_status", F.col("_status")).withField("review_notes", F.coalesce("_new", "front_matter.review_notes"))
+    folder = F.when(here & (F.col("_status") == "rejected"), "rejected").otherwise(F.col("folder"))
+    return results, marked.withColumn("front_matter", F.when(here, front).otherwise(F.col("front_matter"))).withColumn("folder", folder).select(documents.columns)
+
+
 def split_ids(text: str) -> list[str]:
     import re
 

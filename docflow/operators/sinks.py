@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import record_url
@@ -15,9 +15,9 @@ NOTICE = "Tutti i documenti sono in stato `pending`: servono revisione e approva
 
 def batches(changes: DataFrame, size: int) -> DataFrame:
     """changes(pmid, front_matter, ...) with rank and batch, by evidence tier and then pmid as a string."""
-    rows = changes.withColumn("tier", F.col("front_matter.evidence_tier"))
-    ranked = global_rank(rows, ["tier", "pmid"])
-    return ranked.withColumn("batch", batch_number(F.col("rank"), size)).drop("tier")
+    keys = changes.select(F.col("front_matter.evidence_tier").alias("tier"), "pmid")
+    ranked = global_rank(keys, ["tier", "pmid"]).drop("tier")
+    return changes.join(ranked, "pmid").withColumn("batch", batch_number(F.col("rank"), size))
 
 
 def table_row(cells: list[Column]) -> Column:
@@ -57,3 +57,14 @@ def write_batches(batched: DataFrame, path: str, names: DataFrame) -> None:
 
 def write_originals(changes: DataFrame, path: str) -> None:
     changes.select(F.concat(F.lit("pmid-"), "pmid", F.lit(".xml")).alias("file"), "xml").write.mode("append").parquet(path)
+
+
+def open_batches(spark: SparkSession, path: str, stem: str) -> tuple[DataFrame, DataFrame]:
+    """(id) of documents in batches that are still there, and (number) that branches of this stem have used."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], "id string"), spark.createDataFrame([], "number long")
+    rows = spark.read.schema("file string, text string, branch string").parquet(path)
+    number = F.when(F.col("branch").startswith(stem), F.substring("branch", len(stem) + 1, 1 << 20).try_cast("long"))
+    ids = rows.select(F.regexp_extract("file", r"^corpus/(.+)\.md$", 1).alias("id")).where("id <> ''").distinct()
+    return ids, rows.select(number.alias("number")).where("number is not null").distinct()

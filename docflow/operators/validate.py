@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, strip
@@ -40,7 +40,8 @@ def validate(documents: DataFrame) -> DataFrame:
         .when(F.col("error").isNotNull(), F.array(F.col("error")))
         .otherwise(F.concat(contract, field_errors(ident, F.col("front_matter"), F.col("body"), expected)))
     )
-    rank = F.row_number().over(Window.partitionBy(F.coalesce("_id", "path")).orderBy("folder", "path"))
-    rows = documents.withColumn("_id", F.when((ident != "") & ~F.col("nested"), ident)).withColumn("errors", errors).withColumn("_rank", rank)
-    again = F.when(F.col("_id").isNotNull() & (F.col("_rank") > 1), F.array(F.lit("id is there already"))).otherwise(F.array().cast("array<string>"))
+    rows = documents.withColumn("_id", F.when((ident != "") & ~F.col("nested"), ident)).withColumn("errors", errors).withColumn("_place", F.struct("folder", "path"))
+    first = rows.where("_id is not null").groupBy("_id").agg(F.min("_place").alias("_first"))
+    rows = rows.join(first, "_id", "left")
+    again = F.when(F.col("_first") < F.col("_place"), F.array(F.lit("id is there already"))).otherwise(F.array().cast("array<string>"))
     return rows.select("path", F.explode(F.concat("errors", again)).alias("message"))

@@ -17,6 +17,10 @@ from ..sources.corpus import stored_state
 from ..storage import materialize
 
 
+def branch_stem(config: Config, now: datetime) -> str:
+    return f"{config.corpus.branch_prefix}{now:%Y-%m-%d}-pubmed-"
+
+
 @dataclass(frozen=True)
 class Run:
     changes: DataFrame
@@ -46,7 +50,7 @@ def run(spark: SparkSession, config: Config, documents: DataFrame, open_ids: Dat
     changes = prepared.where(F.col("outcome").isin("new", "updated"))
     batched = materialize(sinks.batches(changes, config.corpus.max_pr_size), "batches")
     wanted, used = -(-batched.count() // config.corpus.max_pr_size), taken.count()
-    stem = f"{config.corpus.branch_prefix}{now:%Y-%m-%d}-pubmed-"
+    stem = branch_stem(config, now)
     numbers = ranking.free_numbers(spark, wanted, taken, used)
     branches = numbers.select("batch", F.concat(F.lit(stem), F.col("number").cast("string")).alias("branch"))
     return Run(changes, batched, branches, sinks.descriptions(batched), sinks.run_statistics(records.count(), reasons, prepared))

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions, udfs
-from ..functions.text import GONE
 from ..config import LANGUAGES, default_config
+from ..markup.fixed import GONE
 from .records import table
 
 #: Vocabulary terms that documents carry in these queries, by language, source and label.
@@ -137,7 +137,7 @@ SELECT doc_id, CASE WHEN lang = 'de' AND first <> '' THEN first ELSE regexp_repl
 
 
 def markdown_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = functions.escape_markdown(F.col("text"))
+    made = udfs.escape_markdown(F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", F.length(made).cast("long").alias("chars"), F.sha2(made, 256).alias("escaped_sha256"))
 
 
@@ -148,7 +148,7 @@ MARKDOWN_ESCAPE = f"SELECT doc_id, length({_ESCAPED_SQL})::BIGINT AS chars, sha2
 def block_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     marks = F.element_at(F.array(*[F.lit(x) for x in ("", "1. ", "# ", "- ", "::: ", "2) ", "---", "> ")]), F.col("line_no") % 8 + 1)
-    made = functions.protect_block_start(F.concat(marks, "line"))
+    made = udfs.protect_block_start(F.concat(marks, "line"))
     return lines.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.sha2(made, 256).alias("line_sha256"), F.substring(made, 1, 4).alias("start"))
 
 
@@ -163,7 +163,7 @@ def citation_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commas and full stops in documents become removed citations, alone, in brackets and in series."""
     gone = GONE
     marked = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit(f" ({gone}, {gone}) ")), F.lit(". "), F.lit(f" [{gone}; see {gone}–{gone}]. "))
-    made = functions.citation_cleanup(marked)
+    made = udfs.citation_cleanup(marked)
     return table(spark, sf_dir, "documents").select("doc_id", F.length(made).cast("long").alias("chars"), F.sha2(made, 256).alias("clean_sha256"))
 
 

@@ -7,6 +7,8 @@ RECORDS = (
     "pmid string, title string, authors array<string>, journal string, published string, languages array<string>, mesh_terms array<string>,"
     f" publication_types array<string>, doi string, pmcid string, abstract array<{SECTION}>, retracted boolean"
 )
+#: As the parser gives them: a publication date is still in its parts.
+PARSED = RECORDS.replace("published string", "year string, month string, day string, free_date string")
 ARTICLES = "pmcid string, xml binary, license_raw string, has_body boolean"
 #: Front-matter keys in the order in which they are written.
 FRONT_MATTER = (

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -73,10 +74,10 @@ def search_pages(spark: SparkSession, config: Config, **options: str) -> DataFra
 
 
 def article_pages(survivors: DataFrame, batch_size: int = 100, **options: str) -> DataFrame:
-    """survivors(pmcid) -> (page, xml), a keyed fetch for each batch of ids; one task at a time, for the rate limit's sake."""
+    """survivors(pmcid) -> (page, xml), a keyed fetch for each batch of ids, by option ``tasks`` (1) tasks that share the service's rate."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        page, held = 0, []
+        page, held = TaskContext.get().partitionId() << 32, []
         for batch in batches:
             held += batch["pmcid"].tolist()
             while len(held) >= batch_size:
@@ -85,4 +86,4 @@ def article_pages(survivors: DataFrame, batch_size: int = 100, **options: str) -
         if held:
             yield pd.DataFrame({"page": [page], "xml": [service.fetch_articles(connect(options), held)]})
 
-    return survivors.select("pmcid").distinct().coalesce(1).mapInPandas(run, "page long, xml binary")
+    return survivors.select("pmcid").distinct().repartition(int(options.get("tasks", "1"))).mapInPandas(run, "page long, xml binary")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,11 @@ _scratch: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local default only where it is unset (tests, single machine)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or DEFAULT_SHARED
+    """The folder in spark.checkpoint.dir; where it is unset, a local default on a single machine, and an error on a cluster."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not given and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
+    return given or DEFAULT_SHARED
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import frontmatter, schemas
-from .markup import article, html, records, tables, tree
+from .functions.dates import partial_date
+from .markup import article, html, inline, records, tables, tree
 
 # Types and not DDL: this module is imported before there is a session.
 KINDS = {"int": T.IntegerType(), "string": T.StringType(), "boolean": T.BooleanType(), "array<string>": T.ArrayType(T.StringType())}
 FRONT = T.StructType([T.StructField(name, KINDS[kind]) for name, kind in schemas.FRONT_MATTER])
-CONVERTED = T.StructType([T.StructField("body", T.StringType()), T.StructField("error", T.StringType())])
+CONVERTED = T.StructType([T.StructField("title", T.StringType()), T.StructField("body", T.StringType()), T.StructField("error", T.StringType())])
 DOCUMENT = T.StructType([T.StructField("front_matter", FRONT), T.StructField("body", T.StringType()), T.StructField("error", T.StringType()), T.StructField("problems", T.ArrayType(T.StringType()))])
 
 
@@ -27,9 +28,11 @@ def parse_records(pages: DataFrame, xml: str = "xml") -> DataFrame:
         for batch in batches:
             for page, data in zip(batch["page"], batch[xml], strict=True):
                 rows = [{"page": page, "at": i, **r} for i, r in enumerate(records.parse_records(data))]
-                yield pd.DataFrame(rows, columns=["page", "at", *(c.split(" ")[0] for c in schemas.RECORDS.split(", "))])
+                yield pd.DataFrame(rows, columns=["page", "at", *(c.split(" ")[0] for c in schemas.PARSED.split(", "))])
 
-    return pages.select("page", xml).mapInPandas(run, f"page long, at long, {schemas.RECORDS}")
+    parsed = pages.select("page", xml).mapInPandas(run, f"page long, at long, {schemas.PARSED}")
+    dated = parsed.withColumn("published", partial_date(F.col("year"), F.col("month"), F.col("day"), F.col("free_date")))
+    return dated.select("page", "at", *(c.split(" ")[0] for c in schemas.RECORDS.split(", ")))
 
 
 def parse_articles(pages: DataFrame, xml: str = "xml") -> DataFrame:
@@ -43,29 +46,48 @@ def parse_articles(pages: DataFrame, xml: str = "xml") -> DataFrame:
     return pages.select("page", xml).mapInPandas(run, f"page long, at long, {schemas.ARTICLES}")
 
 
-@F.pandas_udf(T.StringType())
-def document_title(xml: pd.Series) -> pd.Series:
-    def one(data: bytes | None) -> str | None:
-        try:
-            return article.title_of(tree.parse_xml(data)) if data is not None else None
-        except ValueError:
-            return None
-
-    return xml.map(one, na_action=None)
-
-
 @F.pandas_udf(CONVERTED)
 def convert_article(xml: pd.Series, title: pd.Series, abstract: pd.Series) -> pd.DataFrame:
-    """Markdown of an article, or why there is none; a failure stays with its document."""
+    """Title and Markdown of an article, or why there is none; a failure stays with its document. title is that of the record, for an article without its own."""
 
-    def one(data: bytes, name: str | None, sections) -> tuple[str | None, str | None]:
+    def one(data: bytes, name: str | None, sections) -> tuple[str | None, str | None, str | None]:
         try:
-            fallback = [(s["label"], s["text"]) for s in (sections if sections is not None else [])]
-            return article.convert(tree.parse_xml(data), name or "", fallback), None
+            root, fallback = tree.parse_xml(data), [(s["label"], s["text"]) for s in (sections if sections is not None else [])]
+            shown = article.title_of(root) or name or ""
+            return shown, article.convert(root, shown, fallback), None
         except Exception as problem:  # noqa: BLE001
-            return None, f"{type(problem).__name__}: {problem}"
+            return name, None, f"{type(problem).__name__}: {problem}"
+
+    return pd.DataFrame([one(*x) for x in zip(xml, title, abstract, strict=True)], columns=["title", "body", "error"])
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def contract_problems(front_matter: pd.DataFrame) -> pd.Series:
+    """What in drafted front matter breaks the contract of its keys."""
+    return pd.Series([sorted(frontmatter.problems(_plain(keys))) for keys in front_matter.to_dict("records")], dtype=object)
+
+
+def _plain(keys: dict) -> dict:
+    """Front matter without nulls, numbers and lists as Python's own."""
+    kinds = dict(schemas.FRONT_MATTER)
+
+    def clean(value):
+        if isinstance(value, (list, tuple)) or hasattr(value, "tolist"):
+            return [str(x) for x in value] if hasattr(value, "__len__") else value.item()
+        return None if value is None or value != value else value
+
+    return {k: int(v) if kinds[k] == "int" else bool(v) if kinds[k] == "boolean" else v for k, v in ((k, clean(v)) for k, v in keys.items()) if v is not None}
+
+
+def _text_function(how):
+    @F.pandas_udf(T.StringType())
+    def run(text: pd.Series) -> pd.Series:
+        return text.map(how, na_action="ignore")
+
+    return run
+
 
-    return pd.DataFrame([one(*x) for x in zip(xml, title, abstract, strict=True)], columns=["body", "error"])
+escape_markdown, protect_block_start, citation_cleanup = map(_text_function, (inline.escape, inline.guard, inline.tidy))
 
 
 @F.pandas_udf(T.StringType())
@@ -119,16 +141,8 @@ def read_document(text: pd.Series) -> pd.DataFrame:
 
 @F.pandas_udf(T.StringType())
 def write_document(front_matter: pd.DataFrame, body: pd.Series) -> pd.Series:
-    def clean(value):
-        if isinstance(value, (list, tuple)) or hasattr(value, "tolist"):
-            return [str(x) for x in value] if hasattr(value, "__len__") else value.item()
-        return None if value is None or value != value else value
-
-    kinds = dict(schemas.FRONT_MATTER)
-
     def one(keys: dict, text: str | None) -> str:
-        cast = {k: int(v) if kinds[k] == "int" else bool(v) if kinds[k] == "boolean" else v for k, v in ((k, clean(v)) for k, v in keys.items()) if v is not None}
-        return frontmatter.write(cast, text or "")
+        return frontmatter.write(_plain(keys), text or "")
 
     return pd.Series([one(k, t) for k, t in zip(front_matter.to_dict("records"), body, strict=True)], dtype=object)
 

@@ -87,7 +87,7 @@ RECORD = """<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>7</PMID><Art
 
 def test_records():
     (r,) = records.parse_records(RECORD)
-    assert (r["pmid"], r["title"], r["authors"], r["journal"], r["published"], r["pmcid"], r["doi"], r["retracted"]) == ("7", "On x.", ["M Rossi", "Group"], "J", "2023-01", "PMC9", None, True)
+    assert (r["pmid"], r["title"], r["authors"], r["journal"], r["free_date"], r["pmcid"], r["doi"], r["retracted"]) == ("7", "On x.", ["M Rossi", "Group"], "J", "2023 Jan-Feb", "PMC9", None, True)
     assert r["abstract"] == [{"label": "AIM", "text": "a<sup>2</sup>"}]
     assert not next(records.parse_records(RECORD.replace("RETRACTED publication", "Review")))["retracted"]
     assert next(records.parse_records(RECORD.replace("RETRACTED publication", "Review").replace("Cites", "RetractionIn")))["retracted"]

@@ -100,6 +100,8 @@ def test_gate_and_conversion_errors(spark, service, corpus):
     (service / "articles" / "PMC1.xml").write_text(full_text("1", "w").replace("by/4.0", "by-nc/4.0").replace("w " * 400, "short"))
     run = go(spark, service, corpus)
     assert stats(run)[1] == {"no_open_access_fulltext": 1, "no_pmcid": 1, "quality:body_too_short": 1, "quality:license_not_allowed": 1, "retracted": 1}
+    draft = spark.createDataFrame([(b"<article/>", "t")], "xml binary, title string").select(udfs.struct_of({"source_type": F.lit("pmc_fulltext"), "id": F.lit("pmid-1")}).alias("f"))
+    assert "license: missing" in draft.select(udfs.contract_problems("f").alias("p")).first()["p"]
     bad = spark.createDataFrame([(b"<a>", "t")], "xml binary, title string").select(udfs.convert_article("xml", "title", F.lit(None).cast("array<struct<label:string,text:string>>")).alias("m")).first()["m"]
     assert bad["body"] is None and "well-formed" in bad["error"]
 
@@ -154,3 +156,45 @@ def test_ranking(spark):
     assert ranking.global_rank(spark.range(0).select("id"), ["id"]).count() == 0
     taken = spark.createDataFrame([(1,), (2,), (4,), (4,)], "number long")
     assert [r["number"] for r in ranking.free_numbers(spark, 3, taken, 4).orderBy("batch").collect()] == [3, 5, 6]
+
+
+def test_drafts_that_break_the_contract_do_not_pass(spark, service, corpus):
+    (service / "articles" / "PMC1.xml").write_text(full_text("1"))
+    (service / "records-0.xml").write_text(f"<PubmedArticleSet>{record('1', 'PMC1')}{record('2', 'X2')}</PubmedArticleSet>".replace("X2", "PMC2"))
+    config = default_config().model_copy(deep=True)
+    config.ncbi.batch_size, config.mapping.evidence_tier = 2, {**config.mapping.evidence_tier, "guideline": 9}
+    run = ingest.run(spark, config, read_corpus(spark, str(corpus)), spark.createDataFrame([], "id string"), spark.createDataFrame([], "number long"), NOW, folder=str(service))
+    assert stats(run)[1]["quality:schema_invalid"] == 2 and stats(run)[2] == 0
+
+
+def test_comments(spark, service, corpus, tmp_path, capsys):
+    accept(go(spark, service, corpus), corpus)
+    docs = read_corpus(spark, str(corpus))
+    said = [
+        (1, "/approve", "pmid-1", "NONE"), (2, "/approve", "pmid-1", "OWNER"), (3, " /Approve", "pmid-1", "MEMBER"), (4, "/reject", "pmid-1", "OWNER"), (5, "/reject poor", "pmid-1", "COLLABORATOR"), (6, "/approve", "pmid-1", "OWNER"),
+        (7, "/reject again", "pmid-1", "OWNER"), (8, "a question", "pmid-1", "OWNER"), (9, "/approve", "pmid-99", "OWNER"), (10, "/approve", "pmid-2", "OWNER"),
+    ]
+    comments = spark.createDataFrame([(i, b, f"corpus/{p}.md", a) for i, b, p, a in said] + [(11, "/approve", "README.md", "OWNER"), (12, "/approve", "corpus/pmid-2.md", None)], "id long, body string, path string, author_association string")
+    results, decided = review.answer_comments(docs, comments)
+    got = {r["id"]: (r["ok"], r["changed"], r["reply"]) for r in results.collect()}
+    refused = (False, False, "only owners, members and collaborators may decide")
+    assert got == {
+        1: refused, 2: (True, True, "approved"), 3: (True, False, None), 4: (False, False, "a rejection needs notes"), 5: (True, True, "rejected"), 6: (False, False, "the document is rejected already"), 7: (True, False, None),
+        9: (False, False, "the document is not in the corpus"), 10: (True, True, "approved"), 11: (False, False, "not on a document of the corpus"), 12: refused,
+    }
+    assert {r["id"]: (r["folder"], r["front_matter"]["curation_status"], r["front_matter"]["review_notes"]) for r in decided.collect()} == {"pmid-1": ("rejected", "rejected", "poor"), "pmid-2": ("corpus", "approved", None)}
+    pull = {"number": 1, "head": {"ref": "ingest/x", "repo": {"full_name": "o/r"}}}
+    event = tmp_path / "event.json"
+    for body, code in (("/approve", 0), ("/reject", 1)):
+        event.write_text(json.dumps({"pull_request": pull, "comment": {"id": 5, "body": body, "path": "corpus/pmid-1.md", "author_association": "OWNER"}}))
+        assert main(["comment", "--corpus", str(corpus), "--out", str(tmp_path / "decided"), "--event", str(event), "--name", "pull_request_review_comment", "--repo", "o/r"]) == code
+        assert json.loads(capsys.readouterr().out)[0]["ok"] == (code == 0)
+    assert spark.read.parquet(str(tmp_path / "decided")).where("text like '%curation_status: approved%'").count() == 1
+
+
+def test_second_run_leaves_open_batches_alone(spark, service, corpus, tmp_path, capsys):
+    out = []
+    for _ in range(2):
+        assert main(["run", "--corpus", str(corpus), "--out", str(tmp_path / "out"), "--folder", str(service)]) == 0
+        out.append(json.loads(capsys.readouterr().out.strip().splitlines()[-1]))
+    assert out[0]["new"] == 2 and out[1]["new"] == 0 and out[1]["excluded"]["in_open_pr"] == 2

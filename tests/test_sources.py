@@ -94,6 +94,21 @@ def test_pages():
 
 def test_config_is_strict():
     good = default_config().model_dump()
-    for part, key, value in (("ncbi", "batch_size", 501), ("search", "max_results", 0), ("mapping", "evidence_tier", {"other": 5}), ("quality", "surprise", 1)):
+    for part, key, value in (("ncbi", "batch_size", 501), ("search", "max_results", 0), ("mapping", "evidence_tier", {"other": 5}), ("quality", "surprise", 1), ("search", "mindate", "May 2020")):
         with pytest.raises(ValueError):
             type(default_config()).model_validate(good | {part: good[part] | {key: value}})
+
+
+def test_a_run_needs_a_query_and_an_address(tmp_path):
+    from docflow.config import load_config
+
+    good = default_config().model_dump(mode="json")
+    for query, email, fine in (("q", "a@b.org", True), (" ", "a@b.org", False), ("q", "nobody", False)):
+        good["search"]["query"], good["ncbi"]["email"] = query, email
+        path = tmp_path / "c.yaml"
+        path.write_text(json.dumps(good))
+        if fine:
+            assert load_config(path).search.query == "q"
+        else:
+            with pytest.raises(ValueError):
+                load_config(path)
