@@ -1,16 +1,18 @@
 """Queries on identity, exclusion, gates, diffs and batches.
 
-The driver's tables stand in for the pipeline's: documents are candidate records, labels the review registry (toxic: retracted,
-quality 0: rejected), benchmark the ids in open batches, pages the full texts by id.
+The driver's tables stand in for the pipeline's: documents are candidate records, labels the corpus and its review registry (toxic: retracted,
+quality 0: rejected), benchmark the ids in open batches, pages the full texts by id. The functions are those that a run calls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import udfs
 from ..config import Quality
 from ..functions import content_hash, normalize_license
+from ..functions.licenses import ADDRESS, NAME
 from ..operators import ranking, sinks, waterfall
 from ..storage import materialize
 
@@ -36,48 +38,54 @@ SELECT doc_id, lang, text_hash FROM (
   SELECT doc_id, lang, sha256(coalesce(text, '')) AS text_hash, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) AS r FROM documents) WHERE r = 1"""
 
 
+def _prefixed(column: str) -> Column:
+    return F.concat(F.lit("pmid-"), F.col(column).cast("string"))
+
+
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of different texts as records, with what the corpus holds of them: a registry of decisions, unreadable files, open batches."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    short = docs.select("doc_id", "lang", "source", F.length("text").alias("chars"), normalize_license(F.col("text")).alias("license"), F.sha2("text", 256).alias("text_hash"))
-    first = ranking.first_seen(short, ["text_hash"], ["doc_id"])
-    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("retracted"), (F.col("quality") == 0).alias("rejected"))
-    opened = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit(True).alias("in_open_batch")).distinct()
+    gate = F.size(waterfall.gate_reasons(F.col("lang"), normalize_license(F.col("text")), F.col("text"), GATE)) > 0
+    first = ranking.first_seen(docs.select("doc_id", "source", gate.alias("gated"), F.sha2("text", 256).alias("text_hash")), ["text_hash"], ["doc_id"])
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    records = first.join(labels.select("doc_id", (F.col("toxic") == 1).alias("retracted")), "doc_id", "left").withColumn("pmid", F.col("doc_id").cast("string")).withColumnRenamed("source", "pmcid")
+    poor, even, none = F.col("quality") == 0, F.col("doc_id") % 2 == 0, F.lit(None).cast("string")
+    corpus = labels.where(~(poor & even)).select(
+        _prefixed("doc_id").alias("id"), F.when(poor, "rejected").otherwise("approved").alias("status"), none.alias("content_hash"), none.alias("review_notes"), F.when(~poor & (F.col("doc_id") % 5 == 0), "unreadable").alias("error"),
+    )
+    opened = table(spark, sf_dir, "benchmark").select(F.explode(F.array(_prefixed("item_id"), F.concat(F.lit("web-"), F.col("item_id").cast("string")))).alias("id"))
+    flagged = waterfall.with_state(records, corpus, labels.where(poor & even).select(_prefixed("doc_id").alias("id")), opened)
     bodies = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), (F.length("html") > 0).alias("has_body")).distinct()
-    return first.join(labels, "doc_id", "left").join(opened, "doc_id", "left").join(bodies, "doc_id", "left")
+    return flagged.join(bodies, "doc_id", "left")
 
 
 def exclusion_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gate = F.array_compact(F.array(
-        F.when(F.col("lang").isNull(), "language_missing").when(~F.col("lang").isin(GATE.allowed_languages), "language_not_allowed"),
-        F.when(F.col("license").isNull(), "license_missing").when(~F.col("license").isin(GATE.allowed_licenses), "license_not_allowed"),
-        F.when(F.col("chars") < GATE.min_body_chars, "body_too_short"),
-    ))
-    reason = waterfall.first_reason([
-        ("retracted", F.col("retracted")), ("rejected_in_corpus", F.col("rejected")), ("in_open_pr", F.col("in_open_batch")), ("no_pmcid", F.coalesce("source", F.lit("")) == ""),
-        ("no_open_access_fulltext", ~F.coalesce("has_body", F.lit(False))), ("quality", F.size(gate) > 0),
-    ])
+    late = [("no_open_access_fulltext", ~F.coalesce(F.col("has_body"), F.lit(False))), ("quality", F.col("gated"))]
+    reason = waterfall.first_reason(waterfall.record_rules() + late)
     return _flagged(spark, sf_dir).select("doc_id", F.coalesce(reason, F.lit("kept")).alias("reason"))
 
 
+_ADDRESS, _NAME = (p.replace("(?iU)", "(?i)") for p in (ADDRESS, NAME))
 LICENSE_SQL = r"""
-CASE WHEN regexp_matches({c}, '(?i)creativecommons\.org/(licenses|publicdomain)/([a-z-]+)/(\d\.\d)') THEN
-  CASE WHEN lower(regexp_extract({c}, '(?i)creativecommons\.org/(licenses|publicdomain)/([a-z-]+)/(\d\.\d)', 1)) = 'licenses'
-    THEN 'CC-' || upper(regexp_extract({c}, '(?i)creativecommons\.org/(licenses|publicdomain)/([a-z-]+)/(\d\.\d)', 2)) || '-' || regexp_extract({c}, '(?i)creativecommons\.org/(licenses|publicdomain)/([a-z-]+)/(\d\.\d)', 3)
-    WHEN upper(regexp_extract({c}, '(?i)creativecommons\.org/(licenses|publicdomain)/([a-z-]+)/(\d\.\d)', 2)) = 'ZERO' THEN 'CC0-1.0' END
-WHEN regexp_matches({c}, '(?i)\bCC[\s-]?(0|BY(?:[\s-]?(?:NC|ND|SA))*)(?:[\s-]+(\d\.\d))?\b') THEN
-  CASE WHEN regexp_extract({c}, '(?i)\bCC[\s-]?(0|BY(?:[\s-]?(?:NC|ND|SA))*)(?:[\s-]+(\d\.\d))?\b', 1) = '0' THEN 'CC0-1.0'
-  ELSE 'CC-' || regexp_replace(regexp_replace(upper(regexp_extract({c}, '(?i)\bCC[\s-]?(0|BY(?:[\s-]?(?:NC|ND|SA))*)(?:[\s-]+(\d\.\d))?\b', 1)), '[\s-]+', '-', 'g'), 'BY(NC|ND|SA)', 'BY-\1', 'g')
-    || CASE WHEN regexp_extract({c}, '(?i)\bCC[\s-]?(0|BY(?:[\s-]?(?:NC|ND|SA))*)(?:[\s-]+(\d\.\d))?\b', 2) <> '' THEN '-' || regexp_extract({c}, '(?i)\bCC[\s-]?(0|BY(?:[\s-]?(?:NC|ND|SA))*)(?:[\s-]+(\d\.\d))?\b', 2) ELSE '' END END
-END"""
+CASE WHEN regexp_matches({c}, '@A') THEN
+  CASE WHEN lower(regexp_extract({c}, '@A', 1)) = 'licenses'
+    THEN 'CC-' || upper(regexp_extract({c}, '@A', 2)) || '-' || regexp_extract({c}, '@A', 3)
+    WHEN upper(regexp_extract({c}, '@A', 2)) = 'ZERO' THEN 'CC0-1.0' END
+WHEN regexp_matches({c}, '@N') THEN
+  CASE WHEN regexp_extract({c}, '@N', 1) = '0' THEN 'CC0-1.0'
+  ELSE 'CC-' || regexp_replace(regexp_replace(upper(regexp_extract({c}, '@N', 1)), '[\s-]+', '-', 'g'), 'BY(NC|ND|SA)', 'BY-\1', 'g')
+    || CASE WHEN regexp_extract({c}, '@N', 2) <> '' THEN '-' || regexp_extract({c}, '@N', 2) ELSE '' END END
+END""".replace("@A", _ADDRESS).replace("@N", _NAME)
 _ALLOWED = ", ".join(f"'{x}'" for x in GATE.allowed_licenses)
 _FLAGGED_SQL = f"""
 WITH docs AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) AS r FROM documents),
 flagged AS (
   SELECT d.doc_id, d.lang, d.source, length(d.text) AS chars, {LICENSE_SQL.format(c='d.text')} AS license, coalesce(l.toxic = 1, false) AS retracted, coalesce(l.quality = 0, false) AS rejected,
-    b.item_id IS NOT NULL AS opened, coalesce(length(p.html) > 0, false) AS has_body
+    coalesce(l.quality <> 0 AND d.doc_id % 5 = 0, false) AS unreadable, b.item_id IS NOT NULL AS opened, coalesce(length(p.html) > 0, false) AS has_body
   FROM docs d LEFT JOIN labels l USING (doc_id) LEFT JOIN (SELECT DISTINCT item_id FROM benchmark) b ON b.item_id = d.doc_id LEFT JOIN pages p ON p.page_id = d.doc_id WHERE d.r = 1),
 reasoned AS (
-  SELECT doc_id, CASE WHEN retracted THEN 'retracted' WHEN rejected THEN 'rejected_in_corpus' WHEN opened THEN 'in_open_pr' WHEN coalesce(source, '') = '' THEN 'no_pmcid' WHEN NOT has_body THEN 'no_open_access_fulltext'
+  SELECT doc_id, CASE WHEN retracted THEN 'retracted' WHEN rejected THEN 'rejected_in_corpus' WHEN unreadable THEN 'error_read_corpus' WHEN opened THEN 'in_open_pr' WHEN coalesce(source, '') = '' THEN 'no_pmcid'
+    WHEN NOT has_body THEN 'no_open_access_fulltext'
     WHEN lang IS NULL OR lang NOT IN ('en', 'fr') OR license IS NULL OR license NOT IN ({_ALLOWED}) OR chars < {GATE.min_body_chars} THEN 'quality' ELSE 'kept' END AS reason FROM flagged)"""
 EXCLUSION_WATERFALL = _FLAGGED_SQL + " SELECT doc_id, reason FROM reasoned"
 
@@ -137,29 +145,67 @@ BATCH = 20
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as changes, in batches as a run makes them."""
     tier = F.coalesce(F.create_map(*[F.lit(x) for p in TIERS.items() for x in p])[F.col("lang")], F.lit(5))
-    docs = table(spark, sf_dir, "documents").select(tier.alias("tier"), F.col("doc_id").cast("string").alias("pmid"), "lang", "source")
-    return ranking.global_rank(docs, ["tier", "pmid"]).withColumn("batch", ranking.batch_number(F.col("rank"), BATCH))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("pmid"), "lang", "source", tier.alias("tier"))
+    lang = F.coalesce("lang", F.lit(""))
+    front = F.struct(
+        F.concat(F.lit("pmid-"), "pmid").alias("id"), F.concat(F.coalesce("source", F.lit("")), F.lit("|"), lang).alias("title"), F.concat(F.lit("kind_"), F.col("tier").cast("string")).alias("doc_type"),
+        F.col("tier").alias("evidence_tier"), F.array(F.lit("unspecified"), lang).alias("modality"), F.array().cast("array<string>").alias("topics"),
+    )
+    return sinks.batches(docs.select("pmid", front.alias("front_matter"), F.lit("new").alias("outcome")), BATCH)
 
 
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _batched(spark, sf_dir).select("pmid", "tier", "rank", "batch")
+    return _batched(spark, sf_dir).select("pmid", F.col("front_matter.evidence_tier").alias("tier"), "rank", "batch")
 
 
 _BATCHED_SQL = f"""
-WITH d AS (SELECT doc_id::VARCHAR AS pmid, lang, source, CASE lang {' '.join(f"WHEN '{k}' THEN {v}" for k, v in TIERS.items())} ELSE 5 END AS tier FROM documents),
+WITH d AS (SELECT doc_id::VARCHAR AS pmid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, CASE lang {' '.join(f"WHEN '{k}' THEN {v}" for k, v in TIERS.items())} ELSE 5 END AS tier FROM documents),
 ranked AS (SELECT *, row_number() OVER (ORDER BY tier, pmid) AS rank FROM d), batched AS (SELECT *, (rank - 1) // {BATCH} + 1 AS batch FROM ranked)"""
 BATCH_ASSIGN = _BATCHED_SQL + " SELECT pmid, tier, rank::BIGINT AS rank, batch::BIGINT AS batch FROM batched"
 
 
 def batch_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = sinks.table_row([F.concat(F.lit("`pmid-"), "pmid", F.lit("`")), F.concat(F.coalesce("source", F.lit("")), F.lit("|"), F.coalesce("lang", F.lit(""))), F.col("tier").cast("string")])
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("rank", row.alias("row")))), lambda x: x["row"])
-    return _batched(spark, sf_dir).groupBy("batch").agg(F.count("*").alias("documents"), F.array_join(lines, "\n").alias("description"))
+    return sinks.descriptions(_batched(spark, sf_dir))
+
+
+_ROW = r"'| `pmid-' || pmid || '` | ' || source || '\|' || lang || ' | kind_' || tier || ' | unspecified, ' || lang || ' |  | new | [' || pmid || '](https://pubmed.ncbi.nlm.nih.gov/' || pmid || '/) |'"
+BATCH_DESCRIPTION = f"""{_BATCHED_SQL} SELECT batch::BIGINT AS batch, count(*)::BIGINT AS documents,
+  '{sinks.HEADER}' || chr(10) || string_agg({_ROW}, chr(10) ORDER BY rank) || chr(10) || chr(10) || '{sinks.NOTICE}' AS description FROM batched GROUP BY batch"""
+
+
+def run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics of a run whose records the waterfall excludes and whose other outcomes are those of the diff."""
+    reasons = exclusion_waterfall(spark, sf_dir).where("reason <> 'kept'").select("reason")
+    made = sinks.run_statistics(table(spark, sf_dir, "documents").count(), reasons, snapshot_diff(spark, sf_dir).select(F.col("status").alias("outcome")))
+    listed = F.array_join(F.transform(F.map_entries("excluded"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return made.withColumn("excluded", listed)
+
+
+RUN_STATISTICS = _FLAGGED_SQL + """, n AS (SELECT reason, count(*) AS n FROM reasoned WHERE reason <> 'kept' GROUP BY reason), s AS (@DIFF)
+SELECT (SELECT count(*) FROM documents) AS found, (SELECT string_agg(reason || '=' || n, ',' ORDER BY reason) FROM n) AS excluded, (SELECT sum(n) FROM n)::BIGINT AS excluded_total,
+  count(*) FILTER (WHERE status = 'new') AS "new", count(*) FILTER (WHERE status = 'updated') AS updated, count(*) FILTER (WHERE status = 'unchanged') AS unchanged, (SELECT n FROM n WHERE reason = 'error_read_corpus') AS errors FROM s""".replace("@DIFF", SNAPSHOT_DIFF)
+
+
+def front_matter_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written with front matter and read again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    front = udfs.struct_of({
+        "id": _prefixed("doc_id"), "title": F.split("text", "\n")[0], "language": F.col("lang"), "evidence_tier": F.col("doc_id") % 5 + 1, "retracted": F.col("doc_id") % 2 == 0, "published": F.lit("2024-03-05"),
+        "modality": F.array(F.lit("transplant"), F.coalesce("lang", F.lit("none"))), "topics": F.array().cast("array<string>"), "review_notes": F.concat(F.lit("a: "), F.reverse("text")),
+    })
+    read = docs.select("doc_id", udfs.read_document(udfs.write_document(front, "text")).alias("d"))
+    keys = F.col("d.front_matter")
+    return read.select(
+        "doc_id", keys["title"].alias("title"), keys["language"].alias("language"), keys["evidence_tier"].cast("long").alias("tier"), keys["retracted"].alias("retracted"), keys["published"].alias("published"),
+        F.array_join(keys["modality"], ",").alias("modality"), keys["topics"].isNull().alias("no_topics"), F.sha2(keys["review_notes"], 256).alias("notes_sha256"), F.sha2("d.body", 256).alias("body_sha256"), F.col("d.error").alias("error"),
+    )
 
 
-BATCH_DESCRIPTION = _BATCHED_SQL + r""" SELECT batch::BIGINT AS batch, count(*)::BIGINT AS documents,
-  string_agg('| `pmid-' || pmid || '` | ' || replace(coalesce(source, '') || '|' || coalesce(lang, ''), '|', '\|') || ' | ' || tier || ' |', chr(10) ORDER BY rank) AS description FROM batched GROUP BY batch"""
+FRONT_MATTER_ROUND_TRIP = """
+SELECT doc_id, string_split(coalesce(text, ''), chr(10))[1] AS title, lang AS language, (doc_id % 5 + 1)::BIGINT AS tier, doc_id % 2 = 0 AS retracted, '2024-03-05' AS published, 'transplant,' || coalesce(lang, 'none') AS modality,
+  true AS no_topics, sha256('a: ' || reverse(coalesce(text, ''))) AS notes_sha256, sha256(coalesce(text, '')) AS body_sha256, NULL::VARCHAR AS error FROM documents"""
 
 
 def free_branch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,8 +231,10 @@ SELECT start::BIGINT AS start, least(100, total - start)::BIGINT AS count FROM n
 QUERIES = {
     "dedup_first_seen": dedup_first_seen, "exclusion_waterfall": exclusion_waterfall, "exclusion_counts": exclusion_counts, "quality_gate_reasons": quality_gate_reasons, "normalize_license": license_names,
     "content_hash": content_hashes, "snapshot_diff": snapshot_diff, "batch_assign": batch_assign, "batch_description": batch_description, "free_branch_numbers": free_branch_numbers, "page_offsets": page_offsets,
+    "run_statistics": run_statistics, "front_matter_round_trip": front_matter_round_trip,
 }
 ORACLES = {
     "dedup_first_seen": DEDUP_FIRST_SEEN, "exclusion_waterfall": EXCLUSION_WATERFALL, "exclusion_counts": EXCLUSION_COUNTS, "quality_gate_reasons": QUALITY_GATE_REASONS, "normalize_license": LICENSE_NAMES,
     "content_hash": CONTENT_HASHES, "snapshot_diff": SNAPSHOT_DIFF, "batch_assign": BATCH_ASSIGN, "batch_description": BATCH_DESCRIPTION, "free_branch_numbers": FREE_BRANCH_NUMBERS, "page_offsets": PAGE_OFFSETS,
+    "run_statistics": RUN_STATISTICS, "front_matter_round_trip": FRONT_MATTER_ROUND_TRIP,
 }

@@ -176,10 +176,6 @@ g AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\\s+', ' ', 'g'), '^\\s+|
 SELECT doc_id, length(t)::BIGINT AS chars, sha256(t) AS clean_sha256 FROM g""".replace("@@", GONE)
 
 
-def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", udfs.html_to_markdown("html").alias("markdown"))
-
-
 def table_grid_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table for each region: its name spans its nations' rows, and a footer spans the columns."""
     nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -197,7 +193,7 @@ SELECT r_regionkey, '| Region | Nation | Nation |' || chr(10) || '| --- | --- |
 
 QUERIES = {
     "doc_type_priority": doc_type_priority, "evidence_tier": evidence_tiers, "topics": topic_lists, "modality": modality_lists, "population": populations, "language_map": language_map, "partial_date": partial_dates,
-    "title_cleanup": title_cleanup, "markdown_escape": markdown_escape, "protect_block_start": block_starts, "citation_cleanup": citation_marks, "html_to_markdown": html_to_markdown, "table_grid_expand": table_grid_expand,
+    "title_cleanup": title_cleanup, "markdown_escape": markdown_escape, "protect_block_start": block_starts, "citation_cleanup": citation_marks, "table_grid_expand": table_grid_expand,
 }
 ORACLES = {
     "doc_type_priority": DOC_TYPE_PRIORITY, "evidence_tier": EVIDENCE_TIERS, "topics": TOPIC_LISTS, "modality": MODALITY_LISTS, "population": POPULATIONS, "language_map": LANGUAGE_MAP, "partial_date": PARTIAL_DATES,
