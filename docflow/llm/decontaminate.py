@@ -12,8 +12,8 @@ block, so what is sent has a bound whatever the benchmark's size. Texts are read
 
 Edge cases: null and empty texts leak nothing; an item of up to WINDOW words is one window; windows with under half of their words
 plain prove nothing; items that such windows or fewer than LEAST_PLAIN plain words hide are matched word for word, if they have EXACT
-words with a plain one, or RUN words; shorter ones prove nothing; null items are left out; items
-with equal texts all leak; repeated rows are rows; find_leaks replaces a column named leaks, all others are passed on.
+words with a plain one, or RUN words; shorter ones prove nothing; null items are left out, ids may be
+of any type or null; items with equal texts all leak; repeated rows are rows; find_leaks replaces a column named leaks, all others are passed on.
 """
 
 from __future__ import annotations
@@ -142,7 +142,7 @@ class Index:
             if share * len(own) >= max(COVER * len(own), min(len(own), EVIDENCE)) - 1e-9 or run >= RUN:
                 found.append((item_id, share))
         seen = {x[0] for x in whole}
-        return sorted([*(x for x in found if x[0] not in seen), *whole])
+        return sorted([*(x for x in found if x[0] not in seen), *whole], key=lambda x: (x[0] is not None, x[0] if x[0] is not None else 0, x[1]))
 
 
 def _covered(words: list[str], own: list[str], slots: np.ndarray, width: int, pairs: list[tuple[int, int]]) -> tuple[float, int]:
@@ -199,7 +199,7 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs with a column leaks: array of (item_id, covered)."""
-    leak = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("covered", T.DoubleType())]))
+    leak = T.ArrayType(T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), T.StructField("covered", T.DoubleType())]))
     out = docs.withColumn("leaks", F.array().cast(leak))
     for block in item_blocks(benchmark):
         sent = out.sparkSession.sparkContext.broadcast(block)

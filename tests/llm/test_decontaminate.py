@@ -87,3 +87,10 @@ def test_passages_of_long_items_and_short_or_slot_heavy_items(spark):
     around = words(rng, 50)
     docs = [" ".join([around, *long.split()[100:130], around]), f"{around} {changed} {around}", f"{around} {heavy} {around}", f"{around} {few} {around}", " ".join([around, *long.split()[100:110], around]), f"{around} what is 8 plus 9"]
     assert leaked(spark, docs, [long, short, heavy, few]) == {0: [0], 1: [1], 2: [2], 3: [3], 4: [], 5: []}
+
+
+def test_ids_of_any_type(spark):
+    items = spark.createDataFrame([("b", "every good dog likes green apples more than old boots"), (None, "every good dog likes green apples more than old boots"), ("a", "every good dog likes green apples more than old boots")], "item_id string, text string")
+    docs = simple(spark, ["so: every good dog likes green apples more than old boots, he said", "nothing"])
+    got = {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in d.find_leaks(docs, items).collect()}
+    assert got == {0: [None, "a", "b"], 1: []}

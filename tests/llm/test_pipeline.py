@@ -65,3 +65,12 @@ def test_near_dedup_stage_links_at_80_percent(spark, tmp_path):
     texts = [" ".join(w), " ".join("new" if i in (40, 90, 140, 170) else x for i, x in enumerate(w))]  # 176 of 216 shingles: 0.815
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], COLUMNS)
     assert [r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, str(tmp_path)).collect()] == [0]
+
+
+def test_language_stage_rejects_what_is_no_language(spark, tmp_path):
+    rng = random.Random(6)
+    known = [(i, " ".join(rng.choice("the cat and this house of that man with her there then other".split()) for _ in range(60)), "en", "s", 1) for i in range(40)]
+    noise = [(100 + i, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(80)), None, "s", 1) for i in range(10)]
+    foreign = [(200 + i, " ".join(rng.choice("ja nie wiem czy pan przyszedł był dzień dobry szczęście źródło żółw".split()) for _ in range(60)), None, "s", 1) for i in range(10)]
+    docs = spark.createDataFrame(known + noise + foreign, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)["language_id"](spark, docs, str(tmp_path)).collect()) == list(range(40))
