@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
@@ -175,11 +175,16 @@ def _compare_chunks(rows: pa.Table, percent: int) -> pa.Table:
     return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
 
 
+def _chunks(shingles: Column) -> Column:
+    """Of about CHUNK shingles; more and smaller ones in families of a few chunks, so that they are spread, too."""
+    return F.when(shingles < CHUNK // 2, 1).otherwise(F.greatest(F.ceil(shingles / CHUNK), F.ceil(F.sqrt(shingles * 32 / CHUNK)))).cast("long")
+
+
 def _across(mates: DataFrame, traits: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """mates(pivot, cls, component, n) -> links (u, v) between classes of different components with a common pivot."""
     parts = mates.groupBy("pivot", "component").agg(F.sum("n").alias("size"))
     tops = parts.groupBy("pivot").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count("*").alias("parts")).where("parts > 1")
-    tops = tops.select("pivot", F.col("top.component").alias("top"), F.ceil(F.col("all") / CHUNK).alias("chunks"), F.ceil((F.col("all") - F.col("top.size")) / CHUNK).alias("outer_chunks"))
+    tops = tops.select("pivot", F.col("top.component").alias("top"), _chunks(F.col("all")).alias("chunks"), _chunks(F.col("all") - F.col("top.size")).alias("outer_chunks"))
     tops = materialize(tops, "tops")  # apart from the join, which Spark can then split where a pivot has many mates
     rows = mates.drop("n").join(tops, "pivot").join(traits, "cls").join(sets, "cls")
     own = lambda count: F.pmod(F.xxhash64("cls"), count)
