@@ -35,7 +35,7 @@ BASE = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 #: A text without a match of this has no base match of the kind; cheap to test.
-HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
+HINT = {"email": ("@",), "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 LOOSE = {
     "email": r"[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+ ?[\[({<] ?at ?[\])}>] ?[A-Za-z0-9-]++(?: ?[\[({<] ?dot ?[\])}>] ?[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9A-Za-z+.])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
@@ -43,7 +43,10 @@ LOOSE = {
     "id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "name": r"(?<![\p{L}.])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame)\.? \p{Lu}\p{Ll}{2,}+(?: \p{Lu}\p{Ll}{2,}+)?",
 }
-LOOSE_HINT = {"email": r"[\[({<] ?at ?[\])}>]", "phone": r"[0-9]{3}[ .-][0-9]{4}", "secret": r"AKIA|(?i:password|passwd|token|key|secret)\s?[=:]", "id": "-[0-9]{2}-", "name": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|ora|or|ieur|ame)\.? \p{Lu}"}
+# Words of which a text with a loose match has one, or a pattern that it matches.
+LOOSE_HINT = {
+    "email": r"[\[({<] ?at ?[\])}>]", "phone": r"[0-9]{3}[ .-][0-9]{4}", "secret": ("=", ":", "AKIA"), "id": r"-[0-9]{2}-", "name": ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Señor", "Monsieur", "Madame"),
+}
 # Labelers, by kind: a pattern that votes for a span, and one that votes against it (None: never; ANY_OTHER: whenever the first does not match).
 ANY_OTHER = ""
 SHAPE = {
@@ -123,7 +126,7 @@ def _located(chunk: Column, begin: Column) -> Column:
     return F.aggregate(chunk, F.struct(begin.alias("at"), F.array().cast(SPANS).alias("out")), add, lambda s: s["out"])
 
 
-def _matches(text: Column, pattern: str, hint: str) -> Column:
+def _matches(text: Column, pattern: str, hint: str | tuple[str, ...]) -> Column:
     """Array of (start, end, value, before, after), in order, of all matches of pattern: the text between matches, added up, gives their places."""
 
     def zipped(gaps: Column) -> Column:
@@ -134,7 +137,7 @@ def _matches(text: Column, pattern: str, hint: str) -> Column:
         )
 
     found = _let(F.split(text, pattern, -1), lambda gaps: _let(zipped(gaps), lambda p: _let(_chunks(p), lambda c: F.flatten(F.zip_with(c, _offsets(c), _located)))))
-    hinted = F.instr(text, hint) > 0 if hint == "@" else text.rlike(hint)
+    hinted = text.rlike(hint) if isinstance(hint, str) else _any([F.contains(text, F.lit(word)) for word in hint])
     return F.when(hinted, found).otherwise(F.array().cast(SPANS))
 
 
@@ -159,7 +162,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 def _apart(spans: Column) -> Column:
     """Those of spans that overlap no base span of any kind."""
-    return F.when(F.size(spans) > 0, F.filter(spans, lambda m: ~_any([_overlaps(m, F.col(kind)) for kind in KINDS]))).otherwise(spans)
+    return _let(spans, lambda found: F.filter(found, lambda m: ~_any([_overlaps(m, F.col(kind)) for kind in KINDS])))
 
 
 def _any(conditions: list[Column]) -> Column:
