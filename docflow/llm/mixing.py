@@ -102,9 +102,9 @@ def _seek(g: Column) -> Column:
     return _let(side(first, g["up"], _rise, 1), lambda s: side(_with(s, w=F.lit(1.0)), g["down"], _fall, -1)["x"].cast("long"))
 
 
-def _dealer(level: int, seed: int):
+def _dealer(seed: int):
     def deal(s: Column, q: Column) -> Column:
-        x = hypergeometric(s["pop"], q, s["draws"], _uniform(F.lit(seed), F.lit(level), F.col("group"), F.col("shard"), F.size(s["out"])))
+        x = hypergeometric(s["pop"], q, s["draws"], _uniform(F.lit(seed), F.col("level"), F.col("group"), F.col("shard"), F.size(s["out"])))
         return _let(x, lambda x: F.struct((s["draws"] - x).alias("draws"), (s["pop"] - q).alias("pop"), F.concat(s["out"], F.array(x)).alias("out")))
 
     return deal
@@ -121,20 +121,21 @@ def split_quotas(roots: DataFrame, levels: int, seed: int) -> DataFrame:
     hypergeometric draw, made as a chain of conditional hypergeometric draws. leaves: how many blocks of the group each shard is
     to get; null: an inner node halves its blocks.
     """
-    tree = roots.select("group", F.lit(0).cast("long").alias("shard"), "quotas", "leaves")
+    width = F.expr(f"shiftleft(1, {levels - 1} - level)")
+    half = F.floor((_sum(F.col("quotas")) + F.pmod(F.xxhash64(F.lit(seed), "level", "shard"), F.lit(2))) / 2).cast("long")
+    given = _sum(F.slice("leaves", (F.col("shard") * 2 * width + 1).cast("int"), width))
+    start = F.struct(F.coalesce(given, half).alias("draws"), _sum(F.col("quotas")).alias("pop"), F.array().cast("array<bigint>").alias("out"))
+    taken = F.aggregate("quotas", start, _dealer(seed), lambda s: s["out"])
+    halves = F.array(
+        F.struct((F.col("shard") * 2).alias("shard"), F.col("taken").alias("quotas")),
+        F.struct((F.col("shard") * 2 + 1).alias("shard"), F.zip_with("quotas", "taken", lambda a, b: a - b).alias("quotas")),
+    )
+    tree = roots.select("group", F.lit(0).cast("long").alias("shard"), "quotas", "leaves", F.lit(0).alias("level"))
     for level in range(levels):
         if level == 3:
             tree = tree.repartition(F.col("group"), F.col("shard"))
-        width = 1 << (levels - level - 1)
-        half = F.floor((_sum(F.col("quotas")) + F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "shard"), F.lit(2))) / 2).cast("long")
-        given = _sum(F.slice("leaves", (F.col("shard") * 2 * width + 1).cast("int"), F.lit(width)))
-        start = F.struct(F.coalesce(given, half).alias("draws"), _sum(F.col("quotas")).alias("pop"), F.array().cast("array<bigint>").alias("out"))
-        tree = tree.withColumn("taken", F.aggregate("quotas", start, _dealer(level, seed), lambda s: s["out"]))
-        halves = F.array(
-            F.struct((F.col("shard") * 2).alias("shard"), F.col("taken").alias("quotas")),
-            F.struct((F.col("shard") * 2 + 1).alias("shard"), F.zip_with("quotas", "taken", lambda a, b: a - b).alias("quotas")),
-        )
-        tree = tree.select("group", "leaves", F.explode(halves).alias("half")).select("group", "half.shard", "half.quotas", "leaves")
+        tree = tree.select("*", taken.alias("taken")).select("group", "leaves", F.explode(halves).alias("half"), (F.col("level") + 1).alias("level"))
+        tree = tree.select("group", "half.shard", "half.quotas", "leaves", "level")
     return tree.select("group", "shard", "quotas")
 
 
@@ -172,21 +173,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     return out.withColumn("target", target.cast("double"))
 
 
-def permuted(x: Column, count: Column, rows: Column, cols: Column, *key: Column) -> Column:
-    """A keyed permutation of 0 .. count-1, for rows * cols >= count: a Feistel network over (row, column), walked on while it leads outside.
+def permuted(x: Column, count: Column, rows: Column, cols: Column, keys: list[Column]) -> Column:
+    """A keyed permutation of 0 .. count-1, for rows * cols >= count: a Feistel network over (row, column), a round a key, walked on while it leads outside.
 
     Outside are fewer than rows numbers of rows * cols; no walk is longer, and one of WALK steps has a chance below 1e-14.
     """
 
     def network(x: Column) -> Column:
         def turn(s: Column, j: int) -> Column:
-            add = lambda other, size: F.pmod(F.xxhash64(*key, F.lit(j), other), size)
+            add = lambda other, size: F.pmod(F.xxhash64(keys[j], other), size)
             if j % 2:
                 return F.struct(s["l"].alias("l"), F.pmod(s["r"] + add(s["l"], cols), cols).alias("r"))
             return F.struct(F.pmod(s["l"] + add(s["r"], rows), rows).alias("l"), s["r"].alias("r"))
 
         def rounds(s: Column, j: int) -> Column:
-            return _let(turn(s, j), lambda t: rounds(t, j + 1)) if j < ROUNDS else s["l"] * cols + s["r"]
+            return _let(turn(s, j), lambda t: rounds(t, j + 1)) if j < len(keys) else s["l"] * cols + s["r"]
 
         return rounds(F.struct(F.floor(x / cols).alias("l"), F.pmod(x, cols).alias("r")), 0)
 
@@ -218,7 +219,9 @@ def mix(
     before = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.withColumn("begin", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
     starts = shards.groupBy("place").agg(F.transform(F.array_sort(F.collect_list(F.struct("shard", "begin"))), lambda x: x["begin"]).alias("starts"))
-    plan = plan.join(starts, "place", "left").select("key", "target", "width", "blocks", "rows", "cols", "quota", "starts", "place")
+    turns = range(math.ceil(ceiling))
+    keys = [F.xxhash64(F.lit(seed), "place", F.lit(turn), F.lit(j)).alias(f"key_{turn}_{j}") for turn in turns for j in range(ROUNDS)]
+    plan = plan.join(starts, "place", "left").select("key", "target", "width", "blocks", "rows", "cols", "quota", "starts", "place", *keys)
 
     ranges = sized.groupBy("key", "range").agg(F.sum("size").alias("words")).withColumn("span", F.shiftright("range", 10))
     spans = ranges.groupBy("key", "span").agg(F.sum("words").alias("words"))
@@ -234,26 +237,25 @@ def mix(
     own = F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))
     halvings = F.array(*[F.lit(1 << i) for i in reversed(range(levels))])
 
-    def place_of(b: Column, turn: Column) -> Column:
-        return turn * blocks + permuted(b, blocks, F.col("rows"), F.col("cols"), F.lit(seed), F.col("place"), turn)
+    def place_of(b: Column, turn: int) -> Column:
+        return turn * blocks + permuted(b, blocks, F.col("rows"), F.col("cols"), [F.col(f"key_{turn}_{j}") for j in range(ROUNDS)])
 
     def shard_of(p: Column) -> Column:
         return F.aggregate(halvings, F.lit(0), lambda lo, s: F.when(F.element_at("starts", lo + s + 1) <= p, lo + s).otherwise(lo))
 
-    def segment(x: Column, turn: Column) -> Column:
+    def segment(x: Column, turn: int) -> Column:
         first = F.greatest(begin, x["b"] * width)
         words = F.least(begin + size, (x["b"] + 1) * width) - first
         return F.struct(
-            shard_of(x["p"]).alias("shard"), turn.cast("int").alias("pass"), F.xxhash64(F.lit(seed), F.col("place"), x["p"]).alias("order_key"),
+            shard_of(x["p"]).alias("shard"), F.lit(turn).alias("pass"), F.xxhash64(F.lit(seed), F.col("place"), x["p"]).alias("order_key"),
             (first - begin).alias("start_word"), words.alias("n_words"),
         )
 
-    def drawn_in(turn: Column) -> Column:
+    def drawn_in(turn: int) -> Column:
         placed = F.transform(F.when(quota > turn * blocks, own).otherwise(F.array().cast("array<bigint>")), lambda b: F.struct(b.alias("b"), place_of(b, turn).alias("p")))
         return F.transform(F.filter(placed, lambda x: x["p"] < quota), lambda x: segment(x, turn))
 
-    passes = F.array(*[F.lit(i).cast("long") for i in range(math.ceil(ceiling))])
-    drawn = F.flatten(F.transform(passes, drawn_in))
+    drawn = F.concat(*[drawn_in(turn) for turn in turns])
     return rows.select("doc_id", "source", "size", "target", F.when(size > 0, drawn).alias("segments"))
 
 
