@@ -1,6 +1,6 @@
 """Operators for building language-model corpora. Nothing else in the library imports this subpackage."""
 
-from . import chat_format, decontaminate, imatch, language_id, line_dedup, mixing, near_dedup, page_text, pii, token_scan
+from . import chat_format, decontaminate, imatch, language_id, line_dedup, merkle, mixing, near_dedup, page_text, pii, token_scan
 from .common import Query
 
 QUERIES: dict[str, Query] = {
@@ -14,5 +14,6 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_page_differencing": page_text.op9_page_differencing,
     "op10_weak_supervision": pii.op10_weak_supervision,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
-ORACLES: dict[str, str] = {"op3_reply_trees": chat_format.ORACLE}
+ORACLES: dict[str, str] = {"op3_reply_trees": chat_format.ORACLE, "op11_merkle_manifest": merkle.ORACLE}

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialize
 
-__all__ = ["Query", "materialize", "sums_before", "table"]
+__all__ = ["Query", "materialize", "ranks_within", "sums_before", "table"]
 
 CHUNK = 256
 
@@ -28,3 +28,22 @@ def sums_before(numbers: Column) -> Column:
     whole = lambda piece: F.aggregate(piece, F.lit(0), lambda a, n: a + n)
     begins = F.aggregate(F.transform(pieces, whole), start(F.lit(0)), add, lambda s: s["out"])
     return F.flatten(F.zip_with(pieces, begins, lambda piece, at: F.aggregate(piece, start(at), add, lambda s: s["out"])))
+
+
+def ranks_within(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """rows, stored, with _rank from 0 in each group by order, and _of, the group's size. Nulls come first; ties are in any order.
+
+    Ranges of (group, order) are numbered apart and shifted by what precedes them, so that a group of any size, or of equal rows, is
+    spread over tasks.
+    """
+    keys = [group, *order, "_tie"]
+    ranged = rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    ranged = materialize(ranged.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), name)
+    whole = Window.partitionBy(group)
+    runs = ranged.groupBy("_range", group).agg(F.min("_at").alias("_from"), F.count("*").alias("_n"))
+    runs = runs.select(
+        F.col("_range").alias("_r"), F.col(group).alias("_g"), "_from", F.sum("_n").over(whole).alias("_of"),
+        F.coalesce(F.sum("_n").over(whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+    )
+    placed = ranged.join(runs, (F.col("_range") == F.col("_r")) & F.col(group).eqNullSafe(F.col("_g")))
+    return placed.withColumn("_rank", F.col("_before") + F.col("_at") - F.col("_from")).drop("_range", "_at", "_r", "_g", "_from", "_before")
