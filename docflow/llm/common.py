@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..storage import materialize
 
-__all__ = ["Query", "materialize", "ranks_within", "sums_before", "table"]
+__all__ = ["Query", "held", "materialize", "ranks_within", "sums_before", "table"]
 
 CHUNK = 256
 
@@ -20,14 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once: inside a lambda a column is computed anew for every item, a lambda's variable is not."""
+    return F.transform(F.array(value), then)[0]
+
+
 def sums_before(numbers: Column) -> Column:
     """Of an array<int>, the sum of what is before each item. In pieces of CHUNK, so that an array that grows an item at a time stays short."""
     add = lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
     start = lambda at: F.struct(at.alias("at"), F.array().cast("array<int>").alias("out"))
-    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(numbers) / CHUNK).cast("int") - 1, F.lit(0))), lambda c: F.slice(numbers, c * CHUNK + 1, CHUNK))
+    cut = lambda items: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(items) / CHUNK).cast("int") - 1, F.lit(0))), lambda c: F.slice(items, c * CHUNK + 1, CHUNK))
     whole = lambda piece: F.aggregate(piece, F.lit(0), lambda a, n: a + n)
-    begins = F.aggregate(F.transform(pieces, whole), start(F.lit(0)), add, lambda s: s["out"])
-    return F.flatten(F.zip_with(pieces, begins, lambda piece, at: F.aggregate(piece, start(at), add, lambda s: s["out"])))
+    begins = lambda pieces: F.aggregate(F.transform(pieces, whole), start(F.lit(0)), add, lambda s: s["out"])
+    summed = lambda piece, at: F.aggregate(piece, start(at), add, lambda s: s["out"])
+    return held(numbers, lambda items: held(cut(items), lambda pieces: F.flatten(F.zip_with(pieces, begins(pieces), summed))))
 
 
 def ranks_within(rows: DataFrame, group: str, order: list[str], name: str) -> DataFrame:

@@ -37,7 +37,7 @@ BASE = {
 #: A text without a match of this has no base match of the kind; cheap to test.
 HINT = {"email": ("@",), "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 LOOSE = {
-    "email": r"[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+ ?[\[({<] ?at ?[\])}>] ?[A-Za-z0-9-]++(?: ?[\[({<] ?dot ?[\])}>] ?[A-Za-z0-9-]++)++",
+    "email": r"(?:\G|(?<![A-Za-z0-9_%+-])(?<![A-Za-z0-9_%+-]\.))[A-Za-z0-9_%+-]++(?:\.[A-Za-z0-9_%+-]++)*+ ?[\[({<] ?at ?[\])}>] ?[A-Za-z0-9-]++(?: ?[\[({<] ?dot ?[\])}>] ?[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9A-Za-z+.])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
     "secret": r"AKIA[A-Z0-9]{16}|(?i:password|passwd|token|api[_-]?key|secret)\s?[=:]\s?\"?[A-Za-z0-9+/_-]{8,}+\"?",
     "id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",

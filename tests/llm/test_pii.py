@@ -150,3 +150,13 @@ def test_very_many_matches_in_one_text(spark):
         seconds.append(time.perf_counter() - began)
         assert len(r["base"]) == n and len(r["added"]) in (0, n)
     assert seconds[1] < 8 * seconds[0] + 2, seconds
+
+
+def test_long_words_beside_a_spelt_out_address(spark):
+    pii.candidates(simple(spark, ["a (at) b (dot) com"])).collect()
+    texts = ["a" * 400_000 + " x (at) y (dot) com", "a.b" * 100_000 + "! x (at) y (dot) com", "..x.y (at) z (dot) com_q [at] r [dot] s"]
+    began = time.perf_counter()
+    found = {r["doc_id"]: [tuple(m)[:3] for m in r["more"]] for r in pii.candidates(simple(spark, texts)).collect()}
+    assert time.perf_counter() - began < 20
+    assert found[0] == [("email", 400_001, 400_019)] and found[1] == [("email", 300_002, 300_020)]
+    assert [texts[2][a:b] for _, a, b in found[2]] == ["x.y (at) z (dot) com", "_q [at] r [dot] s"]
