@@ -90,7 +90,7 @@ def test_odd_rows(spark):
 def planted(rng, i):
     """A text, and for each kind the candidates in it: those that are personal data and those that only look so."""
     hexes = "".join(rng.choice("0123456789abcdef") for _ in range(24))
-    given, digit = rng.choice(pii.GIVEN_NAMES.split()), lambda a, b: str(rng.randrange(a, b))
+    given, digit = rng.choice("Adam Ana Carlos Elena Hans Javier Julia Klaus Maria Pierre".split()), lambda a, b: str(rng.randrange(a, b))
     surname = rng.choice(["Miller", "Keller", "Garnier", "Lopez", "Novak", "Larsen"])
     good = {
         "email": (f"{given.lower()}.{i} [at] mail{i % 9} [dot] {rng.choice(['com', 'org', 'de'])}", rng.choice(["write to ", "mail: ", "see "])), "phone": (f"({digit(212, 799)}) {digit(200, 999)}-{digit(1000, 9999)}", rng.choice(["call ", "phone: ", "at "])),
