@@ -1,6 +1,6 @@
 """Operators for building language-model corpora. Nothing else in the library imports this subpackage."""
 
-from . import chat_format, decontaminate, imatch, language_id, line_dedup, merkle, mixing, near_dedup, page_text, pii, token_scan
+from . import chat_format, decontaminate, imatch, language_id, line_dedup, merkle, mixing, near_dedup, page_text, pii, token_scan, token_store
 from .common import Query
 
 QUERIES: dict[str, Query] = {
@@ -15,5 +15,6 @@ QUERIES: dict[str, Query] = {
     "op9_page_differencing": page_text.op9_page_differencing,
     "op10_weak_supervision": pii.op10_weak_supervision,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_token_store": token_store.op12_token_store,
 }
 ORACLES: dict[str, str] = {"op3_reply_trees": chat_format.ORACLE, "op11_merkle_manifest": merkle.ORACLE}
