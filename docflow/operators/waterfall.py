@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Quality
+from .ranking import first_seen
 
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
@@ -32,6 +33,7 @@ def with_state(records: DataFrame, corpus: DataFrame, rejected_ids: DataFrame, o
         F.substring("id", 6, 1 << 20).alias("pmid"), F.col("status").alias("stored_status"), F.col("content_hash").alias("stored_hash"), F.col("review_notes").alias("stored_notes"),
         F.col("error").alias("stored_error"), F.lit(True).alias("stored"),
     )
+    stored = first_seen(stored, ["pmid"], ["stored_error", "stored_status", "stored_hash", "stored_notes"])
     rejected = own(rejected_ids).select(F.substring("id", 6, 1 << 20).alias("pmid"), F.lit(True).alias("rejected")).distinct()
     opened = own(open_ids).select(F.substring("id", 6, 1 << 20).alias("pmid"), F.lit(True).alias("in_open_batch")).distinct()
     out = records.join(stored, "pmid", "left").join(rejected, "pmid", "left").join(opened, "pmid", "left")

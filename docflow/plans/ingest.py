@@ -37,7 +37,7 @@ def run(spark: SparkSession, config: Config, documents: DataFrame, open_ids: Dat
     """
     pages = materialize(service.search_pages(spark, config, **options), "pages")
     records = materialize(ranking.first_seen(udfs.parse_records(pages), ["pmid"], ["page", "at"]), "records")
-    rejected = documents.where("folder = 'rejected' and id is not null").select("id")
+    rejected = documents.where("folder = 'rejected' and id is not null and not nested").select("id")
     flagged = waterfall.with_state(records, stored_state(documents), rejected, open_ids)
     flagged = materialize(flagged.withColumn("reason", waterfall.first_reason(waterfall.record_rules())), "flagged")
     survivors = flagged.where("reason is null")

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import json
+import math
 import threading
 import time
-import urllib.error
-import urllib.parse
-import urllib.request
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from pathlib import Path
+from urllib import error, parse, request
 
 from ..config import Search
 
@@ -41,11 +40,11 @@ Transport = Callable[[str, dict[str, str]], Answer]
 
 def http_transport(timeout_s: float, agent: str, base_url: str = BASE_URL) -> Transport:
     def send(endpoint: str, fields: dict[str, str]) -> Answer:
-        request = urllib.request.Request(base_url + endpoint, urllib.parse.urlencode(fields).encode(), {"User-Agent": agent})
+        asked = request.Request(base_url + endpoint, parse.urlencode(fields).encode(), {"User-Agent": agent})
         try:
-            with urllib.request.urlopen(request, timeout=timeout_s) as got:
+            with request.urlopen(asked, timeout=timeout_s) as got:
                 return Answer(got.status, got.read(), dict(got.headers))
-        except urllib.error.HTTPError as problem:
+        except error.HTTPError as problem:
             return Answer(problem.code, problem.read(), dict(problem.headers))
         except OSError as problem:
             raise Unreachable(type(problem).__name__) from problem
@@ -86,6 +85,33 @@ class RateLimiter:
             self.sleep(turn - now)
 
 
+class SlotLimiter:
+    """Pacing for several machines that share one rate, without a word between them.
+
+    The clock is cut into slots of 1 / rate seconds. Of ``of`` askers, this one starts only at slots whose number leaves the rest ``own``
+    by ``of``, and never twice in one. Slots of two askers differ, so all starts are 1 / rate seconds apart, whoever is slow, tries
+    again or begins anew; the machines' clocks must agree within a small part of a slot.
+    """
+
+    def __init__(self, rate: float, own: int, of: int, clock: Callable[[], float] = time.time, sleep: Callable[[float], None] = time.sleep) -> None:
+        if rate <= 0 or not 0 <= own < of:
+            raise ValueError("the rate must be above 0, and own one of the askers")
+        self.gap, self.own, self.of, self.clock, self.sleep, self.last = 1 / rate, own, of, clock, sleep, -1
+
+    def wait(self) -> None:
+        now = self.clock()
+        slot = self.own + self.of * math.ceil((now / self.gap - self.own) / self.of)
+        self.last = slot = max(slot, self.last + self.of)
+        self.sleep(max(0.0, slot * self.gap - now))
+
+
+class Unlimited:
+    """For answers that cost the service nothing."""
+
+    def wait(self) -> None:
+        return
+
+
 def retry_after(headers: Mapping[str, str]) -> float | None:
     """Seconds that the service asks for, 0 at least; None if it names a date or nothing."""
     value = next((v for k, v in headers.items() if k.lower() == "retry-after"), "")
@@ -98,13 +124,13 @@ def retry_after(headers: Mapping[str, str]) -> float | None:
 class Client:
     def __init__(
         self, tool: str, email: str, transport: Transport, api_key: str | None = None, max_retries: int = 5, backoff_s: float = 1.0, longest_s: float = 60.0,
-        clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep,
+        clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep, limiter: RateLimiter | SlotLimiter | Unlimited | None = None,
     ) -> None:
         if not (tool and email):
             raise ValueError("the service asks for a tool and an e-mail address")
         self.own = {"tool": tool, "email": email} | ({"api_key": api_key} if api_key else {})
         self.transport, self.max_retries, self.backoff_s, self.longest_s, self.sleep = transport, max_retries, backoff_s, longest_s, sleep
-        self.limiter = RateLimiter(RATE_WITH_KEY if api_key else RATE, clock, sleep)
+        self.limiter = limiter or RateLimiter(RATE_WITH_KEY if api_key else RATE, clock, sleep)
 
     def post(self, endpoint: str, fields: Mapping[str, str | int]) -> bytes:
         """The answer's body. Congestion, server errors and silence are tried again; other errors are final."""
@@ -151,7 +177,7 @@ def search(client: Client, config: Search) -> Cursor:
             raise ServiceError(f"search: {problem}")
         return Cursor(tuple(map(str, found["idlist"])), int(found["count"]), str(found["webenv"]), str(found["querykey"]))
     except (ValueError, KeyError, TypeError, AttributeError) as problem:
-        raise ServiceError("search: not the answer that was expected") from problem
+        raise ServiceError(f"search: not the answer that was expected ({type(problem).__name__}: {problem})") from problem
 
 
 def pages(total: int, size: int) -> Iterator[tuple[int, int]]:

@@ -1,7 +1,9 @@
 """The literature service as Spark sources.
 
-``spark.read.format("literature")`` has a partition for each page of a search's cursor. The rate limit is the service's,
-for all tasks together: with ``tasks`` at work at a time, each keeps to its share of it.
+``spark.read.format("literature")`` deals the pages of a search's cursor to as many partitions as option ``tasks`` says (4), however
+many pages there are. The rate limit is the service's, for all tasks together: a task has one client for all its pages, and each
+task has start slots of its own (client.SlotLimiter), so that starts are apart over the whole cluster, with retries and after a
+task's second attempt, too.
 """
 
 from __future__ import annotations
@@ -11,43 +13,52 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..config import Config, Search
 from . import client as service
 
+TASKS = 4
 
-class Page(InputPartition):
-    def __init__(self, start: int, count: int, cursor: service.Cursor) -> None:
-        super().__init__(start)
-        self.start, self.count, self.cursor = start, count, cursor
 
+class Pages(InputPartition):
+    """Every ``of``-th page of a cursor from ``own`` on."""
 
-def connect(options: dict[str, str]) -> service.Client:
-    """A client by options: tool, email, api_key, timeout, retries, and folder for answers from files."""
-    tool, email = options.get("tool", "docflow"), options.get("email", "")
+    def __init__(self, own: int, of: int, places: list[tuple[int, int]], cursor: service.Cursor) -> None:
+        super().__init__(own)
+        self.own, self.of, self.places, self.cursor = own, of, places, cursor
+
+
+def tasks_of(options: dict[str, str]) -> int:
+    return max(1, int(options.get("tasks", TASKS)))
+
+
+def connect(options: dict[str, str], own: int = 0, of: int = 1) -> service.Client:
+    """A client by options: tool, email, api_key, timeout, retries, rate, url, and folder for answers from files. own and of are those of SlotLimiter."""
+    tool, email, key, retries = options.get("tool", "docflow"), options.get("email", ""), options.get("api_key"), int(options.get("retries", "5"))
     if folder := options.get("folder"):
-        out = service.Client(tool, email or "offline", service.folder_transport(folder), max_retries=0)
-        out.limiter.gap = 0.0
-        return out
-    agent = f"{tool} (mailto:{email})"
-    out = service.Client(tool, email, service.http_transport(float(options.get("timeout", "30")), agent), options.get("api_key"), int(options.get("retries", "5")))
-    out.limiter.gap *= int(options.get("tasks", "1"))
-    return out
+        return service.Client(tool, email or "offline", service.folder_transport(folder), max_retries=0, limiter=service.Unlimited())
+    rate = float(options.get("rate") or (service.RATE_WITH_KEY if key else service.RATE))
+    transport = service.http_transport(float(options.get("timeout", "30")), f"{tool} (mailto:{email})", options.get("url", service.BASE_URL))
+    return service.Client(tool, email, transport, key, retries, limiter=service.SlotLimiter(rate, own, of))
 
 
 class Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.options = {**options}
 
-    def partitions(self) -> list[Page]:
+    def partitions(self) -> list[Pages]:
         wanted = Search(query=self.options["query"], extra_filter=self.options.get("filter"), max_results=int(self.options.get("max_results", "200")), mindate=self.options.get("mindate"), maxdate=self.options.get("maxdate"))
-        cursor = service.search(connect(self.options), wanted)
-        return [Page(start, count, cursor) for start, count in service.pages(len(cursor.pmids), int(self.options.get("batch_size", "100")))]
+        of = tasks_of(self.options)
+        cursor = service.search(connect(self.options, 0, of), wanted)  # before there are tasks, in the first one's slots
+        places = list(service.pages(len(cursor.pmids), int(self.options.get("batch_size", "100"))))
+        return [Pages(own, of, places[own::of], cursor) for own in range(of)]
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        if partition is not None and partition.count:
-            yield partition.start, service.fetch_records(connect(self.options), partition.cursor, partition.start, partition.count)
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        client = connect(self.options, partition.own, partition.of)
+        for start, count in partition.places:
+            yield start, service.fetch_records(client, partition.cursor, start, count)
 
 
 class LiteratureSource(DataSource):
@@ -74,16 +85,20 @@ def search_pages(spark: SparkSession, config: Config, **options: str) -> DataFra
 
 
 def article_pages(survivors: DataFrame, batch_size: int = 100, **options: str) -> DataFrame:
-    """survivors(pmcid) -> (page, xml), a keyed fetch for each batch of ids, by option ``tasks`` (1) tasks that share the service's rate."""
+    """survivors(pmcid) -> (page, xml), a keyed fetch for each batch of ids, by option ``tasks`` (4) tasks that share the service's rate."""
+    of = tasks_of(options)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        page, held = TaskContext.get().partitionId() << 32, []
+        own, held, client = TaskContext.get().partitionId(), [], None
+        page = own << 32
         for batch in batches:
+            client = client or connect(options, own, of)
             held += batch["pmcid"].tolist()
             while len(held) >= batch_size:
-                yield pd.DataFrame({"page": [page], "xml": [service.fetch_articles(connect(options), held[:batch_size])]})
+                yield pd.DataFrame({"page": [page], "xml": [service.fetch_articles(client, held[:batch_size])]})
                 page, held = page + 1, held[batch_size:]
         if held:
-            yield pd.DataFrame({"page": [page], "xml": [service.fetch_articles(connect(options), held)]})
+            yield pd.DataFrame({"page": [page], "xml": [service.fetch_articles(client, held)]})
 
-    return survivors.select("pmcid").distinct().repartition(int(options.get("tasks", "1"))).mapInPandas(run, "page long, xml binary")
+    # A partition by number, and not by hash of the id: there are exactly as many tasks as slots are shared by.
+    return survivors.select("pmcid").distinct().repartitionByRange(of, F.xxhash64("pmcid")).mapInPandas(run, "page long, xml binary")

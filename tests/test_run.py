@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from docflow import frontmatter, udfs
 from docflow.cli import main
 from docflow.config import default_config
-from docflow.operators import ranking, review, sinks
+from docflow.operators import ranking, review, sinks, waterfall
 from docflow.operators.validate import validate
 from docflow.plans import ingest
 from docflow.sources.corpus import read_corpus
@@ -198,3 +198,18 @@ def test_second_run_leaves_open_batches_alone(spark, service, corpus, tmp_path,
         assert main(["run", "--corpus", str(corpus), "--out", str(tmp_path / "out"), "--folder", str(service)]) == 0
         out.append(json.loads(capsys.readouterr().out.strip().splitlines()[-1]))
     assert out[0]["new"] == 2 and out[1]["new"] == 0 and out[1]["excluded"]["in_open_pr"] == 2
+
+
+def test_damaged_nested_and_repeated_files(spark, service, corpus):
+    accept(go(spark, service, corpus), corpus)
+    kept = (corpus / "corpus" / "pmid-1.md").read_bytes()
+    (corpus / "corpus" / "pmid-2.md").write_bytes(kept + b"\xff\xfe\xff")
+    (corpus / "corpus" / "sub").mkdir()
+    (corpus / "corpus" / "sub" / "pmid-1.md").write_bytes(kept)
+    documents = read_corpus(spark, str(corpus))
+    assert {(r["path"], r["error"]) for r in documents.collect()} == {("corpus/pmid-1.md", None), ("corpus/pmid-2.md", "not UTF-8"), ("corpus/sub/pmid-1.md", None)}
+    assert stats(go(spark, service, corpus)) == (5, {"error_read_corpus": 1, "no_open_access_fulltext": 1, "no_pmcid": 1, "retracted": 1}, 0, 0, 1, 1)
+    state = spark.createDataFrame([("pmid-1", "approved", "h", None, None), ("pmid-1", "pending", "h", None, "unreadable")], "id string, status string, content_hash string, review_notes string, error string")
+    none = spark.createDataFrame([], "id string")
+    flagged = waterfall.with_state(spark.createDataFrame([("1",)], "pmid string"), state, none, none).collect()
+    assert [(r["stored_status"], r["stored_error"]) for r in flagged] == [("approved", None)]
