@@ -24,12 +24,13 @@ document is a block of its own; of an empty table there are empty tables; other
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,17 +41,28 @@ from .words import mix
 END = 2
 #: Ids from which on a block is full, keys of a bucket on average, and rounds of one bucket's levels (keys are left over with a probability below 1e-12).
 BLOCK_IDS, BUCKET_KEYS, MOST_LEVELS = 1 << 16, 2048, 64
-#: Words whose ids a task remembers before it forgets them all.
-CACHED_WORDS = 300_000
+#: Words whose ids a task remembers before it forgets them all, and bytes of text that it cuts into words at a time.
+CACHED_WORDS, SLICE_BYTES = 400_000, 8 << 20
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+CLASS = r"!-/:-@\[-`{-~"
 IDS = np.dtype("<u2")
 
 
-class WordIds(dict):
-    """UTF-8 words without white space -> their ids as bytes.
+#: Below this, what is a letter has not changed for long, so that the tokenizer and Python agree on it.
+LONG_KNOWN = "\u0590"
 
-    The tokenizer drops white space and joins nothing over it, so a text's ids are those of its words in a row; a word is
-    encoded once. Words of letters alone are one piece each, of which the last id alone has the mark of a word's end, so many are
-    encoded in one call and told apart by that mark; they are lower-cased first if they are ASCII, as the tokenizer does.
+Pieces = tuple[np.ndarray, np.ndarray]  # ids in a row, and how many each piece has
+
+
+class WordIds:
+    """The ids of texts, from those of their words.
+
+    The tokenizer drops white space and joins nothing over it, so a text's ids are those of its words in a row, and a word that
+    comes again needs no second look. Words are cut, told apart and looked up as Arrow arrays.
+
+    A word of letters, with ASCII punctuation before or behind, has a piece for each of these. Letters are encoded many in one call and
+    told apart by the mark of a word's end, which the last id of a piece alone has; they are lower-cased first where they are ASCII, as
+    the tokenizer does, unless that would let them join with marks. All other words are encoded one by one.
     """
 
     def __init__(self, path: str) -> None:
@@ -58,56 +70,120 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        if max(vocabulary.values()) >= 1 << 16:
+        if max(vocabulary.values()) > np.iinfo(IDS).max:
             raise ValueError("ids of this vocabulary need more than two bytes")
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(1 << 16, bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.ids, self.begins, self.sizes = pa.array([], pa.large_string()), np.zeros(0, IDS), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, words: list[str]) -> Pieces:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
+        return np.fromiter(chain.from_iterable(found), IDS), np.fromiter(map(len, found), np.int64, len(found))
 
-    def _learn_letters(self, words: list[bytes]) -> None:
-        ids = np.array(self._encode([b" ".join(words).decode()])[0], IDS)
+    def _letters(self, words: list[str]) -> Pieces:
+        """Each word's ids, from one call if every word is one piece."""
+        if not words:
+            return self._whole(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, IDS)
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words) or stops[-1] != len(ids):
-            # A letter that is none to the tokenizer, or none when lower-cased: its word is found by halving.
-            half = len(words) // 2
-            return self._learn_whole(words) if not half else (self._learn_letters(words[:half]), self._learn_letters(words[half:]))[0]
-        raw, at = ids.tobytes(), 0
-        for word, stop in zip(words, stops.tolist(), strict=True):
-            self[word], at = raw[at * 2 : stop * 2], stop
-
-    def _learn_whole(self, words: list[bytes]) -> None:
-        for word, ids in zip(words, self._encode([w.decode() for w in words]), strict=True):
-            self[word] = np.array(ids, IDS).tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > CACHED_WORDS:
-            self.clear()
-        letters, rest, parts = set(), [], []
-        for word in words:
-            if word in self:
-                continue
-            core, tail = (word[:-1], word[-1:]) if word[-1:] in b".,;:!?" else (word, b"")
-            if core.isalpha():
-                core = core.lower()
-            elif not ((text := core.decode()).isalpha() and unicodedata.is_normalized("NFC", text)):
-                rest.append(word)
-                continue
-            if core not in self:
-                letters.add(core)
-            if core != word:
-                parts.append((word, core, tail))
-        if letters:
-            self._learn_letters(list(letters))
-        self._learn_whole([*rest, *{tail for _, _, tail in parts if tail and tail not in self}])
-        for word, core, tail in parts:
-            self[word] = self[core] + self[tail] if tail else self[core]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        words = [text.encode().split() for text in texts]
-        self.learn(set(chain.from_iterable(words)))
-        return (b"".join(map(self.__getitem__, w)) for w in words)
+        if len(stops) == len(words) and stops[-1] == len(ids):
+            return ids, np.diff(stops, prepend=0)
+        # A letter that is none to the tokenizer: its word is found by halving.
+        half = len(words) // 2
+        return _joined([self._letters(words[:half]), self._letters(words[half:])]) if half else self._whole(words)
+
+    def _simple(self, words: pa.Array, core: pa.Array, lower: pa.Array, bare: np.ndarray) -> np.ndarray:
+        """Which words are letters with nothing but ASCII punctuation around them."""
+        plain = _flags(pc.ascii_is_alpha(core))
+        other = np.flatnonzero(~plain & _flags(pc.utf8_is_alpha(core)))
+        cases = zip(core.take(pa.array(other)).to_pylist(), lower.take(pa.array(other)).to_pylist(), bare[other].tolist(), strict=True)
+        plain[other] = np.fromiter((_stays(a, b) and (alone or max(a) < LONG_KNOWN) for a, b, alone in cases), bool, len(other))
+        for special in self.special:
+            plain &= ~_flags(pc.match_substring(words, special))
+        return plain
+
+    def _learn(self, words: pa.Array) -> None:
+        core = pc.utf8_trim(words, characters=PUNCTUATION)
+        lower = pc.ascii_lower(core)
+        bare = _flags(pc.equal(core, words))
+        simple = self._simple(words, core, lower, bare)
+        edged = np.flatnonzero(simple & ~bare)
+        dressed = words.take(pa.array(edged))
+        head = pc.replace_substring_regex(dressed, rf"^([{CLASS}]*).*$", r"\1")
+        tail = pc.replace_substring_regex(dressed, rf"^.*?([{CLASS}]*)$", r"\1")
+        taking = edged[_flags(pc.match_substring(head, "'"))]  # an apostrophe takes a letter with it
+        simple[taking] = False
+        rest = np.flatnonzero(~simple)
+
+        # In order of words: head, core and tail of simple ones, others as a whole; -1 is no piece.
+        columns, parts, known = np.full((len(words), 3), -1, np.int64), [], 0
+        for at, places, texts, encode in ((0, edged, head, self._whole), (2, edged, tail, self._whole), (1, np.flatnonzero(simple), lower.filter(pa.array(simple)), self._letters)):
+            coded = texts.dictionary_encode()
+            columns[places, at] = known + coded.indices.to_numpy()
+            parts.append(encode(coded.dictionary.to_pylist()))
+            known += len(coded.dictionary)
+        columns[rest] = -1
+        columns[rest, 0] = known + np.arange(len(rest))
+        flat, lengths = _joined([*parts, self._whole(words.take(pa.array(rest)).to_pylist()), (np.zeros(0, IDS), np.zeros(1, np.int64))])
+        order = columns.ravel()
+        made, sizes = _gather(flat, (np.cumsum(lengths) - lengths)[order], lengths[order]), lengths[columns].sum(1)
+        begins = len(self.ids) + np.cumsum(sizes) - sizes
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids, self.begins, self.sizes = np.concatenate([self.ids, made]), np.concatenate([self.begins, begins]), np.concatenate([self.sizes, sizes])
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Each text's ids as bytes; null is empty."""
+        cut = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        there = pc.not_equal(cut.flatten(), "")
+        seen = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+        counts = seen[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        coded = cut.flatten().filter(there).dictionary_encode()
+        if len(self.words) > CACHED_WORDS:
+            self.forget()
+        known = pc.index_in(coded.dictionary, value_set=self.words)
+        new = pc.is_null(known)
+        place = pc.fill_null(known, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        first = len(self.words)
+        if (n := pc.sum(new).as_py() or 0) > 0:
+            self._learn(coded.dictionary.filter(new))
+            place[new.to_numpy(zero_copy_only=False)] = np.arange(first, first + n)
+        words = place[coded.indices.to_numpy()]
+        sizes = self.sizes[words]
+        ids = _gather(self.ids, self.begins[words], sizes)
+        stops = np.concatenate([[0], np.cumsum(sizes)])[counts]
+        return (ids[a:b].tobytes() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True))
+
+
+def _stays(core: str, lower: str) -> bool:
+    """Whether a word of letters is still one when lower-cased, and its ASCII letters can be lower-cased first."""
+    return core.lower().isalpha() and is_normalized("NFC", core) and is_normalized("NFC", lower)
+
+
+def _flags(mask: pa.Array) -> np.ndarray:
+    return mask.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _joined(parts: list[Pieces]) -> Pieces:
+    return np.concatenate([ids for ids, _ in parts]), np.concatenate([lengths for _, lengths in parts])
+
+
+def _gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """flat[begin : begin + size] of each place, in a row."""
+    return flat[np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about SLICE_BYTES of text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE_BYTES, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
 def default_tokenizer() -> str:
@@ -225,10 +301,9 @@ def _write_shards(docs: DataFrame, tokenizer: str, folder: str, block_ids: int)
         words, out = WordIds(tokenizer), None
         for whole in batches:
             out = out or _Shard(whole.schema.field("doc_id").type)
-            for i in range(0, len(whole), 256):
-                batch = whole.slice(i, 256)
+            for batch in _slices(whole):
                 out.shard = batch.column("shard")[0].as_py()
-                for doc_id, raw in zip(batch.column("doc_id").to_pylist(), words.encode([text or "" for text in batch.column("text").to_pylist()]), strict=True):
+                for doc_id, raw in zip(batch.column("doc_id").to_pylist(), words.encode(batch.column("text")), strict=True):
                     out.add(doc_id, raw + END.to_bytes(IDS.itemsize, "little"))
                     if out.size >= block_ids:
                         yield out.close()
