@@ -14,7 +14,7 @@ from .tree import Node
 
 GONE = fixed.GONE
 SPACE = re.compile(r"\s+")
-NOTHING_ELSE = re.compile(rf"[\s,;–—-]*{GONE}[\s,;–—{GONE}-]*")
+_CITED = dict.fromkeys(map(ord, GONE + fixed.SEPARATORS + fixed.DASHES))
 TEX_FRAME = re.compile(r"^\\\[|\\\]$|^\$+|\$+$")
 
 
@@ -35,18 +35,74 @@ def plain(node: Node | None) -> str:
     return nfc(squeeze(node.text)) if node is not None else ""
 
 
+class Gaps:
+    """A text cut at its removed citations: ``texts`` stand around the gaps that are left, one more than there are gaps."""
+
+    def __init__(self, text: str) -> None:
+        self.texts = text.split(GONE)
+
+    def close(self, decide: Callable[[str, str], tuple[str, str] | None]) -> None:
+        """Each gap in turn: decide(left, right) gives what is left of the texts beside it if it closes, None if it stays.
+
+        To a later gap, what stands before an earlier one is out of sight.
+        """
+        done, now = [""], self.texts[0]
+        for right in self.texts[1:]:
+            if (closed := decide(now, right)) is None:
+                done[-1] += now
+                done.append("")
+                now = right
+            else:
+                done[-1] += closed[0]
+                now = closed[1]
+        done[-1] += now
+        self.texts = done
+
+    def merge(self) -> None:
+        """Gaps with no more than a separator between them are one."""
+        ends = (self.texts[0], self.texts[-1]) if len(self.texts) > 1 else ()
+        between = [t for t in self.texts[1:-1] if t.strip() not in {"", *fixed.SEPARATORS, *fixed.DASHES}]
+        self.texts = [ends[0], *between, ends[1]] if ends else self.texts
+
+
+def _ends(text: str, marks: str) -> bool:
+    return text.rstrip()[-1:] in {*marks}
+
+
+def _begins(text: str, marks: str) -> bool:
+    return text.lstrip()[:1] in {*marks}
+
+
+def _alone_in_brackets(left: str, right: str) -> tuple[str, str] | None:
+    opening, closing = fixed.BRACKETS
+    return (left.rstrip()[:-1].rstrip(), right.lstrip()[1:]) if _ends(left, opening) and _begins(right, closing) else None
+
+
+def _first_in_brackets(left: str, right: str) -> tuple[str, str] | None:
+    return (left.rstrip(), right.lstrip()[1:].lstrip()) if _ends(left, fixed.BRACKETS[0]) and _begins(right, fixed.SEPARATORS) else None
+
+
+def _last_in_brackets(left: str, right: str) -> tuple[str, str] | None:
+    return (left.rstrip()[:-1], right.lstrip()) if _ends(left, fixed.SEPARATORS) and _begins(right, fixed.BRACKETS[1]) else None
+
+
 def tidy(text: str) -> str:
-    text = SPACE.sub(" ", text)
-    for pattern, to in fixed.CLEANUP:
-        text = pattern.sub(to, text)
-    return nfc(squeeze(text))
+    """Without gaps, and without the brackets, separators and spaces that were there for citations alone."""
+    gaps = Gaps(SPACE.sub(" ", text))
+    gaps.merge()
+    for decide in (_alone_in_brackets, _first_in_brackets, _last_in_brackets):
+        gaps.close(decide)
+    return nfc(squeeze("".join([*(t.rstrip() for t in gaps.texts[:-1]), gaps.texts[-1]])))
 
 
 def guard(paragraph: str) -> str:
     """A paragraph that would be read as a list, heading, quotation or fence, with a backslash."""
-    if m := fixed.NUMBERED_START.match(paragraph):
-        paragraph = f"{m[1]}\\{paragraph[m.end(1):]}"
-    return "\\" + paragraph if fixed.BLOCK_START.match(paragraph) else paragraph
+    digits = next((i for i, c in enumerate(paragraph) if not c.isdecimal()), len(paragraph))
+    if digits and paragraph[digits : digits + 1] in (".", ")") and paragraph[digits + 1 : digits + 2].isspace():
+        return f"{paragraph[:digits]}\\{paragraph[digits:]}"
+    mark = len(paragraph) - len(paragraph.lstrip("#")) or (paragraph[:1] in (">", "+", "-"))
+    marked = 0 < mark <= 6 and paragraph[mark : mark + 1].isspace()
+    return "\\" + paragraph if marked or paragraph.startswith((":::", "---")) else paragraph
 
 
 def mixed(children: Iterable[Node | str]) -> str:
@@ -78,7 +134,7 @@ def _emphasis(mark: str) -> Callable[[Node], str]:
 
 def _raised(node: Node) -> str:
     text = inner(node)
-    if not text.strip() or NOTHING_ELSE.fullmatch(text):
+    if not text.strip() or GONE in text and not text.translate(_CITED).strip():
         return GONE if GONE in text else ""
     return f"<{node.name}>{text.strip()}</{node.name}>"
 

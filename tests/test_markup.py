@@ -1,8 +1,12 @@
+import re
 import unicodedata
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from docflow.markup import article, records, tables
+from docflow.markup import article, inline, records, tables
+from docflow.markup.fixed import GONE
 from docflow.markup.html import html_markdown
 from docflow.markup.tree import parse_xml, to_xml
 
@@ -105,3 +109,63 @@ def test_articles():
 def test_html():
     page = "<html><head><title>x</title><style>p{}</style></head><body><nav>menu</nav><div class='ad'>buy</div><article><h1>A &amp; b</h1><p>x <b>y</b><br>z<p>q<ul><li>1<li>2</ul><table><tr><th>a<th>b<tr><td>1<td>2</table></article><script>var t='</p>'</script><footer>f</footer>"
     assert html_markdown(page) == "# A & b\n\nx **y** z\n\nq\n\n- 1\n- 2\n\n| a | b |\n| --- | --- |\n| 1 | 2 |\n"
+
+
+def plainly(rows):
+    """The layout column by column, with a table of what each column still owes."""
+    owed, out = {}, []
+    for cells in rows:
+        row, left = [], list(cells)
+        while left or any(c >= len(row) for c in owed):
+            c = len(row)
+            if c in owed:
+                n, text = owed.pop(c)
+                row.append(text)
+                owed.update({c: (n - 1, text)} if n > 1 else {})
+            elif left:
+                cell, left = left[0], left[1:]
+                for k in range(c, c + cell.across):
+                    row.append(cell.text)
+                    owed.update({k: (cell.down - 1, cell.text)} if cell.down > 1 else {})
+            else:
+                row.append("")
+        out.append(row)
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(1, 4), st.integers(1, 4)), max_size=5), max_size=6))
+def test_spans_equal_a_column_by_column_layout(shapes):
+    rows = [[tables.Cell(f"{i}.{k}", *shape) for k, shape in enumerate(row)] for i, row in enumerate(shapes)]
+    assert tables.fill_grid(rows) == plainly(rows)
+
+
+def test_a_table_of_too_many_cells_is_an_error():
+    for span in ("colspan='1000000000'", "colspan='2000' rowspan='2000'"):
+        xml = f"<table><tr><td {span}>x</td></tr>" + "<tr><td>y</td></tr>" * 2000 + "</table>"
+        with pytest.raises(ValueError, match="cells"):
+            tables.table_markdown(parse_xml(xml))
+    many = "<table>" + "<tr>" + "<td>x</td>" * 20_000 + "</tr>" + "<tr><td rowspan='3'>y</td></tr>" * 40 + "</table>"
+    assert tables.table_markdown(parse_xml(many)).count("\n") == 41
+
+
+REMOVALS = (
+    (rf"{GONE}(?:\s*[,;–—-]?\s*{GONE})+", GONE), (rf"\s*[(\[]\s*{GONE}\s*[)\]]", ""), (rf"([(\[])\s*{GONE}\s*[,;]\s*", r"\1"), (rf"[,;]\s*{GONE}\s*([)\]])", r"\1"), (rf"\s*{GONE}", ""),
+)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet=f"ab ([)],;–-{GONE}{GONE}{GONE}", max_size=24))
+def test_tidy_equals_replacements_in_turn(text):
+    want = text
+    for pattern, to in REMOVALS:
+        want = re.sub(pattern, to, re.sub(r"\s+", " ", want) if pattern is REMOVALS[0][0] else want)
+    assert inline.tidy(text) == " ".join(want.split())
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="12٣.) #>+-:a\n", max_size=9))
+def test_guard_equals_its_patterns(text):
+    want = re.sub(r"^(\d+)([.)])(?=\s)", r"\1\\\2", text)
+    want = "\\" + text if want == text and re.match(r"#{1,6}(?=\s)|[>+\-](?=\s)|:::|---", text) else want
+    assert inline.guard(text) == want
