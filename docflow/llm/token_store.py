@@ -41,8 +41,8 @@ from .words import mix
 END = 2
 #: Ids from which on a block is full, keys of a bucket on average, and rounds of one bucket's levels (keys are left over with a probability below 1e-12).
 BLOCK_IDS, BUCKET_KEYS, MOST_LEVELS = 1 << 16, 2048, 64
-#: Words whose ids a task remembers before it forgets them all, and bytes of text that it cuts into words at a time.
-CACHED_WORDS, SLICE_BYTES = 400_000, 8 << 20
+#: Words whose ids a task remembers before it forgets them all, bytes of text that it cuts into words at a time, and words joined to be encoded.
+CACHED_WORDS, SLICE_BYTES, JOINED = 300_000, 4 << 20, 100
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CLASS = r"!-/:-@\[-`{-~"
 IDS = np.dtype("<u2")
@@ -85,10 +85,10 @@ class WordIds:
         return np.fromiter(chain.from_iterable(found), IDS), np.fromiter(map(len, found), np.int64, len(found))
 
     def _letters(self, words: list[str]) -> Pieces:
-        """Each word's ids, from one call if every word is one piece."""
+        """Each word's ids, from a few words a text if every word is one piece."""
         if not words:
             return self._whole(words)
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, IDS)
+        ids, _ = self._whole([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(words) and stops[-1] == len(ids):
             return ids, np.diff(stops, prepend=0)
