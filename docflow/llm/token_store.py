@@ -24,6 +24,7 @@ document is a block of its own; of an empty table there are empty tables; other
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from itertools import chain
 from unicodedata import is_normalized
@@ -41,8 +42,8 @@ from .words import mix
 END = 2
 #: Ids from which on a block is full, keys of a bucket on average, and rounds of one bucket's levels (keys are left over with a probability below 1e-12).
 BLOCK_IDS, BUCKET_KEYS, MOST_LEVELS = 1 << 16, 2048, 64
-#: Words whose ids a task remembers before it forgets them all, bytes of text that it cuts into words at a time, and words joined to be encoded.
-CACHED_WORDS, SLICE_BYTES, JOINED = 300_000, 4 << 20, 100
+#: Words whose ids a task remembers before it forgets them all, bytes of text that it cuts into words at a time, words joined to be encoded, and strings encoded in one call.
+CACHED_WORDS, SLICE_BYTES, JOINED, AT_ONCE = 500_000, 4 << 20, 100, 64
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CLASS = r"!-/:-@\[-`{-~"
 IDS = np.dtype("<u2")
@@ -66,6 +67,7 @@ class WordIds:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks have the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -81,7 +83,8 @@ class WordIds:
         self.words, self.ids, self.begins, self.sizes = pa.array([], pa.large_string()), np.zeros(0, IDS), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _whole(self, words: list[str]) -> Pieces:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if words else []
+        # A few at a time: what the library gives for a word is much larger than its ids.
+        found = [e.ids for i in range(0, len(words), AT_ONCE) for e in self.tokenizer.encode_batch_fast(words[i : i + AT_ONCE], add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), IDS), np.fromiter(map(len, found), np.int64, len(found))
 
     def _letters(self, words: list[str]) -> Pieces:
