@@ -89,6 +89,7 @@ class Quality(Strict):
     min_body_chars: int = 1500
     allowed_languages: list[str]
     allowed_licenses: list[str]
+    require_license: bool = True
 
 
 class Corpus(Strict):

@@ -44,7 +44,7 @@ def gate_reasons(language: Column, license_name: Column, body: Column, rules: Qu
     """Every cheap reason against a draft, as an array; empty if it passes. Lengths are code points."""
     return F.array_compact(F.array(
         F.when(language.isNull(), "language_missing").when(~language.isin(rules.allowed_languages), "language_not_allowed"),
-        F.when(license_name.isNull(), "license_missing").when(~license_name.isin(rules.allowed_licenses), "license_not_allowed"),
+        F.when(license_name.isNull(), "license_missing" if rules.require_license else None).when(~license_name.isin(rules.allowed_licenses), "license_not_allowed"),
         F.when(F.length(F.coalesce(body, F.lit(""))) < rules.min_body_chars, "body_too_short"),
     ))
 

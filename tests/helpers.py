@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SMALL = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ def rows_of(frame) -> tuple[list[str], list[tuple]]:
     frame = frame.reindex(sorted(frame.columns), axis=1)
 
     def plain(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "null"
         return str(int(v)) if isinstance(v, float) and v == int(v) else str(v)
 
