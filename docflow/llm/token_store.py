@@ -25,8 +25,10 @@ document is a block of its own; of an empty table there are empty tables; other
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 from unicodedata import is_normalized
 
 import numpy as np
@@ -174,6 +176,14 @@ def _joined(parts: list[Pieces]) -> Pieces:
     return np.concatenate([ids for ids, _ in parts]), np.concatenate([lengths for _, lengths in parts])
 
 
+def kept_words(path: str) -> WordIds:
+    """The words that this Python worker has learned in its tasks so far: Spark uses a worker again, but unpickles a task's functions anew."""
+    kept = sys.modules.setdefault("docflow_kept", ModuleType("docflow_kept"))
+    if path not in vars(kept):
+        setattr(kept, path, WordIds(path))
+    return getattr(kept, path)
+
+
 def _gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """flat[begin : begin + size] of each place, in a row."""
     return flat[np.repeat(begins - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
@@ -301,7 +311,7 @@ def _write_shards(docs: DataFrame, tokenizer: str, folder: str, block_ids: int)
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("shard"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, out = WordIds(tokenizer), None
+        words, out = kept_words(tokenizer), None
         for whole in batches:
             out = out or _Shard(whole.schema.field("doc_id").type)
             for batch in _slices(whole):
