@@ -45,7 +45,7 @@ END = 2
 #: Ids from which on a block is full, keys of a bucket on average, and rounds of one bucket's levels (keys are left over with a probability below 1e-12).
 BLOCK_IDS, BUCKET_KEYS, MOST_LEVELS = 1 << 16, 2048, 64
 #: Words whose ids a task remembers before it forgets them all, bytes of text that it cuts into words at a time, words joined to be encoded, and strings encoded in one call.
-CACHED_WORDS, SLICE_BYTES, JOINED, AT_ONCE = 500_000, 4 << 20, 100, 64
+CACHED_WORDS, SLICE_BYTES, JOINED, AT_ONCE = 250_000, 4 << 20, 100, 64
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CLASS = r"!-/:-@\[-`{-~"
 IDS = np.dtype("<u2")
@@ -324,6 +324,7 @@ def _write_shards(docs: DataFrame, tokenizer: str, folder: str, block_ids: int)
             if out.ids:
                 yield out.close()
             yield out.end()
+        pa.default_memory_pool().release_unused()  # the worker may wait long for its next task
 
     ordered.mapInArrow(run, _shard_schema(docs.schema["doc_id"].dataType.simpleString())).write.option("compression", "zstd").parquet(f"{folder}/shards")
 
