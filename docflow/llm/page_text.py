@@ -13,8 +13,10 @@ Structure decides only where differencing has no partner or leaves nothing: ther
 that and the headings, paragraphs, quotations and preformatted text outside it.
 
 Scale: pages are parsed where they are read, once; a page's path and its lines' hashes, sizes and kinds are ordered, by host and
-path in ranges, so a host may be spread over any number of tasks. A range sees BESIDE runs of copies over either border;
-runs are of any length. Texts meet what is kept of them in one join. Parsing takes time in proportion to a page's length.
+path in ranges, so a host may be spread over any number of tasks. A range sees the next runs of copies over either border, whatever
+their length: BESIDE of them, and four times as many again for as long as one of its pages has found no partner among them. What
+ranges show passes from neighbour to neighbour in doubling steps. Texts meet what is kept of them in one join. Parsing takes time in
+proportion to a page's length; aligning two pages takes memory for MOST_BITS at a time, whatever their length.
 
 Edge cases: null or empty html gives empty text; a null or odd URL has its own spelling as path; unclosed elements end with
 the element around them; unclosed comments, scripts and tags run to the end; a quote opens a value only behind an equals sign, and
@@ -29,7 +31,8 @@ import html
 import re
 import zlib
 from collections import Counter
-from collections.abc import Collection, Iterable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
+from functools import reduce
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -40,7 +43,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, table
 
-COPY, BESIDE = 0.8, 8
+#: What makes a copy; runs of copies that a range sees over a border at first; pages of a range; bits of the rows of one alignment.
+COPY, BESIDE, RANGE_PAGES, MOST_BITS = 0.8, 8, 8192, 1 << 28
 # Possessive, and matching to the end what is not closed: no text is scanned twice.
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+')?+|[^>=]++)*+)(?:>|\Z)""", re.DOTALL)
 ATTRIBUTE = re.compile(r"""(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
@@ -166,37 +170,56 @@ def page_lines(source: str | None) -> tuple[list[str], list[int]]:
     return lines, kinds
 
 
-def shared_lines(mine: list[str], theirs: list[str]) -> set[int]:
-    """Which of mine are on a longest common subsequence of lines; ends are matched first, the middle by bit rows."""
+def shared_lines(mine: list, theirs: list) -> set[int]:
+    """Which of mine are on a longest common subsequence of lines; ends are matched first, the middle by bit rows, which are halved until they are few."""
     a, b = 0, 0
     while a < min(len(mine), len(theirs)) and mine[a] == theirs[a]:
         a += 1
     while b < min(len(mine), len(theirs)) - a and mine[-1 - b] == theirs[-1 - b]:
         b += 1
-    found = set(range(a)) | set(range(len(mine) - b, len(mine)))
-    x, y = mine[a : len(mine) - b], theirs[a : len(theirs) - b]
-    if not x or not y:
-        return found
-    places: dict[str, int] = {}
+    return {*range(a), *range(len(mine) - b, len(mine)), *_aligned(mine[a : len(mine) - b], theirs[a : len(theirs) - b], a)}
+
+
+def _bit_rows(x: list, y: list) -> Iterator[int]:
+    """After each of x, a row of bits over y whose zeros are the columns where the subsequence grows."""
+    places: dict = {}
     for j, line in enumerate(y):
         places[line] = places.get(line, 0) | 1 << j
-    full, row, rows = (1 << len(y)) - 1, (1 << len(y)) - 1, []
-    for line in x:  # zeros of row: columns where the subsequence grows
+    row = full = (1 << len(y)) - 1
+    for line in x:
         match = row & places.get(line, 0)
         row = ((row + match) | (row - match)) & full
-        rows.append(row)
-    j = len(y)
+        yield row
+
+
+def _lengths(x: list, y: list) -> np.ndarray:
+    """Length of the longest common subsequence of x and each beginning of y."""
+    row = (1 << len(y)) - 1
+    for row in _bit_rows(x, y):  # noqa: B007  the last one
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(-(-len(y) // 8), "little"), np.uint8), bitorder="little", count=len(y))
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _aligned(x: list, y: list, at: int) -> set[int]:
+    if not x or not y:
+        return set()
+    if len(x) > 1 and len(x) * len(y) > MOST_BITS:  # the half of x that its best part of y belongs to, and the other
+        half = len(x) // 2
+        best = int(np.argmax(_lengths(x[:half], y) + _lengths(x[half:][::-1], y[::-1])[::-1]))
+        return _aligned(x[:half], y[:best], at) | _aligned(x[half:], y[best:], at + half)
+    found, full, rows, j = set(), (1 << len(y)) - 1, [*_bit_rows(x, y)], len(y)
     for i in range(len(x) - 1, -1, -1):
         above = rows[i - 1] if i else full
-        while j and not (~rows[i] >> (j - 1)) & 1:
+        while j and rows[i] >> (j - 1) & 1:
             j -= 1
         if not j:
             break
         low = (1 << j) - 1
         if (~rows[i] & low).bit_count() > (~above & low).bit_count():
-            while not places.get(x[i], 0) >> (j - 1) & 1:
+            while y[j - 1] != x[i]:
                 j -= 1
-            found.add(a + i)
+            found.add(at + i)
             j -= 1
     return found
 
@@ -271,26 +294,28 @@ def _nearest(pages: list[dict], step: int) -> tuple[list[int | None], list[int |
     return near, far
 
 
-def _runs(pages: Iterable[dict]) -> list[dict]:
-    """The first page of each of the first BESIDE runs of equals of the first page's host."""
+def _runs(pages: Iterable[dict], most: int) -> tuple[list[dict], str]:
+    """The first page of each of the first runs of equals of the first page's host, and how they end: "host" with the host, "cut" after most runs, "open" with the pages given."""
     runs: list[dict] = []
     for page in pages:
-        if runs and (page["host"] != runs[0]["host"] or len(runs) == BESIDE):
-            break
-        if not runs or not _alike(runs[-1], page)[1]:
-            runs.append(page)
-        elif len(runs) + 1 < BESIDE and not _alike(runs[-1], page)[0]:
+        if runs and page["host"] != runs[0]["host"]:
+            return runs, "host"
+        if not runs or not _alike(runs[-1], page)[1] or (len(runs) + 1 < most and not _alike(runs[-1], page)[0]):
+            if len(runs) == most:
+                return runs, "cut"
             runs.append(page)
-    return [{f.name: x[f.name] for f in VIEW} for x in runs]
+    return runs, "open"
 
 
 VIEW = pa.struct([("host", pa.string()), ("path", pa.string()), ("hashes", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("kinds", pa.list_(pa.int8()))])
 SEEN = "array<struct<host:string,path:string,hashes:array<bigint>,sizes:array<int>,kinds:array<tinyint>>>"
-SIDES = f"range int, before {SEEN}, after {SEEN}"
+SIDES = f"way int, range int, reach int, ends string, runs {SEEN}"
+SIDE = pa.schema([("way", pa.int32()), ("range", pa.int32()), ("reach", pa.int32()), ("ends", pa.string()), ("runs", pa.list_(VIEW))])
 
 
-def _sides(ranges: list[int], before: list, after: list) -> pa.Table:
-    return pa.table({"range": pa.array(ranges, pa.int32()), "before": pa.array(before, pa.list_(VIEW)), "after": pa.array(after, pa.list_(VIEW))})
+def _sides(rows: list[tuple[int, int, int, tuple[list[dict], str]]]) -> pa.RecordBatch:
+    plain = [[{f.name: x[f.name] for f in VIEW} for x in runs] for *_, (runs, _) in rows]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int32()) for k in range(3)] + [pa.array([r[3][1] for r in rows]), pa.array(plain, pa.list_(VIEW))], schema=SIDE)
 
 
 def _views(rows: pa.Table) -> tuple[pa.Table, list[dict]]:
@@ -298,39 +323,70 @@ def _views(rows: pa.Table) -> tuple[pa.Table, list[dict]]:
     return rows, rows.select([f.name for f in VIEW]).to_pylist()
 
 
-def _ends(rows: pa.Table) -> pa.Table:
-    """Of a range, runs at its first page going on, and at its last page going back."""
-    _, pages = _views(rows)
-    return _sides([rows.column("range")[0].as_py()], [_runs(pages)], [_runs(reversed(pages))])
+def _showing(most: int) -> Callable[[pa.Table], pa.Table]:
+    def ends(rows: pa.Table) -> pa.Table:
+        """Of a range, the runs that are seen from the range after it, looking back (way -1), and from the one before it, looking on (way 1)."""
+        _, pages = _views(rows)
+        at = rows.column("range")[0].as_py()
+        return pa.Table.from_batches([_sides([(-1, at, 1, _runs(reversed(pages), most)), (1, at, 1, _runs(pages, most))])])
+
+    return ends
+
 
+def _exchange(sides: DataFrame, most: int) -> DataFrame:
+    """Sides whose runs end with their range go on with those of the range next to what they have seen, which has seen as much: steps double."""
 
-def _beside(rows: pa.Table) -> pa.Table:
-    """ends of all ranges -> for each range, runs that go back before it and on after it, nearest first."""
-    ends = sorted(rows.to_pylist(), key=lambda x: x["range"])
-    before, after = [], []
-    for sides, order, own in ((before, ends, "after"), (after, ends[::-1], "before")):
-        held: list[dict] = []
-        for end in order:
-            sides.append(held)
-            held = _runs([*end[own], *held])
-    return _sides([x["range"] for x in ends], before, after[::-1])
+    def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for r in batch.to_pylist():
+                runs, ends = (r["runs"], "host") if r["next_ends"] is None else _runs([*r["runs"], *r["next_runs"]], most)
+                made.append((r["way"], r["range"], r["reach"] + (r["next_reach"] or 0), (runs, r["next_ends"] if ends == "open" else ends)))
+            yield _sides(made)
+
+    while not sides.where("ends = 'open'").isEmpty():
+        beyond = sides.select("way", F.col("range").alias("next"), F.col("reach").alias("next_reach"), F.col("ends").alias("next_ends"), F.col("runs").alias("next_runs"))
+        going = sides.where("ends = 'open'").withColumn("next", F.col("range") + F.col("way") * F.col("reach")).join(beyond, ["way", "next"], "left")
+        sides = materialize(going.drop("next").mapInArrow(go_on, SIDES).unionByName(sides.where("ends <> 'open'")), "page_sides")
+    return sides
 
 
 def _difference(rows: pa.Table, beside: pa.Table) -> pa.Table:
-    """Which lines of each page its partner does not share; null for a page without one, or of which nothing would be left."""
+    """Which lines of each page its partner does not share; null for a page without one, or of which nothing would be left. ``cut`` if the range must see more runs for that."""
     if not len(rows):
-        return pa.table({"row": pa.array([], pa.int64()), "kept": pa.array([], pa.list_(pa.bool_()))})
+        return pa.table({"range": pa.array([], pa.int32()), "row": pa.array([], pa.int64()), "kept": pa.array([], pa.list_(pa.bool_())), "cut": pa.array([], pa.bool_())})
     rows, own = _views(rows)
-    before, after = (beside.column(c)[0].as_py() for c in ("before", "after"))
+    sides = {r["way"]: r for r in beside.to_pylist()}
+    before, after = (sides[way]["runs"] if way in sides else [] for way in (-1, 1))
+    # Views of other hosts are nobody's partners.
     pages = [*before[::-1], *own, *after]
     back, on, kept = _nearest(pages, -1), _nearest(pages, 1), []
+    cut = False
     for i in range(len(before), len(before) + len(own)):
         page = pages[i]
-        beside = [[j for j in (back[k][i], on[k][i]) if j is not None] for k in (1, 0)]
-        near = sorted((pages[j] for j in beside[0] or beside[1]), key=lambda x: -_common(x["path"], page["path"]))
+        for way, near, side in ((-1, back, before), (1, on, after)):
+            # It has looked through all of a side that goes on.
+            cut |= bool(side) and sides[way]["ends"] == "cut" and side[0]["host"] == page["host"] and (near[0][i] is None or near[1][i] is None)
+        beside_it = [[j for j in (back[k][i], on[k][i]) if j is not None] for k in (1, 0)]
+        near = sorted((pages[j] for j in beside_it[0] or beside_it[1]), key=lambda x: -_common(x["path"], page["path"]))
         left = ([k not in shared for k in range(len(page["hashes"]))] for shared in (shared_lines(page["hashes"], x["hashes"]) for x in near))
         kept.append(next((x for x in left if any(x)), None))
-    return pa.table({"row": rows.column("row"), "kept": pa.array(kept, pa.list_(pa.bool_()))})
+    return pa.table({"range": rows.column("range"), "row": rows.column("row"), "kept": pa.array(kept, pa.list_(pa.bool_())), "cut": pa.array([cut] * len(kept), pa.bool_())})
+
+
+def _differences(ordered: DataFrame) -> DataFrame:
+    """(row, kept) of ordered pages. Ranges that see too few runs over a border look again, at four times as many."""
+    most, done, todo = BESIDE, [], ordered
+    while True:
+        sides = _exchange(materialize(ordered.groupBy("range").applyInArrow(_showing(most), SIDES), "page_ends"), most)
+        # What a range sees looking back is what the range before it shows, and so on.
+        shown = sides.withColumn("range", F.col("range") - F.col("way"))
+        found = materialize(todo.groupBy("range").cogroup(shown.groupBy("range")).applyInArrow(_difference, "range int, row long, kept array<boolean>, cut boolean"), "page_kept")
+        done.append(found.where("not cut").select("row", "kept"))
+        short = found.where("cut").select("range").distinct()
+        if short.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        todo, most = todo.join(short, "range", "left_semi"), most * 4
 
 
 def _text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,12 +405,13 @@ def extract(pages: DataFrame) -> DataFrame:
         _parse, f"page_id {kind}, url string, host string, path string, lines binary, kinds array<tinyint>, hashes array<long>, sizes array<int>"
     )
     parsed = materialize(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
+    # Every bound of a range is a key that some row has, so only the last ranges can be empty, and neighbours have consecutive numbers.
     key = ["host", "path", "page_id", "row"]
-    order = parsed.where(F.size("hashes") > 0).select(*key, "hashes", "sizes", "kinds").repartitionByRange(*key)
-    ordered = materialize(order.withColumn("range", F.spark_partition_id()), "page_order")
-    beside = materialize(ordered.groupBy("range").applyInArrow(_ends, SIDES), "page_ends").withColumn("all", F.lit(True)).groupBy("all").applyInArrow(_beside, SIDES)  # a row for each range
-    kept = ordered.groupBy("range").cogroup(materialize(beside, "page_sides").groupBy("range")).applyInArrow(_difference, "row long, kept array<boolean>")
-    both = parsed.select("row", "page_id", "url", "lines", "kinds").hint("merge").join(materialize(kept, "page_kept"), "row", "left")  # never a broadcast: kept grows with the pages
+    order = parsed.where(F.size("hashes") > 0).select(*key, "hashes", "sizes", "kinds")
+    ranges = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-order.count() // RANGE_PAGES))
+    ordered = materialize(order.repartitionByRange(ranges, *key).withColumn("range", F.spark_partition_id()), "page_order")
+    kept = _differences(ordered)
+    both = parsed.select("row", "page_id", "url", "lines", "kinds").hint("merge").join(kept, "row", "left")  # never a broadcast: kept grows with the pages
     by_structure = F.transform("kinds", lambda k: (k >= 2) | ~F.array_contains("kinds", F.lit(2).cast("tinyint")))
     return both.select("page_id", "url", "lines", F.coalesce("kept", by_structure).alias("kept")).mapInArrow(_text, f"page_id {kind}, url string, text string")
 

@@ -1,9 +1,10 @@
 import random
 import time
+import tracemalloc
 
 import pytest
 from helpers import SMALL
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docflow.llm import page_text
@@ -209,3 +210,55 @@ def test_differencing_changes_shipped_pages(spark):
         lines = [t for t, k in zip(*page_text.page_lines(r["html"]), strict=True) if k]
         changed += got[r["page_id"]] != "\n\n".join(lines)
     assert changed > 20
+
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 9, 40])
+@pytest.mark.parametrize("beside", [2, 8])
+def test_borders_do_not_change_texts(spark, ranges, beside, monkeypatch):
+    """Long runs of copies and of pages that look alike, over many borders, against one range."""
+    rng = random.Random(11)
+    rows, frame = [], [f"frame line {k} of the site" for k in range(30)]
+    for host in ("a.org", "b.org"):
+        at = 0
+        while at < 150:
+            story = [f"story {rng.randrange(10**6)} text {k}" for k in range(rng.choice((0, 1, 2, 25)))]
+            for _ in range(rng.choice((1, 2, 30, 60))):
+                own = [*story, *([f"own {rng.randrange(10**6)}"] if rng.random() < 0.5 else [])]
+                rows.append((len(rows), f"http://{host}/{at:05d}", "".join(f"<p>{x}</p>" for x in [*frame, *own])))
+                at += 1
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    texts = {}
+    for name, n, most in (("whole", 1, 1 << 20), ("ranges", ranges, beside)):
+        monkeypatch.setattr(page_text, "BESIDE", most)
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            texts[name] = {r["page_id"]: r["text"] for r in page_text.extract(pages).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert texts["whole"] == texts["ranges"] and len({*texts["whole"].values()}) > 10
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=40), st.lists(st.integers(0, 5), max_size=40), st.integers(1, 60))
+def test_halving_finds_as_long_a_subsequence(a, b, bits):
+    old, page_text.MOST_BITS = page_text.MOST_BITS, bits
+    try:
+        shared = sorted(page_text.shared_lines(a, b))
+    finally:
+        page_text.MOST_BITS = old
+    assert len(shared) == len(page_text.shared_lines(a, b))
+    rest = iter(b)
+    assert all(any(x == a[i] for x in rest) for i in shared)
+
+
+def test_long_pages_that_differ_take_little_memory(monkeypatch):
+    rng = random.Random(3)
+    a, b = ([rng.randrange(30_000) for _ in range(20_000)] for _ in range(2))
+    tracemalloc.start()
+    monkeypatch.setattr(page_text, "MOST_BITS", 1 << 24)
+    shared = page_text.shared_lines(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6 and len(shared) > 100  # rows of all lines would take 50 MB
