@@ -7,12 +7,13 @@ between document and item, windows whose pairs contradict the majority's, value
 has leaked into a document if the windows left of any one occurrence cover at least COVER of the item's words and EVIDENCE words,
 or an unbroken run with RUN plain words. Items of fewer than 3 * WINDOW words have windows of a third of their length.
 
-Scale: documents are scanned, not shuffled. The benchmark is sent in blocks of at most BLOCK_WINDOWS windows, one scan a
-block, so what is sent has a bound whatever the benchmark's size. Texts are read as a whole.
+Scale: documents are scanned, not shuffled. The benchmark is sent in blocks of at most BLOCK_WINDOWS windows, one job a
+block: between blocks the documents are stored, so a task has one index and the driver one block at a time, whatever the benchmark's
+size. A benchmark of one block, which is the rule, costs one scan and stores nothing. Texts are read as a whole.
 
 Edge cases: null and empty texts leak nothing; an item of up to WINDOW words is one window; windows with under half of their words
 plain prove nothing; items that such windows or fewer than LEAST_PLAIN plain words hide are matched word for word, if they have EXACT
-words with a plain one, or RUN words; shorter ones prove nothing; null items are left out, ids may be
+words (``exact``, a parameter) with a plain one, or RUN words; shorter ones prove nothing, and can be asked for by a smaller ``exact``; null items are left out, ids may be
 of any type or null; items with equal texts all leak; repeated rows are rows; find_leaks replaces a column named leaks, all others are passed on.
 """
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import materialize, table
 from .words import CACHED_WORDS, windows
 
 WINDOW, COVER, LEAST_PLAIN, BLOCK_WINDOWS = 8, 0.5, 4, 500_000
@@ -84,8 +85,8 @@ def informative(slots: np.ndarray, width: int) -> np.ndarray:
 class Index:
     """The windows of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], canon: Canon) -> None:
-        self.items, found = [], []
+    def __init__(self, items: list[tuple[int, str]], canon: Canon, exact: int = EXACT) -> None:
+        self.items, found, self.least = [], [], exact
         self.exact: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
         for item_id, text in items:
             words = text.split()
@@ -97,8 +98,8 @@ class Index:
             for q in use.tolist():
                 reach[q : q + width] = True
             if n_plain < LEAST_PLAIN or reach.sum() < max(COVER * n, min(n, EVIDENCE)):  # templates cannot show it
-                if n >= RUN or (n >= EXACT and n_plain):
-                    self.exact[int(windows(plain[:EXACT], EXACT)[0])].append((item_id, plain))
+                if n >= RUN or n >= exact and (n_plain or exact < EXACT):
+                    self.exact[int(windows(plain[:exact], exact)[0])].append((item_id, plain))
             if n_plain < LEAST_PLAIN:
                 continue
             keys = windows(tokens, width)
@@ -118,8 +119,8 @@ class Index:
             return []
         tokens, _, plain = canonical(words, canon)
         whole: set[tuple[int, float]] = set()
-        if len(self.heads) and len(words) >= EXACT:
-            heads = windows(plain, EXACT)
+        if len(self.heads) and len(words) >= self.least:
+            heads = windows(plain, self.least)
             for p in np.flatnonzero(np.isin(heads, self.heads)).tolist():
                 whole.update((item_id, 1.0) for item_id, own in self.exact[int(heads[p])] if np.array_equal(plain[p : p + len(own)], own))
         hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -197,41 +198,43 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with a column leaks: array of (item_id, covered)."""
-    leak = T.ArrayType(T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), T.StructField("covered", T.DoubleType())]))
-    out = docs.withColumn("leaks", F.array().cast(leak))
+def _by_blocks(docs: DataFrame, benchmark: DataFrame, scan: Callable[[pa.RecordBatch, Index, Canon], pa.RecordBatch], exact: int) -> DataFrame:
+    """docs after a scan for each block of the benchmark, in a job of its own but for the last."""
+    sent = None
     for block in item_blocks(benchmark):
-        sent = out.sparkSession.sparkContext.broadcast(block)
+        if sent is not None:
+            docs = materialize(docs, "scanned")
+            sent.unpersist()
+        sent = docs.sparkSession.sparkContext.broadcast(block)
 
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             canon = Canon()
-            index = Index(sent.value, canon)
+            index = Index(sent.value, canon, exact)
             for batch in batches:
-                at = batch.schema.get_field_index("leaks")
-                old = batch.column(at).to_pylist()
-                new = [a + [{"item_id": i, "covered": c} for i, c in index.leaks(t.as_py(), canon)] for a, t in zip(old, batch.column("text"), strict=True)]
-                columns = [*batch.columns]
-                columns[at] = pa.array(new, batch.schema.field(at).type)
-                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                yield scan(batch, index, canon)
 
-        out = out.mapInArrow(scan, out.schema)
-    return out
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs in which no item has leaked, with all their columns."""
-    for block in item_blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+def find_leaks(docs: DataFrame, benchmark: DataFrame, exact: int = EXACT) -> DataFrame:
+    """docs with a column leaks: array of (item_id, covered). Items that templates cannot show are matched word for word from ``exact`` words on."""
+    leak = T.ArrayType(T.StructType([T.StructField("item_id", benchmark.schema["item_id"].dataType), T.StructField("covered", T.DoubleType())]))
 
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            canon = Canon()
-            index = Index(sent.value, canon)
-            for batch in batches:
-                yield batch.filter(pa.array([not index.leaks(t.as_py(), canon) for t in batch.column("text")], pa.bool_()))
+    def scan(batch: pa.RecordBatch, index: Index, canon: Canon) -> pa.RecordBatch:
+        at = batch.schema.get_field_index("leaks")
+        old = batch.column(at).to_pylist()
+        new = [a + [{"item_id": i, "covered": c} for i, c in index.leaks(t.as_py(), canon)] for a, t in zip(old, batch.column("text"), strict=True)]
+        columns = [*batch.columns]
+        columns[at] = pa.array(new, batch.schema.field(at).type)
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-        docs = docs.mapInArrow(scan, docs.schema)
-    return docs
+    return _by_blocks(docs.withColumn("leaks", F.array().cast(leak)), benchmark, scan, exact)
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, exact: int = EXACT) -> DataFrame:
+    """docs in which no item has leaked, with all their columns."""
+    return _by_blocks(docs, benchmark, lambda batch, index, canon: batch.filter(pa.array([not index.leaks(t.as_py(), canon) for t in batch.column("text")], pa.bool_())), exact)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,93 @@ def test_ids_of_any_type(spark):
     docs = simple(spark, ["so: every good dog likes green apples more than old boots, he said", "nothing"])
     got = {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in d.find_leaks(docs, items).collect()}
     assert got == {0: [None, "a", "b"], 1: []}
+
+
+def kinds(text):
+    """(what a word stands for, its own text without outer punctuation) of each word, one rule at a time."""
+    out, begins = [], True
+    raw = text.split()
+    for i, word in enumerate(raw):
+        core = d.OUTER.sub("", word) or word
+        number = bool(d.FIGURE.match(core))
+        title = core[:1].isupper() and core[1:].islower()
+        name = title and not begins and not number
+        before = d.OUTER.sub("", raw[i - 1]) or raw[i - 1] if i else ""
+        unit = core.lower() in d.UNITS and bool(i) and bool(d.FIGURE.match(before)) and not number and not name
+        out.append(("<number>" if number else "<name>" if name else "<unit>" if unit else core.lower(), core.lower(), number or name or unit))
+        begins = word[-1] in ".!?:;"
+    return out
+
+
+def restated(doc, item):
+    """Share of the item that leaked into the document, None if it did not."""
+    mine, theirs = kinds(item), kinds(doc)
+    n, plain = len(mine), [not s for _, _, s in mine]
+    width = n if n <= d.WINDOW else min(d.WINDOW, max(d.SHORTEST, n // 3))
+    use = [q for q in range(n - width + 1) if 2 * sum(plain[q : q + width]) >= width] if n else []
+    reach = {k for q in use for k in range(q, q + width)}
+    if (sum(plain) < d.LEAST_PLAIN or len(reach) < max(d.COVER * n, min(n, d.EVIDENCE))) and (n >= d.RUN or (n >= d.EXACT and any(plain))):
+        if any([c for _, c, _ in theirs[p : p + n]] == [c for _, c, _ in mine] for p in range(len(theirs) - n + 1)):
+            return 1.0
+    if sum(plain) < d.LEAST_PLAIN:
+        return None
+    hits = [(p, q) for q in use for p in range(len(theirs) - width + 1) if [k for k, _, _ in theirs[p : p + width]] == [k for k, _, _ in mine[q : q + width]]]
+    pairs_of = lambda p, q: [(d.OUTER.sub("", item.split()[q + i]).lower(), d.OUTER.sub("", doc.split()[p + i]).lower()) for i in range(width) if not plain[q + i]]
+    apart, best, most = max(4, int(d.SHIFT * n)), 0.0, 0
+    for anchor in {p - q for p, q in hits}:
+        near = [(p, q) for p, q in hits if abs(p - q - anchor) <= apart]
+        votes = {}
+        for p, q in near:
+            for a, b in pairs_of(p, q):
+                votes.setdefault(a, {}).setdefault(b, 0)
+                votes[a][b] += 1
+        agreed = {a: max(sorted(c), key=lambda b: (c[b], b == a)) for a, c in votes.items()}
+        good = [(p, q) for p, q in near if all(a == b for a, b in pairs_of(p, q)) or all(agreed[a] == b for a, b in pairs_of(p, q))]
+        best = max(best, len({k for _, q in good for k in range(q, q + width)}) / n)
+        for offset in {p - q for p, q in good}:
+            at = sorted(q for p, q in good if p - q == offset)
+            runs = [[at[0], at[0] + width]]
+            for q in at[1:]:
+                if q <= runs[-1][1]:
+                    runs[-1][1] = q + width
+                else:
+                    runs.append([q, q + width])
+            most = max([most, *(sum(plain[a:b]) for a, b in runs)])
+    return best if hits and (best * n >= max(d.COVER * n, min(n, d.EVIDENCE)) - 1e-9 or most >= d.RUN) else None
+
+
+def test_leaks_equal_a_restatement():
+    rng = random.Random(12)
+    bits = ["Anna", "Peter", "12", "5", "km", "apples", "buys", "from", "the", "market.", "then", "walks", "seven", "Rome", "and", "sells", "all", "$40", "hours", "home", "with", "Maria"]
+    canon, found, seen = d.Canon(), 0, 0
+    for _ in range(400):
+        item = [rng.choice(bits) for _ in range(rng.choice((4, 6, 9, 14, 22, 30, 45)))]
+        doc = []
+        for _ in range(rng.choice((1, 1, 2))):
+            part = item[rng.randrange(3) : len(item) - rng.randrange(3)] if rng.random() < 0.5 else list(item)
+            swap = {w: rng.choice(bits) for w in rng.sample(bits, 3)} if rng.random() < 0.6 else {}
+            part = [swap.get(w, w) if rng.random() < 0.9 else rng.choice(bits) for w in part]
+            doc += [rng.choice(bits) for _ in range(rng.randrange(6))] + part
+        text, whole = " ".join(doc), " ".join(item)
+        got = d.Index([(1, whole)], canon).leaks(text, canon)
+        want = restated(text, whole)
+        assert [round(s, 9) for _, s in got] == ([] if want is None else [round(want, 9)]), (whole, text)
+        found, seen = found + (want is not None), seen + 1
+    assert 50 < found < seen - 50
+
+
+def test_one_worker_a_stage_whatever_the_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    bench = [words(rng, 30, 10_000) for _ in range(12)]
+    docs = simple(spark, [f"{words(rng, 20)} {bench[i]}" for i in range(12)])
+    monkeypatch.setattr(d, "BLOCK_WINDOWS", 70)
+    out = d.find_leaks(docs, items(spark, bench))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [[x["item_id"] for x in r["leaks"]] for r in out.orderBy("doc_id").collect()] == [[i] for i in range(12)]
+    assert d.drop_leaks(docs, items(spark, bench[:11])).count() == 1
+
+
+def test_shorter_items_can_be_asked_for(spark):
+    docs, bench = simple(spark, ["he said yes indeed", "1 2 3 4 5 6 7 8 9", "no"]), items(spark, ["yes indeed", "1 2 3 4 5 6 7 8"])
+    assert [len(r["leaks"]) for r in d.find_leaks(docs, bench).orderBy("doc_id").collect()] == [0, 0, 0]
+    assert [[x["item_id"] for x in r["leaks"]] for r in d.find_leaks(docs, bench, exact=2).orderBy("doc_id").collect()] == [[0], [1], []]
