@@ -92,7 +92,8 @@ def main(argv: list[str] | None = None) -> int:
     done = ingest.run(spark, config, documents, *waiting, now, **({"folder": args.folder} if args.folder else {}))
     if not args.dry_run:
         sinks.write_batches(done.batches, f"{args.out}/batches", done.branches)
-        sinks.write_originals(done.changes, f"{args.out}/{config.originals.dir}")
+        sinks.write_originals(done.batches, f"{args.out}/{config.originals.dir}", done.branches)
+        sinks.write_change_sets(done.branches, done.descriptions, f"{args.out}/change_sets")
     print(done.statistics.toJSON().first())
     return 0
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import record_url
@@ -49,14 +51,34 @@ def run_statistics(found: int, reasons: DataFrame, outcomes: DataFrame) -> DataF
     return both.select(F.lit(found).cast("long").alias("found"), "excluded", "excluded_total", "new", "updated", "unchanged", (F.col("error") + F.col("unread")).alias("errors"))
 
 
-def write_batches(batched: DataFrame, path: str, names: DataFrame) -> None:
-    """Documents as rows (branch, file, text), a folder for each branch. names(batch, branch)."""
-    rows = batched.join(names, "batch").select("branch", F.concat(F.lit("corpus/"), F.col("front_matter.id"), F.lit(".md")).alias("file"), "text")
-    rows.repartition("branch").write.partitionBy("branch").mode("append").parquet(path)
+def title(day: datetime, number: Column, documents: Column) -> Column:
+    return F.concat(F.lit(f"Ingestion PubMed {day:%Y-%m-%d} #"), number.cast("string"), F.lit(": "), documents.cast("string"), F.lit(" documenti"))
+
+
+def write_batches(batched: DataFrame, path: str, branches: DataFrame) -> None:
+    """Documents as rows (branch, file, text), a folder for each branch. branches(batch, branch).
+
+    A branch is written as a whole: one that is there already is replaced, others stay, and nothing is seen of a write that fails. So
+    a run that is repeated with its branches leaves each document once.
+    """
+    rows = batched.join(branches.select("batch", "branch"), "batch").select("branch", F.concat(F.lit("corpus/"), F.col("front_matter.id"), F.lit(".md")).alias("file"), "text")
+    _replace(rows.repartition("branch")).parquet(path)
+
+
+def write_change_sets(branches: DataFrame, described: DataFrame, path: str) -> None:
+    """What a reviewer is told of each branch, (branch, title, documents, description), as JSON in a folder for each; replaced like the branches."""
+    rows = branches.join(described, "batch").select("branch", "title", "documents", "description")
+    _replace(rows).json(path)
+
+
+def write_originals(batched: DataFrame, path: str, branches: DataFrame) -> None:
+    """The markup of each branch's documents, (branch, file, xml), beside them; replaced like the branches."""
+    rows = batched.join(branches.select("batch", "branch"), "batch").select("branch", F.concat(F.lit("pmid-"), "pmid", F.lit(".xml")).alias("file"), "xml")
+    _replace(rows.repartition("branch")).parquet(path)
 
 
-def write_originals(changes: DataFrame, path: str) -> None:
-    changes.select(F.concat(F.lit("pmid-"), "pmid", F.lit(".xml")).alias("file"), "xml").write.mode("append").parquet(path)
+def _replace(rows: DataFrame) -> DataFrameWriter:
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("branch")
 
 
 def open_batches(spark: SparkSession, path: str, stem: str) -> tuple[DataFrame, DataFrame]:

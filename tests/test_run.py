@@ -141,10 +141,24 @@ def test_command_line(spark, service, corpus, tmp_path, capsys):
 
 def test_sinks(spark, service, corpus, tmp_path):
     run = go(spark, service, corpus)
-    sinks.write_batches(run.batches, str(tmp_path / "b"), run.branches)
-    sinks.write_originals(run.changes, str(tmp_path / "o"))
-    assert spark.read.parquet(str(tmp_path / "b")).select("file").distinct().count() == 2
-    assert b"<article" in spark.read.parquet(str(tmp_path / "o")).first()["xml"]
+    read = lambda: sorted((r["branch"], r["file"]) for r in spark.read.parquet(str(tmp_path / "b")).collect())
+    for _ in range(2):  # a second time, as if the first one's end had not been heard of
+        sinks.write_batches(run.batches, str(tmp_path / "b"), run.branches)
+        sinks.write_originals(run.batches, str(tmp_path / "o"), run.branches)
+        sinks.write_change_sets(run.branches, run.descriptions, str(tmp_path / "c"))
+        assert read() == [("ingest/2026-01-02-pubmed-2", "corpus/pmid-1.md"), ("ingest/2026-01-02-pubmed-4", "corpus/pmid-2.md")]
+        originals = spark.read.parquet(str(tmp_path / "o")).collect()
+        assert sorted(r["file"] for r in originals) == ["pmid-1.xml", "pmid-2.xml"] and all(b"<article" in r["xml"] for r in originals)
+        sets = {r["branch"]: r for r in spark.read.json(str(tmp_path / "c")).collect()}
+        assert sets["ingest/2026-01-02-pubmed-4"]["title"] == "Ingestion PubMed 2026-01-02 #4: 1 documenti" and "`pmid-2`" in sets["ingest/2026-01-02-pubmed-4"]["description"]
+    other = run.branches.withColumn("branch", F.concat("branch", F.lit("9")))
+    sinks.write_batches(run.batches.where("batch = 1"), str(tmp_path / "b"), other)
+    assert len(read()) == 3
+    failing = run.batches.withColumn("text", F.when(F.col("batch") == 2, F.raise_error(F.lit("lost"))).otherwise(F.lit("changed")))
+    before = sorted(map(str, spark.read.parquet(str(tmp_path / "b")).collect()))
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_batches(failing, str(tmp_path / "b"), run.branches)
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "b")).collect())) == before
 
 
 def test_ranking(spark):
