@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import default_config
 from ..functions import content_hash
-from ..storage import materialize
+from ..storage import materialize, scratch_path
 from . import ingest
 from .records import table
 
@@ -142,3 +142,27 @@ FROM k LEFT JOIN free f ON changed AND f.batch = (rank - 1) // {_C.corpus.max_pr
 
 QUERIES = {"ingest_run": ingest_run}
 ORACLES = {"ingest_run": INGEST_RUN}
+
+
+def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run over pages that arrive as files, three at a time: what became of each record, and the texts in batches."""
+    from ..streaming import arrivals  # which needs this package's plans
+
+    docs = materialize(_documents(spark, sf_dir), "run_documents")
+    opened = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("pmid-"), F.col("item_id").cast("string")).alias("id")).distinct()
+    source, out = scratch_path(spark, "arriving"), scratch_path(spark, "arrived_runs")
+    _record_pages(docs).repartitionByRange(9, "page").write.parquet(source)
+    pages = spark.readStream.schema("page long, xml binary").option("maxFilesPerTrigger", 3).parquet(source)
+    # Without documents in other open batches: arrivals know of the batches that arrivals have made.
+    corpus = _corpus(docs).join(opened, "id", "left_anti")
+    arrivals.ingest_arrivals(pages, default_config(), corpus, _article_pages(docs), out, f"{out}/checkpoint", NOW)
+    texts = arrivals.batches(spark, out).select(F.substring("id", 6, 1 << 20).alias("pmid"), F.col("front_matter.content_hash").alias("content_hash"), F.col("front_matter.doc_type").alias("doc_type"))
+    rows = arrivals.outcomes(spark, out).select("pmid", "outcome", F.array_join("reasons", ",").alias("reasons"))
+    return rows.join(texts, "pmid", "left").join(opened.select(F.substring("id", 6, 1 << 20).alias("pmid")), "pmid", "left_anti")
+
+
+INCREMENTAL_RUN = f"""
+SELECT pmid, outcome, reasons, content_hash, doc_type FROM ({INGEST_RUN}) WHERE CAST(pmid AS BIGINT) NOT IN (SELECT item_id FROM benchmark WHERE item_id IS NOT NULL)"""
+
+QUERIES["incremental_run"] = incremental_run
+ORACLES["incremental_run"] = INCREMENTAL_RUN
