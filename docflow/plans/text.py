@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import functions, udfs
 from ..config import LANGUAGES, default_config
 from ..markup.fixed import GONE
+from ..operators import vocabulary
 from .records import table
 
 #: Vocabulary terms that documents carry in these queries, by language, source and label.
@@ -191,11 +192,28 @@ TABLE_GRID = r"""
 SELECT r_regionkey, '| Region | Nation | Nation |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg('| ' || r_name || ' | ' || n_nationkey || ' | ' || replace(n_name, '_', '\_') || ' |', chr(10) ORDER BY n_nationkey)
   || chr(10) || '| end | end | end |' AS markdown FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name"""
 
+LABELS = tuple(f"group {i}" for i in range(97))
+
+
+def large_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by a vocabulary from a table: long words of benchmark's items, in groups of items."""
+    words = lambda text: F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("[a-z]{7,}"), 0)
+    items = table(spark, sf_dir, "benchmark").select(F.explode(words(F.col("text"))).alias("term"), F.concat(F.lit("group "), (F.col("item_id") % len(LABELS)).cast("string")).alias("label"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", words(F.col("text")).alias("words"))
+    return vocabulary.labels_of(docs, "doc_id", "words", vocabulary.of_table(items, LABELS)).select("doc_id", F.array_join("labels", ",").alias("labels"))
+
+
+LARGE_VOCABULARY = f"""
+WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-z]{{7,}}')) AS term, item_id % {len(LABELS)} AS no FROM benchmark),
+d AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[a-z]{{7,}}')) AS term FROM documents),
+f AS (SELECT DISTINCT d.doc_id, v.no FROM d JOIN v USING (term))
+SELECT documents.doc_id, coalesce(string_agg('group ' || f.no, ',' ORDER BY f.no), '') AS labels FROM documents LEFT JOIN f USING (doc_id) GROUP BY documents.doc_id"""
+
 QUERIES = {
-    "doc_type_priority": doc_type_priority, "evidence_tier": evidence_tiers, "topics": topic_lists, "modality": modality_lists, "population": populations, "language_map": language_map, "partial_date": partial_dates,
+    "large_vocabulary": large_vocabulary, "doc_type_priority": doc_type_priority, "evidence_tier": evidence_tiers, "topics": topic_lists, "modality": modality_lists, "population": populations, "language_map": language_map, "partial_date": partial_dates,
     "title_cleanup": title_cleanup, "markdown_escape": markdown_escape, "protect_block_start": block_starts, "citation_cleanup": citation_marks, "table_grid_expand": table_grid_expand,
 }
 ORACLES = {
-    "doc_type_priority": DOC_TYPE_PRIORITY, "evidence_tier": EVIDENCE_TIERS, "topics": TOPIC_LISTS, "modality": MODALITY_LISTS, "population": POPULATIONS, "language_map": LANGUAGE_MAP, "partial_date": PARTIAL_DATES,
+    "large_vocabulary": LARGE_VOCABULARY, "doc_type_priority": DOC_TYPE_PRIORITY, "evidence_tier": EVIDENCE_TIERS, "topics": TOPIC_LISTS, "modality": MODALITY_LISTS, "population": POPULATIONS, "language_map": LANGUAGE_MAP, "partial_date": PARTIAL_DATES,
     "title_cleanup": TITLE_CLEANUP, "markdown_escape": MARKDOWN_ESCAPE, "protect_block_start": BLOCK_STARTS, "citation_cleanup": CITATION_MARKS, "table_grid_expand": TABLE_GRID,
 }
