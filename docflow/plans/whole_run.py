@@ -12,8 +12,10 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import udfs
 from ..config import default_config
 from ..functions import content_hash
+from ..sources import big_xml
 from ..storage import materialize, scratch_path
 from . import ingest
 from .records import table
@@ -166,3 +168,25 @@ SELECT pmid, outcome, reasons, content_hash, doc_type FROM ({INGEST_RUN}) WHERE
 
 QUERIES["incremental_run"] = incremental_run
 ORACLES["incremental_run"] = INCREMENTAL_RUN
+
+
+def large_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as large XML files of records, some with end tags in comments and sections, read in ranges of bytes and parsed."""
+    n = F.col("n")
+    docs = _documents(spark, sf_dir)
+    odd = F.when(n % 3 == 0, "<!-- </PubmedArticle> <PubmedArticle> -->").when(n % 3 == 1, "<![CDATA[ </PubmedArticle> <!-- ]]>").otherwise("")
+    record = _tag("PubmedArticle", odd, _tag("MedlineCitation", _tag("PMID", F.col("id")), _tag("Article", _tag("Journal", _tag("Title", F.coalesce("source", F.lit("")))), _tag("ArticleTitle", F.col("words")))))
+    files = 4
+    rows = docs.select(F.pmod(n, F.lit(files)).alias("file"), n.alias("at"), record.alias("value"))
+    ends = [spark.range(files).select(F.col("id").alias("file"), F.lit(at).cast("long").alias("at"), F.lit(text).alias("value")) for at, text in ((-(1 << 62), '<?xml version="1.0"?><PubmedArticleSet>'), (1 << 62, "</PubmedArticleSet>"))]
+    path = scratch_path(spark, "large_xml")
+    rows.unionByName(ends[0]).unionByName(ends[1]).repartition(files, "file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    found = udfs.parse_records(big_xml.read_records(spark, path))
+    return found.select("pmid", F.sha2("title", 256).alias("title_sha256"), "journal")
+
+
+LARGE_XML_RECORDS = """
+SELECT CAST(doc_id AS VARCHAR) AS pmid, sha256(trim(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]+', ' ', 'g'))) AS title_sha256, nullif(source, '') AS journal FROM documents"""
+
+QUERIES["large_xml_records"] = large_xml_records
+ORACLES["large_xml_records"] = LARGE_XML_RECORDS
