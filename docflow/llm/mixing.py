@@ -7,8 +7,8 @@ each shard draws its own stretch of every source's permuted block sequence, so t
 its blocks locally by a keyed hash. The permutation is a keyed Feistel network, so neighbouring blocks of a document land
 apart. A document belongs to a mix through the word ranges of the blocks drawn.
 
-Scale: documents are sized once and shuffled once, by (source, hash range), about 256 rows to a range of all
-sources; global word offsets come from sums of ranges, and of 1,024 ranges at a time. Sources, of which there may be many, are ranked by
+Scale: documents are sized once, equal rows are counted, and different ones shuffled by (source, hash range), about 256 rows to a range of
+all sources; global word offsets come from sums of ranges, and of 1,024 ranges at a time. Sources, of which there may be many, are ranked by
 ranges, and the rate of weights is found by sums over all; the tree first deals quotas of groups of sources, as many as a group has sources,
 and then each group's in a row of its own, so that no row has more numbers than the square root of the sources and no task more than some rows.
 
@@ -28,6 +28,8 @@ from .common import materialize, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 RANGE_ROWS = 256
+#: Copies of a row that one task makes; sources that one task may put in order.
+COPIES, FEW_SOURCES = 4096, 20_000
 ROUNDS, WALK = 4, 24
 
 
@@ -159,8 +161,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     the common rate rises, by sums over all sources, until no further one is at its ceiling.
     """
     cycle = F.array(*[F.lit(w) for w in weights])
-    out = global_rank(sizes.withColumn("_last", F.col("source").isNull()), ["_last", "source"], "place").drop("_last").withColumn("place", F.col("place") - 1)
-    out = materialize(out.withColumn("weight", F.element_at(cycle, (F.col("place") % len(weights) + 1).cast("int")).cast("double")), "mix_sources")
+    sizes = materialize(sizes.withColumn("_last", F.col("source").isNull()), "mix_sources")
+    order = ["_last", "source"]
+    # A window over all is one task's, so it is for a counted few; ranges serve for the others.
+    few = sizes.count() <= FEW_SOURCES
+    out = sizes.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("long")) if few else global_rank(sizes, order, "place")
+    out = out.drop("_last").withColumn("place", F.col("place") - 1)
+    out = materialize(out.withColumn("weight", F.element_at(cycle, (F.col("place") % len(weights) + 1).cast("int")).cast("double")), "mix_places")
     limit, rate, full = ceiling * F.col("words"), 0.0, -1
     while True:
         at_limit = F.col("weight") * rate >= limit if full >= 0 else F.lit(False)
@@ -195,6 +202,23 @@ def permuted(x: Column, count: Column, rows: Column, cols: Column, keys: list[Co
     return F.aggregate(steps, network(x), lambda y, _: F.when(y >= count, network(y)).otherwise(y))
 
 
+def _copies(rows: DataFrame, most: int) -> DataFrame:
+    """rows(begin, size, n, ...) -> n rows for each, one behind the other; more than COPIES are dealt out over tasks before they are made."""
+    if most == 1:
+        return rows
+    last = F.col("n") - 1
+
+    def made(some: DataFrame, first: Column, stop: Column) -> DataFrame:
+        return some.withColumn("_copy", F.explode(F.sequence(first, stop))).withColumn("begin", F.col("begin") + F.col("_copy") * F.col("size")).drop("_copy")
+
+    few = made(rows.where(F.col("n") <= COPIES), F.lit(0).cast("long"), last)
+    if most <= COPIES:
+        return few
+    parts = rows.where(F.col("n") > COPIES).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPIES))))
+    parts = parts.repartition(F.col("h"), F.col("_part"))
+    return few.unionByName(made(parts, F.col("_part") * COPIES, F.least(last, (F.col("_part") + 1) * COPIES - 1)).drop("_part"))
+
+
 def mix(
     docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, ceiling: int = 2, block_words: int = 32, levels: int = 6, seed: int = 5
 ) -> DataFrame:
@@ -204,11 +228,14 @@ def mix(
     """
     text = F.coalesce("text", F.lit(""))
     sized = docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(F.lit(seed), "doc_id", text).alias("h"))
+    # Equal rows are one from here on, until their places are known.
+    sized = sized.groupBy("doc_id", "source", "size", "h").agg(F.count("*").alias("n"))
     sized = materialize(sized.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))), "mix_sizes")
-    bits = max(0, math.ceil(math.log2(max(1, sized.count()) / RANGE_ROWS)))
-    sized = sized.withColumn("range", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long"))
+    different, most = sized.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(1))).first()
+    bits = max(0, math.ceil(math.log2(max(1, different) / RANGE_ROWS)))
+    sized = sized.withColumn("range", F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")).withColumn("all", F.col("size") * F.col("n"))
 
-    plan = source_targets(sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("words")), weights, share, ceiling)
+    plan = source_targets(sized.groupBy("key").agg(F.first("source").alias("source"), F.sum("all").alias("words")), weights, share, ceiling)
     fine = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("target") / 200)))
     plan = plan.withColumn("width", F.greatest(fine, F.ceil(F.col("words") / float(1 << 30))).cast("long"))
     plan = plan.withColumn("blocks", F.ceil(F.col("words") / F.col("width")).cast("long"))
@@ -223,7 +250,7 @@ def mix(
     keys = [F.xxhash64(F.lit(seed), "place", F.lit(turn), F.lit(j)).alias(f"key_{turn}_{j}") for turn in turns for j in range(ROUNDS)]
     plan = plan.join(starts, "place", "left").select("key", "target", "width", "blocks", "rows", "cols", "quota", "starts", "place", *keys)
 
-    ranges = sized.groupBy("key", "range").agg(F.sum("size").alias("words")).withColumn("span", F.shiftright("range", 10))
+    ranges = sized.groupBy("key", "range").agg(F.sum("all").alias("words")).withColumn("span", F.shiftright("range", 10))
     spans = ranges.groupBy("key", "span").agg(F.sum("words").alias("words"))
     past = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.select("key", "span", F.coalesce(F.sum("words").over(past), F.lit(0)).alias("outer")).join(plan, "key")
@@ -231,7 +258,8 @@ def mix(
     ranges = ranges.withColumn("inner", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(spans, ["key", "span"])
     ranges = ranges.withColumn("base", F.col("outer") + F.col("inner")).drop("words", "span", "outer", "inner")
     within = Window.partitionBy("key", "range").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = sized.join(ranges, ["key", "range"]).withColumn("begin", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+    rows = sized.join(ranges, ["key", "range"]).withColumn("begin", F.col("base") + F.coalesce(F.sum("all").over(within), F.lit(0)))
+    rows = _copies(rows, most)
 
     begin, size, width, blocks, quota = (F.col(c) for c in ("begin", "size", "width", "blocks", "quota"))
     own = F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))

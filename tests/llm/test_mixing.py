@@ -126,3 +126,29 @@ def test_small_sources_meet_their_targets(spark):
             taken[r["source"]] += r["taken"]
             target[r["source"]] = r["target"]
         assert all(abs(taken[s] - t) <= max(1, 0.01 * t) for s, t in target.items()), (taken, target)
+
+
+@pytest.mark.parametrize("copies", [4096, 300])
+def test_a_row_that_is_there_very_often(spark, copies, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", copies)
+    n = 20_000
+    hot = spark.range(n).select(F.lit(1).cast("long").alias("doc_id"), F.lit("the same five words again").alias("text"), F.lit("a").alias("source"))
+    rest = spark.range(2000).select((F.col("id") + 10).alias("doc_id"), F.concat(F.lit("other words of number "), F.col("id").cast("string")).alias("text"), F.when(F.col("id") % 2 == 0, "b").otherwise("a").alias("source"))
+    rows = mixing.taken_words(mixing.mix(hot.unionByName(rest))).collect()
+    assert len(rows) == n + 2000 and sum(r["doc_id"] == 1 for r in rows) == n
+    taken, target = defaultdict(int), {}
+    for r in rows:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - t) <= 0.01 * t for s, t in target.items())
+    assert len({r["taken"] for r in rows if r["doc_id"] == 1}) > 1  # copies have places of their own
+    shared = mixing.mix(hot.unionByName(rest)).where("doc_id = 1 and size > 0").select(F.explode("segments").alias("s")).select("s.shard").distinct().count()
+    assert shared == 64
+
+
+def test_many_sources_are_ranked_as_few_are(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"s{i:03d}" if i else None, i % 7) for i in range(60)], "source string, words long")
+    few = sorted(map(str, mixing.source_targets(rows).collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 5)
+    assert sorted(map(str, mixing.source_targets(rows).collect())) == few
