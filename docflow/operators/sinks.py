@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import record_url
 from .ranking import batch_number, global_rank
+from .waterfall import GATE_REASONS, record_rules
 
 # The description of a batch.
 HEADER = "| id | titolo | doc_type | modality | topics | stato | PubMed |\n| --- | --- | --- | --- | --- | --- | --- |"
@@ -51,6 +52,28 @@ def run_statistics(found: int, reasons: DataFrame, outcomes: DataFrame) -> DataF
     return both.select(F.lit(found).cast("long").alias("found"), "excluded", "excluded_total", "new", "updated", "unchanged", (F.col("error") + F.col("unread")).alias("errors"))
 
 
+STATISTICS = "found long, excluded map<string,long>, excluded_total long, new long, updated long, unchanged long, errors long"
+OUTCOMES = ("new", "updated", "unchanged", "error")
+
+
+def record_metrics() -> dict[str, Column]:
+    """What to observe of flagged records (reason): how many there are, and how many of each reason."""
+    return {"found": F.count(F.lit(1)), **{reason: F.count_if(F.col("reason") == reason) for reason in dict(record_rules())}}
+
+
+def document_metrics() -> dict[str, Column]:
+    """What to observe of prepared documents (outcome, reasons)."""
+    gate = {f"quality:{reason}": F.count_if(F.array_contains("reasons", reason)) for reason in GATE_REASONS}
+    return {**{o: F.count_if(F.col("outcome") == o) for o in (*OUTCOMES, "no_open_access_fulltext")}, **gate}
+
+
+def observed_statistics(spark: SparkSession, records: dict[str, int], documents: dict[str, int]) -> DataFrame:
+    """The row of run_statistics from what was observed while records and documents were stored."""
+    excluded = {k: n for k, n in sorted({**records, **documents}.items()) if n and k not in ("found", *OUTCOMES)}
+    ends = [documents[o] for o in OUTCOMES]
+    return spark.createDataFrame([(records["found"], excluded, sum(excluded.values()), *ends[:3], ends[3] + records["error_read_corpus"])], STATISTICS)
+
+
 def title(day: datetime, number: Column, documents: Column) -> Column:
     return F.concat(F.lit(f"Ingestion PubMed {day:%Y-%m-%d} #"), number.cast("string"), F.lit(": "), documents.cast("string"), F.lit(" documenti"))
 

@@ -9,6 +9,10 @@ from ..config import Quality
 from .ranking import first_seen
 
 
+#: What a gate can say of a draft, the last one only of a draft with no other reason.
+GATE_REASONS = ("language_missing", "language_not_allowed", "license_missing", "license_not_allowed", "body_too_short", "schema_invalid")
+
+
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
     """The first rule that holds; null if none does. A rule that is null does not hold."""
     return F.coalesce(*[F.when(holds, F.lit(reason)) for reason, holds in rules], F.lit(None).cast("string"))

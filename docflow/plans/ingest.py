@@ -15,7 +15,7 @@ from ..operators import ranking, sinks, waterfall
 from ..operators.prepare import prepare
 from ..sources import service
 from ..sources.corpus import stored_state
-from ..storage import materialize
+from ..storage import materialize, materialize_counting
 
 
 def branch_stem(config: Config, now: datetime) -> str:
@@ -54,19 +54,16 @@ def process(spark: SparkSession, config: Config, pages: DataFrame, fetch: Fetch,
     records = materialize(ranking.first_seen(udfs.parse_records(pages), ["pmid"], ["page", "at"]), "records")
     rejected = documents.where("folder = 'rejected' and id is not null and not nested").select("id")
     flagged = waterfall.with_state(records, stored_state(documents), rejected, open_ids)
-    flagged = materialize(flagged.withColumn("reason", waterfall.first_reason(waterfall.record_rules())), "flagged")
+    flagged, seen = materialize_counting(flagged.withColumn("reason", waterfall.first_reason(waterfall.record_rules())), "flagged", **sinks.record_metrics())
     survivors = flagged.where("reason is null")
     fetched = materialize(fetch(survivors), "article_pages")
     articles = ranking.last_seen(udfs.parse_articles(fetched), ["pmcid"], ["page", "at"])
-    prepared = materialize(prepare(survivors, articles, config, now), "prepared")
-    gate = prepared.select(F.explode("reasons").alias("reason")).select(F.concat(F.lit("quality:"), "reason").alias("reason"))
-    late = prepared.where("outcome = 'no_open_access_fulltext'").select(F.col("outcome").alias("reason"))
-    reasons = flagged.where("reason is not null").select("reason").unionByName(late).unionByName(gate)
+    prepared, made = materialize_counting(prepare(survivors, articles, config, now), "prepared", **sinks.document_metrics())
     changes = prepared.where(F.col("outcome").isin("new", "updated"))
     batched = materialize(sinks.batches(changes, config.corpus.max_pr_size), "batches")
-    wanted, used = -(-batched.count() // config.corpus.max_pr_size), taken.count()
+    wanted, used = -(-(made["new"] + made["updated"]) // config.corpus.max_pr_size), taken.count()
     stem = branch_stem(config, now)
     numbers = ranking.free_numbers(spark, wanted, taken, used)
     sizes = batched.groupBy("batch").agg(F.count("*").alias("documents"))
     branches = numbers.join(sizes, "batch").select("batch", F.concat(F.lit(stem), F.col("number").cast("string")).alias("branch"), sinks.title(now, F.col("number"), F.col("documents")).alias("title"))
-    return Run(flagged, prepared, changes, batched, branches, sinks.descriptions(batched), sinks.run_statistics(records.count(), reasons, prepared))
+    return Run(flagged, prepared, changes, batched, branches, sinks.descriptions(batched), sinks.observed_statistics(spark, seen, made))

@@ -73,6 +73,9 @@ def accept(run, corpus):
 
 def test_runs(spark, service, corpus):
     first = go(spark, service, corpus)
+    gate = first.prepared.select(F.explode("reasons").alias("reason")).select(F.concat(F.lit("quality:"), "reason").alias("reason"))
+    reasons = first.records.where("reason is not null").select("reason").unionByName(gate).unionByName(first.prepared.where("outcome = 'no_open_access_fulltext'").select(F.col("outcome").alias("reason")))
+    assert sinks.run_statistics(first.records.count(), reasons, first.prepared).first() == first.statistics.first()  # what was observed, counted again
     assert stats(first) == (5, {"no_open_access_fulltext": 1, "no_pmcid": 1, "retracted": 1}, 2, 0, 0, 0)
     rows = {r["pmid"]: r for r in first.batches.collect()}
     assert [(rows[p]["rank"], rows[p]["batch"]) for p in ("1", "2")] == [(1, 1), (2, 2)]
