@@ -13,8 +13,8 @@ from .. import udfs
 from ..config import Quality
 from ..functions import content_hash, normalize_license
 from ..functions.licenses import ADDRESS, NAME
-from ..operators import ranking, sinks, waterfall
-from ..storage import materialize
+from ..operators import ranking, sinks, snapshot, waterfall
+from ..storage import materialize, scratch_path
 
 GATE = Quality(min_body_chars=1500, allowed_languages=["en", "fr"], allowed_licenses=["CC0-1.0", "CC-BY-4.0", "CC-BY-3.0", "CC-BY-SA-4.0", "CC-BY-SA-3.0", "CC-BY-NC-4.0"])
 #: Texts that documents lack: every turn that a licence's name can take.
@@ -238,3 +238,23 @@ ORACLES = {
     "content_hash": CONTENT_HASHES, "snapshot_diff": SNAPSHOT_DIFF, "batch_assign": BATCH_ASSIGN, "batch_description": BATCH_DESCRIPTION, "free_branch_numbers": FREE_BRANCH_NUMBERS, "page_offsets": PAGE_OFFSETS,
     "run_statistics": RUN_STATISTICS, "front_matter_round_trip": FRONT_MATTER_ROUND_TRIP,
 }
+
+
+def snapshot_buckets_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As snapshot_diff, against a snapshot that is stored in buckets, of which only those that differ are read; labels of missing documents are removed ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", content_hash(F.coalesce("text", F.lit(""))).alias("hash"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("toxic") == 1).alias("changed"))
+    ident, path = F.col("doc_id").cast("string"), scratch_path(spark, "snapshot")
+    before = docs.join(labels, "doc_id").select(ident.alias("id"), F.when(F.col("changed"), F.concat("hash", F.lit("-"))).otherwise(F.col("hash")).alias("content_hash"), F.lit("approved").alias("status"))
+    snapshot.write_snapshot(before, path, 64)
+    now = docs.where("doc_id % 10 > 0").select(ident.alias("id"), F.col("hash").alias("content_hash"), F.when(F.col("doc_id") % 50 == 1, "rejected").otherwise("approved").alias("status"))
+    return snapshot.diff(now, path)
+
+
+SNAPSHOT_BUCKETS_DIFF = """
+WITH d AS (SELECT d.doc_id, l.doc_id IS NOT NULL AS stored, l.toxic = 1 AS changed FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 10 = 0 THEN 'removed' WHEN NOT stored THEN 'new' WHEN changed THEN 'updated' WHEN doc_id % 50 = 1 THEN 'moved' ELSE 'unchanged' END AS change
+FROM d WHERE stored OR doc_id % 10 > 0"""
+
+QUERIES["snapshot_buckets_diff"] = snapshot_buckets_diff
+ORACLES["snapshot_buckets_diff"] = SNAPSHOT_BUCKETS_DIFF
