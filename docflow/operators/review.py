@@ -57,10 +57,10 @@ def fold(commands: DataFrame, key: str, order: list[str]) -> DataFrame:
     )
 
 
-def apply_decision(documents: DataFrame, decision: str, ids: list[str], notes: str | None) -> DataFrame:
+def apply_decision(documents: DataFrame, decision: str, ids: list[str] | DataFrame, notes: str | None) -> DataFrame:
     """A new snapshot of documents(id, folder, front_matter, ...) with the decision made; ValueError if it cannot be.
 
-    ids: prefixed ids, or ['all-pending'] with approve. Approved documents stay in place; rejected ones move to rejected/.
+    ids: prefixed ids, as a list or as a table (id) of any size, or ['all-pending'] with approve. Approved documents stay in place; rejected ones move to rejected/.
     """
     notes = (notes or "").strip() or None
     if decision not in ("approve", "reject"):
@@ -68,20 +68,21 @@ def apply_decision(documents: DataFrame, decision: str, ids: list[str], notes: s
     if decision == "reject" and notes is None:
         raise ValueError("a rejection needs notes")
     in_corpus = documents.where("folder = 'corpus'")
-    if ids == [ALL_PENDING]:
+    if not isinstance(ids, DataFrame) and ids == [ALL_PENDING]:
         if decision != "approve":
             raise ValueError("all-pending goes with approve")
         chosen = in_corpus.where("front_matter.curation_status = 'pending'").select("id")
         if chosen.isEmpty():
             raise ValueError("no documents to decide on")
     else:
-        chosen = documents.sparkSession.createDataFrame([(i,) for i in dict.fromkeys(ids)], "id string")
-        for problem, found in (
-            ("no documents to decide on", not ids), ("malformed ids", ids and not chosen.where(~F.col("id").rlike(DOCUMENT_ID)).isEmpty()),
-            ("ids that are not in the corpus", ids and not chosen.join(in_corpus, "id", "left_anti").isEmpty()),
-            ("ids that are rejected already", ids and decision == "reject" and not chosen.join(documents.where("folder = 'rejected'"), "id", "left_semi").isEmpty()),
+        chosen = (ids.select("id") if isinstance(ids, DataFrame) else documents.sparkSession.createDataFrame([(i,) for i in ids], "id string")).distinct()
+        if chosen.isEmpty():
+            raise ValueError("no documents to decide on")
+        for problem, wrong in (
+            ("malformed ids", chosen.where(~F.coalesce(F.col("id").rlike(DOCUMENT_ID), F.lit(False)))), ("ids that are not in the corpus", chosen.join(in_corpus, "id", "left_anti")),
+            ("ids that are rejected already", chosen.join(documents.where("folder = 'rejected'"), "id", "left_semi") if decision == "reject" else None),
         ):
-            if found:
+            if wrong is not None and not wrong.isEmpty():
                 raise ValueError(problem)
     status, folder = ("approved", "corpus") if decision == "approve" else ("rejected", "rejected")
     marked = documents.join(chosen.withColumn("_chosen", F.lit(True)), "id", "left")

@@ -120,8 +120,8 @@ def review_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pending documents are approved; then those of benchmark's ids that are in the corpus are rejected."""
     approved = review.apply_decision(_snapshot(spark, sf_dir), "approve", ["all-pending"], None)
     items = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("pmid-"), F.col("item_id").cast("string")).alias("id"))
-    ids = [r["id"] for r in items.join(approved.where("folder = 'corpus'").select("id"), "id", "left_semi").collect()]  # a decision's list of ids
-    decided = review.apply_decision(approved, "reject", ids + ids[:1], " not for the corpus ")
+    ids = items.join(approved.where("folder = 'corpus'").select("id"), "id", "left_semi")
+    decided = review.apply_decision(approved, "reject", ids.unionByName(ids), " not for the corpus ")
     return decided.select("id", "folder", F.col("front_matter.curation_status").alias("status"), F.col("front_matter.review_notes").alias("notes"))
 
 
