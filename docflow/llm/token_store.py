@@ -29,6 +29,7 @@ import sys
 from collections.abc import Iterator
 from itertools import chain
 from types import ModuleType
+from typing import TYPE_CHECKING
 from unicodedata import is_normalized
 
 import numpy as np
@@ -42,6 +43,9 @@ from .common import ranks_within, table
 from .words import mix
 
 END = 2
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: Ids from which on a block is full, keys of a bucket on average, and rounds of one bucket's levels (keys are left over with a probability below 1e-12).
 BLOCK_IDS, BUCKET_KEYS, MOST_LEVELS = 1 << 16, 2048, 64
 #: Words whose ids a task remembers before it forgets them all, bytes of text that it cuts into words at a time, words joined to be encoded, and strings encoded in one call.
@@ -79,27 +83,38 @@ class WordIds:
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(1 << 16, bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.plain = _without_normalizer(self.tokenizer)
         self.forget()
 
     def forget(self) -> None:
         self.words, self.ids, self.begins, self.sizes = pa.array([], pa.large_string()), np.zeros(0, IDS), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _whole(self, words: list[str]) -> Pieces:
+    def _whole(self, words: list[str], tokenizer: Tokenizer | None = None) -> Pieces:
         # A few at a time: what the library gives for a word is much larger than its ids.
-        found = [e.ids for i in range(0, len(words), AT_ONCE) for e in self.tokenizer.encode_batch_fast(words[i : i + AT_ONCE], add_special_tokens=False)]
+        encode = (tokenizer or self.tokenizer).encode_batch_fast
+        found = [e.ids for i in range(0, len(words), AT_ONCE) for e in encode(words[i : i + AT_ONCE], add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), IDS), np.fromiter(map(len, found), np.int64, len(found))
 
     def _letters(self, words: list[str]) -> Pieces:
+        """Each word's ids: ASCII words, which are lower-cased already, without the tokenizer's own normal form."""
+        ascii_words = [w for w in words if w.isascii()]
+        others = [w for w in words if not w.isascii()]
+        at = {w: i for i, w in enumerate(ascii_words + others)}
+        ids, lengths = _joined([self._runs(ascii_words, self.plain), self._runs(others, self.tokenizer)])
+        order = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+        return _gather(ids, (np.cumsum(lengths) - lengths)[order], lengths[order]), lengths[order]
+
+    def _runs(self, words: list[str], tokenizer: Tokenizer) -> Pieces:
         """Each word's ids, from a few words a text if every word is one piece."""
         if not words:
             return self._whole(words)
-        ids, _ = self._whole([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
+        ids, _ = self._whole([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)], tokenizer)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(words) and stops[-1] == len(ids):
             return ids, np.diff(stops, prepend=0)
         # A letter that is none to the tokenizer: its word is found by halving.
         half = len(words) // 2
-        return _joined([self._letters(words[:half]), self._letters(words[half:])]) if half else self._whole(words)
+        return _joined([self._runs(words[:half], tokenizer), self._runs(words[half:], tokenizer)]) if half else self._whole(words)
 
     def _simple(self, words: pa.Array, core: pa.Array, lower: pa.Array, bare: np.ndarray) -> np.ndarray:
         """Which words are letters with nothing but ASCII punctuation around them."""
@@ -176,6 +191,17 @@ def _joined(parts: list[Pieces]) -> Pieces:
     return np.concatenate([ids for ids, _ in parts]), np.concatenate([lengths for _, lengths in parts])
 
 
+def _without_normalizer(tokenizer: Tokenizer) -> Tokenizer:
+    """The same model, cutting at white space alone, if it does the same to lower-case ASCII words; else the tokenizer itself."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    bare = Tokenizer(tokenizer.model)
+    bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    probe = "the quick brown fox jumps over a lazy dog bcdfgh mnpqrst vwxz internationalization s t re ve m ll d"
+    same = bare.encode(probe, add_special_tokens=False).ids == tokenizer.encode(probe, add_special_tokens=False).ids
+    return bare if same else tokenizer
+
+
 def kept_words(path: str) -> WordIds:
     """The words that this Python worker has learned in its tasks so far: Spark uses a worker again, but unpickles a task's functions anew."""
     kept = sys.modules.setdefault("docflow_kept", ModuleType("docflow_kept"))
