@@ -2,8 +2,8 @@
 
 The corpus is one sequence of line ids (128-bit hashes of lines) with a border after each document. Its suffixes are put in order
 by distributed prefix doubling: a suffix's rank at depth 2^(k+1) is the place, among all suffixes, of the pair of its rank at depth
-2^k and the rank of the suffix 2^k lines on. A round counts pairs, sorts the distinct ones by ranges over the cluster, numbers
-them by a prefix sum over ranges, and hands the numbers back. Suffixes that no other equals at a depth leave the rounds, so that
+2^k and the rank of the suffix 2^k lines on. A round counts pairs, sorts the distinct ones by ranges over the cluster (a few, in one
+task), numbers them by a prefix sum over ranges, and hands the numbers back. Suffixes that no other equals at a depth leave the rounds, so that
 only repeated lines go past the first.
 
 What matters is whether a run of ``min_words`` words has an earlier copy. From every line, the shortest run of so many words
@@ -34,9 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..storage import materialize_counting
 from .common import materialize, table
 
 MIN_WORDS, SLICE = 50, 512
+#: Different pairs of ranks that one task may put in order.
+FEW_PAIRS = 10_000
 
 
 def run_windows(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +151,11 @@ def _intervals(level: int):
 def suffix_ranks(pairs: DataFrame) -> DataFrame:
     """pairs(a, b) -> (a, b, rank) for the pairs that occur more than once: how many of the suffixes with such pairs come before."""
     counts = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
-    ranged = materialize(counts.repartitionByRange("a", "b").withColumn("range", F.spark_partition_id()), "suffix_pairs")
+    counts, seen = materialize_counting(counts, "suffix_pairs", different=F.count(F.lit(1)))
+    if seen["different"] <= FEW_PAIRS:  # counted: one task may put them in order
+        order = Window.partitionBy(F.lit(0)).orderBy("a", "b")
+        return counts.select("a", "b", (F.sum("n").over(order) - F.col("n")).alias("rank"))
+    ranged = materialize(counts.repartitionByRange("a", "b").withColumn("range", F.spark_partition_id()), "suffix_ranges")
     sizes = ranged.groupBy("range").agg(F.sum("n").alias("size"))
     sizes = sizes.select("range", (F.sum("size").over(Window.orderBy("range")) - F.col("size")).alias("before"))  # a row for each range
     within = Window.partitionBy("range").orderBy("a", "b")
@@ -166,8 +173,9 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.where("text is not null").select("doc_id", "text", F.xxhash64("text").alias("th"))
     shape = f"doc_id {kind}, th long, n int, begins array<int>, ends array<int>, high array<long>, low array<long>"
-    found = materialize(texts.mapInArrow(_lines(min_words), shape).where(F.size("begins") > 0).withColumn("d", F.monotonically_increasing_id()), "lines")
-    longest = found.agg(F.max(F.array_max(F.zip_with("ends", "begins", lambda e, b: e - b)))).first()[0] or 1
+    found = texts.mapInArrow(_lines(min_words), shape).where(F.size("begins") > 0).withColumn("d", F.monotonically_increasing_id())
+    found, seen = materialize_counting(found, "lines", longest=F.max(F.array_max(F.zip_with("ends", "begins", lambda e, b: e - b))))
+    longest = seen["longest"] or 1
 
     static = ["d", "doc_id", "th", "n", "begins", "ends"]
     pairs = found.select("d", F.posexplode(F.arrays_zip("high", "low")).alias("pos", "x")).select("d", "pos", F.col("x.high").alias("a"), F.col("x.low").alias("b"))

@@ -98,3 +98,14 @@ def test_rebuilding_is_linear(spark):
     began = time.perf_counter()
     assert [r["text"] for r in line_dedup.dedup_lines(docs).orderBy("row.doc_id").collect()] == [text, "own end"]
     assert time.perf_counter() - began < 15  # of which the rounds' fixed cost is most; a quadratic rebuild alone took 50
+
+
+def test_ranks_by_ranges_are_those_of_one_task(spark, monkeypatch):
+    rng = random.Random(9)
+    pairs = spark.createDataFrame([(rng.randrange(-9, 9), rng.randrange(12)) for _ in range(900)], "a long, b long")
+    few = sorted(map(tuple, line_dedup.suffix_ranks(pairs).collect()))
+    monkeypatch.setattr(line_dedup, "FEW_PAIRS", 5)
+    assert sorted(map(tuple, line_dedup.suffix_ranks(pairs).collect())) == few
+    texts = ["\n".join(rng.choice("abc") for _ in range(30)) for _ in range(12)]
+    got = {r["doc_id"]: set(r["cut"]) for r in line_dedup.repeated_lines(simple(spark, texts), 4).collect()}
+    assert got == {k: v for k, v in brute(texts, 4).items() if v}
