@@ -9,12 +9,13 @@ task's second attempt, too.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import UTC, date, datetime, timedelta
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..config import Config, Search
 from . import client as service
@@ -23,9 +24,9 @@ TASKS = 4
 
 
 class Pages(InputPartition):
-    """Every ``of``-th page of a cursor from ``own`` on."""
+    """Every ``of``-th page from ``own`` on, of one cursor or, without one, with a cursor each."""
 
-    def __init__(self, own: int, of: int, places: list[tuple[int, int]], cursor: service.Cursor) -> None:
+    def __init__(self, own: int, of: int, places: list[tuple], cursor: service.Cursor | None) -> None:
         super().__init__(own)
         self.own, self.of, self.places, self.cursor = own, of, places, cursor
 
@@ -61,8 +62,58 @@ class Reader(DataSourceReader):
             yield start, service.fetch_records(client, partition.cursor, start, count)
 
 
+class HitStream(DataSourceStreamReader):
+    """New hits, day by day: an offset is the last day of publication whose hits have been taken.
+
+    A trigger takes the days after that up to yesterday (or option ``until``), as days that are over get no more hits; the same two offsets
+    always ask for the same days, so a batch that is run again has the same pages. Days with more hits together than a search gives
+    (option ``max_results``) are asked for in halves; one day with more is an error. Option ``since`` is the first day.
+    """
+
+    def __init__(self, options: dict[str, str]) -> None:
+        self.options = {**options}
+
+    def initialOffset(self) -> dict:
+        return {"day": (date.fromisoformat(self.options["since"]) - timedelta(1)).isoformat()}
+
+    def latestOffset(self) -> dict:
+        return {"day": self.options.get("until") or (datetime.now(UTC).date() - timedelta(1)).isoformat()}
+
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
+        of = tasks_of(self.options)
+        client, first, last = connect(self.options, 0, of), date.fromisoformat(start["day"]) + timedelta(1), date.fromisoformat(end["day"])
+        places = [place for window in self._windows(client, first, last) for place in window]
+        # A page is dealt with its own window's cursor; its number has the window's first day before its place in the cursor.
+        return [Pages(own, of, places[own::of], None) for own in range(of)]
+
+    def _windows(self, client: service.Client, first: date, last: date) -> Iterator[list[tuple]]:
+        if first > last:
+            return
+        wanted = Search(
+            query=self.options["query"], extra_filter=self.options.get("filter"), max_results=int(self.options.get("max_results", "200")),
+            mindate=f"{first:%Y/%m/%d}", maxdate=f"{last:%Y/%m/%d}",
+        )
+        cursor = service.search(client, wanted)
+        if cursor.count > len(cursor.pmids) >= wanted.max_results:
+            if first == last:
+                raise service.ServiceError(f"{cursor.count} hits on {first}, {wanted.max_results} at most")
+            middle = first + (last - first) // 2
+            yield from self._windows(client, first, middle)
+            yield from self._windows(client, middle + timedelta(1), last)
+        else:
+            yield [((first.toordinal() << 24) + start, start, count, cursor) for start, count in service.pages(len(cursor.pmids), int(self.options.get("batch_size", "100")))]
+
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        client = connect(self.options, partition.own, partition.of)
+        for page, start, count, cursor in partition.places:
+            yield page, service.fetch_records(client, cursor, start, count)
+
+    def commit(self, end: dict) -> None:
+        return
+
+
 class LiteratureSource(DataSource):
-    """Rows (page, xml): a page's first position in the cursor and its XML."""
+    """Rows (page, xml): a page's first position in the cursor and its XML; as a stream, pages of new days."""
 
     @classmethod
     def name(cls) -> str:
@@ -74,14 +125,26 @@ class LiteratureSource(DataSource):
     def reader(self, schema) -> Reader:
         return Reader(dict(self.options))
 
+    def streamReader(self, schema) -> HitStream:
+        return HitStream(dict(self.options))
 
-def search_pages(spark: SparkSession, config: Config, **options: str) -> DataFrame:
-    spark.dataSource.register(LiteratureSource)
-    given = {
+
+def _given(config: Config, options: dict[str, str]) -> dict[str, str]:
+    return {
         "query": config.search.query, "max_results": str(config.search.max_results), "batch_size": str(config.ncbi.batch_size), "tool": config.ncbi.tool, "email": config.ncbi.email,
         "timeout": str(config.ncbi.timeout_s), "retries": str(config.ncbi.max_retries), **({"filter": config.search.extra_filter} if config.search.extra_filter else {}), **options,
     }
-    return spark.read.format("literature").options(**given).load()
+
+
+def search_pages(spark: SparkSession, config: Config, **options: str) -> DataFrame:
+    spark.dataSource.register(LiteratureSource)
+    return spark.read.format("literature").options(**_given(config, options)).load()
+
+
+def stream_pages(spark: SparkSession, config: Config, since: str, **options: str) -> DataFrame:
+    """A stream of the pages of hits from day ``since`` on (YYYY-MM-DD), for streaming.arrivals."""
+    spark.dataSource.register(LiteratureSource)
+    return spark.readStream.format("literature").options(**_given(config, {"since": since, **options})).load()
 
 
 def article_pages(survivors: DataFrame, batch_size: int = 100, **options: str) -> DataFrame:
