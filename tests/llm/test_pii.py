@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import time
@@ -160,3 +161,47 @@ def test_long_words_beside_a_spelt_out_address(spark):
     assert time.perf_counter() - began < 20
     assert found[0] == [("email", 400_001, 400_019)] and found[1] == [("email", 300_002, 300_020)]
     assert [texts[2][a:b] for _, a, b in found[2]] == ["x.y (at) z (dot) com", "_q [at] r [dot] s"]
+
+
+def restated_em(rows, rounds):
+    """features -> posterior of one kind, from votes alone, in plain Python."""
+    votes = {f: [int(v) for v in f.split(",")[: len(pii.LABELERS)]] for f, _ in rows}
+    total = sum(n for _, n in rows)
+    prior, right = 0.5, [0.75] * len(pii.LABELERS)
+    score = lambda f: math.log(prior / (1 - prior)) + sum(v * math.log(a / (1 - a)) for v, a in zip(votes[f], right, strict=True))
+    for _ in range(rounds):
+        p = {f: 1 / (1 + math.exp(-score(f))) for f, _ in rows}
+        prior = (sum(n * p[f] for f, n in rows) + 1) / (total + 2)
+        right = [
+            (sum(n * (p[f] if votes[f][j] == 1 else 1 - p[f] if votes[f][j] == -1 else 0) for f, n in rows) + 3) / (sum(n * abs(votes[f][j]) for f, n in rows) + 4)
+            for j in range(len(pii.LABELERS))
+        ]
+    return {f: 1 / (1 + math.exp(-score(f))) for f, _ in rows}
+
+
+def test_model_and_added_spans_equal_a_restatement(spark):
+    rng = random.Random(21)
+    made = [planted(rng, i)[0] for i in range(250)]
+    found = pii.candidates(simple(spark, made)).cache()
+    got = {r["doc_id"]: {tuple(s) for s in r["added"]} for r in pii.decide(found, pii.fit(found)).collect()}
+    spans = {r["doc_id"]: ([tuple(s) for s in r["base"]], [tuple(s) for s in r["more"]]) for r in found.collect()}
+    counts = {}
+    for base, more in spans.values():
+        for kind, _, _, features in base + more:
+            counts.setdefault(kind, {}).setdefault(features, 0)
+            counts[kind][features] += 1
+    odds = {}
+    for kind, rows in counts.items():
+        p = restated_em(list(rows.items()), pii.ROUNDS)
+        yes, no = sum(n * p[f] for f, n in rows.items()), sum(n * (1 - p[f]) for f, n in rows.items())
+        table = {}
+        for f, n in rows.items():
+            for at, value in enumerate(f.split(",")):
+                cell = table.setdefault((at, value), [0.0, 0.0])
+                cell[0] += n * p[f]
+                cell[1] += n * (1 - p[f])
+        weight = {k: math.log((a + 1) / (yes + 3)) - math.log((b + 1) / (no + 3)) for k, (a, b) in table.items()}
+        odds[kind] = {f: math.log((yes + 1) / (no + 1)) + sum(weight[at, v] for at, v in enumerate(f.split(","))) for f in rows}
+    want = {i: {s[:3] for s in more if odds[s[0]][s[3]] >= 0} for i, (_, more) in spans.items()}
+    close = {f for kind in odds for f, x in odds[kind].items() if abs(x) < 1e-6}
+    assert not close and got == want and 100 < sum(map(len, got.values())) < sum(len(m) for _, m in spans.values())
