@@ -101,7 +101,7 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     front, changed = F.col("front_matter"), F.col("outcome").isin("new", "updated")
     return run.records.select("pmid", "reason").join(late, "pmid", "left").join(placed, "pmid", "left").select(
         "pmid", F.coalesce("outcome", "reason").alias("outcome"), F.coalesce("reasons", F.lit("")).alias("reasons"), F.coalesce("failed", F.lit(False)).alias("failed"),
-        *[F.when(changed, front[c].cast("string")).alias(c) for c in ("title", "language", "doc_type", "classification_method", "evidence_tier", "population", "license", "published", "review_notes", "content_hash", "retrieved_at", "source_uri", "journal")],
+        *[F.when(changed, front[c].cast("string")).alias(c) for c in ("title", "language", "doc_type", "classification_method", "evidence_tier", "population", "license", "published", "review_notes", "content_hash", "retrieved_at", "source_uri", "original_uri", "journal")],
         *[F.when(changed, F.array_join(front[c], ",")).alias(c) for c in ("modality", "topics", "mesh_terms")], F.coalesce("rank", F.lit(0)).alias("rank"), "branch",
     )
 
@@ -134,7 +134,7 @@ SELECT id AS pmid, outcome, CASE WHEN outcome = 'quality' THEN gate ELSE '' END
   CASE WHEN changed THEN CAST(tier AS VARCHAR) END AS evidence_tier, CASE WHEN changed THEN CASE WHEN age IN ('Adult', 'Aged') THEN 'adult' ELSE 'pediatric' END END AS population, CASE WHEN changed THEN license END AS license,
   CASE WHEN changed THEN CAST(2000 + n % 25 AS VARCHAR) || CASE WHEN n % 3 > 0 THEN '-' || lpad(CAST(n % 12 + 1 AS VARCHAR), 2, '0') ELSE '' END || CASE WHEN n % 3 = 2 THEN '-' || lpad(CAST(n % 28 + 1 AS VARCHAR), 2, '0') ELSE '' END END AS published,
   CASE WHEN changed AND stored THEN 'kept' END AS review_notes, CASE WHEN changed THEN 'sha256:' || sha256(body) END AS content_hash, CASE WHEN changed THEN '2026-01-02T03:04:05Z' END AS retrieved_at,
-  CASE WHEN changed THEN 'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || id || '/' END AS source_uri, CASE WHEN changed THEN journal END AS journal,
+  CASE WHEN changed THEN 'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || id || '/' END AS source_uri, CASE WHEN changed THEN 'file://originals/pmid-' || id || '.xml' END AS original_uri, CASE WHEN changed THEN journal END AS journal,
   CASE WHEN changed THEN coalesce(nullif(concat_ws(',', CASE WHEN 'Peritoneal Dialysis' IN (t1, t2) THEN 'peritoneal_dialysis' END,
     CASE WHEN 'Renal Insufficiency, Chronic' IN (t1, t2) AND 'Renal Dialysis' NOT IN (t1, t2) AND 'Peritoneal Dialysis' NOT IN (t1, t2) THEN 'ckd_non_dialysis' END, CASE WHEN 'Kidney Transplantation' IN (t1, t2) THEN 'transplant' END), ''), 'unspecified') END AS modality,
   CASE WHEN changed THEN concat_ws(',', CASE WHEN 'Potassium' IN (t1, t2) THEN 'potassium' END, CASE WHEN 'Diet, Vegan' IN (t1, t2) THEN 'dietary_patterns' END) END AS topics,
