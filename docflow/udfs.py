@@ -1,11 +1,10 @@
-"""Arrow-batched Python functions, for what needs a tree, YAML or Unicode normal forms; all else is built-in expressions."""
+"""Python functions, row by row or in small batches, for what needs a tree, YAML or Unicode normal forms; all else is built-in expressions."""
 
 from __future__ import annotations
 
-import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,133 +17,117 @@ from .markup import article, html, inline, records, tables, tree
 KINDS = {"int": T.IntegerType(), "string": T.StringType(), "boolean": T.BooleanType(), "array<string>": T.ArrayType(T.StringType())}
 FRONT = T.StructType([T.StructField(name, KINDS[kind]) for name, kind in schemas.FRONT_MATTER])
 CONVERTED = T.StructType([T.StructField("title", T.StringType()), T.StructField("body", T.StringType()), T.StructField("error", T.StringType())])
+ARROW = {"string": pa.string(), "boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), f"array<{schemas.SECTION}>": pa.list_(pa.struct([("label", pa.string()), ("text", pa.string())]))}
+#: Rows that a parser gathers before it passes them on.
+ROWS = 128
 DOCUMENT = T.StructType([T.StructField("front_matter", FRONT), T.StructField("body", T.StringType()), T.StructField("error", T.StringType()), T.StructField("problems", T.ArrayType(T.StringType()))])
 
 
-def parse_records(pages: DataFrame, xml: str = "xml") -> DataFrame:
-    """One row for each record in the pages' XML, with page and position; fails on a record without an id."""
+def _columns(ddl: str) -> pa.Schema:
+    return pa.schema([(name, ARROW[kind]) for name, kind in (c.split(" ", 1) for c in ddl.split(", "))])
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parsed(parse: Callable[[bytes], Iterator[dict]], columns: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What parse gives for each page of batches (page, xml), with page and position. A page is a Python value in its turn, and rows leave as soon as there are ROWS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
         for batch in batches:
-            for page, data in zip(batch["page"], batch[xml], strict=True):
-                rows = [{"page": page, "at": i, **r} for i, r in enumerate(records.parse_records(data))]
-                yield pd.DataFrame(rows, columns=["page", "at", *(c.split(" ")[0] for c in schemas.PARSED.split(", "))])
+            for page, data in zip(*batch.columns, strict=True):
+                for i, row in enumerate(parse(data.as_py())):
+                    rows.append({"page": page.as_py(), "at": i, **row})
+                    if len(rows) == ROWS:
+                        yield pa.RecordBatch.from_pylist(rows, schema=columns)
+                        rows.clear()
+        yield pa.RecordBatch.from_pylist(rows, schema=columns)
+
+    return run
 
-    parsed = pages.select("page", xml).mapInPandas(run, f"page long, at long, {schemas.PARSED}")
+
+def parse_records(pages: DataFrame, xml: str = "xml") -> DataFrame:
+    """One row for each record in the pages' XML, with page and position; fails on a record without an id."""
+    ddl = f"page long, at long, {schemas.PARSED}"
+    parsed = pages.select("page", xml).mapInArrow(_parsed(records.parse_records, _columns(ddl)), ddl)
     dated = parsed.withColumn("published", partial_date(F.col("year"), F.col("month"), F.col("day"), F.col("free_date")))
     return dated.select("page", "at", *(c.split(" ")[0] for c in schemas.RECORDS.split(", ")))
 
 
 def parse_articles(pages: DataFrame, xml: str = "xml") -> DataFrame:
     """One row for each article with an id in the pages' XML, with page and position; repeats are kept."""
+    ddl = f"page long, at long, {schemas.ARTICLES}"
+    return pages.select("page", xml).mapInArrow(_parsed(records.parse_articles, _columns(ddl)), ddl)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for page, data in zip(batch["page"], batch[xml], strict=True):
-                yield pd.DataFrame([{"page": page, "at": i, **r} for i, r in enumerate(records.parse_articles(data))], columns=["page", "at", "pmcid", "xml", "license_raw", "has_body"])
 
-    return pages.select("page", xml).mapInPandas(run, f"page long, at long, {schemas.ARTICLES}")
+def _by_rows(kind: T.DataType):
+    """A function of a row's values. Spark sends and takes 100 rows at a time, where an Arrow batch is up to 10,000: a worker holds few texts, whatever their number."""
+    return F.udf(returnType=kind, useArrow=False)
 
 
-@F.pandas_udf(CONVERTED)
-def convert_article(xml: pd.Series, title: pd.Series, abstract: pd.Series) -> pd.DataFrame:
+@_by_rows(CONVERTED)
+def convert_article(xml: bytes, title: str | None, abstract: list | None) -> tuple[str | None, str | None, str | None]:
     """Title and Markdown of an article, or why there is none; a failure stays with its document. title is that of the record, for an article without its own."""
+    try:
+        root, fallback = tree.parse_xml(xml), [(s["label"], s["text"]) for s in abstract or []]
+        shown = article.title_of(root) or title or ""
+        return shown, article.convert(root, shown, fallback), None
+    except Exception as problem:  # noqa: BLE001
+        return title, None, f"{type(problem).__name__}: {problem}"
 
-    def one(data: bytes, name: str | None, sections) -> tuple[str | None, str | None, str | None]:
-        try:
-            root, fallback = tree.parse_xml(data), [(s["label"], s["text"]) for s in (sections if sections is not None else [])]
-            shown = article.title_of(root) or name or ""
-            return shown, article.convert(root, shown, fallback), None
-        except Exception as problem:  # noqa: BLE001
-            return name, None, f"{type(problem).__name__}: {problem}"
-
-    return pd.DataFrame([one(*x) for x in zip(xml, title, abstract, strict=True)], columns=["title", "body", "error"])
 
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def contract_problems(front_matter: pd.DataFrame) -> pd.Series:
+@_by_rows(T.ArrayType(T.StringType()))
+def contract_problems(front_matter: T.Row) -> list[str]:
     """What in drafted front matter breaks the contract of its keys."""
-    return pd.Series([sorted(frontmatter.problems(_plain(keys))) for keys in front_matter.to_dict("records")], dtype=object)
-
-
-def _plain(keys: dict) -> dict:
-    """Front matter without nulls, numbers and lists as Python's own."""
-    kinds = dict(schemas.FRONT_MATTER)
+    return sorted(frontmatter.problems(_given(front_matter)))
 
-    def clean(value):
-        if isinstance(value, (list, tuple)) or hasattr(value, "tolist"):
-            return [str(x) for x in value] if hasattr(value, "__len__") else value.item()
-        return None if value is None or value != value else value
 
-    return {k: int(v) if kinds[k] == "int" else bool(v) if kinds[k] == "boolean" else v for k, v in ((k, clean(v)) for k, v in keys.items()) if v is not None}
+def _given(front_matter: T.Row) -> dict:
+    """Front matter without nulls; lists without them, too."""
+    return {k: [str(x) for x in v] if isinstance(v, list) else v for k, v in front_matter.asDict().items() if v is not None}
 
 
-def _text_function(how):
-    @F.pandas_udf(T.StringType())
-    def run(text: pd.Series) -> pd.Series:
-        return text.map(how, na_action="ignore")
-
-    return run
+def _text_function(how: Callable[[str], str]):
+    return _by_rows(T.StringType())(lambda text: None if text is None else how(text))
 
 
-escape_markdown, protect_block_start, citation_cleanup = map(_text_function, (inline.escape, inline.guard, inline.tidy))
+escape_markdown, protect_block_start, citation_cleanup, nfc = map(_text_function, (inline.escape, inline.guard, inline.tidy, inline.nfc))
 
 
-@F.pandas_udf(T.StringType())
-def html_to_markdown(source: pd.Series) -> pd.Series:
-    return source.map(lambda s: html.html_markdown(s or ""))
+@_by_rows(T.StringType())
+def html_to_markdown(source: str | None) -> str:
+    return html.html_markdown(source or "")
 
 
-@F.pandas_udf(T.StringType())
-def table_to_markdown(xml: pd.Series) -> pd.Series:
+@_by_rows(T.StringType())
+def table_to_markdown(xml: str | None) -> str | None:
     """The first table in a piece of XML, spans expanded."""
+    root = tree.parse_xml(xml) if xml else None
+    found = next((n for n in root.walk() if n.name == "table"), None) if root is not None else None
+    return tables.table_markdown(found) if found is not None else None
 
-    def one(data: str | None) -> str | None:
-        root = tree.parse_xml(data) if data else None
-        found = next((n for n in root.walk() if n.name == "table"), None) if root is not None else None
-        return tables.table_markdown(found) if found is not None else None
-
-    return xml.map(one, na_action=None)
 
-
-@F.pandas_udf(T.StringType())
-def nfc(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
-
-
-@F.pandas_udf(DOCUMENT)
-def read_document(text: pd.Series) -> pd.DataFrame:
+@_by_rows(DOCUMENT)
+def read_document(text: str | None) -> tuple:
     """Front matter and body of a document; error says why they could not be read, problems what breaks the contract."""
 
-    def shaped(key: str, kind: str, value):
+    def shaped(kind: str, value):
         if value is None:
             return None
         if kind.startswith("array"):
             return [str(x) for x in value] if isinstance(value, list) else [str(value)]
         if kind == "int":
-            return value if isinstance(value, int) and not isinstance(value, bool) else None
+            return value if isinstance(value, int) and not isinstance(value, bool) and -(1 << 31) <= value < 1 << 31 else None
         return (value if isinstance(value, bool) else None) if kind == "boolean" else str(value)
 
-    def one(source: str | None) -> dict:
-        try:
-            keys, body = frontmatter.read(source or "")
-        except ValueError as problem:
-            return {"front_matter": {}, "body": None, "error": str(problem), "problems": []}
-        return {"front_matter": {k: shaped(k, kind, keys.get(k)) for k, kind in schemas.FRONT_MATTER}, "body": body, "error": None, "problems": sorted(frontmatter.problems(keys))}
-
-    rows = [one(s) for s in text]
-    front = pd.DataFrame([{k: r["front_matter"].get(k) for k, _ in schemas.FRONT_MATTER} for r in rows], columns=[k for k, _ in schemas.FRONT_MATTER], dtype=object)
-    out = pd.DataFrame([{k: r[k] for k in ("body", "error", "problems")} for r in rows], columns=["body", "error", "problems"])
-    out.insert(0, "front_matter", front.to_dict("records"))
-    return out
-
+    try:
+        keys, body = frontmatter.read(text or "")
+    except ValueError as problem:
+        return (None,) * len(FRONT), None, str(problem), []
+    return tuple(shaped(kind, keys.get(k)) for k, kind in schemas.FRONT_MATTER), body, None, sorted(frontmatter.problems(keys))
 
-@F.pandas_udf(T.StringType())
-def write_document(front_matter: pd.DataFrame, body: pd.Series) -> pd.Series:
-    def one(keys: dict, text: str | None) -> str:
-        return frontmatter.write(_plain(keys), text or "")
 
-    return pd.Series([one(k, t) for k, t in zip(front_matter.to_dict("records"), body, strict=True)], dtype=object)
+@_by_rows(T.StringType())
+def write_document(front_matter: T.Row, body: str | None) -> str:
+    return frontmatter.write(_given(front_matter), body or "")
 
 
 def struct_of(row: dict[str, Column]) -> Column:
