@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 
 TEXT, COMMENT, CDATA = range(3)
+#: Rows that a task has as Python values at a time.
+ROWS = 128
 OPENS = {"<!--": COMMENT, "<![CDATA[": CDATA}
 CLOSES = {COMMENT: "-->", CDATA: "]]>"}
 OPENING = re.compile(r"<!--|<!\[CDATA\[")
@@ -40,6 +42,12 @@ def state_after(piece: str, state: int) -> int:
         state, at = TEXT, end + len(CLOSES[state])
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that few rows are Python values at a time; Spark's may have 10,000."""
+    for batch in batches:
+        yield from (batch.slice(at, ROWS) for at in range(0, batch.num_rows, ROWS))
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a range with the state each begins in, and the row that it continues, by the state that the range begins in; behind them, a row for the range's end."""
     here, states, owners = None, [], []
@@ -47,7 +55,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def end() -> list[dict]:
         return [] if here is None else [{"file": here[0], "block": here[1], "owners": owners, "ends": states}]
 
-    for batch in batches:
+    for batch in _small(batches):
         rows: list[dict] = []
         for piece, file, block, at in zip(*[batch.column(c).to_pylist() for c in ("value", "file", "block", "at")], strict=True):
             if (file, block) != here:
@@ -96,7 +104,7 @@ def read_records(spark: SparkSession, path: str, record: str = "PubmedArticle",
     texts = marked.where("continued is null").select(F.col("owner").alias("at"), "piece").unionByName(whole.select(F.col("owner").alias("at"), "piece"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             pages, made = [], []
             for at, piece in zip(batch.column("at").to_pylist(), batch.column("piece").to_pylist(), strict=True):
                 begin = next((m.start() for m in name.finditer(piece) if m[0].startswith(f"<{record}")), None)

@@ -6,6 +6,7 @@ from helpers import SMALL
 
 from docflow import schemas, udfs
 from docflow.plans import QUERIES
+from docflow.sources import big_xml
 
 BY_ROWS = ["article_boxes", "article_captions", "article_inline", "article_lists", "article_sections", "citation_cleanup", "front_matter_round_trip", "html_to_markdown", "markdown_escape", "protect_block_start", "table_grid_expand"]
 
@@ -24,3 +25,10 @@ def test_parsed_rows_are_gathered_over_pages_and_leave_in_bounded_batches():
     assert len(made) <= 600 // udfs.ROWS + 1
     rows = [r for b in made for r in b.to_pylist()]
     assert [(r["page"], r["at"], r["pmcid"]) for r in rows] == [(n // 2, n % 2, str(n % 2 + 1)) for n in range(600)]
+
+
+def test_pieces_of_large_files_are_scanned_in_bounded_batches():
+    pieces = pa.RecordBatch.from_pydict({"value": [f"<r>{n}" for n in range(300)], "file": ["f"] * 300, "block": [0] * 300, "at": [*range(300)]})
+    made = list(big_xml._scan(iter([pieces])))
+    assert max(b.num_rows for b in made) <= big_xml.ROWS
+    assert [r["at"] for b in made for r in b.to_pylist()] == [*range(300), None]
