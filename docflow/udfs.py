@@ -20,7 +20,9 @@ CONVERTED = T.StructType([T.StructField("title", T.StringType()), T.StructField(
 ARROW = {"string": pa.string(), "boolean": pa.bool_(), "long": pa.int64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), f"array<{schemas.SECTION}>": pa.list_(pa.struct([("label", pa.string()), ("text", pa.string())]))}
 #: Rows that a parser gathers before it passes them on.
 ROWS = 128
-DOCUMENT = T.StructType([T.StructField("front_matter", FRONT), T.StructField("body", T.StringType()), T.StructField("error", T.StringType()), T.StructField("problems", T.ArrayType(T.StringType()))])
+#: Front matter with its fences, up to the first line that closes it.
+FRONT_LINES = r"(?s)\A---\r?\n(?:.*?\n)??---\r?\n"
+HEAD = T.StructType([T.StructField("front_matter", FRONT), T.StructField("error", T.StringType()), T.StructField("problems", T.ArrayType(T.StringType()))])
 
 
 def _columns(ddl: str) -> pa.Schema:
@@ -40,6 +42,8 @@ def _parsed(parse: Callable[[bytes], Iterator[dict]], columns: pa.Schema) -> Cal
                         yield pa.RecordBatch.from_pylist(rows, schema=columns)
                         rows.clear()
         yield pa.RecordBatch.from_pylist(rows, schema=columns)
+        rows, batch = [], None
+        pa.default_memory_pool().release_unused()  # the worker may wait long for its next task, beside others at work
 
     return run
 
@@ -75,9 +79,9 @@ def convert_article(xml: bytes, title: str | None, abstract: list | None) -> tup
 
 
 @_by_rows(T.ArrayType(T.StringType()))
-def contract_problems(front_matter: T.Row) -> list[str]:
+def contract_problems(front_matter: T.Row | None) -> list[str] | None:
     """What in drafted front matter breaks the contract of its keys."""
-    return sorted(frontmatter.problems(_given(front_matter)))
+    return None if front_matter is None else sorted(frontmatter.problems(_given(front_matter)))
 
 
 def _given(front_matter: T.Row) -> dict:
@@ -105,9 +109,8 @@ def table_to_markdown(xml: str | None) -> str | None:
     return tables.table_markdown(found) if found is not None else None
 
 
-@_by_rows(DOCUMENT)
-def read_document(text: str | None) -> tuple:
-    """Front matter and body of a document; error says why they could not be read, problems what breaks the contract."""
+@_by_rows(HEAD)
+def _read_head(head: str) -> tuple:
 
     def shaped(kind: str, value):
         if value is None:
@@ -119,15 +122,32 @@ def read_document(text: str | None) -> tuple:
         return (value if isinstance(value, bool) else None) if kind == "boolean" else str(value)
 
     try:
-        keys, body = frontmatter.read(text or "")
+        keys, _ = frontmatter.read(head)
     except ValueError as problem:
-        return (None,) * len(FRONT), None, str(problem), []
-    return tuple(shaped(kind, keys.get(k)) for k, kind in schemas.FRONT_MATTER), body, None, sorted(frontmatter.problems(keys))
+        return (None,) * len(FRONT), str(problem), []
+    return tuple(shaped(kind, keys.get(k)) for k, kind in schemas.FRONT_MATTER), None, sorted(frontmatter.problems(keys))
+
+
+def read_document(text: Column | str) -> Column:
+    """Front matter and body of a document; error says why they could not be read, problems what breaks the contract. Python sees the front matter alone: bodies are cut off by Spark."""
+    text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    most = F.lit((1 << 31) - 1)
+    head = F.regexp_extract(text, FRONT_LINES, 0)
+    # CRLF is read as LF; a first empty line is the front matter's. No lambda is in what goes to Python.
+    rest = F.replace(F.substring(text, F.length(head) + 1, most), F.lit("\r\n"), F.lit("\n"))
+    body = F.transform(F.array(rest), lambda rest: F.when(F.startswith(rest, F.lit("\n")), F.substring(rest, F.lit(2), most)).otherwise(rest))[0]
+    read = _read_head(F.when((head == "") & text.rlike(r"\A---\r?\n"), frontmatter.FENCE).otherwise(head))
+    return F.struct(read["front_matter"].alias("front_matter"), F.when(read["error"].isNull(), body).alias("body"), read["error"].alias("error"), read["problems"].alias("problems"))
 
 
 @_by_rows(T.StringType())
-def write_document(front_matter: T.Row, body: str | None) -> str:
-    return frontmatter.write(_given(front_matter), body or "")
+def write_head(front_matter: T.Row | None) -> str | None:
+    return None if front_matter is None else frontmatter.write(_given(front_matter), "")
+
+
+def write_document(front_matter: Column | str, body: Column | str) -> Column:
+    """A document with its front matter, which alone Python sees: Spark puts the body behind it. Null without front matter."""
+    return F.concat(write_head(front_matter), F.coalesce(F.col(body) if isinstance(body, str) else body, F.lit("")))
 
 
 def struct_of(row: dict[str, Column]) -> Column:

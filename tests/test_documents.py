@@ -1,0 +1,57 @@
+"""Documents and their front matter: Python sees the front matter alone, and rows are those of the plain functions."""
+
+import pytest
+from helpers import SMALL
+from pyspark.sql import functions as F
+
+from docflow import frontmatter, udfs
+from docflow.plans import whole_run
+
+FRONT = {"id": "pmid-1", "title": "é 日本 \U0001f600: x\n---\ny", "evidence_tier": 2, "topics": ["a", "b"]}
+BODIES = ["", "\n", "x", "\n\nx\n", "---\nlike: front\n---\n", "\r\nfirst\r\nsecond", "é 日本 \U0001f600\n---\n", "\ny\n"]
+TEXTS = [frontmatter.write(FRONT, b) for b in BODIES] + [
+    None, "", "x", "---\n", "---\n---\n", "---\n---\n\nbody", "---\nid: x\n---", "---\nid: x\n---\nclose", "---\r\nid: x\r\n---\r\n\r\nbody\r\n", "---\n- a\n---\n\nlist", "---\nid: [\n---\n\nopen", "---\né: 日本\U0001f600\n---\n\U0001f600\n", "--- \nid: x\n---\n", "---\nid: x\r---\n", "---\nid: x\n---\r\r\nz\n---\n\r\nb", "---\r\n---\r\n\r\n\r\nb\r", "---\nid: x\n----\n---\nb", "---\n" + "id: x\n" * 9999,
+]
+
+
+def test_documents_are_read_as_by_the_plain_function(spark):
+    rows = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string").select("i", udfs.read_document("text").alias("d")).collect()
+    assert len(rows) == len(TEXTS)
+    for i, d in rows:
+        try:
+            keys, body = frontmatter.read(TEXTS[i] or "")
+        except ValueError as problem:
+            assert (d["front_matter"], d["body"], d["error"], d["problems"]) == (d["front_matter"], None, str(problem), [])
+            continue
+        assert (d["body"], d["error"], d["problems"]) == (body, None, sorted(frontmatter.problems(keys)))
+        assert d["front_matter"]["id"] == keys.get("id") and d["front_matter"]["title"] == keys.get("title")
+
+
+def test_documents_are_written_as_by_the_plain_function(spark):
+    front = udfs.struct_of({"id": F.lit("pmid-1"), "title": F.lit(FRONT["title"]), "evidence_tier": F.lit(2), "topics": F.array(F.lit("a"), F.lit("b"))})
+    rows = spark.createDataFrame([(i, b) for i, b in enumerate([*BODIES, None])], "i int, body string").select("i", udfs.write_document(front, "body").alias("text")).collect()
+    assert {r["i"]: r["text"] for r in rows} == dict(enumerate(frontmatter.write(FRONT, b or "") for b in [*BODIES, None]))
+
+
+@pytest.mark.parametrize("how", [lambda: udfs.write_document(udfs.struct_of({"id": F.lit("x")}), "text"), lambda: udfs.read_document("text")["body"]])
+def test_python_sees_no_body(spark, how):
+    """The rows that go to Python hold what is given to its function: no column of bodies among its arguments."""
+    plan = spark.createDataFrame([("x",)], "text string").select(how().alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    (call,) = {line.split("BatchEvalPython [", 1)[1].split("]", 1)[0] for line in plan.splitlines() if "BatchEvalPython" in line}
+    assert call.startswith(("write_head(", "_read_head("))
+
+
+def test_words_of_a_run_are_found_and_not_what_is_between(spark):
+    docs = whole_run._documents(spark, SMALL)
+    assert "regexp_replace" not in docs._jdf.queryExecution().optimizedPlan().toString().lower()
+    text = spark.read.parquet(f"{SMALL}/documents.parquet").select(F.col("doc_id").alias("n"), F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z0-9]+", " ")).alias("want"))
+    assert docs.join(text, "n").where("not words <=> want").count() == 0
+
+
+def test_only_drafts_and_changes_go_to_yaml(spark):
+    """A survivor without a full text has front matter, too, of which nothing is checked or written."""
+    front = udfs.struct_of({"id": F.lit("pmid-1")})
+    rows = spark.range(2).select("id", F.when(F.col("id") == 1, front).alias("front"))
+    made = rows.select("id", udfs.write_document("front", F.lit("b")).alias("text"), udfs.contract_problems("front").alias("problems")).orderBy("id").collect()
+    assert made[0]["text"] is None and made[0]["problems"] is None
+    assert made[1]["text"] == "---\nid: pmid-1\n---\n\nb" and made[1]["problems"]
