@@ -157,7 +157,7 @@ def incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     _record_pages(docs).repartitionByRange(9, "page").write.parquet(source)
     pages = spark.readStream.schema("page long, xml binary").option("maxFilesPerTrigger", 3).parquet(source)
     # Without documents in other open batches: arrivals know of the batches that arrivals have made.
-    corpus = _corpus(docs).join(opened, "id", "left_anti")
+    corpus = materialize(_corpus(docs).join(opened, "id", "left_anti"), "run_corpus")  # each epoch reads it
     arrivals.ingest_arrivals(pages, default_config(), corpus, _article_pages(docs), out, f"{out}/checkpoint", NOW)
     texts = arrivals.batches(spark, out).select(F.substring("id", 6, 1 << 20).alias("pmid"), F.col("front_matter.content_hash").alias("content_hash"), F.col("front_matter.doc_type").alias("doc_type"))
     rows = arrivals.outcomes(spark, out).select("pmid", "outcome", F.array_join("reasons", ",").alias("reasons"))

@@ -30,7 +30,7 @@ def earlier_batches(spark: SparkSession, output: str, epoch: int) -> DataFrame:
 
 def run_epoch(spark: SparkSession, config: Config, documents: DataFrame, fetch: ingest.Fetch, output: str, now: datetime) -> Callable[[DataFrame, int], None]:
     def run(arrived: DataFrame, epoch: int) -> None:
-        stored = materialize(arrived.select("page", "xml"), "arrived")
+        stored = materialize(arrived.select("page", "xml").repartition(spark.sparkContext.defaultParallelism, "page"), "arrived")  # a few large files are parsed by all cores
         pages = spark.read.schema(stored.schema).parquet(*stored.inputFiles()) if stored.inputFiles() else spark.createDataFrame([], stored.schema)  # in the caller's session
         earlier = materialize(earlier_batches(spark, output, epoch).select("id", "number"), "earlier")
         done = ingest.process(spark, config, pages, fetch, documents, earlier.select("id"), earlier.select("number").distinct(), now)

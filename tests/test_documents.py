@@ -55,3 +55,21 @@ def test_only_drafts_and_changes_go_to_yaml(spark):
     made = rows.select("id", udfs.write_document("front", F.lit("b")).alias("text"), udfs.contract_problems("front").alias("problems")).orderBy("id").collect()
     assert made[0]["text"] is None and made[0]["problems"] is None
     assert made[1]["text"] == "---\nid: pmid-1\n---\n\nb" and made[1]["problems"]
+
+
+def test_pages_of_a_few_files_are_parsed_by_all_cores(spark, tmp_path):
+    from docflow.config import default_config
+    from docflow.plans import ingest
+    from docflow.streaming import arrivals
+
+    seen = []
+
+    def process(spark, config, pages, *rest):
+        seen.append(pages.select(F.spark_partition_id()).distinct().count())
+        raise InterruptedError
+
+    arrived = spark.range(400).select(F.col("id").alias("page"), F.lit("<x/>").cast("binary").alias("xml")).coalesce(1)
+    with pytest.MonkeyPatch.context() as patch, pytest.raises(InterruptedError):
+        patch.setattr(ingest, "process", process)
+        arrivals.run_epoch(spark, default_config(), None, None, str(tmp_path / "out"), whole_run.NOW)(arrived, 0)
+    assert seen[0] > 1
