@@ -57,6 +57,8 @@ IDS = np.dtype("<u2")
 
 #: Below this, what is a letter has not changed for long, so that the tokenizer and Python agree on it.
 LONG_KNOWN = "\u0590"
+#: Words of these letters alone stay what they are under NFC, and words of letters when lower-cased (see _stays); most words that are not ASCII.
+LATIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 
 Pieces = tuple[np.ndarray, np.ndarray]  # ids in a row, and how many each piece has
 
@@ -95,13 +97,14 @@ class WordIds:
         found = [e.ids for i in range(0, len(words), AT_ONCE) for e in encode(words[i : i + AT_ONCE], add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), IDS), np.fromiter(map(len, found), np.int64, len(found))
 
-    def _letters(self, words: list[str]) -> Pieces:
+    def _texts(self, words: pa.Array) -> Pieces:
+        return self._whole(_strings(words))
+
+    def _letters(self, words: pa.Array) -> Pieces:
         """Each word's ids: ASCII words, which are lower-cased already, without the tokenizer's own normal form."""
-        ascii_words = [w for w in words if w.isascii()]
-        others = [w for w in words if not w.isascii()]
-        at = {w: i for i, w in enumerate(ascii_words + others)}
-        ids, lengths = _joined([self._runs(ascii_words, self.plain), self._runs(others, self.tokenizer)])
-        order = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+        plain = _flags(pc.string_is_ascii(words))
+        ids, lengths = _joined([self._runs(_strings(words.filter(pa.array(plain))), self.plain), self._runs(_strings(words.filter(pa.array(~plain))), self.tokenizer)])
+        order = np.where(plain, np.cumsum(plain), plain.sum() + np.cumsum(~plain)) - 1
         return _gather(ids, (np.cumsum(lengths) - lengths)[order], lengths[order]), lengths[order]
 
     def _runs(self, words: list[str], tokenizer: Tokenizer) -> Pieces:
@@ -119,8 +122,11 @@ class WordIds:
     def _simple(self, words: pa.Array, core: pa.Array, lower: pa.Array, bare: np.ndarray) -> np.ndarray:
         """Which words are letters with nothing but ASCII punctuation around them."""
         plain = _flags(pc.ascii_is_alpha(core))
-        other = np.flatnonzero(~plain & _flags(pc.utf8_is_alpha(core)))
-        cases = zip(core.take(pa.array(other)).to_pylist(), lower.take(pa.array(other)).to_pylist(), bare[other].tolist(), strict=True)
+        rest = np.flatnonzero(~plain)
+        plain[rest] = _flags(pc.match_substring_regex(core.take(pa.array(rest)), LATIN))
+        rest = rest[~plain[rest]]
+        other = rest[_flags(pc.utf8_is_alpha(core.take(pa.array(rest))))]
+        cases = zip(_strings(core.take(pa.array(other))), _strings(lower.take(pa.array(other))), bare[other].tolist(), strict=True)
         plain[other] = np.fromiter((_stays(a, b) and (alone or max(a) < LONG_KNOWN) for a, b, alone in cases), bool, len(other))
         for special in self.special:
             plain &= ~_flags(pc.match_substring(words, special))
@@ -141,14 +147,14 @@ class WordIds:
 
         # In order of words: head, core and tail of simple ones, others as a whole; -1 is no piece.
         columns, parts, known = np.full((len(words), 3), -1, np.int64), [], 0
-        for at, places, texts, encode in ((0, edged, head, self._whole), (2, edged, tail, self._whole), (1, np.flatnonzero(simple), lower.filter(pa.array(simple)), self._letters)):
+        for at, places, texts, encode in ((0, edged, head, self._texts), (2, edged, tail, self._texts), (1, np.flatnonzero(simple), lower.filter(pa.array(simple)), self._letters)):
             coded = texts.dictionary_encode()
             columns[places, at] = known + coded.indices.to_numpy()
-            parts.append(encode(coded.dictionary.to_pylist()))
+            parts.append(encode(coded.dictionary))
             known += len(coded.dictionary)
         columns[rest] = -1
         columns[rest, 0] = known + np.arange(len(rest))
-        flat, lengths = _joined([*parts, self._whole(words.take(pa.array(rest)).to_pylist()), (np.zeros(0, IDS), np.zeros(1, np.int64))])
+        flat, lengths = _joined([*parts, self._texts(words.take(pa.array(rest))), (np.zeros(0, IDS), np.zeros(1, np.int64))])
         order = columns.ravel()
         made, sizes = _gather(flat, (np.cumsum(lengths) - lengths)[order], lengths[order]), lengths[columns].sum(1)
         begins = len(self.ids) + np.cumsum(sizes) - sizes
@@ -183,6 +189,10 @@ def _stays(core: str, lower: str) -> bool:
     return core.lower().isalpha() and is_normalized("NFC", core) and is_normalized("NFC", lower)
 
 
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()  # several times as fast as to_pylist
+
+
 def _flags(mask: pa.Array) -> np.ndarray:
     return mask.to_numpy(zero_copy_only=False).astype(bool)
 
