@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 def strip(c: Column) -> Column:
     """Without white space at either end; Spark's trim knows spaces only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_extract(c, r"(?Us)\A\s*(.*\S)?", 1)  # one match, where a replacement looks at all white space inside
 
 
 def clean_title(document_title: Column, record_title: Column) -> Column:

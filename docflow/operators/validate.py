@@ -18,7 +18,7 @@ def field_errors(ident: Column, front: Column, body: Column, expected_status: Co
         F.when(~front["id"].eqNullSafe(ident), "id differs from the file name"),
         F.when(front["pmid"] != pmid, "pmid differs from the file name"),
         F.when((F.coalesce(front["pmcid"], F.lit("")) != "") & ~F.contains(F.coalesce(front["source_uri"], F.lit("")), front["pmcid"]), "pmcid is not in source_uri"),
-        F.when(strip(F.coalesce(body, F.lit(""))) == "", "empty body"),
+        F.when(~F.coalesce(body, F.lit("")).rlike(r"(?U)\S"), "empty body"),
         F.when(~front["content_hash"].eqNullSafe(content_hash(F.coalesce(body, F.lit("")))), "content_hash is not the body's"),
         F.when(~front["curation_status"].eqNullSafe(expected_status), F.concat(F.lit("curation_status must be "), expected_status)),
         F.when((expected_status == "rejected") & (strip(F.coalesce(front["review_notes"], F.lit(""))) == ""), "rejected without review_notes"),

@@ -57,7 +57,8 @@ def publish(documents: DataFrame, comments: DataFrame, config: Config) -> DataFr
     first = ranking.first_seen(hashed, ["doc_id"], ["content_hash", "lang", "source"])
     bodies = documents.select("doc_id", text.alias("body")).withColumn("content_hash", content_hash(F.col("body")))
     states = review.fold(commands(comments, config), "doc", ["turn"]).withColumnRenamed("doc", "doc_id")
-    rows = bodies.join(first, ["doc_id", "content_hash"]).dropDuplicates(["doc_id"]).join(states, "doc_id", "left")
+    # What is small is joined first: bodies then meet it, and their copies, in one shuffle.
+    rows = bodies.join(first.join(states, "doc_id", "left"), ["doc_id", "content_hash"]).dropDuplicates(["doc_id", "content_hash"])
     rows = rows.withColumns({"status": F.coalesce("status", F.lit("pending")), "changes": F.coalesce("changes", F.lit(0).cast("long")), "errors": F.coalesce("errors", F.lit(0).cast("long"))})
     rows = rows.withColumn("folder", F.when(F.col("status") == "rejected", "rejected").otherwise("corpus"))
     ident = F.concat(F.lit("pmid-"), F.col("doc_id").cast("string"))

@@ -5,6 +5,8 @@ from helpers import SMALL
 from pyspark.sql import functions as F
 
 from docflow import frontmatter, udfs
+from docflow.functions.text import strip
+from docflow.operators.validate import field_errors
 from docflow.plans import whole_run
 
 FRONT = {"id": "pmid-1", "title": "é 日本 \U0001f600: x\n---\ny", "evidence_tier": 2, "topics": ["a", "b"]}
@@ -48,6 +50,19 @@ def test_words_of_a_run_are_found_and_not_what_is_between(spark):
     assert docs.join(text, "n").where("not words <=> want").count() == 0
 
 
+ODD = ["", " ", "a", " a ", " a b ", "\n\u0085a\n\nb\r\n", "\U0001f600 \U0001f600 ", " \U0001f600", "a​ ", "\x1ca\x1f", "a \n", "\r\n", "\t\x0b\x0c", None]
+
+
+def test_white_space_is_stripped_as_by_a_replacement(spark):
+    rows = spark.createDataFrame([(t,) for t in ODD], "t string")
+    kept, before = strip(F.col("t")), F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    assert rows.where(~kept.eqNullSafe(before)).count() == 0
+    assert "regexp_replace" not in rows.select(kept)._jdf.queryExecution().optimizedPlan().toString().lower()
+    front = udfs.struct_of({"id": F.lit("pmid-1")})
+    empty = F.array_contains(field_errors(F.lit("pmid-1"), front, F.col("t"), F.lit("approved")), "empty body")
+    assert rows.where(empty != (F.coalesce(before, F.lit("")) == "")).count() == 0
+
+
 def test_only_drafts_and_changes_go_to_yaml(spark):
     """A survivor without a full text has front matter, too, of which nothing is checked or written."""
     front = udfs.struct_of({"id": F.lit("pmid-1")})
